@@ -21,3 +21,27 @@ def build_session(app: str = "attestor", master: str | None = None, **conf: str)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make the package importable in Python workers, once per application.
+
+    Nothing happens where the package's folder is on PYTHONPATH already, as workers inherit it.
+    """
+    import os
+    import shutil
+    import tempfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    known = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    app = spark.sparkContext.applicationId
+    if str(root) in known or app in _SHIPPED:
+        return spark
+    folder = os.path.realpath(tempfile.mkdtemp())
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/attestor", "zip", root, "attestor"))
+    _SHIPPED.add(app)
+    return spark
