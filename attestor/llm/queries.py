@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,31 @@ def _tokenizer(name: str) -> Path:
     return Path(public_tokenizers.path(name))
 
 
+def _fold(column: str, folds: int) -> Column:
+    """crc32 of a column as text, modulo the number of folds."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % folds
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, and whether the margin is too narrow; a null id is not held out."""
+    from attestor.llm import language_id
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    dictionaries = language_id.learn(docs.where(_fold("doc_id", 4) != 2))
+    return language_id.predict(docs, dictionaries, keep=("doc_id", held)).select("doc_id", "held_out", "lang_pred", "score", "margin", "rejected")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted; a null id is not held out and never learned."""
+    from attestor.llm import toxicity
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels"), allowed=_fold("doc_id", 5) != 0)
+    held = F.coalesce(_fold("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return toxicity.score(docs, model, keep=("doc_id", held)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and the digest of the spans, for every document."""
     from attestor.llm import sentencepiece_codec
@@ -35,6 +60,8 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_language_id": op6_language_id,
+        "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
     }
 
