@@ -125,11 +125,12 @@ class Words:
         self.hashes, self.starts, self.ends, self.rows = hashes, starts, ends, rows
 
 
-def word_hashes(raw: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE, fold: np.ndarray = _LOWER) -> Words:
+def word_hashes(raw: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE, fold: np.ndarray = _LOWER, part: tuple[np.ndarray, np.ndarray] | None = None) -> Words:
     """Hash every word of every row.
 
     ``space`` flags the byte values that separate words, ``fold`` maps a byte to the one hashed
-    (by default A-Z to a-z).  ``rows[i]:rows[i + 1]`` are the words of row i.
+    (by default A-Z to a-z).  ``rows[i]:rows[i + 1]`` are the words of row i.  ``part`` gives two
+    sets of byte values; a word also ends where one of the second follows one of the first.
     """
     global _POW
     if _POW is None:
@@ -157,6 +158,10 @@ def word_hashes(raw: np.ndarray, bounds: np.ndarray, space: np.ndarray = _SPACE,
         first[1:] &= ~solid[:-1]
         last = solid.copy()
         last[:-1] &= ~solid[1:]
+        if part is not None:
+            split = part[0][piece[:-1]] & part[1][piece[1:]]
+            first[1:] |= split
+            last[:-1] |= split
         lo, hi = np.searchsorted(bounds, at, "left"), np.searchsorted(bounds, end, "left")
         inner = bounds[lo:hi] - at
         inner = inner[(inner >= 0) & (inner < len(piece))]

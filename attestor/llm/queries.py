@@ -19,6 +19,18 @@ def _tokenizer(name: str) -> Path:
     return Path(public_tokenizers.path(name))
 
 
+def op2_repair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of what the files hold; null ids come first."""
+    from attestor.llm import repair_output
+    from attestor.llm.common import Scratch
+
+    scratch = Scratch(spark)
+    path = f"{scratch.root}/ids"
+    repair_output.write(_table(spark, sf_dir, "documents"), path, _tokenizer("word_bpe_49k.json").read_text(encoding="utf-8"), end_id=2)
+    out = repair_output.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return scratch.keep_for(out)
+
+
 def _fold(column: str, folds: int) -> Column:
     """crc32 of a column as text, modulo the number of folds."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
@@ -60,6 +72,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_repair_output": op2_repair_output,
         "op6_language_id": op6_language_id,
         "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
