@@ -36,6 +36,14 @@ def _fold(column: str, folds: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, n_shared, n_item and containment of every item found in a document."""
+    from attestor.llm import decontaminate
+
+    out = decontaminate.flag(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", F.inline("leaks")).withColumn("containment", F.col("n_shared") / F.col("n_item"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, and whether the margin is too narrow; a null id is not held out."""
     from attestor.llm import language_id
@@ -73,6 +81,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_repair_output": op2_repair_output,
+        "op4_decontaminate": op4_decontaminate,
         "op6_language_id": op6_language_id,
         "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
