@@ -36,6 +36,23 @@ def _fold(column: str, folds: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, base counts and digest, and all spans, for every document."""
+    from attestor.llm import secret_scan
+
+    out = secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+    def own(kinds: tuple[str, ...]) -> Column:
+        return F.filter("findings", lambda f: f["kind"].isin(*kinds))
+
+    def joined(findings: Column) -> Column:
+        return F.array_join(F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
+
+    counts = [F.size(own((k,))).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    digest = F.sha2(joined(own(("assign", "access", "hex"))).cast("binary"), 256).alias("base_sha256")
+    return out.select("doc_id", *counts, digest, joined(F.col("findings")).alias("spans"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id, n_shared, n_item and containment of every item found in a document."""
     from attestor.llm import decontaminate
@@ -81,6 +98,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_repair_output": op2_repair_output,
+        "op3_secret_scan": op3_secret_scan,
         "op4_decontaminate": op4_decontaminate,
         "op6_language_id": op6_language_id,
         "op9_toxicity": op9_toxicity,
