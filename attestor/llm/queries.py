@@ -95,6 +95,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    from attestor.llm import jaccard_join
+
+    return jaccard_join.join(_table(spark, sf_dir, "documents"))[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_repair_output": op2_repair_output,
@@ -103,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language_id": op6_language_id,
         "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
