@@ -61,6 +61,30 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.inline("leaks")).withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the 5 best of every query row."""
+    from attestor.llm import exact_topk
+
+    return exact_topk.search(_table(spark, sf_dir, "embeddings"), is_query=F.col("id") % 50 == 0)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 5
+"""
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, and whether the margin is too narrow; a null id is not held out."""
     from attestor.llm import language_id
@@ -107,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_repair_output": op2_repair_output,
         "op3_secret_scan": op3_secret_scan,
         "op4_decontaminate": op4_decontaminate,
+        "op5_exact_topk": op5_exact_topk,
         "op6_language_id": op6_language_id,
         "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
@@ -115,4 +140,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_exact_topk": OP5_SQL,
+    }
