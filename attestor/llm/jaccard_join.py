@@ -59,9 +59,10 @@ def _nodes(docs: DataFrame, id_column: str, text: str) -> DataFrame:
             n, node = [0] * batch.num_rows, [None] * batch.num_rows
             for i, s, key in sets(batch, 1):
                 n[i], node[i] = len(s), key
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary())], ["id", "n", "node"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(node, pa.binary())], ["id", "h", "n", "node"])
 
-    return map_arrow(docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")), work, f"id {kind}, n bigint, node binary")
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    return map_arrow(rows, work, f"id {kind}, h bigint, n bigint, node binary")
 
 
 def _deal(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -297,12 +298,43 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return scratch.save(new.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots), f"{name}-roots")
 
 
-def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text", scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
-    """(id, n_shingles, component_id) for every row, and the verified links between nodes (a, b).
+def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) for every row."""
+    own = Scratch(docs.sparkSession)
+    rows = label(docs, id_column, text, own)
+    return own.keep_for(rows.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id"))
 
-    The links connect exactly the documents that the full set of links connects.
+
+def representatives(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest id (nulls last).
+
+    Rows without words all stay; of rows with equal id and text in one component one stays.
+    """
+    own = Scratch(docs.sparkSession)
+    rows = own.save(label(docs, id_column, text, own), "labelled").where("n > 0")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h")).alias("s"), F.count("*").alias("c"))
+    first = own.save(first.where("c > 1").select("root", F.col("s.id").alias("first_id"), F.col("s.h").alias("first_h")), "first")
+    member = rows.join(first, "root").withColumn("stays", F.col("id").eqNullSafe(F.col("first_id")) & (F.col("h") == F.col("first_h")))
+    member = own.save(member.groupBy("id", "h").agg(F.max("stays").alias("stays"), F.count("*").alias("c")), "members-of-many")
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("__h", F.xxhash64(text))
+
+    gone = own.save(member.where("not stays").select("id", "h"), "gone")
+    twice = own.save(member.where("stays and c > 1").select("id", "h"), "twice")
+    base = keyed(docs)
+    kept = base.join(gone, base[id_column].eqNullSafe(gone["id"]) & (base["__h"] == gone["h"]), "left_anti")
+    if not twice.isEmpty():
+        on = kept[id_column].eqNullSafe(twice["id"]) & (kept["__h"] == twice["h"])
+        kept = kept.join(twice, on, "left_anti").unionByName(kept.join(twice, on, "left_semi").dropDuplicates([id_column, text]))
+    return own.keep_for(kept.drop("__h"))
+
+
+def label(docs: DataFrame, id_column: str, text: str, own: Scratch) -> DataFrame:
+    """(id, h, n, root, component_id) for every row; rows of one root are connected by links.
+
+    The verified links connect exactly the documents that the full set of links connects.
     """
-    own = scratch or Scratch(docs.sparkSession)
     nodes = own.save(_nodes(docs, id_column, text), "documents")
     total = nodes.where("n > 0").agg(F.sum(F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1).alias("t")).first()["t"] or 0
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -341,16 +373,15 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text", scratch
     cross = one.join(two, "k").where(F.col("a") < F.col("b")).where((F.col("ra") != F.col("rb")) & _fits("na", "nb")).select("a", "b").distinct()
     cross = own.save(cross.join(pairs, ["a", "b"], "left_anti"), "pairs-2")
     more = own.save(_verify(cross, shingle_sets), "links-2")
-    all_links = links.unionByName(more)
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), own, "components-2")
 
     reps = nodes.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"))
     known = own.save(reps.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "reps")
     least = own.save(known.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
-    places = own.save(known.join(least, "root").select("node", "component_id"), "places")
-    out = nodes.join(places, "node", "left").select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
-    return (out if scratch else own.keep_for(out)), all_links
+    places = own.save(known.join(least, "root").select("node", "root", "component_id"), "places")
+    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
+    return nodes.join(places, "node", "left").select("id", "h", "n", "root", component.alias("component_id"))
 
 
 def _fits(a: str, b: str) -> Column:

@@ -123,7 +123,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     from attestor.llm import jaccard_join
 
-    return jaccard_join.join(_table(spark, sf_dir, "documents"))[0]
+    return jaccard_join.join(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -136,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
         "op10_jaccard_join": op10_jaccard_join,
+        "pipeline": pipeline,
     }
 
 
