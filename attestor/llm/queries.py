@@ -19,6 +19,13 @@ def _tokenizer(name: str) -> Path:
     return Path(public_tokenizers.path(name))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the best licence with its coefficient, and all that were found, for every document."""
+    from attestor.llm import license_scan
+
+    return license_scan.scan(_table(spark, sf_dir, "documents")).select("doc_id", "license", "dice", F.size("licenses").alias("n_licenses"), "licenses")
+
+
 def op2_repair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of what the files hold; null ids come first."""
     from attestor.llm import repair_output
@@ -135,6 +142,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": op1_license_scan,
         "op2_repair_output": op2_repair_output,
         "op3_secret_scan": op3_secret_scan,
         "op4_decontaminate": op4_decontaminate,
