@@ -102,6 +102,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, dictionaries, keep=("doc_id", held)).select("doc_id", "held_out", "lang_pred", "score", "margin", "rejected")
 
 
+#: The key of the registered query; a user passes an own secret.
+OP8_KEY = "a fixed key for the registered query"
+
+
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the whole text with surrogates, and the number of entities replaced in it."""
+    from attestor.llm import pii_surrogates
+
+    out = pii_surrogates.replace(_table(spark, sf_dir, "documents").select("doc_id", "text"), OP8_KEY)
+    return out.select("doc_id", "text", F.col("n_entities").cast("long").alias("n_entities"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted; a null id is not held out and never learned."""
     from attestor.llm import toxicity
@@ -148,6 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontaminate": op4_decontaminate,
         "op5_exact_topk": op5_exact_topk,
         "op6_language_id": op6_language_id,
+        "op8_pii_surrogates": op8_pii_surrogates,
         "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
         "op10_jaccard_join": op10_jaccard_join,
