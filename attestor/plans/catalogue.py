@@ -1,20 +1,509 @@
-"""Queries over the driver's tables, with their DuckDB counterparts."""
+"""Queries over the driver's tables, with their DuckDB counterparts.
+
+The driver's tables have no scanned contracts, so each query applies an operator of the engine to
+substitute columns of a whole table: a customer's orders stand for a document's pages, a line item
+for a reading, suppliers for the registry.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from attestor.functions import scalars as S
+from attestor.operators import assemble, extract, gazetteer, registry, routing, verify, votes
+from attestor.plans.batch import decide_documents
+from attestor.schema import OCR_READ, PERMIT_PARTIAL, SCAN_RESULT, conform
+from attestor.sources import tables
+from attestor.sources.sinks import roster_export
+from attestor.streaming.windows import windowed_counts
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered below as well."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str = "") -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# --- votes and arg-max -----------------------------------------------------------------------
+
+
+@_query("""
+WITH c AS (SELECT user_id, event_type, count(*) AS votes, min(event_id) AS seen FROM events WHERE event_type <> '' GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY votes DESC, seen) AS k FROM c)
+SELECT user_id, event_type, votes FROM r WHERE k = 1 AND votes >= 2
+""")
+def vote_majority_user_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return votes.majority_vote(_t(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id")
+
+
+@_query("""
+SELECT o_custkey, o_orderkey, o_totalprice FROM
+(SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders) WHERE k = 1
+""")
+def best_conf_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return votes.last_by(_t(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderkey", "o_totalprice"], "o_totalprice", "o_orderkey")
+
+
+@_query("""
+SELECT l_orderkey, l_linenumber, l_partkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k
+  FROM lineitem WHERE l_quantity >= 25) WHERE k = 1
+""")
+def first_hit_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = _t(spark, sf_dir, "lineitem").where("l_quantity >= 25")
+    return votes.first_by(hits, ["l_orderkey"], ["l_linenumber", "l_partkey"], F.struct("l_linenumber", "l_partkey", "l_suppkey"))
+
+
+@_query("""
+WITH v AS (SELECT l_orderkey, l_returnflag, count(*) AS n, min(l_linenumber * 1000000000000 + l_partkey * 100000 + l_suppkey) AS seen FROM lineitem GROUP BY ALL),
+w AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n DESC, seen) AS k FROM v)
+SELECT w.l_orderkey, w.l_returnflag, CAST(sum(l.l_quantity) AS BIGINT) AS conf_sum, w.n AS votes
+FROM w JOIN lineitem l ON w.l_orderkey = l.l_orderkey AND w.l_returnflag = l.l_returnflag
+WHERE k = 1 AND n >= 2 GROUP BY ALL
+""")
+def vote_winner_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _t(spark, sf_dir, "lineitem").withColumn("place", F.col("l_linenumber") * F.lit(1_000_000_000_000) + F.col("l_partkey") * 100_000 + F.col("l_suppkey"))
+    won = votes.majority_vote(items, ["l_orderkey"], "l_returnflag", "place")
+    return items.join(won, ["l_orderkey", "l_returnflag"]).groupBy("l_orderkey", "l_returnflag", "votes").agg(F.sum("l_quantity").cast("bigint").alias("conf_sum"))
+
+
+# --- pages and tiers -------------------------------------------------------------------------
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as page images."""
+    c = _t(spark, sf_dir, "conversations")
+    return c.select(F.col("conv_id").cast("string").alias("source_docx"), F.concat(F.lit("image"), F.col("turn").cast("string"), F.lit(".jpeg")).alias("image_name"), "turn", "text")
+
+
+@_query("""
+SELECT CAST(conv_id AS VARCHAR) AS source_docx, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS ord,
+       'image' || turn || '.jpeg' AS image_name FROM conversations
+""")
+def natural_sort_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routing.ordered(_pages(spark, sf_dir).select("source_docx", "image_name"))
+
+
+@_query("""
+SELECT CAST(conv_id AS VARCHAR) AS source_docx, CAST(turn AS INTEGER) AS image_index, CAST(n AS INTEGER) AS n_images,
+       CASE WHEN n <= 3 THEN 'small' ELSE 'large' END AS docx_class, CASE WHEN turn IN (2, 5, 6) THEN 1 ELSE 2 END AS tier
+FROM (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
+""")
+def classify_small_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routing.pages(_pages(spark, sf_dir).select("source_docx", "image_name")).select("source_docx", "image_index", "n_images", "docx_class", "tier")
+
+
+@_query("""
+WITH p AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
+done AS (SELECT DISTINCT conv_id FROM p WHERE turn IN (2, 5, 6) AND n > 3 AND length(text) % 2 = 0)
+SELECT CAST(conv_id AS VARCHAR) AS source_docx, CAST(turn AS INTEGER) AS image_index FROM p
+WHERE n > 3 AND turn NOT IN (2, 5, 6) AND conv_id NOT IN (SELECT conv_id FROM done)
+""")
+def expand_second_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _pages(spark, sf_dir)
+    pages = routing.pages(p.select("source_docx", "image_name"))
+    even = pages.join(p, ["source_docx", "image_name"]).where("tier = 1 and docx_class = 'large'")
+    first = even.select("source_docx", (F.length("text") % 2 == 0).alias("id_from_vote"), F.lit("1234").alias("id"), F.lit(60.0).alias("id_conf"))
+    return routing.second_tier(pages, first).select("source_docx", "image_index")
+
+
+@_query("""
+WITH s AS (SELECT conv_id, turn, 2 * len(regexp_extract_all(text, '[.!?]')) + len(regexp_extract_all(text, ',')) AS score FROM conversations),
+b AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, turn) AS k FROM s)
+SELECT CAST(b.conv_id AS VARCHAR) AS source_docx, b.turn AS contract_ord, b.score AS score, s.turn AS next_ord
+FROM b JOIN s ON b.conv_id = s.conv_id AND s.turn = b.turn + 1 WHERE k = 1 AND b.score >= 2
+""")
+def contract_and_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _pages(spark, sf_dir).select("source_docx", F.col("turn").alias("ord"), "image_name", "text")
+    scored = p.withColumn("score", S.page_score(F.col("text"), "[.!?]", ",").cast("bigint"))
+    best = votes.last_by(scored, ["source_docx"], ["ord", "score"], "score", "ord").withColumn("found", F.col("score") >= extract.MIN_PAGE_SCORE)
+    after = extract.next_pages(p, best)
+    return after.select("source_docx", F.col("ord").alias("next_ord")).join(best.select("source_docx", F.col("ord").alias("contract_ord"), "score"), "source_docx")
+
+
+@_query("""
+SELECT page_id, CAST(2 * len(regexp_extract_all(html, '<h[1-6]')) + len(regexp_extract_all(html, '<p[ >]')) AS BIGINT) AS score,
+       regexp_matches(html, '<title>') AS is_front FROM pages
+""")
+def page_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    score = S.page_score(F.col("html"), "<h[1-6]", "<p[ >]").cast("bigint")
+    return _t(spark, sf_dir, "pages").select("page_id", score.alias("score"), F.col("html").rlike("<title>").alias("is_front"))
+
+
+# --- scalar extraction -----------------------------------------------------------------------
+
+_CASCADE = (r"token = \"([0-9a-f]{8})", r"\+1 \((\d{3})\)", r"(\d{4})\d{12}", r"(\d+)\.\d+\.\d+\.\d+")
+
+
+@_query("""
+SELECT doc_id, CASE WHEN regexp_matches(text, 'token = "[0-9a-f]{8}') THEN regexp_extract(text, 'token = "([0-9a-f]{8})', 1)
+  WHEN regexp_matches(text, '\\+1 \\(\\d{3}\\)') THEN regexp_extract(text, '\\+1 \\((\\d{3})\\)', 1)
+  WHEN regexp_matches(text, '\\d{4}\\d{12}') THEN regexp_extract(text, '(\\d{4})\\d{12}', 1)
+  WHEN regexp_matches(text, '\\d+\\.\\d+\\.\\d+\\.\\d+') THEN regexp_extract(text, '(\\d+)\\.\\d+\\.\\d+\\.\\d+', 1) ELSE '' END AS value,
+  CASE WHEN regexp_matches(text, 'token = "[0-9a-f]{8}') THEN 1 WHEN regexp_matches(text, '\\+1 \\(\\d{3}\\)') THEN 2
+  WHEN regexp_matches(text, '\\d{4}\\d{12}') THEN 3 WHEN regexp_matches(text, '\\d+\\.\\d+\\.\\d+\\.\\d+') THEN 4 ELSE 0 END AS layer FROM documents
+""".replace("\\\\", "\\"))
+def extract_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = S.cascade(F.col("text"), _CASCADE)
+    return _t(spark, sf_dir, "documents").select("doc_id", hit["value"].alias("value"), hit["layer"].alias("layer"))
+
+
+@_query(r"""
+SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '\+1 \(\d{3}\) \d{3}-\d{4}'), lambda p: regexp_replace(p, '\D', '', 'g')), ',') AS phones,
+       len(regexp_extract_all(text, '\d{16}')) AS n_cards FROM documents
+""")
+def contact_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.regexp_extract_all("text", F.lit(r"\+1 \(\d{3}\) \d{3}-\d{4}"), F.lit(0))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(found, S.phone_norm), ",").alias("phones"), F.regexp_count("text", F.lit(r"\d{16}")).cast("bigint").alias("n_cards"))
+
+
+@_query("""
+WITH c AS (SELECT c_custkey, '0' || lpad(CAST(c_custkey AS VARCHAR), 8, '2') AS a, '09' || lpad(CAST(c_nationkey AS VARCHAR), 8, '1') AS b FROM customer)
+SELECT c_custkey, a || CASE WHEN a = b THEN '' ELSE ',' || b END AS phones, 'several' AS note FROM c
+""")
+def phone_field_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = F.concat(F.lit("0"), F.lpad(F.col("c_custkey").cast("string"), 8, "2"))
+    b = F.concat(F.lit("+886-9"), F.lpad(F.col("c_nationkey").cast("string"), 8, "1"))
+    raw = F.concat(F.substr(a, F.lit(1), F.lit(3)), F.lit("-"), F.substr(a, F.lit(4)), F.lit("#171/"), b, F.lit("、12345"))
+    return _t(spark, sf_dir, "customer").select("c_custkey", F.array_join(S.split_phone_field(raw), ",").alias("phones"), S.phone_note(raw).alias("note"))
+
+
+@_query("""
+SELECT p_partkey, len(list_filter(string_split_regex(trim(p_name), '[\\s,\\-]+'), lambda x: x <> '')) AS n_syllables,
+       '(' || p_name || repeat(')', CASE WHEN p_size % 2 = 0 THEN 1 ELSE 1 END) AS balanced,
+       regexp_matches(p_brand, '\\d') AS has_digit FROM part
+""".replace("\\\\", "\\"))
+def text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.lit("("), F.col("p_name"), F.when(F.col("p_size") % 2 == 0, ")").otherwise(""))
+    return _t(spark, sf_dir, "part").select("p_partkey", S.syllables(F.col("p_name")).cast("bigint").alias("n_syllables"), S.balance_brackets(name).alias("balanced"), (~S.name_like(F.col("p_brand"))).alias("has_digit"))
+
+
+@_query("""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders
+""")
+def iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "orders").select("o_orderkey", S.iso_date(F.date_format("o_orderdate", "yyyyMMdd")).alias("day"))
+
+
+@_query("""
+WITH a AS (SELECT p_partkey, CAST(p_size AS VARCHAR) || '-' || (p_partkey % 3) AS cn, CAST(p_size AS VARCHAR) || '-' || (p_partkey % 4) AS en FROM part)
+SELECT p_partkey, CASE WHEN cn <> en THEN 'J: house number ' || cn || ' / ' || en ELSE '' END AS doubt FROM a
+""")
+def house_number_doubt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size, key = F.col("p_size").cast("string"), F.col("p_partkey")
+    cn = F.concat(F.lit("某路 "), size, F.lit(" 之 "), (key % 3).cast("string"), F.lit(" 號"))
+    en = F.concat(F.lit("No. "), size, F.lit("-"), (key % 4).cast("string"), F.lit(", Some Rd."))
+    return _t(spark, sf_dir, "part").select("p_partkey", extract.house_doubt(cn, en).alias("doubt"))
+
+
+@_query("""
+SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda l: trim(l, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) <> '')) AS n_lines FROM documents
+""")
+def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "documents").select("doc_id", F.size(extract.lines_of(F.col("text"))).cast("bigint").alias("n_lines"))
+
+
+# --- joins and lookups -----------------------------------------------------------------------
+
+
+@_query("""
+SELECT s_suppkey, coalesce(n_name, '') AS n_name, coalesce(r_name, '') AS r_name FROM supplier
+LEFT JOIN nation ON s_nationkey = n_nationkey AND n_nationkey % 2 = 0 LEFT JOIN region ON n_regionkey = r_regionkey
+""")
+def lookup_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, r = _t(spark, sf_dir, "nation").where("n_nationkey % 2 = 0"), _t(spark, sf_dir, "region")
+    out = _t(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return out.select("s_suppkey", F.coalesce("n_name", F.lit("")).alias("n_name"), F.coalesce("r_name", F.lit("")).alias("r_name"))
+
+
+def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as agencies; every third is a branch of the one before it, every fifth is closed."""
+    s = _t(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    permit = F.when(key % 3 == 1, F.concat((key - 1).cast("string"), F.lit("-02"))).otherwise(F.lpad(key.cast("string"), 4, "0"))
+    number = F.concat(F.lit("0"), F.lpad((key * 7919 % 10_000_000).cast("string"), 7, "0"), (F.col("s_nationkey") % 10).cast("string"))
+    return registry.roster(s.select(key.alias("pos"), permit.alias("permit"), F.col("s_name").alias("name"), F.lit("").alias("address"), number.alias("phone"), F.lit("").alias("revoked_on"), F.when(key % 5 == 4, "20200101").alias("closed_on")))
+
+
+@_query("""
+WITH r AS (SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 3 = 1 THEN s_suppkey - 1 ELSE s_suppkey END AS base, CASE WHEN s_suppkey % 3 = 1 THEN '2' ELSE '' END AS suffix FROM supplier)
+SELECT c_custkey, coalesce(s_name, '') AS agency_name FROM customer
+LEFT JOIN r ON base = c_custkey AND suffix = CASE WHEN c_nationkey % 2 = 0 THEN '2' ELSE '' END
+""")
+def permit_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = _t(spark, sf_dir, "customer").select("c_custkey", F.concat(F.col("c_custkey").cast("string"), F.when(F.col("c_nationkey") % 2 == 0, "-2").otherwise("")).alias("permit_value"))
+    return registry.lookup(asked, _registry(spark, sf_dir)).select("c_custkey", "agency_name")
+
+
+@_query("""
+SELECT o_custkey, o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END, o_orderkey) AS k FROM orders) WHERE k = 1
+""")
+def active_first_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    return registry.best_records(rows, ["o_custkey"], F.col("o_orderstatus") == "F", "o_orderkey")
+
+
+_PHONES = """
+WITH r AS (SELECT s_suppkey, s_name, '0' || lpad(CAST(s_suppkey * 7919 % 10000000 AS VARCHAR), 7, '0') || (s_nationkey % 10) AS phone,
+  CASE WHEN s_suppkey % 3 = 1 THEN (s_suppkey - 1) || '-02' ELSE lpad(CAST(s_suppkey AS VARCHAR), greatest(4, 4), '0') END AS permit FROM supplier WHERE s_suppkey % 5 <> 4),
+q AS (SELECT c_custkey, '0' || lpad(CAST(c_custkey * 7919 % 10000000 AS VARCHAR), 7, '0') AS short, c_nationkey FROM customer)
+"""
+
+
+@_query(_PHONES + """
+SELECT c_custkey, permit, s_name AS name FROM q JOIN r ON starts_with(phone, short)
+""")
+def prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = _t(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("+886 "), F.lpad((F.col("c_custkey") * 7919 % 10_000_000).cast("string"), 7, "0")).alias("phone"))
+    asked = asked.withColumn("phone", F.concat(F.lit("0"), F.lpad((F.col("c_custkey") * 7919 % 10_000_000).cast("string"), 7, "0")))
+    return registry.by_phone_prefix(asked, registry.phone_index(_registry(spark, sf_dir))).select("c_custkey", "permit", "name")
+
+
+@_query(_PHONES + """
+SELECT c_custkey, permit, s_name AS name FROM q JOIN r ON phone = short || (c_nationkey % 10)
+""")
+def phone_exact_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = _t(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("0"), F.lpad((F.col("c_custkey") * 7919 % 10_000_000).cast("string"), 7, "0"), (F.col("c_nationkey") % 10).cast("string")).alias("phone"))
+    return registry.by_phone(asked, registry.phone_index(_registry(spark, sf_dir))).select("c_custkey", "permit", "name")
+
+
+@_query("""
+SELECT l_orderkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_suppkey) = 1
+""")
+def unique_owner_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = _t(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_suppkey").alias("permit"), F.lit("").alias("name"))
+    return registry.unique_hits(hits, ["l_orderkey"]).select("l_orderkey", F.col("permit").alias("l_suppkey"))
+
+
+@_query("""
+WITH k AS (SELECT p_brand, min(p_partkey) AS first_part FROM part GROUP BY p_brand)
+SELECT p.p_partkey, max_by(k.p_brand, length(k.p_brand) * 1000000000 - k.first_part) AS brand_key
+FROM part p JOIN k ON contains(p.p_brand, k.p_brand) GROUP BY p.p_partkey
+""")
+def longest_contained_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _t(spark, sf_dir, "part")
+    keys = p.groupBy(F.col("p_brand").alias("brand_key")).agg(F.min("p_partkey").alias("first_part"))
+    return gazetteer.longest_contained(p.select("p_partkey", "p_brand"), keys, "p_brand", "brand_key", "first_part").select("p_partkey", "brand_key")
+
+
+@_query()
+def ratio_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most similar supplier name of every part name; sequence similarity is beyond SQL."""
+    keys = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("pos"), F.concat(F.lower("n_name"), F.lit(" ring")).alias("key"))
+    return registry.most_similar(_t(spark, sf_dir, "part"), keys, "p_name", 0.1).select("query", "pos", "ratio")
+
+
+# --- decisions -------------------------------------------------------------------------------
+
+
+@_query("""
+WITH p AS (SELECT p_partkey, p_brand AS v, CASE WHEN p_size % 10 = 0 THEN '' ELSE 'Brand#' || (p_size % 26) END AS c, p_size BETWEEN 5 AND 45 AS ok FROM part),
+l AS (SELECT *, CASE WHEN NOT ok THEN 'format_invalid' WHEN c = '' THEN 'vision_only' WHEN v = c THEN 'confirmed' WHEN levenshtein(v, c) = 1 THEN 'likely_ocr_confusion' ELSE 'disagreement' END AS level FROM p)
+SELECT p_partkey, level, CASE WHEN level = 'likely_ocr_confusion' THEN '' ELSE v END AS final_value, level = 'confirmed' AS should_keyin,
+       level <> 'format_invalid' AND v IN (SELECT p_brand FROM part WHERE p_partkey % 7 = 0) AS in_known_list FROM l
+""")
+def verify_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _t(spark, sf_dir, "part")
+    items = p.select("p_partkey", F.col("p_brand").alias("second_value"), F.when(F.col("p_size") % 10 == 0, "").otherwise(F.concat(F.lit("Brand#"), (F.col("p_size") % 26).cast("string"))).alias("candidate_value"), F.col("p_size").between(5, 45).alias("ok"))
+    known = verify.known_permits(p.where("p_partkey % 7 = 0").select(F.col("p_brand").alias("final_value")))
+    return verify.verify(items, known, valid=F.col("ok")).select("p_partkey", "level", "final_value", "should_keyin", "in_known_list")
+
+
+def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer's orders as the scan results of a large document."""
+    o = _t(spark, sf_dir, "orders")
+    first = F.substr("o_orderpriority", F.lit(1), F.lit(1))
+    conf = F.floor(F.col("o_totalprice") / 5000).cast("double")
+    rows = o.select(
+        F.col("o_custkey").cast("string").alias("source_docx"), F.concat(F.lit("image"), F.col("o_orderkey").cast("string"), F.lit(".png")).alias("image_name"), F.lit("large").alias("docx_class"),
+        F.col("o_orderstatus").alias("id"), conf.alias("id_conf"), (first == "1").alias("id_from_vote"), F.when(first == "5", PERMIT_PARTIAL).otherwise("ok").alias("status"),
+        first.isin("4", "5").alias("vision_review"), F.col("o_orderstatus").alias("final_value"), conf.alias("final_conf"), F.col("o_orderkey").alias("ord"),
+    )
+    return conform(rows, SCAN_RESULT + ", ord bigint")
+
+
+@_query("""
+WITH o AS (SELECT *, substr(o_orderpriority, 1, 1) AS p, floor(o_totalprice / 5000) AS conf FROM orders),
+d AS (SELECT o_custkey, min(CASE WHEN p = '1' AND conf > 45 THEN o_orderkey END) AS vote, count(*) FILTER (p IN ('4', '5')) AS open,
+      arg_max(o_orderkey, conf * 1000000000 - o_orderkey) AS top FROM o GROUP BY o_custkey)
+SELECT CAST(o.o_custkey AS VARCHAR) AS source_docx, 'image' || o_orderkey || '.png' AS image_name, o_orderstatus AS candidate_value, CAST(conf AS BIGINT) AS conf,
+  CASE WHEN vote IS NOT NULL OR open = 0 THEN 'direct' WHEN p = '5' AND conf < 50 THEN 'rescue' ELSE 'second_reader' END AS route
+FROM o JOIN d ON o.o_custkey = d.o_custkey
+WHERE CASE WHEN vote IS NOT NULL THEN o_orderkey = vote WHEN open > 0 THEN p IN ('4', '5') ELSE o_orderkey = top END
+""")
+def route_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routing.route(_order_rows(spark, sf_dir)).select("source_docx", "image_name", "candidate_value", F.col("candidate_conf").cast("bigint").alias("conf"), "route")
+
+
+@_query("""
+WITH r AS (SELECT l_returnflag AS mol, l_linestatus AS id, CAST(l_quantity * 2 AS BIGINT) AS mc, CAST(l_linenumber * 15 AS BIGINT) AS ic, l_partkey % 4 AS k FROM lineitem),
+v AS (SELECT CASE WHEN k = 1 THEN '' ELSE mol END AS mol, CASE WHEN k = 2 THEN '' ELSE id END AS id, mc, ic, k = 3 AS voted FROM r),
+f AS (SELECT *, CASE WHEN mol <> '' AND id <> '' THEN greatest(mc, ic) WHEN mol <> '' THEN mc ELSE ic END AS conf FROM v)
+SELECT CASE WHEN mol <> '' AND (id = '' OR mc >= ic) THEN mol ELSE id END AS final_value,
+  CASE WHEN mol <> '' AND id <> '' THEN conf <= 55 OR (mc > ic AND mol <> id) WHEN mol <> '' THEN mc <= CASE WHEN voted THEN 50 ELSE 55 END ELSE ic <= CASE WHEN voted THEN 45 ELSE 55 END END AS vision_review,
+  count(*) AS n, CAST(sum(conf) AS BIGINT) AS conf_sum FROM f GROUP BY ALL
+""")
+def decide_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("l_partkey") % 4
+    rows = _t(spark, sf_dir, "lineitem").select(
+        F.lit("large").alias("docx_class"), F.when(k == 1, "").otherwise(F.col("l_returnflag")).alias("mol"), F.when(k == 2, "").otherwise(F.col("l_linestatus")).alias("id"),
+        (F.col("l_quantity") * 2).alias("mol_conf"), (F.col("l_linenumber") * 15.0).alias("id_conf"), (k == 3).alias("mol_from_vote"), (k == 3).alias("id_from_vote"), F.lit("ok").alias("status"),
+    )
+    out = votes.decide(conform(rows, SCAN_RESULT))
+    return out.groupBy("final_value", "vision_review").agg(F.count("*").alias("n"), F.sum("final_conf").cast("bigint").alias("conf_sum"))
+
+
+@_query("""
+WITH e AS (SELECT user_id, event_id, CASE WHEN event_type = 'click' THEN 'c' WHEN event_type = 'error' THEN 'e' ELSE '' END AS mol, floor(value) AS conf, event_id % 3 = 0 AS voted FROM events),
+w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN mol <> '' THEN 0 ELSE 1 END, conf DESC, event_id) AS k, count(*) FILTER (mol <> '') OVER (PARTITION BY user_id) AS hits FROM e),
+t AS (SELECT user_id, mol AS win, conf AS top, voted AND conf > 50 AS sure FROM w WHERE k = 1 AND hits > 0)
+SELECT CAST(w.user_id AS VARCHAR) AS source_docx, w.event_id AS ord, coalesce(win, '') AS final_value, CAST(coalesce(top, 0) AS BIGINT) AS conf,
+       hits = 0 OR (k = 1 AND NOT sure) AS vision_review, CASE WHEN hits = 0 THEN 'small_no_hit' ELSE 'ok' END AS status
+FROM w LEFT JOIN t ON w.user_id = t.user_id WHERE hits = 0 OR mol <> ''
+""")
+def aggregate_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "events")
+    mol = F.when(F.col("event_type") == "click", "c").when(F.col("event_type") == "error", "e").otherwise("")
+    rows = e.select(F.col("user_id").cast("string").alias("source_docx"), F.col("event_id").alias("ord"), F.lit("small").alias("docx_class"), mol.alias("mol"), F.floor("value").cast("double").alias("mol_conf"), (F.col("event_id") % 3 == 0).alias("mol_from_vote"), F.lit("ok").alias("status"))
+    out = votes.aggregate_small(conform(rows, SCAN_RESULT + ", ord bigint"))
+    return out.select("source_docx", "ord", "final_value", F.col("final_conf").cast("bigint").alias("conf"), "vision_review", "status")
+
+
+@_query("""
+WITH d AS (SELECT d.doc_id, CASE WHEN quality = 0 THEN 'quality' ELSE '' END AS a, CASE WHEN toxic = 1 THEN 'toxic' ELSE '' END AS b, CASE WHEN l.doc_id IS NULL THEN 'unlabelled' ELSE '' END AS c
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT doc_id, concat_ws('；', nullif(a, ''), nullif(b, ''), nullif(c, '')) AS doubt FROM d
+""")
+def doubt_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _t(spark, sf_dir, "documents").select("doc_id").join(_t(spark, sf_dir, "labels"), "doc_id", "left")
+    parts = [F.when(c, w).otherwise("") for c, w in ((F.col("quality") == 0, "quality"), (F.col("toxic") == 1, "toxic"), (F.col("quality").isNull(), "unlabelled"))]
+    return d.select("doc_id", extract.compose_doubt(*parts).alias("doubt"))
+
+
+@_query("""
+SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
+""")
+def known_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = _t(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    return _t(spark, sf_dir, "documents").join(known, "doc_id", "left_semi").select("doc_id", "lang")
+
+
+@_query("""
+SELECT o_orderkey, 'keyed-in' AS status FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, 'manual_review' AS status FROM orders WHERE o_orderstatus <> 'F'
+""")
+def union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _t(spark, sf_dir, "orders")
+    return o.where("o_orderstatus = 'F'").select("o_orderkey", F.lit("keyed-in").alias("status")).unionByName(o.where("o_orderstatus <> 'F'").select("o_orderkey", F.lit("manual_review").alias("status")))
+
+
+@_query("""
+WITH s AS (SELECT user_id, list(DISTINCT event_type) FILTER (event_id % 2 = 0) AS a, list(DISTINCT event_type) FILTER (event_id % 2 = 1) AS b FROM events GROUP BY user_id)
+SELECT user_id, array_to_string(list_sort(list_intersect(coalesce(a, []), coalesce(b, []))), ',') AS common FROM s
+""")
+def value_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def values(rest: int) -> Column:
+        return F.collect_set(F.when(F.col("event_id") % 2 == rest, F.col("event_type")))
+
+    return _t(spark, sf_dir, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.array_intersect(values(0), values(1))), ",").alias("common"))
+
+
+@_query("""
+SELECT l_returnflag, count(*) AS n, count(*) FILTER (l_quantity > 25) AS n_large, bool_and(l_tax >= 0) AS all_taxed FROM lineitem GROUP BY l_returnflag
+""")
+def summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), F.count_if(F.col("l_quantity") > 25).alias("n_large"), F.bool_and(F.col("l_tax") >= 0).alias("all_taxed"))
+
+
+@_query("""
+SELECT route, count(*) AS n, count(DISTINCT o_custkey) AS n_docs FROM (SELECT o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'direct' ELSE 'manual_review' END AS route FROM orders) GROUP BY route
+""")
+def queue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("source_docx"), F.when(F.col("o_orderstatus") == "F", routing.DIRECT).otherwise(routing.MANUAL).alias("route"))
+    return assemble.summary(q)
+
+
+@_query("""
+SELECT o_orderkey, o_orderstatus AS status FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_linestatus = o.o_orderstatus)
+""")
+def log_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("source_docx"), F.col("o_orderstatus").alias("status"))
+    log = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("source_docx"), F.col("l_linestatus").alias("status"))
+    return assemble.not_yet_written(rows, log).select(F.col("source_docx").alias("o_orderkey"), "status")
+
+
+@_query("""
+SELECT CAST(o_custkey AS VARCHAR) AS source_docx, CASE WHEN floor(o_totalprice / 5000) = 0 THEN '' ELSE CAST(floor(o_totalprice / 5000) AS BIGINT) || '.0' END AS id_conf,
+  CASE WHEN o_orderpriority[1] = '1' THEN 'Y' ELSE '' END AS id_from_vote FROM orders
+""")
+def csv_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = tables.encoded_results(_order_rows(spark, sf_dir).drop("ord"))
+    return tables.encoded_results(tables.typed_results(coded)).select("source_docx", "id_conf", "id_from_vote")
+
+
+@_query("""
+SELECT CASE WHEN s_suppkey % 3 = 1 THEN (s_suppkey - 1) || '-02' ELSE lpad(CAST(s_suppkey AS VARCHAR), 4, '0') END AS permit, s_name AS name,
+  CASE WHEN s_suppkey % 5 = 4 THEN '2020-01-01' ELSE '' END AS closed_on, CASE WHEN s_suppkey % 5 = 4 THEN 'inactive' ELSE 'active' END AS state FROM supplier
+""")
+def registry_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roster_export(_registry(spark, sf_dir)).select("permit", "name", "closed_on", "state")
+
+
+@_query("""
+SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, CAST(round(sum(value) * 100) AS BIGINT) AS cents FROM events GROUP BY ALL
+""")
+def windowed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An addition of ours: tumbling windows, the same on streams."""
+    out = windowed_counts(_t(spark, sf_dir, "events"))
+    return out.select("window_start", "event_type", "n", F.round(F.col("total") * 100).cast("bigint").alias("cents"))
+
+
+# --- end to end ------------------------------------------------------------------------------
+
+
+def _reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as readings: an order is a document, a line number a page."""
+    flag, n = F.col("l_returnflag"), F.lpad((F.col("l_suppkey") % 10_000).cast("string"), 4, "0")
+    roi = F.when(flag == "A", "mol").when(flag == "N", "permit_upper").otherwise("permit_lower")
+    text = F.when(flag == "A", F.concat(F.lit("MOL No "), n)).otherwise(F.concat(F.lit("No. izin: "), n))
+    base = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("source_docx"), F.concat(F.lit("image"), F.col("l_linenumber").cast("string"), F.lit(".jpeg")).alias("image_name"), roi.alias("roi"),
+        text.alias("text"), (F.col("l_quantity") * 2).alias("conf"), F.col("l_partkey").alias("part"),
+    )
+    phases = F.explode(F.array(F.struct(F.lit("vote").alias("phase"), F.lit(0).alias("config_ord")), F.struct(F.lit("vote").alias("phase"), F.lit(1).alias("config_ord")), F.struct(F.lit("scan").alias("phase"), F.lit(0).alias("config_ord"))))
+    rows = base.select("*", phases.alias("p")).where("p.phase = 'scan' or p.config_ord = 0 or part % 2 = 0").select("*", "p.phase", "p.config_ord")
+    return conform(rows, OCR_READ)
+
+
+@_query()
+def flagship_scan_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings to routed queue items with their agency: cascades, votes, decisions, tiers, routing, lookup."""
+    _, queue = decide_documents(_reads(spark, sf_dir))
+    found = registry.lookup(queue.withColumnRenamed("candidate_value", "permit_value"), _registry(spark, sf_dir))
+    return found.select("source_docx", "image_name", "permit_value", "candidate_conf", "route", "reason", "agency_name")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flagship_scan_route(spark, sf_dir)
