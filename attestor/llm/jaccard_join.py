@@ -5,10 +5,12 @@
    a passage which many documents share enters few prefixes.  The order never changes the result.
 3. Nodes with the same prefix and size form one group.  Groups that share a prefix shingle and have
    compatible sizes are paired; only group keys, sizes and 32-bit shingles are shuffled, packed.
-4. Pairs are expanded to their members and verified exactly on whole shingle sets.
+4. Pairs are expanded to their members and verified on whole shingle sets: first on 32 bits of each
+   shingle, which can only overstate the overlap, then, where that leaves doubt, on all 64.
 5. A shingle (or group) with more than ``SMALL_RUN`` holders is not expanded into all pairs.  Its
-   holders are first compared with one leader; after components are formed, only holders of
-   different components are still paired.  No link between components is lost, whatever the sizes.
+   holders are first compared along a tree of leaders of about ``SMALL_RUN`` nodes each; after
+   components are formed, only holders of different components are still paired.  No link between
+   components is lost, whatever the sizes.
 6. Components come from alternating large-star and small-star steps on the verified links.
 
 Words are maximal runs other than white space, A-Z folded.  A text of fewer than five words has one
@@ -18,13 +20,14 @@ sets link.  A null id never becomes a component's id unless no other is in it.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestor.llm.common import Scratch, by_bytes, map_arrow, mix64, shingles, text_bytes, word_hashes
@@ -33,6 +36,8 @@ from attestor.llm.common import Scratch, by_bytes, map_arrow, mix64, shingles, t
 NUMERATOR, DENOMINATOR, SMALL_RUN = 3, 4, 32
 #: Prefix shingles in a shuffled bucket; common shingles known to every worker (4 bytes each).
 BUCKET, COMMON = 1_500_000, 1 << 18
+#: Pairs that are compared in one round however many nodes they have.
+SMALL_ROUND = 20_000
 #: Members of two groups that are paired directly.
 SMALL_PRODUCT = 256
 
@@ -51,6 +56,11 @@ def prefix_length(n: int) -> int:
     return n - (NUMERATOR * n + DENOMINATOR - 1) // DENOMINATOR + 1
 
 
+def size_class(n: np.ndarray) -> np.ndarray:
+    """Sizes within the similarity of each other are at most one class apart."""
+    return np.floor(np.log(np.maximum(n, 1)) / np.log(DENOMINATOR / NUMERATOR) + 1e-9).astype(np.uint8)
+
+
 def _nodes(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     kind = docs.schema[id_column].dataType.simpleString()
 
@@ -134,7 +144,7 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
                 tokens = np.concatenate([np.zeros(0, np.uint32), *(x[place] for x in out)])
                 counts = [len(x[place]) for x in out]
                 g = np.repeat(groups, counts)
-                n = np.repeat(np.array([x[1] for x in out], np.uint32), counts)
+                n = np.repeat(size_class(np.array([x[1] for x in out], np.int64)), counts)
                 # Holders of a common shingle are spread by group, as they are passed on row by row.
                 for k, c in _deal(_bucket(tokens, buckets) if kind == 0 else (mix64(g + tokens) % np.uint64(buckets)).astype(np.int64), tokens, g, n):
                     kinds.append(kind), at.append(k), payloads.append(b"".join(x.tobytes() for x in c))
@@ -180,11 +190,11 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
                 nodes = [payload[12 * m + 16 * i : 12 * m + 16 * i + 16] for i in range(m)]
                 add(2, np.frombuffer(payload, np.uint64, m).copy(), 0, np.frombuffer(payload, np.uint32, m, 8 * m).astype(np.int64), nodes)
             else:
-                m = len(payload) // 16
-                parts[kind].append([np.frombuffer(payload, np.uint32, m), np.frombuffer(payload, np.uint64, m, 4 * m), np.frombuffer(payload, np.uint32, m, 12 * m)])
+                m = len(payload) // 13
+                parts[kind].append([np.frombuffer(payload, np.uint32, m), np.frombuffer(payload, np.uint64, m, 4 * m), np.frombuffer(payload, np.uint8, m, 12 * m)])
         if parts[1]:
             t, g, n = (np.concatenate(c) for c in zip(*parts[1], strict=True))
-            add(1, g, t.astype(np.int64), n.astype(np.int64))
+            add(1, g, t.astype(np.int64))
         if parts[0]:
             t, g, n = (np.concatenate(c) for c in zip(*parts[0], strict=True))
             order = np.argsort(t, kind="stable")
@@ -203,15 +213,14 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
             run = np.diff(np.concatenate([edge, [len(t)]])) if len(t) else np.zeros(0, np.int64)
             large = np.repeat(run > SMALL_RUN, run)
             if large.any():
-                add(1, g[large], t[large].astype(np.int64), n[large])
+                add(1, g[large], t[large].astype(np.int64))
             t, g, n = t[~large], g[~large], n[~large]
             found = []
             for d in range(1, SMALL_RUN):
                 same = np.flatnonzero(t[d:] == t[:-d])
                 if not len(same):
                     break
-                low, high = np.minimum(n[same], n[same + d]), np.maximum(n[same], n[same + d])
-                same = same[DENOMINATOR * low >= NUMERATOR * high]
+                same = same[np.abs(n[same] - n[same + d]) <= 1]
                 found.append(np.stack([g[same], g[same + d]], 1))
             if found:
                 pairs = np.unique(np.concatenate(found), axis=0)
@@ -234,8 +243,8 @@ def _filter_bits(nodes: DataFrame, n: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _sets(docs: DataFrame, text: str, bloom: np.ndarray) -> DataFrame:
-    """Shingle sets of the nodes that the filter holds, each once in a task."""
+def _sets(docs: DataFrame, text: str, bloom: np.ndarray, whole: bool) -> DataFrame:
+    """Shingles of the nodes that the filter holds, each node once: all 64 bits, or 32."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,30 +257,132 @@ def _sets(docs: DataFrame, text: str, bloom: np.ndarray) -> DataFrame:
                 p = int.from_bytes(key[:6], "big") & mask
                 if int(words[p >> 6]) >> (p & 63) & 1 and key not in seen:
                     seen.add(key)
-                    nodes.append(key), packed.append(s.tobytes())
+                    nodes.append(key), packed.append((s if whole else (s >> np.uint64(32)).astype(np.uint32)).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(packed, pa.binary())], ["node", "set"])
 
-    return map_arrow(docs.select(F.col(text).alias("text")), work, "node binary, set binary")
+    return map_arrow(docs.select(F.col(text).alias("text")), work, "node binary, set binary").dropDuplicates(["node"])
+
 
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Equal elements of two sorted arrays, repeats matched one to one at most; never fewer than are shared."""
+    both = np.concatenate([x, y])
+    both.sort()
+    same = int((both[1:] == both[:-1]).sum())
+    return min(same, len(x), len(y))
 
-def _verify(pairs: DataFrame, sets_: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes that link: 100 * |intersection| >= 75 * |union|."""
+
+def _compare(pairs: DataFrame, docs: DataFrame, text: str, whole: bool) -> DataFrame:
+    """(a, b, sure) of the pairs that link, or may: ``sure`` is false where 32 bits leave doubt."""
+    n = pairs.count()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    found = _sets(docs, text, _filter_bits(wanted, 2 * n), whole)
+    kind = np.uint64 if whole else np.uint32
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
+            sure, maybe = [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                o = int((both[1:] == both[:-1]).sum())
-                good.append(DENOMINATOR * o >= NUMERATOR * (len(both) - o))
-            keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-
-    one, two = (sets_.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
+                x, y = np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)
+                total, o = len(x) + len(y), overlap(x, y)
+                # Chance equalities of 32-bit values: more than this many are next to impossible.
+                slack = 0 if whole else 3 + 64 * len(x) * len(y) // (1 << 32)
+                maybe.append(DENOMINATOR * o >= NUMERATOR * (total - o))
+                o -= slack
+                sure.append(DENOMINATOR * o >= NUMERATOR * (total - o))
+            keep = pa.array(maybe, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(sure, pa.bool_()).filter(keep)], ["a", "b", "sure"])
+
+    one, two = (found.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
-    return map_arrow(joined, work, "a binary, b binary")
+    return map_arrow(joined, work, "a binary, b binary, sure boolean")
+
+
+def _release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of rounds that are over: it does so once nothing refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+class _Links:
+    """Verified links and the components that they form, grown round by round.
+
+    A pair whose nodes are connected already is never compared.  Pairs that 32 bits leave in doubt
+    wait until the end and are compared on 64 bits if their nodes are still apart then.
+    """
+
+    def __init__(self, docs: DataFrame, text: str, own: Scratch):
+        self.docs, self.text, self.own, self.step, self.most = docs, text, own, 0, 0
+        self.roots: DataFrame | None = None
+        self.doubt: DataFrame | None = None
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose nodes are in different components so far."""
+        if self.roots is None:
+            return pairs
+        one, two = (self.roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
+        placed = pairs.join(one, "a", "left").join(two, "b", "left")
+        return placed.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+    def _add(self, links: DataFrame) -> None:
+        if not links.isEmpty():
+            known = links if self.roots is None else links.unionByName(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            self.roots = components(known, self.own, f"components-{self.step}")
+
+    def grow(self, pairs: DataFrame) -> None:
+        """Compare pairs until none is left whose nodes are apart.
+
+        First every node is compared with one of its smaller partners, drawn by hash.  Later rounds
+        take what is left in equal random parts of at most as many pairs as the first, so that no
+        round moves more sets than the first did.
+        """
+        pairs = self.own.save(self.apart(pairs), f"open-{self.step}")
+        left = pairs.count()
+        while left:
+            self.step += 1
+            if not self.most and left > SMALL_ROUND:
+                drawn = pairs.groupBy("b").agg(F.min_by("a", F.xxhash64("a", "b")).alias("a")).select("a", "b")
+                now = self.own.save(drawn, f"drawn-{self.step}")
+                self.most = now.count()
+                rest = pairs.join(now, ["a", "b"], "left_anti")
+            else:
+                parts = -(-left // max(self.most, SMALL_ROUND))
+                part = F.pmod(F.xxhash64("a", "b", F.lit(self.step)), F.lit(parts))
+                now, rest = (pairs, None) if parts == 1 else (pairs.where(part == 0), pairs.where(part > 0))
+            found = self.own.save(_compare(now, self.docs, self.text, whole=False), f"found-{self.step}")
+            doubt = found.where("not sure").select("a", "b")
+            self.doubt = doubt if self.doubt is None else self.doubt.unionByName(doubt)
+            self._add(found.where("sure").select("a", "b"))
+            _release(self.docs.sparkSession)
+            if rest is None:
+                break
+            pairs = self.own.save(self.apart(rest), f"open-{self.step}")
+            left = pairs.count()
+
+    def finish(self) -> None:
+        """Settle what is in doubt."""
+        if self.doubt is None:
+            return
+        doubt = self.own.save(self.apart(self.doubt).distinct(), "doubt")
+        if not doubt.isEmpty():
+            self.step += 1
+            self._add(self.own.save(_compare(doubt, self.docs, self.text, whole=True).select("a", "b"), "found-64"))
+
+
+def _leader_tree(holders: DataFrame, own: Scratch) -> DataFrame:
+    """Pairs (a, b) that connect all holders of every key k along a tree; no node leads many in a key."""
+    most = holders.groupBy("k").count().agg(F.max("count").alias("m")).first()["m"] or 0
+    level, parts, pairs = holders.select("k", "node"), int(most), []
+    while parts > 1:
+        parts = -(-parts // SMALL_RUN)
+        # Holders are dealt by hash, so a list has about SMALL_RUN nodes.
+        lists = level.groupBy("k", F.pmod(F.xxhash64("node"), F.lit(parts)).alias("s")).agg(F.array_sort(F.collect_set("node")).alias("l"))
+        lists = own.save(lists, f"tree-{len(pairs)}")
+        pairs.append(lists.where(F.size("l") > 1).select(F.col("l")[0].alias("a"), F.explode(F.slice("l", F.lit(2), F.size("l"))).alias("b")))
+        level = lists.select("k", F.col("l")[0].alias("node"))
+    out = holders.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
+    for p in pairs:
+        out = out.unionByName(p)
+    return out
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -355,26 +466,27 @@ def label(docs: DataFrame, id_column: str, text: str, own: Scratch) -> DataFrame
     large = sized.where("not small").select(F.xxhash64("a", "b").alias("k"), F.explode(F.array("a", "b")).alias("g"))
     holders = index.where("kind = 1").select(F.col("b").alias("k"), F.col("a").alias("g")).unionByName(large).unionByName(many.select(F.col("g").alias("k"), "g"))
     holders = own.save(holders.distinct().join(member, "g").select("k", "node", "n").distinct(), "holders")
-    leaders = own.save(holders.groupBy("k").agg(F.min(F.struct("node", "n")).alias("l")).select("k", F.col("l.node").alias("leader"), F.col("l.n").alias("ln")), "leaders")
-    star = holders.join(leaders, "k").where(_fits("n", "ln") & (F.col("node") != F.col("leader"))).select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    pairs = own.save(direct.where("a <> b").unionByName(star).distinct(), "pairs-1")
-
-    wanted = own.save(pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(holders.select("node")).distinct(), "wanted")
-    bloom = _filter_bits(wanted, wanted.count())
-    shingle_sets = own.save(_sets(docs, text, bloom).dropDuplicates(["node"]), "sets")
-    links = own.save(_verify(pairs, shingle_sets), "links-1")
-    roots = components(links, own, "components-1")
-
-    # What is left: holders of one key in different components, not compared before.
-    placed = holders.join(roots, "node", "left").select("k", "node", "n", F.coalesce("root", "node").alias("root"))
-    open_keys = placed.groupBy("k").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("k")
-    rest = own.save(placed.join(own.save(open_keys, "open"), "k", "left_semi"), "open-holders")
-    one, two = (rest.select("k", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("root").alias(f"r{c}")) for c in "ab")
-    cross = one.join(two, "k").where(F.col("a") < F.col("b")).where((F.col("ra") != F.col("rb")) & _fits("na", "nb")).select("a", "b").distinct()
-    cross = own.save(cross.join(pairs, ["a", "b"], "left_anti"), "pairs-2")
-    more = own.save(_verify(cross, shingle_sets), "links-2")
-    if not more.isEmpty():
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), own, "components-2")
+    star = _leader_tree(holders, own)
+    pairs = own.save(direct.unionByName(star).where("a <> b").distinct(), "pairs-1")
+    links = _Links(docs, text, own)
+    links.grow(pairs)
+
+    # What is left: holders of one key in different components.
+    if not holders.isEmpty():
+        if links.roots is None:
+            placed = holders.withColumn("root", F.col("node"))
+        else:
+            placed = holders.join(links.roots, "node", "left").select("k", "node", "n", F.coalesce("root", "node").alias("root"))
+        placed = own.save(placed, "placed")
+        open_keys = own.save(placed.groupBy("k").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("k"), "open-keys")
+        rest = own.save(placed.join(open_keys, "k", "left_semi"), "open-holders")
+        one, two = (rest.select("k", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("root").alias(f"r{c}")) for c in "ab")
+        cross = one.join(two, "k").where(F.col("a") < F.col("b")).where((F.col("ra") != F.col("rb")) & _fits("na", "nb")).select("a", "b").distinct()
+        links.grow(cross.join(pairs, ["a", "b"], "left_anti"))
+    links.finish()
+    roots = links.roots
+    if roots is None:
+        roots = nodes.select("node", F.col("node").alias("root")).where("false")
 
     reps = nodes.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"))
     known = own.save(reps.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "reps")
