@@ -88,10 +88,9 @@ def fit(rows: list[tuple[np.ndarray, int]], rounds: int = 300, l2: float = 2e-3,
     if not len(y) or y.min() == y.max():
         return Model(None, 0.0)
     size = 1 << BITS
-    docs = np.repeat(np.arange(len(rows)), [len(f) for f, _ in rows])
-    feats = np.concatenate([f for f, _ in rows]).astype(np.int64)
-    toxic = np.bincount(feats, y[docs], size)
-    clean = np.bincount(feats, 1 - y[docs], size)
+    clean, toxic = np.zeros(size), np.zeros(size)
+    for f, label in rows:  # a document's features are distinct
+        (toxic if label else clean)[f] += 1
     n1, n0 = y.sum(), (1 - y).sum()
     ratio = np.log((toxic + alpha) / (n1 + 2 * alpha)) - np.log((clean + alpha) / (n0 + 2 * alpha))
     shared = (toxic + clean) / len(y)
@@ -101,8 +100,8 @@ def fit(rows: list[tuple[np.ndarray, int]], rounds: int = 300, l2: float = 2e-3,
     best = best[chi[best] > 0]
     place = np.full(size, -1)
     place[best] = np.arange(len(best))
-    used = place[feats] >= 0
-    docs, cols = docs[used], place[feats[used]]
+    kept = [p[p >= 0] for p in (place[f] for f, _ in rows)]
+    docs, cols = np.repeat(np.arange(len(rows)), [len(k) for k in kept]), np.concatenate(kept)
     x = ratio[best][cols]
     w, b = np.zeros(len(best)), 0.0
     weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)
