@@ -5,13 +5,15 @@
    a passage which many documents share enters few prefixes.  The order never changes the result.
 3. Nodes with the same prefix and size form one group.  Groups that share a prefix shingle and have
    compatible sizes are paired; only group keys, sizes and 32-bit shingles are shuffled, packed.
-4. Pairs are expanded to their members and verified on whole shingle sets: first on 32 bits of each
+4. Pairs whose 1024-bit parity sketches differ in more places than two linked sets can are left out:
+   every differing place is a shingle that only one of the sets has, so no link is lost.
+5. Pairs are expanded to their members and verified on whole shingle sets: first on 32 bits of each
    shingle, which can only overstate the overlap, then, where that leaves doubt, on all 64.
-5. A shingle (or group) with more than ``SMALL_RUN`` holders is not expanded into all pairs.  Its
+6. A shingle (or group) with more than ``SMALL_RUN`` holders is not expanded into all pairs.  Its
    holders are first compared along a tree of leaders of about ``SMALL_RUN`` nodes each; after
    components are formed, only holders of different components are still paired.  No link between
    components is lost, whatever the sizes.
-6. Components come from alternating large-star and small-star steps on the verified links.
+7. Components come from alternating large-star and small-star steps on the verified links.
 
 Words are maximal runs other than white space, A-Z folded.  A text of fewer than five words has one
 shingle; one without words (null, empty, blank) has none and links with nothing.  Rows with equal
@@ -61,6 +63,25 @@ def size_class(n: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / np.log(DENOMINATOR / NUMERATOR) + 1e-9).astype(np.uint8)
 
 
+SKETCH = 16  # 64-bit words
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """For each of 1024 hash values the parity of the number of shingles that have it."""
+    parity = (np.bincount((s & np.uint64(1023)).astype(np.int64), minlength=1024) & 1).astype(np.uint8)
+    return np.packbits(parity).view(np.int64)
+
+
+def _alike(a: str, b: str) -> Column:
+    """Sizes and sketches (columns n and sketch with the suffixes) that linked sets can have.
+
+    Linked sets differ in at most (|x| + |y|) * (1 - t) / (1 + t) shingles.
+    """
+    differ = sum((F.bit_count(F.get(f"sketch{a}", F.lit(i)).bitwiseXOR(F.get(f"sketch{b}", F.lit(i)))) for i in range(SKETCH)), F.lit(0))
+    most = (F.col(f"n{a}") + F.col(f"n{b}")) * (DENOMINATOR - NUMERATOR)
+    return _fits(f"n{a}", f"n{b}") & (differ * (DENOMINATOR + NUMERATOR) <= most)
+
+
 def _nodes(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     kind = docs.schema[id_column].dataType.simpleString()
 
@@ -123,11 +144,11 @@ def _common(docs: DataFrame, text: str, buckets: int) -> np.ndarray:
     return np.sort(np.array([r["token"] for r in rows], np.uint32))
 
 
-_INDEX = "kind int, a bigint, b bigint, n bigint, node binary"
+_INDEX = "kind int, a bigint, b bigint, n bigint, node binary, sketch array<bigint>"
 
 
 def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> DataFrame:
-    """Rows of kind 0: a pair of groups (a, b); 1: group a holds shingle b; 2: node is in group a of size n."""
+    """Rows of kind 0: a pair of groups (a, b); 1: group a holds shingle b; 2: node with its sketch is in group a of size n."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,9 +169,10 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
                 # Holders of a common shingle are spread by group, as they are passed on row by row.
                 for k, c in _deal(_bucket(tokens, buckets) if kind == 0 else (mix64(g + tokens) % np.uint64(buckets)).astype(np.int64), tokens, g, n):
                     kinds.append(kind), at.append(k), payloads.append(b"".join(x.tobytes() for x in c))
-            nodes = np.frombuffer(b"".join(x[2] for x in out), "S16") if out else np.zeros(0, "S16")
+            nodes = np.array([np.frombuffer(x[2], np.uint8) for x in out], np.uint8).reshape(-1, 16)
+            sketches = np.array([x[5] for x in out], np.int64).reshape(-1, SKETCH)
             for k, (g, n, o) in _deal((groups % np.uint64(buckets)).astype(np.int64), groups, np.array([x[1] for x in out], np.uint32), np.arange(len(out))):
-                kinds.append(2), at.append(k), payloads.append(g.tobytes() + n.tobytes() + nodes[o].tobytes())
+                kinds.append(2), at.append(k), payloads.append(g.tobytes() + n.tobytes() + nodes[o].tobytes() + sketches[o].tobytes())
             out = []
             return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(kinds, pa.int32()), pa.array(payloads, pa.binary())], ["bucket", "kind", "payload"])
 
@@ -170,7 +192,7 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
                 else:
                     rare, rest = np.arange(p), np.zeros(0, np.int64)
                 group = hashlib.blake2b(s[rare].tobytes() + b"|" + s[rest].tobytes() + len(s).to_bytes(8, "little"), digest_size=8).digest()
-                out.append([int.from_bytes(group, "little"), len(s), key, np.unique(token[rare]), np.unique(token[rest])])
+                out.append([int.from_bytes(group, "little"), len(s), key, np.unique(token[rare]), np.unique(token[rest]), sketch(s)])
                 size += p
             if size > 1_000_000:
                 yield flush()
@@ -180,15 +202,17 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
     def pair(frame: pd.DataFrame) -> pd.DataFrame:
         made: list[pd.DataFrame] = []
 
-        def add(kind: int, a: np.ndarray, b: np.ndarray | int = 0, n: np.ndarray | int = 0, node: list | None = None) -> None:
-            made.append(pd.DataFrame({"kind": kind, "a": a.view(np.int64), "b": b, "n": n, "node": node}, index=range(len(a))))
+        def add(kind: int, a: np.ndarray, b: np.ndarray | int = 0, n: np.ndarray | int = 0, node: list | None = None, bits: list | None = None) -> None:
+            objects = (pd.Series(x if x is not None else [None] * len(a), range(len(a)), dtype=object) for x in (node, bits))
+            made.append(pd.DataFrame({"kind": kind, "a": a.view(np.int64), "b": b, "n": n} | dict(zip(("node", "sketch"), objects, strict=True)), index=range(len(a))))
 
         parts: dict[int, list[list[np.ndarray]]] = {0: [], 1: []}
         for kind, payload in zip(frame["kind"], frame["payload"], strict=True):
             if kind == 2:
-                m = len(payload) // 28
+                m = len(payload) // (28 + 8 * SKETCH)
                 nodes = [payload[12 * m + 16 * i : 12 * m + 16 * i + 16] for i in range(m)]
-                add(2, np.frombuffer(payload, np.uint64, m).copy(), 0, np.frombuffer(payload, np.uint32, m, 8 * m).astype(np.int64), nodes)
+                bits = list(np.frombuffer(payload, np.int64, SKETCH * m, 28 * m).reshape(m, SKETCH)) if m else []
+                add(2, np.frombuffer(payload, np.uint64, m).copy(), 0, np.frombuffer(payload, np.uint32, m, 8 * m).astype(np.int64), nodes, bits)
             else:
                 m = len(payload) // 13
                 parts[kind].append([np.frombuffer(payload, np.uint32, m), np.frombuffer(payload, np.uint64, m, 4 * m), np.frombuffer(payload, np.uint8, m, 12 * m)])
@@ -225,7 +249,7 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
             if found:
                 pairs = np.unique(np.concatenate(found), axis=0)
                 add(0, pairs[:, 0].copy(), pairs[:, 1].copy().view(np.int64))
-        return pd.concat(made) if made else pd.DataFrame({c: [] for c in ("kind", "a", "b", "n", "node")})
+        return pd.concat(made) if made else pd.DataFrame({c: pd.Series([], dtype=object) for c in ("kind", "a", "b", "n", "node", "sketch")})
 
     packed = map_arrow(docs.select(F.col(text).alias("text")), emit, "bucket int, kind int, payload binary")
     return packed.groupBy("bucket").applyInPandas(pair, _INDEX)
@@ -453,19 +477,19 @@ def label(docs: DataFrame, id_column: str, text: str, own: Scratch) -> DataFrame
     common = _common(docs, text, buckets)
     index = own.save(_index(docs, text, buckets, common), "index")
 
-    members = index.where("kind = 2").select(F.col("a").alias("g"), "node", "n").distinct()
+    members = index.where("kind = 2").groupBy(F.col("a").alias("g"), "node", "n").agg(F.first("sketch").alias("sketch"))
     counts = members.groupBy("g").agg(F.count("*").alias("c"), F.min("node").alias("node"))
     many = own.save(counts.where("c > 1").select("g", "c"), "many")
     group_pairs = index.where("kind = 0").select("a", "b").distinct()
     sized = group_pairs.join(many.select(F.col("g").alias("a"), F.col("c").alias("ca")), "a", "left").join(many.select(F.col("g").alias("b"), F.col("c").alias("cb")), "b", "left")
     sized = own.save(sized.select("a", "b", (F.coalesce("ca", F.lit(1)) * F.coalesce("cb", F.lit(1)) <= SMALL_PRODUCT).alias("small")), "group-pairs")
-    member = own.save(members.select("g", "node", "n"), "members")
-    first, second = (member.select(F.col("g").alias(c), F.col("node").alias(f"n{c}")) for c in "ab")
-    direct = sized.where("small").join(first, "a").join(second, "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+    member = own.save(members, "members")
+    first, second = (member.select(F.col("g").alias(c), F.col("node").alias(f"node{c}"), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"sketch{c}")) for c in "ab")
+    direct = sized.where("small").join(first, "a").join(second, "b").where(_alike("a", "b")).select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
     # Keys whose holders are not paired directly: common shingles, groups of several members, large pairs of groups.
     large = sized.where("not small").select(F.xxhash64("a", "b").alias("k"), F.explode(F.array("a", "b")).alias("g"))
     holders = index.where("kind = 1").select(F.col("b").alias("k"), F.col("a").alias("g")).unionByName(large).unionByName(many.select(F.col("g").alias("k"), "g"))
-    holders = own.save(holders.distinct().join(member, "g").select("k", "node", "n").distinct(), "holders")
+    holders = own.save(holders.distinct().join(member, "g").groupBy("k", "node", "n").agg(F.first("sketch").alias("sketch")), "holders")
     star = _leader_tree(holders, own)
     pairs = own.save(direct.unionByName(star).where("a <> b").distinct(), "pairs-1")
     links = _Links(docs, text, own)
@@ -476,12 +500,12 @@ def label(docs: DataFrame, id_column: str, text: str, own: Scratch) -> DataFrame
         if links.roots is None:
             placed = holders.withColumn("root", F.col("node"))
         else:
-            placed = holders.join(links.roots, "node", "left").select("k", "node", "n", F.coalesce("root", "node").alias("root"))
+            placed = holders.join(links.roots, "node", "left").select("k", "node", "n", "sketch", F.coalesce("root", "node").alias("root"))
         placed = own.save(placed, "placed")
         open_keys = own.save(placed.groupBy("k").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("k"), "open-keys")
         rest = own.save(placed.join(open_keys, "k", "left_semi"), "open-holders")
-        one, two = (rest.select("k", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("root").alias(f"r{c}")) for c in "ab")
-        cross = one.join(two, "k").where(F.col("a") < F.col("b")).where((F.col("ra") != F.col("rb")) & _fits("na", "nb")).select("a", "b").distinct()
+        one, two = (rest.select("k", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"sketch{c}"), F.col("root").alias(f"r{c}")) for c in "ab")
+        cross = one.join(two, "k").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _alike("a", "b")).select("a", "b").distinct()
         links.grow(cross.join(pairs, ["a", "b"], "left_anti"))
     links.finish()
     roots = links.roots
