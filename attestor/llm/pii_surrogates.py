@@ -60,9 +60,16 @@ TAILS = {
 _W = r"(?<![\p{L}\p{N}_])"
 _E = r"(?![\p{L}\p{N}_])"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+
+
+def _domain(label: str) -> str:
+    """Labels given up one by one until a top domain of letters follows; what comes after it, say a hyphen, is no part."""
+    return rf"{label}(?:\.{label})*\.\p{{L}}{{2,}}+(?![\p{{L}}\p{{N}}])"
+
+
 # One pattern for each type, in order of preference; all begin where no word goes on.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)*(?<=\.\p{L}{2,24})",
+    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@(?:" + _domain(r"[\p{L}\p{N}]++(?:-++[\p{L}\p{N}]++)*+") + "|" + _domain(r"[\p{L}\p{N}-]++") + ")",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _E,
     "card": r"\d{4}(?:\d{12}|(?: \d{4}){3}|(?:-\d{4}){3})" + _E,
     "phone": r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}" + _E,

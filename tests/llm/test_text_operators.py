@@ -182,6 +182,26 @@ def test_surrogates(spark):
     assert [got[i]["n_entities"] for i in range(7)] == [4, 4, 4, 0, 0, 0, 1]
 
 
+#: E-mail addresses as they were found before the possessive patterns.
+OLD_EMAIL = r"(?<![\p{L}\p{N}_])[\p{L}\p{N}](?:[\p{L}\p{N}._%+-]*[\p{L}\p{N}])?@[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?(?:\.[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?)*\.\p{L}{2,}(?![\p{L}\p{N}_])"
+
+
+def test_addresses_before_a_hyphen(spark):
+    r = np.random.default_rng(5)
+    pieces = ["a", "b1", "com", "org", "x", ".", ".", "-", "-", "@", "é", " ", "_", "+"]
+    made = ["".join(["p@", *r.choice(pieces, 9)]) for _ in range(3000)]
+    texts = ["pa.90@example.com- call", "anna@acme.com-Verteiler", "anna@mail.acme.com-x", "a@b-c.d-e.com.", "a@x." + "y" * 30, "n@acme-.com", "a_@b.com_x", "a@b.com1", *made]
+    rows = docs(spark, texts).select("text", F.regexp_extract_all("text", F.lit(OLD_EMAIL), F.lit(0)).alias("old"), F.regexp_extract_all("text", F.lit(pii_surrogates._W + pii_surrogates.PATTERNS["email"]), F.lit(0)).alias("new")).collect()
+    new = {x["text"]: x["new"] for x in rows}
+    assert [new[t] for t in texts[:8]] == [["pa.90@example.com"], ["anna@acme.com"], ["anna@mail.acme.com"], ["a@b-c.d-e.com"], ["a@x." + "y" * 30], ["n@acme-.com"], ["a_@b.com"], []]
+    assert sum(len(x["old"]) for x in rows) > 50
+    assert all(any(o in n for n in x["new"]) for x in rows for o in x["old"])
+    assert all(set(x["old"]) <= set(x["new"]) for x in rows if "_" not in x["text"])
+    got = pii_surrogates.replace(docs(spark, texts[:3]), "key").collect()
+    assert all(r["n_entities"] == 1 and "acme" not in r["text"] and "example" not in r["text"] for r in got)
+    assert [r["text"][r["text"].index(".com") :] for r in sorted(got, key=lambda r: r["doc_id"])] == [".com- call", ".com-Verteiler", ".com-x"]
+
+
 @pytest.mark.parametrize("inline", [500, 0])
 def test_colliding_surrogates_are_told_apart(spark, monkeypatch, inline):
     monkeypatch.setattr(pii_surrogates, "INLINE", inline)
