@@ -14,6 +14,12 @@ replacement derived from a keyed SHA-512 of its type and canonical form:
 * distinctness: over the whole table the surrogates of distinct entities of a type are compared;
   of those that collide with each other or with an original all but one are derived anew.
 
+Telephone numbers are those with '+' or 00 and a country code, with a leading 0 (9 to 12 digits, dates
+aside), and those of an area code of three digits and seven more ('555-123-4567', '(555) 123-4567', a
+1 or 8 may lead).  Left out are other national forms: without any prefix ('5551234567', '91 123 45 67'),
+local ones without an area code ('555-1234'), extensions, numbers spelt in words, and those joined to a
+letter.  A number's national and international forms count as two entities.
+
 Matches are leftmost, non-overlapping, first alternative first.  Null texts stay null.  Letters of
 scripts without a list become letters of the same Unicode block row only where that is Latin, Greek
 or Cyrillic; others stay as they are in e-mail addresses and names.
@@ -60,6 +66,7 @@ TAILS = {
 _W = r"(?<![\p{L}\p{N}_])"
 _E = r"(?![\p{L}\p{N}_])"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+_CARD = r"\d{4}(?:\d{12}|(?: \d{4}){3}|(?:-\d{4}){3})"
 
 
 def _domain(label: str) -> str:
@@ -71,10 +78,14 @@ def _domain(label: str) -> str:
 PATTERNS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@(?:" + _domain(r"[\p{L}\p{N}]++(?:-++[\p{L}\p{N}]++)*+") + "|" + _domain(r"[\p{L}\p{N}-]++") + ")",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _E,
-    "card": r"\d{4}(?:\d{12}|(?: \d{4}){3}|(?:-\d{4}){3})" + _E,
-    "phone": r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}" + _E,
+    "card": _CARD + _E,
+    "phone": r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?(?:\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\d(?:[ .-]?\d{2,4}){2,5})" + _E,
     "ssn": r"\d{3}-\d{2}-\d{4}" + _E,
     "ip": r"(?<!\.)(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}_]|\.\d)",
+    # With a leading 0 (also in brackets, also 00 and the country code) but no date, or with an area code of three digits.
+    "national": r"(?<!\d[.-])(?=[(\d])(?:(?!\d{2}[./-]\d{2}[./-]\d{2}(?:\d{2})?(?![./-]?\d))"
+    r"(?:0[1-9](?:[ ./-]?\d){7,10}|00[1-9](?:[ ./-]?\d){8,13}|\(0[1-9]\d{0,3}\)(?:[ ./-]?\d){5,10})"
+    r"|(?:[18][ .-]?)?(?:\(\d{3}\)[ .-]?|(?<![18])[2-9]\d{2}[ .-])\d{3}[ .-]?\d{2}[ .-]?\d{2})" + _E + r"(?!-\d)",
     "name": r"(?=[DFHMPSГΚ])(?:" + "|".join(sorted(MALE_TITLES + FEMALE_TITLES + OTHER_TITLES, key=len, reverse=True)) + r")\.? " + _NAME + r"(?: " + _NAME + r")?",
 }
 PATTERN = _W + "(?:" + "|".join(PATTERNS.values()) + ")"
@@ -84,7 +95,7 @@ def kind(match: Column) -> Column:
     """The type of a match, from its shape alone."""
     out = F.when(F.contains(match, F.lit("@")), "email").when(match.startswith("+"), "phone")
     out = out.when(match.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), "ip").when(match.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-    return out.when(match.rlike(r"^[0-9 -]+$"), "card").when(match.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]+$"), "iban").otherwise("name")
+    return out.when(match.rlike(f"^{_CARD}$"), "card").when(match.rlike("^[(0-9]"), "phone").when(match.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]+$"), "iban").otherwise("name")
 
 
 def _gender(title: Column, first: Column) -> Column:
@@ -167,7 +178,8 @@ def surrogate_form(canon: Column, attempt: Column, key: str) -> Column:
             return F.when(_luhn(form) == 0, F.concat(body, check)).otherwise(raw)
 
         octets = F.transform(F.split(form, r"\."), lambda _, i: F.when(i == 0, F.pmod(_byte(d, i), F.lit(223)) + 1).otherwise(F.pmod(_byte(d, i), F.lit(256))).cast("string"))
-        phone = F.concat(F.substr(form, F.lit(1), F.lit(1)), _poured(F.substr(form, F.lit(2)), d))
+        fixed = F.when(form.startswith("00"), 3).otherwise(1)
+        phone = F.concat(F.substr(form, F.lit(1), fixed), _poured(F.substr(form, fixed + 1), d))
         iban = F.concat(F.substr(form, F.lit(1), F.lit(2)), _poured(F.substr(form, F.lit(3)), d))
         out = F.when(k == "email", email).when(k == "card", _let(_poured(form, d), checked)).when(k == "ip", F.array_join(octets, "."))
         return F.concat(k, F.lit(":"), out.when(k == "phone", phone).when(k == "iban", iban).when(k == "name", _name(form, d)).otherwise(_poured(form, d)))

@@ -202,6 +202,18 @@ def test_addresses_before_a_hyphen(spark):
     assert [r["text"][r["text"].index(".com") :] for r in sorted(got, key=lambda r: r["doc_id"])] == [".com- call", ".com-Verteiler", ".com-x"]
 
 
+def test_telephone_forms(spark):
+    phones = "+33 1 23 45 67 89|+886 2 2345 6789|(555) 123-4567|555-123-4567|555.123.4567|1-800-555-1234|8 (495) 123-45-67|0171 2345678|(02) 2345-6789|030/1234567|01.23.45.67.89|0033 1 23 45 67 89|+1 23 45".split("|")
+    others = ["01.02.2020 10:30", "01/02/20 1030", "0.123456789", "3.0171234567", "1234-555-123-4567", "+4 5 6", "100 200 3000"]
+    got = {r["doc_id"]: r for r in pii_surrogates.replace(docs(spark, [f"call {x}, or" for x in [*phones, *others]]), "key").collect()}
+    for i, x in enumerate([*phones, *others]):
+        made = got[i]["text"].removeprefix("call ").removesuffix(", or")
+        assert (got[i]["n_entities"], made != x) == ((1, True) if i < len(phones) else (0, False)), x
+        assert re.sub(r"\d", "0", made) == re.sub(r"\d", "0", x)
+    kinds = spark.createDataFrame([(x,) for x in [*phones, "4111-1111-1111-1111", "4111111111111111", "123-45-6789", "01.22.33.144"]], "t string")
+    assert [r[0] for r in kinds.select(F.array_join(F.transform(pii_surrogates.matches(F.col("t")), pii_surrogates.kind), ",")).collect()] == ["phone"] * len(phones) + ["card", "card", "ssn", "ip"]
+
+
 @pytest.mark.parametrize("inline", [500, 0])
 def test_colliding_surrogates_are_told_apart(spark, monkeypatch, inline):
     monkeypatch.setattr(pii_surrogates, "INLINE", inline)
