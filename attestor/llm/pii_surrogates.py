@@ -12,7 +12,9 @@ replacement derived from a keyed SHA-512 of its type and canonical form:
 * coreference: an entity has one canonical form (folded case, digits without separators), so all its
   spellings get the same surrogate poured into their own format;
 * distinctness: over the whole table the surrogates of distinct entities of a type are compared;
-  of those that collide with each other or with an original all but one are derived anew.
+  of those that collide with each other or with an original all but one are derived anew; names then
+  get a syllable more each time, while the other types are bound by their format, and a table with
+  more values of one than that holds raises an error.
 
 Telephone numbers are those with '+' or 00 and a country code, with a leading 0 (9 to 12 digits, dates
 aside), and those of an area code of three digits and seven more ('555-123-4567', '(555) 123-4567', a
@@ -182,18 +184,22 @@ def surrogate_form(canon: Column, attempt: Column, key: str) -> Column:
         phone = F.concat(F.substr(form, F.lit(1), fixed), _poured(F.substr(form, fixed + 1), d))
         iban = F.concat(F.substr(form, F.lit(1), F.lit(2)), _poured(F.substr(form, F.lit(3)), d))
         out = F.when(k == "email", email).when(k == "card", _let(_poured(form, d), checked)).when(k == "ip", F.array_join(octets, "."))
-        return F.concat(k, F.lit(":"), out.when(k == "phone", phone).when(k == "iban", iban).when(k == "name", _name(form, d)).otherwise(_poured(form, d)))
+        return F.concat(k, F.lit(":"), out.when(k == "phone", phone).when(k == "iban", iban).when(k == "name", _name(form, d, attempt)).otherwise(_poured(form, d)))
 
     return _let(digest(canon, attempt.cast("string")), of)
 
 
-def _name(form: Column, d: Column) -> Column:
-    """``gender:name`` of the same gender, script and number of words; a lone word is a family name."""
+def _name(form: Column, d: Column, attempt: Column) -> Column:
+    """``gender:name`` of the same gender, script and number of words; a lone word is a family name.
+
+    Each attempt has a middle syllable more than the one before, so it draws from a larger space.
+    """
     gender, two = F.substr(form, F.lit(1), F.lit(1)), F.contains(form, F.lit(" "))
 
     def of(script: str) -> Column:
         first = F.when(gender == "m", _pick(FIRST[script, "m"], _byte(d, 0))).when(gender == "f", _pick(FIRST[script, "f"], _byte(d, 0))).otherwise(_pick(FIRST[script, "m"] + FIRST[script, "f"], _byte(d, 0)))
-        last = F.concat(*(_pick(x[script], _byte(d, i)) for i, x in ((1, HEADS), (2, MIDDLES), (3, TAILS))))
+        more = F.array_join(F.transform(F.sequence(F.lit(0), attempt), lambda i: F.when(i == 0, "").otherwise(_pick(MIDDLES[script], _byte(d, i + 3)))), "")
+        last = F.concat(_pick(HEADS[script], _byte(d, 1)), _pick(MIDDLES[script], _byte(d, 2)), F.when(attempt > 0, more).otherwise(""), _pick(TAILS[script], _byte(d, 3)))
         return F.concat(gender, F.lit(":"), F.lower(F.when(two, F.concat(first, F.lit(" "), last)).otherwise(last)))
 
     return F.when(form.rlike(r"\p{IsCyrillic}"), of("cyrillic")).when(form.rlike(r"\p{IsGreek}"), of("greek")).otherwise(of("latin"))

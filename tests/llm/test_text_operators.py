@@ -224,6 +224,16 @@ def test_colliding_surrogates_are_told_apart(spark, monkeypatch, inline):
     assert not set(out.values()) & set(out)
 
 
+def test_more_surnames_than_short_surrogates(spark):
+    n = len(pii_surrogates.HEADS["greek"]) * len(pii_surrogates.MIDDLES["greek"]) * len(pii_surrogates.TAILS["greek"]) + 104
+    own = ["Ξ" + "".join("αεηιουω"[i // 7**k % 7] + "ξ" for k in range(4)) for i in range(n)]
+    rows = spark.createDataFrame([(0, "; ".join(f"Κύριος {x}" for x in own))], "doc_id long, text string")
+    got = pii_surrogates.replace(rows, "key").collect()[0]
+    made = [x.removeprefix("Κύριος ") for x in got["text"].split("; ")]
+    assert got["n_entities"] == n == len(set(made))
+    assert not set(made) & set(own)
+
+
 # --- search ---
 
 
