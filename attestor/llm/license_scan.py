@@ -1,17 +1,20 @@
 """License scans: normalised text compared with templates by Dice coefficient over word bigrams.
 
 Text is folded to lower-case words of ASCII letters, digits and non-ASCII characters; everything
-else separates words.  A candidate is any stretch of whole lines.  Dice is 2|A & B| / (|A| + |B|)
+else separates words.  A candidate is any stretch of whole lines, and, where none of a template is
+found, any stretch of words, so that a notice may share its line with other words.  Dice is 2|A & B| / (|A| + |B|)
 over bigrams with their counts, so it reaches the threshold t only if the sizes are within
 t / (2 - t) of each other: for each template only stretches inside these bounds are looked at, and
 of them only those with enough words' bigrams from the template to reach t.
 
 A text may hold several licences.  Found stretches of one template that overlap are merged into the
-best.  Nulls and empty texts, and templates of fewer than two words, match nothing.
+best, those of whole lines first.  A stretch of words inside a larger find of another template is left
+out if that template accounts for all bigrams it was found by (BSD-2-Clause inside BSD-3-Clause).  Nulls and empty texts, and templates of fewer than two words, match nothing.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -86,7 +89,7 @@ def prepare(templates: dict[str, list[str]], threshold: float) -> list[Template]
 
 
 def scan_text(words: np.ndarray, lines: np.ndarray, grams: np.ndarray, templates: list[Template], threshold: float) -> list[tuple[str, int, float, int, int]]:
-    """(licence, template, dice, first line, end line) found in one text.
+    """(licence, template, dice, first line, end line) found in one text; the lines are those a stretch lies in.
 
     ``lines`` are the bounds of the lines in ``words``; ``grams`` the text's bigrams.
     """
@@ -121,8 +124,69 @@ def scan_text(words: np.ndarray, lines: np.ndarray, grams: np.ndarray, templates
         for dice, b, e in sorted(best, key=lambda x: (-x[0], x[1], x[2])):
             if all(e <= x or y <= b for x, y in taken):
                 taken.append((b, e))
-                found.append((t.name, t.number, dice, b, e))
-    return sorted(found, key=lambda f: (f[3], f[4], -f[2], f[0], f[1]))
+                found.append(((t.name, t.number, dice, b, e), t, int(lines[b]), int(lines[e]), False))
+        for dice, b, e in word_stretches(grams, t, threshold, [(int(lines[b]), int(lines[e])) for b, e in taken]):
+            line, end = int(np.searchsorted(lines, b, "right")) - 1, int(np.searchsorted(lines, e, "left"))
+            found.append(((t.name, t.number, dice, line, end), t, b, e, True))
+    least = min((t.size for _, t, _, _, of_words in found if of_words), default=0)
+    larger = [f for f in found if f[1].size > least]
+    out = [f for f, t, b, e, of_words in found if not (of_words and any(_accounts_for(o, t, b, e, grams) for o in larger))]
+    return sorted(out, key=lambda f: (f[3], f[4], -f[2], f[0], f[1]))
+
+
+def _accounts_for(other: tuple, t: Template, b: int, e: int, grams: np.ndarray) -> bool:
+    """Whether a find of another template spans the words b to e, is larger, and has all bigrams that they share with ``t``."""
+    _, u, lo, hi, _ = other
+    if u is t or not (lo <= b and e <= hi) or u.size <= t.size:
+        return False
+    return all(g in u.counts for g in grams[b : e - 1].tolist() if g in t.counts)
+
+
+def word_stretches(grams: np.ndarray, t: Template, threshold: float, taken: list[tuple[int, int]]) -> list[tuple[float, int, int]]:
+    """(dice, first word, end word) of the best stretches of words that overlap neither each other nor those taken.
+
+    The best begin and end with a bigram of the template: any other at an end only lowers Dice.
+    """
+    at = np.searchsorted(t.keys, grams)
+    at[at == len(t.keys)] = 0
+    places = np.flatnonzero(t.keys[at] == grams)
+    within = np.searchsorted(places, places + t.high, "left") - np.arange(len(places))
+    starts = np.flatnonzero(2 * np.minimum(within, t.size) >= threshold * (t.low + t.size))
+    covered = np.zeros(len(grams) + 1, bool)
+    for b, e in taken:
+        covered[b:e] = True
+
+    def best(k: int) -> tuple[float, int, int] | None:
+        """The best stretch from a place on, up to the next one taken."""
+        begin = int(places[k])
+        ahead = covered[begin : begin + t.high + 1]
+        limit = begin + (int(ahead.argmax()) if ahead.any() else len(ahead))
+        own: Counter[int] = Counter()
+        shared, out = 0, None
+        for p in places[k : k + int(within[k])].tolist():
+            if p + 2 > limit:
+                break
+            g = int(grams[p])
+            own[g] += 1
+            shared += own[g] <= t.counts[g]
+            size = p - begin + 1
+            dice = 2 * shared / (size + t.size)
+            if size >= t.low and dice >= threshold and (out is None or dice > -out[0]):
+                out = (-dice, begin, p + 2)
+        return out
+
+    heap = [(*x, k) for k in starts.tolist() if (x := best(k))]
+    heapq.heapify(heap)
+    out = []
+    while heap:
+        dice, b, e, k = heapq.heappop(heap)
+        if covered[b:e].any():
+            if again := best(k):
+                heapq.heappush(heap, (*again, k))
+            continue
+        covered[b:e] = True
+        out.append((-dice, b, e))
+    return out
 
 
 FOUND = "array<struct<license:string,template:int,dice:double,first_line:int,end_line:int>>"

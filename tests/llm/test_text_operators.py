@@ -48,6 +48,41 @@ def test_dice_against_brute_force():
         assert (round(max(f[2] for f in found), 6) if found else 0) == (round(want, 6) if want >= 0.7 else 0)
 
 
+def test_notices_within_a_line(spark):
+    t = license_scan.TEMPLATES
+    texts = ["some prose. Licensed under the MIT License.", "Copyright 2020 X. All rights reserved.", "a b " * 50 + t["MIT"][-1] + " function() {}" * 40 + t["Apache-2.0"][1], "x " + t["BSD-3-Clause"][0] + " y" * 200, "x " * 200 + t["GPL-3.0"][1] + " y" * 200, "see: All rights reserved. All rights reserved.\nAll rights reserved.\nend", "all rights are reserved", "one. " + t["MPL-2.0"][0].replace(". ", ".\n") + " two three four five six seven eight nine ten eleven twelve thirteen fourteen"]
+    got = {r["doc_id"]: [(x["license"], x["dice"], x["first_line"], x["end_line"]) for x in r["licenses"]] for r in license_scan.scan(docs(spark, texts)).collect()}
+    assert got[0] == [("MIT", 1.0, 0, 1)]
+    assert got[1] == [("Proprietary", 1.0, 0, 1)]
+    assert sorted(x[0] for x in got[2]) == ["Apache-2.0", "MIT"]
+    assert [x[0] for x in got[3] + got[4]] == ["BSD-3-Clause", "GPL-3.0"]
+    assert got[5] == [("Proprietary", 1.0, 0, 1), ("Proprietary", 1.0, 0, 1), ("Proprietary", 1.0, 1, 2)]
+    assert got[6] == []
+    assert [x[0] for x in got[7]] == ["MPL-2.0"]
+
+
+def test_word_stretches_against_brute_force():
+    from collections import Counter
+
+    r = np.random.default_rng(6)
+    for k in range(300):
+        word = r.integers(1, 9, 12 + k % 5).astype(np.uint64)
+        grams = license_scan.bigrams(word)
+        counts = Counter(grams.tolist())
+        size, threshold = len(grams), 0.7
+        t = license_scan.Template("T", 0, counts, np.unique(grams), size, int(np.ceil(size * threshold / (2 - threshold) - 1e-9)), int(np.floor(size * (2 - threshold) / threshold + 1e-9)))
+        text = np.concatenate([r.integers(1, 20, 6), np.where(r.random(len(word)) < 0.1, 99, word), r.integers(1, 20, 4), word[1:], r.integers(1, 20, 5)]).astype(np.uint64)
+        own = license_scan.bigrams(text)
+        taken = [(3, 5)] if k % 3 == 0 else []
+        free, want = list(taken), []
+        every = [(2 * sum((Counter(own[b : e - 1].tolist()) & counts).values()) / (e - 1 - b + size), b, e) for b in range(len(text)) for e in range(b + 2, len(text) + 1)]
+        for dice, b, e in sorted((x for x in every if x[0] >= threshold), key=lambda x: (-x[0], x[1], x[2])):
+            if all(e <= x or y <= b for x, y in free):
+                free.append((b, e))
+                want.append((dice, b, e))
+        assert license_scan.word_stretches(own, t, threshold, taken) == want
+
+
 # --- secrets ---
 
 
