@@ -4,11 +4,13 @@ Items are partitioned by their number of shingles into classes of bound U = 8, 1
 documents' shingles are cut into blocks of U; a window is two neighbouring blocks, so that the
 passage of an item lies in one window whole and the two sets stay of like size however long the
 document is.  Window and item are compared slot by slot (``SLOTS`` MinHash functions); one equal
-slot makes the window's documents candidates.  A passage that holds 3/4 of an item's shingles is
-missed with a chance below 1e-5.  Every candidate is then verified exactly: the share of the
+slot makes the window's documents candidates.  Items of one or two shingles, too small beside the
+smallest window, are looked up exactly.  If slots were independent, a passage that holds 3/4 of a
+larger item's shingles would be missed with a chance below 1e-5.  Every candidate is then verified exactly: the share of the
 item's distinct shingles that occur in the whole document.
 
-Shingles are of five words (A-Z folded, split at white space); a shorter text is one shingle.
+Shingles are of five words (A-Z folded, split at white space); a shorter text is one shingle,
+so an item of one to four words is found only in a document of just these words.
 Nulls and texts without words, on either side, match nothing.  Repeated rows each get their result;
 several items with the same text are all reported.
 """
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from attestor.llm.common import by_bytes, map_arrow, mix64, shingles, text_bytes, word_hashes
 
 SLOTS, THRESHOLD, SMALLEST = 64, 0.75, 8
+#: Items of at most so many shingles are looked up exactly.
+EXACT = 2
 #: Bytes of item text that are sent to the workers at once; more items take further rounds.
 ROUND_BYTES = 8 << 20
 
@@ -46,6 +50,7 @@ class Items:
     owner_at: np.ndarray  # bounds of the owners of each shingle
     owner: np.ndarray
     classes: list[tuple[int, list[np.ndarray], np.ndarray]]  # U, values by slot, filter by slot
+    short: np.ndarray  # shingles of the items that are looked up exactly, sorted
 
 
 def prepare(texts: list[str | None]) -> Items:
@@ -66,7 +71,7 @@ def prepare(texts: list[str | None]) -> Items:
         for k, v in enumerate(values):
             quick[k, (v * np.uint32(0x9E3779B1)) >> np.uint32(16)] = True
         classes.append((SMALLEST << c, values, quick))
-    return Items(sizes, shingle, np.concatenate([first, [len(flat)]]), owner[order], classes)
+    return Items(sizes, shingle, np.concatenate([first, [len(flat)]]), owner[order], classes, np.unique(flat[np.repeat(sizes <= EXACT, sizes)]))
 
 
 def _fold_min(v: np.ndarray) -> np.ndarray:
@@ -77,10 +82,16 @@ def _fold_min(v: np.ndarray) -> np.ndarray:
 
 
 def candidate_rows(h: np.ndarray, rows: np.ndarray, items: Items) -> np.ndarray:
-    """Rows that share a window with an equal slot."""
+    """Rows that share a window with an equal slot, or hold a shingle of a short item."""
     if not len(h) or not items.classes:
         return np.zeros(0, np.int64)
     marked = np.zeros(len(rows), np.int64)  # +1 where a run of candidate rows begins, -1 after it
+    if len(items.short):
+        at = np.searchsorted(items.short, h)
+        at[at == len(items.short)] = 0
+        held = np.searchsorted(rows, np.flatnonzero(items.short[at] == h), "right") - 1
+        np.add.at(marked, held, 1)
+        np.add.at(marked, held + 1, -1)
     x = (h >> np.uint64(32)).astype(np.uint32)
     for k in range(SLOTS):
         v, width = _slot(x, k), 1

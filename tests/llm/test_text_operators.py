@@ -155,6 +155,15 @@ def test_decontamination_in_rounds(spark, monkeypatch):
     assert sorted((r["doc_id"], r["leaks"][0]["item_id"]) for r in decontaminate.flag(df, bench).collect()) == [(k, k) for k in range(6)]
 
 
+def test_items_of_one_shingle_are_never_missed():
+    n, size = 10000, 40
+    items = decontaminate.prepare([f"a{i} b c d e" for i in range(n)])
+    r = np.random.default_rng(8)
+    h = r.integers(0, 1 << 64, n * size, dtype=np.uint64)
+    h[np.arange(n) * size + r.integers(0, size, n)] = items.shingle
+    assert len(decontaminate.candidate_rows(h, np.arange(n + 1) * size, items)) == n
+
+
 # --- language ---
 
 
