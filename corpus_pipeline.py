@@ -66,4 +66,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = scratch.save(stage(spark, docs, sf_dir), f"{i}-{name}")
         if i:
             scratch.drop(f"{i - 1}-{STAGES[i - 1][0]}")
-    return scratch.keep_for(docs)
+    return scratch.keep_for(docs, f"{len(STAGES) - 1}-{STAGES[-1][0]}")
