@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import weakref
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -31,39 +30,53 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[p
 
 
 class Scratch:
-    """Written tables in the shared checkpoint folder, removed when the result that reads them goes.
+    """Written tables in the shared checkpoint folder; what a result reads stays until the session's JVM ends.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (local tests)
-    is one made in the local temporary folder.
+    The folder is the session's ``spark.checkpoint.dir``.  Only in local mode (one machine, as in
+    tests) may it be unset; then one is made in the local temporary folder.
     """
 
     def __init__(self, spark: SparkSession):
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             base = f"file://{tempfile.gettempdir()}/attestor-checkpoints"
             spark.sparkContext.setCheckpointDir(base)
-        self.spark, self.root = spark, f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        self.spark, self.root, self.names = spark, f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}", set()
+        jvm = spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write a table and read it back: cuts lineage and survives the loss of executors."""
         path = f"{self.root}/{name}"
+        self.names.add(name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         for name in names:
+            self.names.discard(name)
             _remove(self.spark, f"{self.root}/{name}")
 
-    def keep_for(self, result: DataFrame) -> DataFrame:
-        """Tie the folder's life to that of ``result``."""
-        weakref.finalize(result, _remove, self.spark, self.root)
+    def keep_for(self, result: DataFrame, *names: str) -> DataFrame:
+        """Remove all tables but the named ones, which ``result`` and what is derived from it read."""
+        self.drop(*(self.names - set(names)))
         return result
 
 
+def fresh(df: DataFrame, *names: str) -> str:
+    """A column name made of the given ones that ``df`` doesn't have, whatever the case of letters."""
+    taken, name = {c.lower() for c in df.columns}, "__" + "_".join(names)
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
-    if jvm is None:  # the session has ended
-        return
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 

@@ -1,23 +1,26 @@
 """Exact Jaccard self-join on five-word shingles by a grouped prefix join, and its components.
 
 1. Documents with the same shingle set become one node (copies are never paired).
-2. Shingles are ordered by (common, hash): those common among hash-order prefixes come last, so that
-   a passage which many documents share enters few prefixes.  The order never changes the result.
-3. Nodes with the same prefix and size form one group.  Groups that share a prefix shingle and have
-   compatible sizes are paired; only group keys, sizes and 32-bit shingles are shuffled, packed.
-4. Pairs whose 1024-bit parity sketches differ in more places than two linked sets can are left out:
-   every differing place is a shingle that only one of the sets has, so no link is lost.
-5. Pairs are expanded to their members and verified on whole shingle sets: first on 32 bits of each
-   shingle, which can only overstate the overlap, then, where that leaves doubt, on all 64.
-6. A shingle (or group) with more than ``SMALL_RUN`` holders is not expanded into all pairs.  Its
-   holders are first compared along a tree of leaders of about ``SMALL_RUN`` nodes each; after
-   components are formed, only holders of different components are still paired.  No link between
-   components is lost, whatever the sizes.
-7. Components come from alternating large-star and small-star steps on the verified links.
+2. Shingles are ordered by frequency, the frequent last, ties by hash.  Frequencies are counted over
+   all sets; up to ``COMMON`` of the most frequent are known to every worker, the rest count as rare.
+   The order never changes the result, only the work.
+3. Nodes with the same prefix and size form one group.  Two groups are paired where they share a prefix
+   shingle and where what follows it in either can still hold the overlap that a link needs (a bound on
+   the other's size).  A group whose shingle stands late can only meet one whose shingle stands early.
+4. Pairs are expanded to members.  Those whose 1024-bit parity sketches differ in more places than
+   two linked sets can are left out: every differing place is a shingle that only one set has.
+5. What is left is verified on whole sets of 64-bit shingles, in few rounds: first every node with its
+   most alike smaller partner, then the pairs whose nodes are in different components still.
+6. A shingle (or group) with more than ``SMALL_RUN`` holders isn't expanded at first.  Its holders are
+   compared with leaders, the smallest holder with an equal MinHash value; after components are
+   formed, holders that are still apart are paired, those whose shingle stands early with all of
+   compatible size.  No link between components is lost, whatever the sizes.
 
 Words are maximal runs other than white space, A-Z folded.  A text of fewer than five words has one
 shingle; one without words (null, empty, blank) has none and links with nothing.  Rows with equal
-sets link.  A null id never becomes a component's id unless no other is in it.
+sets link.  A null id never becomes a component's id unless no other is in it.  Texts of any length
+are taken whole, an empty table gives an empty result, rows that occur twice are two rows, and other
+columns of the input, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -32,16 +35,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestor.llm.common import Scratch, by_bytes, map_arrow, mix64, shingles, text_bytes, word_hashes
+from attestor.llm.common import Scratch, by_bytes, fresh, map_arrow, mix64, shingles, text_bytes, word_hashes
 
 #: Similarity as a fraction; holders of a shingle that are paired with each other directly.
-NUMERATOR, DENOMINATOR, SMALL_RUN = 3, 4, 32
-#: Prefix shingles in a shuffled bucket; common shingles known to every worker (4 bytes each).
+NUMERATOR, DENOMINATOR, SMALL_RUN = 3, 4, 64
+#: Prefix shingles in a shuffled bucket; common shingles known to every worker (8 bytes each).
 BUCKET, COMMON = 1_500_000, 1 << 18
-#: Pairs that are compared in one round however many nodes they have.
-SMALL_ROUND = 20_000
+#: Shingles that one round of comparisons may move, beside half of all.
+SMALL_ROUND = 10_000_000
 #: Members of two groups that are paired directly.
 SMALL_PRODUCT = 256
+#: Keys that a worker remembers to leave copies out early; bounds its memory, not the result.
+REMEMBERED = 200_000
 
 
 def sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
@@ -54,22 +59,52 @@ def sets(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray,
             yield a + i, s, hashlib.blake2b(s, digest_size=16).digest()
 
 
+def new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[np.ndarray, bytes]]]:
+    """(shingles, node key) of each batch's nodes, without most of those that came before."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        found = []
+        for _, s, key in sets(batch, 0):
+            if key not in seen:
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(key)
+                found.append((s, key))
+        yield found
+
+
 def prefix_length(n: int) -> int:
     return n - (NUMERATOR * n + DENOMINATOR - 1) // DENOMINATOR + 1
 
 
+#: Sizes are shuffled as one byte, in steps of 6 %; comparisons of classes only err on the safe side.
+_STEPS = np.unique(np.ceil(1.06 ** np.arange(1, 300)).astype(np.int64))[:255]
+
+
 def size_class(n: np.ndarray) -> np.ndarray:
-    """Sizes within the similarity of each other are at most one class apart."""
-    return np.floor(np.log(np.maximum(n, 1)) / np.log(DENOMINATOR / NUMERATOR) + 1e-9).astype(np.uint8)
+    return np.searchsorted(_STEPS, n, "right").astype(np.uint8)
 
 
-SKETCH = 16  # 64-bit words
+def largest_partner(n: int, position: np.ndarray) -> np.ndarray:
+    """The size that a set may have to link with one of size n, if their first shared shingle is at the position.
+
+    The overlap is at most n - position, and a link needs (n + m) * t / (1 + t).
+    """
+    return (DENOMINATOR + NUMERATOR) * (n - position) // NUMERATOR - n
+
+
+SKETCH, MINIMA = 16, 4  # 64-bit words of parities; MinHash values
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """For each of 1024 hash values the parity of the number of shingles that have it."""
+    """For each of 1024 hash values the parity of the number of shingles that have it, then MinHash values."""
     parity = (np.bincount((s & np.uint64(1023)).astype(np.int64), minlength=1024) & 1).astype(np.uint8)
-    return np.packbits(parity).view(np.int64)
+    low = s & np.uint64(0xFFFFFFFF)
+    return np.concatenate([np.packbits(parity).view(np.int64), np.array([s[0], s[-1], low.min(), low.max()], np.uint64).view(np.int64)])
+
+
+def _differ(a: str, b: str) -> Column:
+    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH)), F.lit(0))
 
 
 def _alike(a: str, b: str) -> Column:
@@ -77,9 +112,19 @@ def _alike(a: str, b: str) -> Column:
 
     Linked sets differ in at most (|x| + |y|) * (1 - t) / (1 + t) shingles.
     """
-    differ = sum((F.bit_count(F.get(f"sketch{a}", F.lit(i)).bitwiseXOR(F.get(f"sketch{b}", F.lit(i)))) for i in range(SKETCH)), F.lit(0))
     most = (F.col(f"n{a}") + F.col(f"n{b}")) * (DENOMINATOR - NUMERATOR)
-    return _fits(f"n{a}", f"n{b}") & (differ * (DENOMINATOR + NUMERATOR) <= most)
+    fits = DENOMINATOR * F.least(f"n{a}", f"n{b}") >= NUMERATOR * F.greatest(f"n{a}", f"n{b}")
+    return fits & (_differ(f"sketch{a}", f"sketch{b}") * (DENOMINATOR + NUMERATOR) <= most)
+
+
+def _pair() -> list[Column]:
+    """a < b, the sum of their sizes, and the share in which the sketches differ, of columns with suffixes x and y."""
+    size = F.col("nx") + F.col("ny")
+    return [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), size.alias("size"), F.floor(1000 * _differ("sketchx", "sketchy") / size).alias("d")]
+
+
+def _side(nodes: DataFrame, suffix: str, *keys: str | Column) -> DataFrame:
+    return nodes.select(*keys, F.col("node").alias(suffix), F.col("n").alias(f"n{suffix}"), F.col("sketch").alias(f"sketch{suffix}"))
 
 
 def _nodes(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -108,53 +153,68 @@ def _bucket(token: np.ndarray, buckets: int) -> np.ndarray:
     return ((token.astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
-def _common(docs: DataFrame, text: str, buckets: int) -> np.ndarray:
-    """32-bit shingles that more than ``SMALL_RUN`` nodes have in their hash-order prefix, the most frequent first kept."""
+def _common(docs: DataFrame, text: str, buckets: int, own: Scratch) -> np.ndarray:
+    """32-bit shingles of more than ``SMALL_RUN`` sets, ``COMMON`` at most, in the order of their frequency.
+
+    Sorted 32-bit shingles are packed as differences, in some 2 bytes each.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
         held: list[np.ndarray] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            tokens = np.concatenate([np.zeros(0, np.uint32), *held])
-            dealt = list(_deal(_bucket(tokens, buckets), tokens))
+            tokens = np.sort(np.concatenate([np.zeros(0, np.uint32), *held]))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in dealt], pa.int32()), pa.array([c[0].tobytes() for _, c in dealt], pa.binary())], ["bucket", "payload"])
-
-        for batch in batches:
-            for _, s, key in sets(batch, 0):
-                if key not in seen:
-                    seen.add(key)
-                    held.append((s[: prefix_length(len(s))] >> np.uint64(32)).astype(np.uint32))
-                    size += len(held[-1])
-            if size > 2_000_000:
+            ends = np.searchsorted(_bucket(tokens, buckets), np.arange(buckets + 1))
+            at = np.flatnonzero(np.diff(ends))
+            packed = [pa.compress(np.diff(tokens[ends[k] : ends[k + 1]], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True) for k in at]
+            sizes = np.diff(ends)[at]
+            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())], ["bucket", "size", "payload"])
+
+        for found in new_sets(batches):
+            for s, _ in found:
+                held.append((s >> np.uint64(32)).astype(np.uint32))
+                size += len(s)
+            if size > 4_000_000:
                 yield flush()
                 size = 0
         yield flush()
 
     def often(frame: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.sort(np.concatenate([np.frombuffer(x, np.uint32) for x in frame["payload"]]))
+        planes = (np.frombuffer(pa.decompress(x, 4 * int(n), "zstd"), np.uint8).reshape(4, -1) for n, x in zip(frame["size"], frame["payload"], strict=True))
+        tokens = np.sort(np.concatenate([np.cumsum(np.ascontiguousarray(x.T).view(np.uint32).ravel(), dtype=np.uint32) for x in planes]))
         edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         n = np.diff(np.concatenate([edge, [len(tokens)]]))
         return pd.DataFrame({"token": tokens[edge[n > SMALL_RUN]].astype(np.int64), "n": n[n > SMALL_RUN].astype(np.int64)})
 
-    packed = map_arrow(docs.select(F.col(text).alias("text")), count, "bucket int, payload binary")
-    rows = packed.groupBy("bucket").applyInPandas(often, "token bigint, n bigint").orderBy(F.desc("n"), "token").limit(COMMON).collect()
-    return np.sort(np.array([r["token"] for r in rows], np.uint32))
+    packed = map_arrow(docs.select(F.col(text).alias("text")), count, "bucket int, size int, payload binary")
+    counts = own.save(packed.groupBy("bucket").applyInPandas(often, "token bigint, n bigint").withColumn("class", F.floor(8 * F.log2("n"))), "common")
+    least, room = None, COMMON
+    for r in sorted(counts.groupBy("class").count().collect(), reverse=True):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["class"]
+    if least is None:
+        return np.zeros(0, np.uint32)
+    rows = sorted((r["n"], r["token"]) for r in counts.where(F.col("class") >= least).select("n", "token").collect())
+    return np.array([t for _, t in rows], np.uint32)
 
 
-_INDEX = "kind int, a bigint, b bigint, n bigint, node binary, sketch array<bigint>"
+_INDEX = "kind int, a bigint, b bigint, n int, u int, node binary, sketch array<bigint>"
 
 
 def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> DataFrame:
-    """Rows of kind 0: a pair of groups (a, b); 1: group a holds shingle b; 2: node with its sketch is in group a of size n."""
+    """Rows of kind 0: a pair of groups (a, b); 1: group a holds shingle b, with its size class n and
+    that of its largest partner u; 2: node with its sketch is in group a of size n."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
+    width = SKETCH + MINIMA
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = shared.value
-        seen: set[bytes] = set()
-        out: list[list] = []  # of each node: group, size, node, rare and common prefix shingles
+        rank = np.argsort(shared.value, kind="stable")
+        common = shared.value[rank]
+        out: list[list] = []  # of each node: group, size, node, (shingle, position) of the rare and of the common, sketch
         size = 0
 
         def flush() -> pa.RecordBatch:
@@ -162,37 +222,42 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
             kinds, at, payloads = [], [], []
             groups = np.array([x[0] for x in out], np.uint64)
             for kind, place in ((0, 3), (1, 4)):
-                tokens = np.concatenate([np.zeros(0, np.uint32), *(x[place] for x in out)])
-                counts = [len(x[place]) for x in out]
+                tokens = np.concatenate([np.zeros(0, np.uint32), *(x[place][0] for x in out)])
+                most = np.concatenate([np.zeros(0, np.uint8), *(x[place][1] for x in out)])
+                counts = [len(x[place][0]) for x in out]
                 g = np.repeat(groups, counts)
                 n = np.repeat(size_class(np.array([x[1] for x in out], np.int64)), counts)
                 # Holders of a common shingle are spread by group, as they are passed on row by row.
-                for k, c in _deal(_bucket(tokens, buckets) if kind == 0 else (mix64(g + tokens) % np.uint64(buckets)).astype(np.int64), tokens, g, n):
+                for k, c in _deal(_bucket(tokens, buckets) if kind == 0 else (mix64(g + tokens) % np.uint64(buckets)).astype(np.int64), tokens, g, n, most):
                     kinds.append(kind), at.append(k), payloads.append(b"".join(x.tobytes() for x in c))
             nodes = np.array([np.frombuffer(x[2], np.uint8) for x in out], np.uint8).reshape(-1, 16)
-            sketches = np.array([x[5] for x in out], np.int64).reshape(-1, SKETCH)
+            sketches = np.array([x[5] for x in out], np.int64).reshape(-1, width)
             for k, (g, n, o) in _deal((groups % np.uint64(buckets)).astype(np.int64), groups, np.array([x[1] for x in out], np.uint32), np.arange(len(out))):
                 kinds.append(2), at.append(k), payloads.append(g.tobytes() + n.tobytes() + nodes[o].tobytes() + sketches[o].tobytes())
             out = []
             return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(kinds, pa.int32()), pa.array(payloads, pa.binary())], ["bucket", "kind", "payload"])
 
-        for batch in batches:
-            for _, s, key in sets(batch, 0):
-                if key in seen:
-                    continue
-                seen.add(key)
-                p = prefix_length(len(s))
+        for found in new_sets(batches):
+            for s, key in found:
+                n = len(s)
+                p = prefix_length(n)
                 token = (s >> np.uint64(32)).astype(np.uint32)
                 if len(common):
                     where = np.searchsorted(common, token)
                     where[where == len(common)] = 0
                     last = common[where] == token
                     rare = np.flatnonzero(~last)[:p]
-                    rest = np.flatnonzero(last)[: p - len(rare)]
+                    rest = np.flatnonzero(last)
+                    rest = rest[np.argsort(rank[where[rest]], kind="stable")][: p - len(rare)]
                 else:
                     rare, rest = np.arange(p), np.zeros(0, np.int64)
-                group = hashlib.blake2b(s[rare].tobytes() + b"|" + s[rest].tobytes() + len(s).to_bytes(8, "little"), digest_size=8).digest()
-                out.append([int.from_bytes(group, "little"), len(s), key, np.unique(token[rare]), np.unique(token[rest]), sketch(s)])
+                most = size_class(largest_partner(n, np.arange(p)))
+                group = hashlib.blake2b(s[rare].tobytes() + b"|" + s[rest].tobytes() + n.to_bytes(8, "little"), digest_size=8).digest()
+                entries = []
+                for chosen, bound in ((rare, most[: len(rare)]), (rest, most[len(rare) :])):
+                    t, first = np.unique(token[chosen], return_index=True)
+                    entries.append((t, bound[first]))
+                out.append([int.from_bytes(group, "little"), n, key, *entries, sketch(s)])
                 size += p
             if size > 1_000_000:
                 yield flush()
@@ -202,242 +267,210 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
     def pair(frame: pd.DataFrame) -> pd.DataFrame:
         made: list[pd.DataFrame] = []
 
-        def add(kind: int, a: np.ndarray, b: np.ndarray | int = 0, n: np.ndarray | int = 0, node: list | None = None, bits: list | None = None) -> None:
+        def add(kind: int, a: np.ndarray, b: np.ndarray | int = 0, n: np.ndarray | int = 0, u: np.ndarray | int = 0, node: list | None = None, bits: list | None = None) -> None:
             objects = (pd.Series(x if x is not None else [None] * len(a), range(len(a)), dtype=object) for x in (node, bits))
-            made.append(pd.DataFrame({"kind": kind, "a": a.view(np.int64), "b": b, "n": n} | dict(zip(("node", "sketch"), objects, strict=True)), index=range(len(a))))
+            made.append(pd.DataFrame({"kind": kind, "a": a.view(np.int64), "b": b, "n": n, "u": u} | dict(zip(("node", "sketch"), objects, strict=True)), index=range(len(a))))
 
         parts: dict[int, list[list[np.ndarray]]] = {0: [], 1: []}
         for kind, payload in zip(frame["kind"], frame["payload"], strict=True):
             if kind == 2:
-                m = len(payload) // (28 + 8 * SKETCH)
+                m = len(payload) // (28 + 8 * width)
                 nodes = [payload[12 * m + 16 * i : 12 * m + 16 * i + 16] for i in range(m)]
-                bits = list(np.frombuffer(payload, np.int64, SKETCH * m, 28 * m).reshape(m, SKETCH)) if m else []
-                add(2, np.frombuffer(payload, np.uint64, m).copy(), 0, np.frombuffer(payload, np.uint32, m, 8 * m).astype(np.int64), nodes, bits)
+                bits = list(np.frombuffer(payload, np.int64, width * m, 28 * m).reshape(m, width)) if m else []
+                add(2, np.frombuffer(payload, np.uint64, m).copy(), 0, np.frombuffer(payload, np.uint32, m, 8 * m).astype(np.int64), 0, nodes, bits)
             else:
-                m = len(payload) // 13
-                parts[kind].append([np.frombuffer(payload, np.uint32, m), np.frombuffer(payload, np.uint64, m, 4 * m), np.frombuffer(payload, np.uint8, m, 12 * m)])
+                m = len(payload) // 14
+                parts[kind].append([np.frombuffer(payload, np.uint32, m), np.frombuffer(payload, np.uint64, m, 4 * m), np.frombuffer(payload, np.uint8, m, 12 * m), np.frombuffer(payload, np.uint8, m, 13 * m)])
         if parts[1]:
-            t, g, n = (np.concatenate(c) for c in zip(*parts[1], strict=True))
-            add(1, g, t.astype(np.int64))
+            t, g, n, u = (np.concatenate(c) for c in zip(*parts[1], strict=True))
+            add(1, g, t.astype(np.int64), n, u)
         if parts[0]:
-            t, g, n = (np.concatenate(c) for c in zip(*parts[0], strict=True))
+            t, g, n, u = (np.concatenate(c) for c in zip(*parts[0], strict=True))
             order = np.argsort(t, kind="stable")
             t = t[order]
             twice = np.zeros(len(t), bool)
             twice[1:] = t[1:] == t[:-1]
             twice[:-1] |= twice[1:].copy()
             order, t = order[twice], t[twice]
-            g, n = g[order], n[order].astype(np.int64)
-            order = np.lexsort((g, t))
-            t, g, n = t[order], g[order], n[order]
+            g = g[order]
+            o = np.lexsort((g, t))
+            t, g, order = t[o], g[o], order[o]
             once = np.ones(len(t), bool)
             once[1:] = (t[1:] != t[:-1]) | (g[1:] != g[:-1])
-            t, g, n = t[once], g[once], n[once]
+            t, g, order = t[once], g[once], order[once]
+            n, u = n[order], u[order]
             edge = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, np.int64)
             run = np.diff(np.concatenate([edge, [len(t)]])) if len(t) else np.zeros(0, np.int64)
             large = np.repeat(run > SMALL_RUN, run)
             if large.any():
-                add(1, g[large], t[large].astype(np.int64))
-            t, g, n = t[~large], g[~large], n[~large]
+                add(1, g[large], t[large].astype(np.int64), n[large], u[large])
+            t, g, n, u = t[~large], g[~large], n[~large], u[~large]
             found = []
             for d in range(1, SMALL_RUN):
                 same = np.flatnonzero(t[d:] == t[:-d])
                 if not len(same):
                     break
-                same = same[np.abs(n[same] - n[same + d]) <= 1]
+                same = same[(n[same] <= u[same + d]) & (n[same + d] <= u[same])]
                 found.append(np.stack([g[same], g[same + d]], 1))
             if found:
-                pairs = np.unique(np.concatenate(found), axis=0)
+                pairs = np.concatenate(found)
+                pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+                pairs = pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])] if len(pairs) else pairs
                 add(0, pairs[:, 0].copy(), pairs[:, 1].copy().view(np.int64))
-        return pd.concat(made) if made else pd.DataFrame({c: pd.Series([], dtype=object) for c in ("kind", "a", "b", "n", "node", "sketch")})
+        return pd.concat(made) if made else pd.DataFrame({c: pd.Series([], dtype=object) for c in ("kind", "a", "b", "n", "u", "node", "sketch")})
 
     packed = map_arrow(docs.select(F.col(text).alias("text")), emit, "bucket int, kind int, payload binary")
     return packed.groupBy("bucket").applyInPandas(pair, _INDEX)
 
 
+#: Bits of the filter in one row, and in all at most (32 MB).
+_PIECE, _FILTER = 19, 28
+
+
 def _filter_bits(nodes: DataFrame, n: int) -> np.ndarray:
     """A one-hash Bloom filter of node keys, of at most 32 MB however many they are."""
-    bits = min(max(16, int(n * 12).bit_length()), 28)
+    bits = min(max(_PIECE, int(n * 12).bit_length()), _FILTER)
     key = F.conv(F.substring(F.hex("node"), 1, 12), 16, 10).cast("bigint")
-    places = nodes.select(F.pmod(key, F.lit(1 << bits)).alias("p"))
-    rows = places.groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("m"))
-    out = np.zeros(1 << (bits - 6), np.int64)
-    for r in rows.toLocalIterator():
-        out[r["w"]] = r["m"]
-    return out.view(np.uint64)
+    places = nodes.select(F.pmod(key, F.lit(1 << bits)).alias("p")).distinct().select(F.shiftright("p", _PIECE).alias("piece"), "p")
+
+    def piece(frame: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(1 << _PIECE, np.uint8)
+        flags[frame["p"].to_numpy() & ((1 << _PIECE) - 1)] = 1
+        return pd.DataFrame({"piece": frame["piece"].iloc[:1], "bits": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    size = 1 << (_PIECE - 3)
+    for r in places.groupBy("piece").applyInPandas(piece, "piece bigint, bits binary").collect():
+        out[r["piece"] * size : (r["piece"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
-def _sets(docs: DataFrame, text: str, bloom: np.ndarray, whole: bool) -> DataFrame:
-    """Shingles of the nodes that the filter holds, each node once: all 64 bits, or 32."""
+def _sets(docs: DataFrame, text: str, bloom: np.ndarray) -> DataFrame:
+    """Shingles of the nodes that the filter holds, each node once."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        mask = 64 * len(words) - 1
-        seen: set[bytes] = set()
-        for batch in batches:
-            nodes, packed = [], []
-            for _, s, key in sets(batch, 0):
-                p = int.from_bytes(key[:6], "big") & mask
-                if int(words[p >> 6]) >> (p & 63) & 1 and key not in seen:
-                    seen.add(key)
-                    nodes.append(key), packed.append((s if whole else (s >> np.uint64(32)).astype(np.uint32)).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(packed, pa.binary())], ["node", "set"])
+        flags = shared.value
+        mask = 8 * len(flags) - 1
+        for found in new_sets(batches):
+            places = [int.from_bytes(key[:6], "big") & mask for _, key in found]
+            chosen = [x for x, p in zip(found, places, strict=True) if flags[p >> 3] >> (p & 7) & 1]
+            for at in range(0, len(chosen), 64):
+                part = chosen[at : at + 64]
+                yield pa.RecordBatch.from_arrays([pa.array([k for _, k in part], pa.binary()), pa.array([s.tobytes() for s, _ in part], pa.binary())], ["node", "set"])
 
     return map_arrow(docs.select(F.col(text).alias("text")), work, "node binary, set binary").dropDuplicates(["node"])
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
-    """Equal elements of two sorted arrays, repeats matched one to one at most; never fewer than are shared."""
+    """Elements that two sorted arrays without repeats share."""
     both = np.concatenate([x, y])
     both.sort()
-    same = int((both[1:] == both[:-1]).sum())
-    return min(same, len(x), len(y))
+    return int((both[1:] == both[:-1]).sum())
 
 
-def _compare(pairs: DataFrame, docs: DataFrame, text: str, whole: bool) -> DataFrame:
-    """(a, b, sure) of the pairs that link, or may: ``sure`` is false where 32 bits leave doubt."""
-    n = pairs.count()
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    found = _sets(docs, text, _filter_bits(wanted, 2 * n), whole)
-    kind = np.uint64 if whole else np.uint32
+def _compare(pairs: DataFrame, n: int, docs: DataFrame, text: str) -> DataFrame:
+    """The pairs (a, b) that link, of n pairs."""
+    found = _sets(docs, text, _filter_bits(pairs.select(F.explode(F.array("a", "b")).alias("node")), 2 * n))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sure, maybe = [], []
+            linked = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)
-                total, o = len(x) + len(y), overlap(x, y)
-                # Chance equalities of 32-bit values: more than this many are next to impossible.
-                slack = 0 if whole else 3 + 64 * len(x) * len(y) // (1 << 32)
-                maybe.append(DENOMINATOR * o >= NUMERATOR * (total - o))
-                o -= slack
-                sure.append(DENOMINATOR * o >= NUMERATOR * (total - o))
-            keep = pa.array(maybe, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(sure, pa.bool_()).filter(keep)], ["a", "b", "sure"])
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                o = overlap(x, y)
+                linked.append(DENOMINATOR * o >= NUMERATOR * (len(x) + len(y) - o))
+            keep = pa.array(linked, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
     one, two = (found.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
-    return map_arrow(joined, work, "a binary, b binary, sure boolean")
+    joined = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
+    return map_arrow(joined, work, "a binary, b binary")
 
 
 def _release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of rounds that are over: it does so once nothing refers to them."""
+    """Let Spark delete the shuffle files of what is over: it does so once nothing refers to them."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
-class _Links:
-    """Verified links and the components that they form, grown round by round.
+def _leaders(holders: DataFrame) -> DataFrame:
+    """Pairs of every holder of a key k with the smallest that has the same MinHash value there, for each of the values."""
+    values = F.array(*(F.xxhash64(F.lit(i), F.get("sketch", F.lit(SKETCH + i))) for i in range(MINIMA)))
+    dealt = holders.select("k", "node", "n", "sketch", F.explode(values).alias("value"))
+    first = dealt.groupBy("k", "value").agg(F.min(F.struct("node", "n", "sketch")).alias("s"), F.count("*").alias("c")).where("c > 1")
+    return _side(dealt, "x", "k", "value").join(_side(first.select("k", "value", "s.*"), "y", "k", "value"), ["k", "value"]).where(F.col("x") > F.col("y")).where(_alike("x", "y"))
 
-    A pair whose nodes are connected already is never compared.  Pairs that 32 bits leave in doubt
-    wait until the end and are compared on 64 bits if their nodes are still apart then.
-    """
 
-    def __init__(self, docs: DataFrame, text: str, own: Scratch):
-        self.docs, self.text, self.own, self.step, self.most = docs, text, own, 0, 0
+def components(edges: DataFrame, own: Scratch, name: str) -> DataFrame:
+    """(node, root) of every node in an edge (a, b), the root being the component's smallest node.
+
+    Every node points to its smallest neighbour if that is smaller; pointers are followed for four
+    steps, edges are moved along them, and so on until no edge is left.
+    """
+    ends = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    first = ends = own.save(ends, f"{name}-0")
+    moves: list[DataFrame] = []
+    while not ends.isEmpty():
+        step = ends.groupBy("u").agg(F.min("v").alias("v"))
+        for i in range(2):
+            step = own.save(step, f"{name}-{len(moves)}-{i}")
+            step = step.join(step.select(F.col("u").alias("v"), F.col("v").alias("w")), "v", "left").select("u", F.coalesce("w", "v").alias("v"))
+        step = own.save(step, f"{name}-{len(moves)}-2")
+        moves.append(step)
+        one, two = (step.select(F.col("u").alias(c), F.col("v").alias(f"{c}{c}")) for c in "uv")
+        moved = ends.join(one, "u").join(two, "v", "left").select(F.col("uu").alias("a"), F.coalesce("vv", "v").alias("b")).where("a <> b")
+        ends = own.save(moved.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-{len(moves)}")
+    at = first.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("root", F.col("node"))
+    for step in moves:
+        at = at.join(step.select(F.col("u").alias("root"), F.col("v").alias("next")), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    return own.save(at, f"{name}-roots")
+
+
+class _Components:
+    """Verified links and the components that they form, grown round by round; pairs inside one component are never compared."""
+
+    def __init__(self, docs: DataFrame, text: str, own: Scratch, most: int):
+        self.docs, self.text, self.own, self.most, self.step = docs, text, own, most, 0
         self.roots: DataFrame | None = None
-        self.doubt: DataFrame | None = None
+
+    def rooted(self, nodes: DataFrame, column: str, root: str) -> DataFrame:
+        if self.roots is None:
+            return nodes.withColumn(root, F.col(column))
+        return nodes.join(self.roots.select(F.col("node").alias(column), F.col("root").alias(f"_{root}")), column, "left").withColumn(root, F.coalesce(f"_{root}", column)).drop(f"_{root}")
 
     def apart(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose nodes are in different components so far."""
-        if self.roots is None:
-            return pairs
-        one, two = (self.roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
-        placed = pairs.join(one, "a", "left").join(two, "b", "left")
-        return placed.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+        return self.rooted(self.rooted(pairs, "a", "ra"), "b", "rb").where("ra <> rb").select(*pairs.columns)
 
-    def _add(self, links: DataFrame) -> None:
-        if not links.isEmpty():
-            known = links if self.roots is None else links.unionByName(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            self.roots = components(known, self.own, f"components-{self.step}")
+    def compare(self, pairs: DataFrame, n: int) -> None:
+        """Verify n pairs and join the components of those that link."""
+        self.step += 1
+        links = self.own.save(_compare(pairs, n, self.docs, self.text), f"links-{self.step}")
+        known = links if self.roots is None else links.unionByName(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        self.roots = components(known, self.own, f"components-{self.step}")
+        _release(self.docs.sparkSession)
 
     def grow(self, pairs: DataFrame) -> None:
-        """Compare pairs until none is left whose nodes are apart.
-
-        First every node is compared with one of its smaller partners, drawn by hash.  Later rounds
-        take what is left in equal random parts of at most as many pairs as the first, so that no
-        round moves more sets than the first did.
-        """
-        pairs = self.own.save(self.apart(pairs), f"open-{self.step}")
-        left = pairs.count()
-        while left:
-            self.step += 1
-            if not self.most and left > SMALL_ROUND:
-                drawn = pairs.groupBy("b").agg(F.min_by("a", F.xxhash64("a", "b")).alias("a")).select("a", "b")
-                now = self.own.save(drawn, f"drawn-{self.step}")
-                self.most = now.count()
-                rest = pairs.join(now, ["a", "b"], "left_anti")
-            else:
-                parts = -(-left // max(self.most, SMALL_ROUND))
-                part = F.pmod(F.xxhash64("a", "b", F.lit(self.step)), F.lit(parts))
-                now, rest = (pairs, None) if parts == 1 else (pairs.where(part == 0), pairs.where(part > 0))
-            found = self.own.save(_compare(now, self.docs, self.text, whole=False), f"found-{self.step}")
-            doubt = found.where("not sure").select("a", "b")
-            self.doubt = doubt if self.doubt is None else self.doubt.unionByName(doubt)
-            self._add(found.where("sure").select("a", "b"))
-            _release(self.docs.sparkSession)
-            if rest is None:
-                break
-            pairs = self.own.save(self.apart(rest), f"open-{self.step}")
-            left = pairs.count()
-
-    def finish(self) -> None:
-        """Settle what is in doubt."""
-        if self.doubt is None:
-            return
-        doubt = self.own.save(self.apart(self.doubt).distinct(), "doubt")
-        if not doubt.isEmpty():
-            self.step += 1
-            self._add(self.own.save(_compare(doubt, self.docs, self.text, whole=True).select("a", "b"), "found-64"))
-
-
-def _leader_tree(holders: DataFrame, own: Scratch) -> DataFrame:
-    """Pairs (a, b) that connect all holders of every key k along a tree; no node leads many in a key."""
-    most = holders.groupBy("k").count().agg(F.max("count").alias("m")).first()["m"] or 0
-    level, parts, pairs = holders.select("k", "node"), int(most), []
-    while parts > 1:
-        parts = -(-parts // SMALL_RUN)
-        # Holders are dealt by hash, so a list has about SMALL_RUN nodes.
-        lists = level.groupBy("k", F.pmod(F.xxhash64("node"), F.lit(parts)).alias("s")).agg(F.array_sort(F.collect_set("node")).alias("l"))
-        lists = own.save(lists, f"tree-{len(pairs)}")
-        pairs.append(lists.where(F.size("l") > 1).select(F.col("l")[0].alias("a"), F.explode(F.slice("l", F.lit(2), F.size("l"))).alias("b")))
-        level = lists.select("k", F.col("l")[0].alias("node"))
-    out = holders.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
-    for p in pairs:
-        out = out.unionByName(p)
-    return out
-
-
-def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(node, root) of every node in a link, the root being the component's smallest node.
-
-    Large-star and small-star steps alternate until the edges stay as they are.
-    """
-    edges = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
-    state, step = None, 0
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch.save(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-{step}-l")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = scratch.save(large, f"{name}-{step}-e")
-        least = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-{step}-s")
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        step += 1
-        new = scratch.save(small, f"{name}-{step}")
-        now = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == state:
-            break
-        state, edges = now, new
-    roots = new.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return scratch.save(new.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots), f"{name}-roots")
+        """Compare pairs until none is left whose nodes are apart, each round moving ``most`` shingles or so."""
+        while True:
+            pairs = self.own.save(self.apart(pairs), f"open-{self.step}")
+            n, size = pairs.agg(F.count("*"), F.sum("size")).first()
+            if not n:
+                return
+            parts = -(-size // self.most)
+            part = F.pmod(F.xxhash64("a", "b", F.lit(self.step)), F.lit(parts))
+            self.compare(pairs.where(part == 0) if parts > 1 else pairs, -(-n // parts))
+            if parts == 1:
+                return
+            pairs = pairs.where(part > 0)
 
 
 def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) for every row."""
     own = Scratch(docs.sparkSession)
-    rows = label(docs, id_column, text, own)
-    return own.keep_for(rows.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id"))
+    rows = own.save(label(docs, id_column, text, own), "labelled")
+    return own.keep_for(rows.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id"), "labelled")
 
 
 def representatives(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -448,21 +481,19 @@ def representatives(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     own = Scratch(docs.sparkSession)
     rows = own.save(label(docs, id_column, text, own), "labelled").where("n > 0")
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h")).alias("s"), F.count("*").alias("c"))
-    first = own.save(first.where("c > 1").select("root", F.col("s.id").alias("first_id"), F.col("s.h").alias("first_h")), "first")
+    first = first.where("c > 1").select("root", F.col("s.id").alias("first_id"), F.col("s.h").alias("first_h"))
     member = rows.join(first, "root").withColumn("stays", F.col("id").eqNullSafe(F.col("first_id")) & (F.col("h") == F.col("first_h")))
-    member = own.save(member.groupBy("id", "h").agg(F.max("stays").alias("stays"), F.count("*").alias("c")), "members-of-many")
+    member = own.save(member.groupBy("id", "h").agg(F.max("stays").alias("stays"), F.count("*").alias("c")).where("not stays or c > 1"), "of-many")
+    hashed = fresh(docs, "hash")
 
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("__h", F.xxhash64(text))
+    def among(base: DataFrame, few: DataFrame, how: str) -> DataFrame:
+        return base.join(few, base[id_column].eqNullSafe(few["id"]) & (base[hashed] == few["h"]), how)
 
-    gone = own.save(member.where("not stays").select("id", "h"), "gone")
-    twice = own.save(member.where("stays and c > 1").select("id", "h"), "twice")
-    base = keyed(docs)
-    kept = base.join(gone, base[id_column].eqNullSafe(gone["id"]) & (base["__h"] == gone["h"]), "left_anti")
+    gone, twice = (member.where(x).select("id", "h") for x in ("not stays", "stays"))
+    kept = among(docs.withColumn(hashed, F.xxhash64(text)), gone, "left_anti")
     if not twice.isEmpty():
-        on = kept[id_column].eqNullSafe(twice["id"]) & (kept["__h"] == twice["h"])
-        kept = kept.join(twice, on, "left_anti").unionByName(kept.join(twice, on, "left_semi").dropDuplicates([id_column, text]))
-    return own.keep_for(kept.drop("__h"))
+        kept = among(kept, twice, "left_anti").unionByName(among(kept, twice, "left_semi").dropDuplicates([id_column, text]))
+    return own.keep_for(kept.drop(hashed), "of-many")
 
 
 def label(docs: DataFrame, id_column: str, text: str, own: Scratch) -> DataFrame:
@@ -471,54 +502,66 @@ def label(docs: DataFrame, id_column: str, text: str, own: Scratch) -> DataFrame
     The verified links connect exactly the documents that the full set of links connects.
     """
     nodes = own.save(_nodes(docs, id_column, text), "documents")
-    total = nodes.where("n > 0").agg(F.sum(F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1).alias("t")).first()["t"] or 0
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, parts, -(-int(total) // BUCKET))
-    common = _common(docs, text, buckets)
+    total, prefixes = nodes.where("n > 0").agg(F.sum("n"), F.sum(F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1)).first()
+    buckets = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(prefixes or 0) // BUCKET))
+    common = _common(docs, text, buckets, own)
+    _release(docs.sparkSession)
     index = own.save(_index(docs, text, buckets, common), "index")
-
-    members = index.where("kind = 2").groupBy(F.col("a").alias("g"), "node", "n").agg(F.first("sketch").alias("sketch"))
-    counts = members.groupBy("g").agg(F.count("*").alias("c"), F.min("node").alias("node"))
-    many = own.save(counts.where("c > 1").select("g", "c"), "many")
-    group_pairs = index.where("kind = 0").select("a", "b").distinct()
-    sized = group_pairs.join(many.select(F.col("g").alias("a"), F.col("c").alias("ca")), "a", "left").join(many.select(F.col("g").alias("b"), F.col("c").alias("cb")), "b", "left")
+    _release(docs.sparkSession)
+
+    member = index.where("kind = 2").groupBy(F.col("a").alias("g"), "node", "n").agg(F.first("sketch").alias("sketch"))
+    member = own.save(member, "member")
+    many = own.save(member.groupBy("g").agg(F.count("*").alias("c")).where("c > 1"), "many")
+    sized = index.where("kind = 0").select("a", "b").distinct()
+    for c in "ab":
+        sized = sized.join(many.select(F.col("g").alias(c), F.col("c").alias(f"c{c}")), c, "left")
     sized = own.save(sized.select("a", "b", (F.coalesce("ca", F.lit(1)) * F.coalesce("cb", F.lit(1)) <= SMALL_PRODUCT).alias("small")), "group-pairs")
-    member = own.save(members, "members")
-    first, second = (member.select(F.col("g").alias(c), F.col("node").alias(f"node{c}"), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"sketch{c}")) for c in "ab")
-    direct = sized.where("small").join(first, "a").join(second, "b").where(_alike("a", "b")).select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b"))
-    # Keys whose holders are not paired directly: common shingles, groups of several members, large pairs of groups.
-    large = sized.where("not small").select(F.xxhash64("a", "b").alias("k"), F.explode(F.array("a", "b")).alias("g"))
-    holders = index.where("kind = 1").select(F.col("b").alias("k"), F.col("a").alias("g")).unionByName(large).unionByName(many.select(F.col("g").alias("k"), "g"))
-    holders = own.save(holders.distinct().join(member, "g").groupBy("k", "node", "n").agg(F.first("sketch").alias("sketch")), "holders")
-    star = _leader_tree(holders, own)
-    pairs = own.save(direct.unionByName(star).where("a <> b").distinct(), "pairs-1")
-    links = _Links(docs, text, own)
-    links.grow(pairs)
-
-    # What is left: holders of one key in different components.
-    if not holders.isEmpty():
-        if links.roots is None:
-            placed = holders.withColumn("root", F.col("node"))
-        else:
-            placed = holders.join(links.roots, "node", "left").select("k", "node", "n", "sketch", F.coalesce("root", "node").alias("root"))
-        placed = own.save(placed, "placed")
-        open_keys = own.save(placed.groupBy("k").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("k"), "open-keys")
-        rest = own.save(placed.join(open_keys, "k", "left_semi"), "open-holders")
-        one, two = (rest.select("k", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"sketch{c}"), F.col("root").alias(f"r{c}")) for c in "ab")
-        cross = one.join(two, "k").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _alike("a", "b")).select("a", "b").distinct()
-        links.grow(cross.join(pairs, ["a", "b"], "left_anti"))
-    links.finish()
-    roots = links.roots
-    if roots is None:
-        roots = nodes.select("node", F.col("node").alias("root")).where("false")
-
-    reps = nodes.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"))
-    known = own.save(reps.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "reps")
-    least = own.save(known.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
+    direct = sized.where("small").join(_side(member, "x", F.col("g").alias("a")), "a").join(_side(member, "y", F.col("g").alias("b")), "b").where(_alike("x", "y")).select(*_pair())
+
+    # Keys whose holders are not paired yet: common shingles, groups of several members, large pairs of groups.
+    keys = index.where("kind = 1").select(F.col("b").alias("k"), F.col("a").alias("g"), F.col("n").alias("class"), "u")
+    for more in (sized.where("not small").select(F.xxhash64("a", "b").alias("k"), F.explode(F.array("a", "b")).alias("g")), many.select(F.col("g").alias("k"), "g")):
+        keys = keys.unionByName(more.withColumns({"class": F.lit(0), "u": F.lit(255)}))
+    holders = own.save(keys.distinct().join(member, "g").select("k", "node", "n", "sketch", "class", "u"), "holders")
+    counts = own.save(holders.groupBy("k").agg(F.count("*").alias("c")).where("c > 1"), "keys")
+    few, large = (own.save(holders.join(counts.where(x).select("k"), "k"), name) for x, name in ((F.col("c") <= SMALL_RUN, "few"), (F.col("c") > SMALL_RUN, "large")))
+    pairs = direct.unionByName(_meet(few).select(*_pair())).unionByName(_leaders(large.where("u >= class")).select(*_pair()))
+    pairs = own.save(pairs.distinct(), "pairs")
+    _release(docs.sparkSession)
+
+    grown = _Components(docs, text, own, max(SMALL_ROUND, int(total or 0) // 2))
+    nearest = own.save(pairs.groupBy("b").agg(F.min(F.struct("d", "a", "size")).alias("s")).select("s.a", "b", "s.size"), "nearest")
+    if n := nearest.count():
+        grown.compare(nearest, n)
+    rest = pairs.join(nearest, ["a", "b"], "left_anti").select("a", "b", "size")
+    if not large.isEmpty():
+        placed = own.save(grown.rooted(large, "node", "root"), "placed")
+        open_keys = placed.groupBy("k").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("k")
+        cross = _meet(own.save(placed.join(open_keys, "k", "left_semi"), "open-holders"), apart=True).select(*_pair())
+        rest = rest.unionByName(cross.select("a", "b", "size").distinct().join(nearest, ["a", "b"], "left_anti")).distinct()
+    grown.grow(rest)
+
+    filled = nodes.where("n > 0")
+    known = own.save(grown.rooted(filled.groupBy("node").agg(F.min("id").alias("rep")), "node", "root"), "reps")
+    least = known.groupBy("root").agg(F.min("rep").alias("component_id"))
     places = own.save(known.join(least, "root").select("node", "root", "component_id"), "places")
-    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
-    return nodes.join(places, "node", "left").select("id", "h", "n", "root", component.alias("component_id"))
+    blank = nodes.where("n = 0").select("id", "h", "n", F.col("node").alias("root"), F.col("id").alias("component_id"))
+    return filled.join(places, "node").select("id", "h", "n", "root", "component_id").unionByName(blank)
 
 
-def _fits(a: str, b: str) -> Column:
-    return DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)
+def _meet(holders: DataFrame, apart: bool = False) -> DataFrame:
+    """Pairs of holders of one key that may link, or with ``apart`` those of them in different components.
+
+    Of two that may link one at least can have a partner of its own size (u >= class); these are
+    dealt to the sizes of their partners, so late holders never meet each other.
+    """
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DENOMINATOR / NUMERATOR)) + 1e-9).cast("int")
+    more = ["root"] if apart else []
+    early = holders.where("u >= class").withColumn("size", F.explode(F.array(step - 1, step, step + 1)))
+    one = _side(early, "x", "k", "size", F.col("class").alias("class_x"), F.col("u").alias("u_x"), *(F.col(c).alias("rx") for c in more))
+    two = _side(holders.withColumn("size", step), "y", "k", "size", F.col("class").alias("class_y"), F.col("u").alias("u_y"), *(F.col(c).alias("ry") for c in more))
+    once = (F.col("x") != F.col("y")) & ((F.col("u_y") < F.col("class_y")) | (F.col("x") < F.col("y")))
+    if apart:
+        once = once & (F.col("rx") != F.col("ry"))
+    fits = (F.col("class_x") <= F.col("u_y")) & (F.col("class_y") <= F.col("u_x"))
+    return one.join(two, ["k", "size"]).where(once & fits & _alike("x", "y"))

@@ -61,7 +61,7 @@ def corpus(seed, n=90):
 @pytest.mark.parametrize("small", [False, True])
 def test_against_brute_force(spark, monkeypatch, small):
     if small:
-        for name, value in (("SMALL_RUN", 3), ("SMALL_ROUND", 8), ("SMALL_PRODUCT", 1), ("BUCKET", 500), ("COMMON", 20)):
+        for name, value in (("SMALL_RUN", 3), ("SMALL_ROUND", 300), ("SMALL_PRODUCT", 1), ("BUCKET", 500), ("COMMON", 20)):
             monkeypatch.setattr(J, name, value)
     docs = corpus(5 + small)
     df = spark.createDataFrame([(d, t, "x", 1, b"y") for d, t in docs], "doc_id long, text string, n string, h int, node binary").repartition(3)
