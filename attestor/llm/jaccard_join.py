@@ -7,14 +7,16 @@
 3. Nodes with the same prefix and size form one group.  Two groups are paired where they share a prefix
    shingle and where what follows it in either can still hold the overlap that a link needs (a bound on
    the other's size).  A group whose shingle stands late can only meet one whose shingle stands early.
-4. Pairs are expanded to members.  Those whose 1024-bit parity sketches differ in more places than
-   two linked sets can are left out: every differing place is a shingle that only one set has.
-5. What is left is verified on whole sets of 64-bit shingles, in few rounds: first every node with its
-   most alike smaller partner, then the pairs whose nodes are in different components still.
+4. Pairs are expanded to members.  Those whose parity sketches (1024 bits, of longer sets also two to
+   four bits a shingle) differ in more places than two linked sets can are left out: every differing
+   place is a shingle that only one set has.
+5. What is left is verified on whole sets of 64-bit shingles, in few rounds: first every node with the
+   partner that has the most partners, then the pairs whose nodes are in different components still.
 6. A shingle (or group) with more than ``SMALL_RUN`` holders isn't expanded at first.  Its holders are
-   compared with leaders, the smallest holder with an equal MinHash value; after components are
-   formed, holders that are still apart are paired, those whose shingle stands early with all of
-   compatible size.  No link between components is lost, whatever the sizes.
+   compared with leaders, the key's and those with an equal MinHash value, a leader being the holder with
+   the most common shingles; after components are formed, holders that are still apart are paired, those
+   whose shingle stands early with all of compatible size.  No link between components is lost,
+   whatever the sizes.
 
 Words are maximal runs other than white space, A-Z folded.  A text of fewer than five words has one
 shingle; one without words (null, empty, blank) has none and links with nothing.  Rows with equal
@@ -96,35 +98,58 @@ def largest_partner(n: int, position: np.ndarray) -> np.ndarray:
 SKETCH, MINIMA = 16, 4  # 64-bit words of parities; MinHash values
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
-    """For each of 1024 hash values the parity of the number of shingles that have it, then MinHash values."""
-    parity = (np.bincount((s & np.uint64(1023)).astype(np.int64), minlength=1024) & 1).astype(np.uint8)
+def wide_words(n: int) -> int:
+    """Words of the wide sketch of a set of size n: two to four bits a shingle; none where the narrow one does as well."""
+    return 0 if n <= 32 * SKETCH else 1 << min(14, (2 * n - 1).bit_length() - 6)
+
+
+def _parities(s: np.ndarray, words: int) -> np.ndarray:
+    flags = (np.bincount((s & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1).astype(np.uint8)
+    return np.packbits(flags).view(np.int64)
+
+
+def sketch(s: np.ndarray, common: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of 1024 hash values the parity of the number of shingles that have it, MinHash values, and minus
+    the share of common shingles per mille; the wide sketch, the same for more hash values."""
     low = s & np.uint64(0xFFFFFFFF)
-    return np.concatenate([np.packbits(parity).view(np.int64), np.array([s[0], s[-1], low.min(), low.max()], np.uint64).view(np.int64)])
+    minima = np.array([s[0], s[-1], low.min(), low.max()], np.uint64).view(np.int64)
+    words = wide_words(len(s))
+    return np.concatenate([_parities(s, SKETCH), minima, np.array([-(1000 * common // len(s))])]), _parities(s, words) if words else np.zeros(0, np.int64)
 
 
-def _differ(a: str, b: str) -> Column:
-    return sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH)), F.lit(0))
+def _wide_differ(x: str, y: str) -> Column:
+    """Places in which two wide sketches differ; the longer one is folded, as a parity of twice the hash values holds one of half as many."""
+    words = F.least(F.size(x), F.size(y))
+
+    def folded(c: str) -> Column:
+        halves = F.zip_with(F.slice(c, F.lit(1), words), F.slice(c, words + 1, words), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(c) > words, halves).otherwise(F.col(c))
+
+    apart = F.zip_with(folded(x), folded(y), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.when((words > 0) & (F.greatest(F.size(x), F.size(y)) <= 2 * words), F.aggregate(apart, F.lit(0), lambda t, c: t + c)).otherwise(0)
 
 
 def _alike(a: str, b: str) -> Column:
-    """Sizes and sketches (columns n and sketch with the suffixes) that linked sets can have.
+    """Sizes and sketches (columns n, sketch and wide with the suffixes) that linked sets can have.
 
     Linked sets differ in at most (|x| + |y|) * (1 - t) / (1 + t) shingles.
     """
     most = (F.col(f"n{a}") + F.col(f"n{b}")) * (DENOMINATOR - NUMERATOR)
     fits = DENOMINATOR * F.least(f"n{a}", f"n{b}") >= NUMERATOR * F.greatest(f"n{a}", f"n{b}")
-    return fits & (_differ(f"sketch{a}", f"sketch{b}") * (DENOMINATOR + NUMERATOR) <= most)
+    narrow = sum((F.bit_count(F.get(f"sketch{a}", F.lit(i)).bitwiseXOR(F.get(f"sketch{b}", F.lit(i)))) for i in range(SKETCH)), F.lit(0))
+    return fits & (narrow * (DENOMINATOR + NUMERATOR) <= most) & (_wide_differ(f"wide{a}", f"wide{b}") * (DENOMINATOR + NUMERATOR) <= most)
 
 
 def _pair() -> list[Column]:
-    """a < b, the sum of their sizes, and the share in which the sketches differ, of columns with suffixes x and y."""
-    size = F.col("nx") + F.col("ny")
-    return [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), size.alias("size"), F.floor(1000 * _differ("sketchx", "sketchy") / size).alias("d")]
+    """a < b and the sum of their sizes, of columns with suffixes x and y."""
+    return [F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("nx") + F.col("ny")).alias("size")]
+
+
+_NODE = ("node", "n", "sketch", "wide")
 
 
 def _side(nodes: DataFrame, suffix: str, *keys: str | Column) -> DataFrame:
-    return nodes.select(*keys, F.col("node").alias(suffix), F.col("n").alias(f"n{suffix}"), F.col("sketch").alias(f"sketch{suffix}"))
+    return nodes.select(*keys, F.col("node").alias(suffix), *(F.col(c).alias(f"{c}{suffix}") for c in _NODE[1:]))
 
 
 def _nodes(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -202,24 +227,24 @@ def _common(docs: DataFrame, text: str, buckets: int, own: Scratch) -> np.ndarra
     return np.array([t for _, t in rows], np.uint32)
 
 
-_INDEX = "kind int, a bigint, b bigint, n int, u int, node binary, sketch array<bigint>"
+_INDEX = "kind int, a bigint, b bigint, n int, u int, node binary, sketch array<bigint>, wide array<bigint>"
 
 
 def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> DataFrame:
     """Rows of kind 0: a pair of groups (a, b); 1: group a holds shingle b, with its size class n and
     that of its largest partner u; 2: node with its sketch is in group a of size n."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
-    width = SKETCH + MINIMA
+    width = SKETCH + MINIMA + 1
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.argsort(shared.value, kind="stable")
         common = shared.value[rank]
-        out: list[list] = []  # of each node: group, size, node, (shingle, position) of the rare and of the common, sketch
+        out: list[list] = []  # of each node: group, size, node, (shingles, bounds) of the rare and of the common, sketches
         size = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal out
-            kinds, at, payloads = [], [], []
+            kinds, at, sizes, payloads = [], [], [], []
             groups = np.array([x[0] for x in out], np.uint64)
             for kind, place in ((0, 3), (1, 4)):
                 tokens = np.concatenate([np.zeros(0, np.uint32), *(x[place][0] for x in out)])
@@ -229,13 +254,13 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
                 n = np.repeat(size_class(np.array([x[1] for x in out], np.int64)), counts)
                 # Holders of a common shingle are spread by group, as they are passed on row by row.
                 for k, c in _deal(_bucket(tokens, buckets) if kind == 0 else (mix64(g + tokens) % np.uint64(buckets)).astype(np.int64), tokens, g, n, most):
-                    kinds.append(kind), at.append(k), payloads.append(b"".join(x.tobytes() for x in c))
+                    kinds.append(kind), at.append(k), sizes.append(len(c[0])), payloads.append(b"".join(x.tobytes() for x in c))
             nodes = np.array([np.frombuffer(x[2], np.uint8) for x in out], np.uint8).reshape(-1, 16)
-            sketches = np.array([x[5] for x in out], np.int64).reshape(-1, width)
+            sketches = np.array([x[5][0] for x in out], np.int64).reshape(-1, width)
             for k, (g, n, o) in _deal((groups % np.uint64(buckets)).astype(np.int64), groups, np.array([x[1] for x in out], np.uint32), np.arange(len(out))):
-                kinds.append(2), at.append(k), payloads.append(g.tobytes() + n.tobytes() + nodes[o].tobytes() + sketches[o].tobytes())
+                kinds.append(2), at.append(k), sizes.append(len(o)), payloads.append(b"".join([g.tobytes(), n.tobytes(), nodes[o].tobytes(), sketches[o].tobytes(), *(out[i][5][1].tobytes() for i in o.tolist())]))
             out = []
-            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(kinds, pa.int32()), pa.array(payloads, pa.binary())], ["bucket", "kind", "payload"])
+            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(kinds, pa.int32()), pa.array(sizes, pa.int32()), pa.array(payloads, pa.binary())], ["bucket", "kind", "size", "payload"])
 
         for found in new_sets(batches):
             for s, key in found:
@@ -248,16 +273,17 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
                     last = common[where] == token
                     rare = np.flatnonzero(~last)[:p]
                     rest = np.flatnonzero(last)
+                    shared_by_many = len(rest)
                     rest = rest[np.argsort(rank[where[rest]], kind="stable")][: p - len(rare)]
                 else:
-                    rare, rest = np.arange(p), np.zeros(0, np.int64)
+                    rare, rest, shared_by_many = np.arange(p), np.zeros(0, np.int64), 0
                 most = size_class(largest_partner(n, np.arange(p)))
                 group = hashlib.blake2b(s[rare].tobytes() + b"|" + s[rest].tobytes() + n.to_bytes(8, "little"), digest_size=8).digest()
                 entries = []
                 for chosen, bound in ((rare, most[: len(rare)]), (rest, most[len(rare) :])):
                     t, first = np.unique(token[chosen], return_index=True)
                     entries.append((t, bound[first]))
-                out.append([int.from_bytes(group, "little"), n, key, *entries, sketch(s)])
+                out.append([int.from_bytes(group, "little"), n, key, *entries, sketch(s, shared_by_many)])
                 size += p
             if size > 1_000_000:
                 yield flush()
@@ -267,19 +293,20 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
     def pair(frame: pd.DataFrame) -> pd.DataFrame:
         made: list[pd.DataFrame] = []
 
-        def add(kind: int, a: np.ndarray, b: np.ndarray | int = 0, n: np.ndarray | int = 0, u: np.ndarray | int = 0, node: list | None = None, bits: list | None = None) -> None:
-            objects = (pd.Series(x if x is not None else [None] * len(a), range(len(a)), dtype=object) for x in (node, bits))
-            made.append(pd.DataFrame({"kind": kind, "a": a.view(np.int64), "b": b, "n": n, "u": u} | dict(zip(("node", "sketch"), objects, strict=True)), index=range(len(a))))
+        def add(kind: int, a: np.ndarray, b: np.ndarray | int = 0, n: np.ndarray | int = 0, u: np.ndarray | int = 0, node: list | None = None, bits: list | None = None, wide: list | None = None) -> None:
+            objects = (pd.Series(x if x is not None else [None] * len(a), range(len(a)), dtype=object) for x in (node, bits, wide))
+            made.append(pd.DataFrame({"kind": kind, "a": a.view(np.int64), "b": b, "n": n, "u": u} | dict(zip(("node", "sketch", "wide"), objects, strict=True)), index=range(len(a))))
 
         parts: dict[int, list[list[np.ndarray]]] = {0: [], 1: []}
-        for kind, payload in zip(frame["kind"], frame["payload"], strict=True):
+        for kind, m, payload in zip(frame["kind"], frame["size"], frame["payload"], strict=True):
             if kind == 2:
-                m = len(payload) // (28 + 8 * width)
                 nodes = [payload[12 * m + 16 * i : 12 * m + 16 * i + 16] for i in range(m)]
-                bits = list(np.frombuffer(payload, np.int64, width * m, 28 * m).reshape(m, width)) if m else []
-                add(2, np.frombuffer(payload, np.uint64, m).copy(), 0, np.frombuffer(payload, np.uint32, m, 8 * m).astype(np.int64), 0, nodes, bits)
+                bits = list(np.frombuffer(payload, np.int64, width * m, 28 * m).reshape(m, width))
+                n = np.frombuffer(payload, np.uint32, m, 8 * m).astype(np.int64)
+                ends = np.cumsum([wide_words(x) for x in n.tolist()])
+                wide = np.split(np.frombuffer(payload, np.int64, int(ends[-1]), (28 + 8 * width) * m), ends[:-1])
+                add(2, np.frombuffer(payload, np.uint64, m).copy(), 0, n, 0, nodes, bits, wide)
             else:
-                m = len(payload) // 14
                 parts[kind].append([np.frombuffer(payload, np.uint32, m), np.frombuffer(payload, np.uint64, m, 4 * m), np.frombuffer(payload, np.uint8, m, 12 * m), np.frombuffer(payload, np.uint8, m, 13 * m)])
         if parts[1]:
             t, g, n, u = (np.concatenate(c) for c in zip(*parts[1], strict=True))
@@ -317,9 +344,9 @@ def _index(docs: DataFrame, text: str, buckets: int, common: np.ndarray) -> Data
                 pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
                 pairs = pairs[np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)])] if len(pairs) else pairs
                 add(0, pairs[:, 0].copy(), pairs[:, 1].copy().view(np.int64))
-        return pd.concat(made) if made else pd.DataFrame({c: pd.Series([], dtype=object) for c in ("kind", "a", "b", "n", "u", "node", "sketch")})
+        return pd.concat(made) if made else pd.DataFrame({c: pd.Series([], dtype=object) for c in ("kind", "a", "b", "n", "u", "node", "sketch", "wide")})
 
-    packed = map_arrow(docs.select(F.col(text).alias("text")), emit, "bucket int, kind int, payload binary")
+    packed = map_arrow(docs.select(F.col(text).alias("text")), emit, "bucket int, kind int, size int, payload binary")
     return packed.groupBy("bucket").applyInPandas(pair, _INDEX)
 
 
@@ -395,11 +422,29 @@ def _release(spark: SparkSession) -> None:
 
 
 def _leaders(holders: DataFrame) -> DataFrame:
-    """Pairs of every holder of a key k with the smallest that has the same MinHash value there, for each of the values."""
+    """Pairs of holders of keys k with leaders, which have the most common shingles, ties to the smaller node.
+
+    Leaders are the key's, and for each MinHash value that of all holders which have it.
+    """
+
+    def led(rows: DataFrame, *keys: str) -> DataFrame:
+        order = F.struct(F.get("sketch", F.lit(SKETCH + MINIMA)).alias("rank"), *_NODE)
+        first = rows.groupBy(*keys).agg(F.min(order).alias("s"), F.count("*").alias("c")).where("c > 1").select(*keys, "s.*")
+        return _side(rows, "x", *keys).join(_side(first, "y", *keys), list(keys)).where((F.col("x") != F.col("y")) & _alike("x", "y")).select(*_pair())
+
     values = F.array(*(F.xxhash64(F.lit(i), F.get("sketch", F.lit(SKETCH + i))) for i in range(MINIMA)))
-    dealt = holders.select("k", "node", "n", "sketch", F.explode(values).alias("value"))
-    first = dealt.groupBy("k", "value").agg(F.min(F.struct("node", "n", "sketch")).alias("s"), F.count("*").alias("c")).where("c > 1")
-    return _side(dealt, "x", "k", "value").join(_side(first.select("k", "value", "s.*"), "y", "k", "value"), ["k", "value"]).where(F.col("x") > F.col("y")).where(_alike("x", "y"))
+    alone = holders.select(*_NODE).dropDuplicates(["node"])
+    return led(holders, "k").unionByName(led(alone.withColumn("value", F.explode(values)), "value"))
+
+
+def _to_hubs(pairs: DataFrame) -> DataFrame:
+    """For every node its pair with the partner that has the most partners, if they are more than its own (ties to the smaller node)."""
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("c"))
+    for c in "ab":
+        pairs = pairs.join(degree.select(F.col("node").alias(c), F.struct((-F.col("c")).alias("c"), F.col("node").alias("node")).alias(f"r{c}")), c)
+    low, high = F.greatest("ra", "rb"), F.least("ra", "rb")
+    first = pairs.groupBy(low.alias("low")).agg(F.min(F.struct(high.alias("high"), "a", "b", "size")).alias("s"))
+    return first.select("s.a", "s.b", "s.size")
 
 
 def components(edges: DataFrame, own: Scratch, name: str) -> DataFrame:
@@ -509,7 +554,7 @@ def label(docs: DataFrame, id_column: str, text: str, own: Scratch) -> DataFrame
     index = own.save(_index(docs, text, buckets, common), "index")
     _release(docs.sparkSession)
 
-    member = index.where("kind = 2").groupBy(F.col("a").alias("g"), "node", "n").agg(F.first("sketch").alias("sketch"))
+    member = index.where("kind = 2").groupBy(F.col("a").alias("g"), "node", "n").agg(F.first("sketch").alias("sketch"), F.first("wide").alias("wide"))
     member = own.save(member, "member")
     many = own.save(member.groupBy("g").agg(F.count("*").alias("c")).where("c > 1"), "many")
     sized = index.where("kind = 0").select("a", "b").distinct()
@@ -522,23 +567,23 @@ def label(docs: DataFrame, id_column: str, text: str, own: Scratch) -> DataFrame
     keys = index.where("kind = 1").select(F.col("b").alias("k"), F.col("a").alias("g"), F.col("n").alias("class"), "u")
     for more in (sized.where("not small").select(F.xxhash64("a", "b").alias("k"), F.explode(F.array("a", "b")).alias("g")), many.select(F.col("g").alias("k"), "g")):
         keys = keys.unionByName(more.withColumns({"class": F.lit(0), "u": F.lit(255)}))
-    holders = own.save(keys.distinct().join(member, "g").select("k", "node", "n", "sketch", "class", "u"), "holders")
+    holders = own.save(keys.distinct().join(member, "g").select("k", *_NODE, "class", "u"), "holders")
     counts = own.save(holders.groupBy("k").agg(F.count("*").alias("c")).where("c > 1"), "keys")
     few, large = (own.save(holders.join(counts.where(x).select("k"), "k"), name) for x, name in ((F.col("c") <= SMALL_RUN, "few"), (F.col("c") > SMALL_RUN, "large")))
-    pairs = direct.unionByName(_meet(few).select(*_pair())).unionByName(_leaders(large.where("u >= class")).select(*_pair()))
+    pairs = direct.unionByName(_meet(few).select(*_pair())).unionByName(_leaders(large.where("u >= class")))
     pairs = own.save(pairs.distinct(), "pairs")
     _release(docs.sparkSession)
 
     grown = _Components(docs, text, own, max(SMALL_ROUND, int(total or 0) // 2))
-    nearest = own.save(pairs.groupBy("b").agg(F.min(F.struct("d", "a", "size")).alias("s")).select("s.a", "b", "s.size"), "nearest")
+    nearest = own.save(_to_hubs(pairs), "nearest")
     if n := nearest.count():
         grown.compare(nearest, n)
-    rest = pairs.join(nearest, ["a", "b"], "left_anti").select("a", "b", "size")
+    rest = pairs.join(nearest, ["a", "b"], "left_anti")
     if not large.isEmpty():
         placed = own.save(grown.rooted(large, "node", "root"), "placed")
         open_keys = placed.groupBy("k").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("k")
         cross = _meet(own.save(placed.join(open_keys, "k", "left_semi"), "open-holders"), apart=True).select(*_pair())
-        rest = rest.unionByName(cross.select("a", "b", "size").distinct().join(nearest, ["a", "b"], "left_anti")).distinct()
+        rest = rest.unionByName(cross.distinct().join(nearest, ["a", "b"], "left_anti")).distinct()
     grown.grow(rest)
 
     filled = nodes.where("n > 0")
