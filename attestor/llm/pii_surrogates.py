@@ -4,17 +4,18 @@ Detected are e-mail addresses, telephone numbers, payment cards, social security
 IPv4 addresses, and names that follow a title (Mr, Frau, Señora, Г-жа, ...).  Every entity gets a
 replacement derived from a keyed SHA-512 of its type and canonical form:
 
-* type-consistent: octets stay within 0-255, a card that passes the Luhn check still does, the top
-  domain and the country code stay, equal domains get equal domains;
+* type-consistent: octets stay within 0-255, a card that passes the Luhn check and an IBAN that passes
+  its check modulo 97 still do, the top domain and the country code stay, equal domains get equal domains;
 * format and script: letters become letters of the same case and script, digits digits, all else
   stays; a leading non-zero digit stays non-zero; names come from lists by script and by the gender
   of title or first name, in the case of the original;
 * coreference: an entity has one canonical form (folded case, digits without separators), so all its
   spellings get the same surrogate poured into their own format;
 * distinctness: over the whole table the surrogates of distinct entities of a type are compared;
-  of those that collide with each other or with an original all but one are derived anew; names then
-  get a syllable more each time, while the other types are bound by their format, and a table with
-  more values of one than that holds raises an error.
+  of those that collide with each other or with an original all but one are derived anew, until none
+  does.  With each attempt names get a syllable more, and from the second on local parts of e-mail
+  addresses and telephone numbers a character more, so that their space never runs out; the other
+  types keep their format, of which more than half of all values would have to occur in one table.
 
 Telephone numbers are those with '+' or 00 and a country code, with a leading 0 (9 to 12 digits, dates
 aside), and those of an area code of three digits and seven more ('555-123-4567', '(555) 123-4567', a
@@ -24,11 +25,15 @@ letter.  A number's national and international forms count as two entities.
 
 Matches are leftmost, non-overlapping, first alternative first.  Null texts stay null.  Letters of
 scripts without a list become letters of the same Unicode block row only where that is Latin, Greek
-or Cyrillic; others stay as they are in e-mail addresses and names.
+or Cyrillic; others stay as they are in e-mail addresses and names.  Texts of any length are taken
+whole; an address ends with its 127th label and begins 254 characters before the sign at most.  Empty
+texts and tables stay so, repeated rows are replaced alike, and other columns pass through, but for
+one named ``n_entities``, which the result's replaces.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -36,11 +41,6 @@ from pyspark.sql import functions as F
 
 from attestor.llm.common import Scratch
 
-#: Entities whose surrogate is derived anew that a query carries in its plan; more are joined.
-INLINE = 500
-#: Rounds of collision checks before giving up.
-ROUNDS = 40
-
 # Titles by gender, and names by script and gender.
 MALE_TITLES = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "Господин", "Κύριος"]
 FEMALE_TITLES = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "Госпожа", "Κυρία"]
@@ -73,12 +73,12 @@ _CARD = r"\d{4}(?:\d{12}|(?: \d{4}){3}|(?:-\d{4}){3})"
 
 def _domain(label: str) -> str:
     """Labels given up one by one until a top domain of letters follows; what comes after it, say a hyphen, is no part."""
-    return rf"{label}(?:\.{label})*\.\p{{L}}{{2,}}+(?![\p{{L}}\p{{N}}])"
+    return rf"{label}(?:\.{label}){{0,126}}\.\p{{L}}{{2,}}+(?![\p{{L}}\p{{N}}])"
 
 
 # One pattern for each type, in order of preference; all begin where no word goes on.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@(?:" + _domain(r"[\p{L}\p{N}]++(?:-++[\p{L}\p{N}]++)*+") + "|" + _domain(r"[\p{L}\p{N}-]++") + ")",
+    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,253}+@(?:" + _domain(r"[\p{L}\p{N}]++(?:-++[\p{L}\p{N}]++)*+") + "|" + _domain(r"[\p{L}\p{N}-]++") + ")",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _E,
     "card": _CARD + _E,
     "phone": r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?(?:\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\d(?:[ .-]?\d{2,4}){2,5})" + _E,
@@ -161,6 +161,17 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(parts, F.lit(0), lambda a, x: a + x) % 10
 
 
+def _mod97(iban: Column) -> Column:
+    """The number that an IBAN stands for (its first four characters last, letters as 10 to 35), modulo 97."""
+    turned = F.concat(F.substr(iban, F.lit(5)), F.substr(iban, F.lit(1), F.lit(4)))
+    cs = F.filter(F.split(turned, ""), lambda c: c != "")
+
+    def step(total: Column, c: Column) -> Column:
+        return F.when(c.rlike("^[0-9]$"), total * 10 + c.cast("int")).otherwise(total * 100 + F.ascii(F.upper(c)) - 55) % 97
+
+    return F.aggregate(cs, F.lit(0), lambda t, c: F.coalesce(step(t, c), F.lit(0)))
+
+
 def surrogate_form(canon: Column, attempt: Column, key: str) -> Column:
     """The surrogate's canonical form, which collisions are checked on."""
 
@@ -172,7 +183,8 @@ def surrogate_form(canon: Column, attempt: Column, key: str) -> Column:
         local, domain = F.substring_index(form, "@", 1), F.substring_index(form, "@", -1)
         top = F.substring_index(domain, ".", -1)
         host = F.substr(domain, F.lit(1), (F.length(domain) - F.length(top)).cast("int"))
-        email = F.concat(_poured(local, d), F.lit("@"), _let(digest(F.lit("domain"), domain), lambda e: _poured(host, e)), top)
+        more = F.greatest(attempt - 1, F.lit(0))
+        email = F.concat(_poured(F.concat(local, F.repeat(F.lit("a"), more)), d), F.lit("@"), _let(digest(F.lit("domain"), domain), lambda e: _poured(host, e)), top)
 
         def checked(raw: Column) -> Column:
             body = F.substr(raw, F.lit(1), (F.length(raw) - 1).cast("int"))
@@ -181,8 +193,14 @@ def surrogate_form(canon: Column, attempt: Column, key: str) -> Column:
 
         octets = F.transform(F.split(form, r"\."), lambda _, i: F.when(i == 0, F.pmod(_byte(d, i), F.lit(223)) + 1).otherwise(F.pmod(_byte(d, i), F.lit(256))).cast("string"))
         fixed = F.when(form.startswith("00"), 3).otherwise(1)
-        phone = F.concat(F.substr(form, F.lit(1), fixed), _poured(F.substr(form, fixed + 1), d))
-        iban = F.concat(F.substr(form, F.lit(1), F.lit(2)), _poured(F.substr(form, F.lit(3)), d))
+        phone = F.concat(F.substr(form, F.lit(1), fixed), _poured(F.concat(F.substr(form, fixed + 1), F.repeat(F.lit("0"), more)), d))
+
+        def proven(raw: Column) -> Column:
+            country, rest = F.substr(raw, F.lit(1), F.lit(2)), F.substr(raw, F.lit(5))
+            check = F.lpad((F.lit(98) - _mod97(F.concat(country, F.lit("00"), rest))).cast("string"), 2, "0")
+            return F.when(_mod97(form) == 1, F.concat(country, check, rest)).otherwise(raw)
+
+        iban = _let(F.upper(F.concat(F.substr(form, F.lit(1), F.lit(2)), _poured(F.substr(form, F.lit(3)), d))), proven)
         out = F.when(k == "email", email).when(k == "card", _let(_poured(form, d), checked)).when(k == "ip", F.array_join(octets, "."))
         return F.concat(k, F.lit(":"), out.when(k == "phone", phone).when(k == "iban", iban).when(k == "name", _name(form, d, attempt)).otherwise(_poured(form, d)))
 
@@ -210,7 +228,7 @@ def formatted(match: Column, form: Column) -> Column:
 
     def of(value: Column) -> Column:
         k = kind(match)
-        # Places of digits (of an IBAN also letters) take the form's characters in turn.
+        # Places of digits (of an IBAN also letters) take the form's characters in turn; more characters than places follow at the end.
         free = F.when(k == "iban", "[^A-Z0-9]").otherwise("[^0-9]")
 
         def poured(chars: Column) -> Column:
@@ -218,7 +236,8 @@ def formatted(match: Column, form: Column) -> Column:
                 n = F.length(F.regexp_replace(F.array_join(F.slice(chars, F.lit(1), i + 1), ""), free, F.lit("")))
                 return F.when(F.regexp_replace(c, free, F.lit("")) != "", F.substr(value, n, F.lit(1))).otherwise(c)
 
-            return F.array_join(F.transform(chars, one), "")
+            places = F.length(F.regexp_replace(match, free, F.lit("")))
+            return F.concat(F.array_join(F.transform(chars, one), ""), F.substr(value, places + 1))
 
         email = F.when(match == F.upper(match), F.upper(value)).otherwise(value)
         title, rest = F.substring_index(match, " ", 1), F.regexp_replace(match, r"^\S+ ", "")
@@ -238,7 +257,7 @@ def _attempts(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     An entity keeps its surrogate if no original has that form and it is the smallest of its claimants.
     """
     state = scratch.save(entities.select("canon", F.lit(0).alias("attempt"), surrogate_form(F.col("canon"), F.lit(0), key).alias("form")), "state-0")
-    for r in range(1, ROUNDS + 1):
+    for r in itertools.count(1):
         # Claims and originals side by side: for each form its first claimant, and whether an original has it.
         claims = state.select("form", F.struct("attempt", "canon").alias("by"), F.lit(0).alias("taken"))
         originals = state.select(F.col("canon").alias("form"), F.lit(None).cast("struct<attempt:int,canon:string>").alias("by"), F.lit(1).alias("taken"))
@@ -251,34 +270,31 @@ def _attempts(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         marked = state.join(bad, "form", "left").withColumn("again", again).withColumn("attempt", F.when(F.col("again"), F.lit(r)).otherwise(F.col("attempt")))
         form = F.when(F.col("again"), surrogate_form(F.col("canon"), F.col("attempt"), key)).otherwise(F.col("form"))
         state = scratch.save(marked.select("canon", "attempt", form.alias("form")), f"state-{r}")
-    raise RuntimeError("surrogates still collide: an entity type has more values than its format can hold")
+    raise AssertionError
 
 
 def replace(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """All columns of ``df`` with the entities in ``text`` replaced, and ``n_entities``."""
+    """All columns of ``df`` with the entities in ``text`` replaced, and ``n_entities``.
+
+    Attempts other than the first are joined to the texts that hold their entities, by the text's hash.
+    """
     scratch = Scratch(df.sparkSession)
-    found = df.select(F.explode(F.array_distinct(F.transform(matches(F.col(text)), canonical))).alias("canon")).distinct()
-    again = scratch.save(_attempts(scratch.save(found, "entities"), key, scratch), "again")
-    m = F.col("__m")
-    base = df.withColumn("__m", matches(F.col(text)))
-    n = again.count()
-    if n == 0:
-        base = base.withColumn("__again", F.lit(None).cast("map<string,int>"))
-    elif n <= INLINE:
-        pairs = again.collect()
-        base = base.withColumn("__again", F.create_map(*(F.lit(x) for r in pairs for x in (r["canon"], r["attempt"]))))
-    else:  # each text's own entities among them, by the text's hash
-        own = df.select(F.xxhash64(text).alias("__h"), F.explode(F.array_distinct(F.transform(matches(F.col(text)), canonical))).alias("canon")).distinct()
-        maps = scratch.save(own.join(again, "canon").groupBy("__h").agg(F.map_from_entries(F.collect_list(F.struct("canon", "attempt"))).alias("__again")), "maps")
-        base = base.withColumn("__h", F.xxhash64(text)).join(maps, "__h", "left").drop("__h")
+    found = df.select(F.xxhash64(text).alias("h"), F.explode(F.array_distinct(F.transform(matches(F.col(text)), canonical))).alias("canon")).distinct()
+    found = scratch.save(found, "entities")
+    again = scratch.save(_attempts(found.select("canon").distinct(), key, scratch), "again")
+    maps = scratch.save(found.join(again, "canon").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("canon", "attempt"))).alias("again")), "maps")
+    names = [c for c in df.columns if c.lower() != "n_entities"]
+    base = df.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(f"`{text}`").alias("text"), F.xxhash64(text).alias("h"))
+    base = base.join(maps, "h", "left").withColumn("m", matches(F.col("text")))
 
     def one(x: Column) -> Column:
         def form(c: Column) -> Column:
-            return surrogate_form(c, F.coalesce(F.try_element_at(F.col("__again"), c), F.lit(0)) if n else F.lit(0), key)
+            return surrogate_form(c, F.coalesce(F.try_element_at(F.col("again"), c), F.lit(0)), key)
 
         return formatted(x, _let(canonical(x), form))
 
-    between = F.split(F.col(text), PATTERN, -1)
-    whole = F.array_join(F.zip_with(between, F.transform(m, one), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = base.withColumn("__t", F.when(F.size(m) > 0, whole).otherwise(F.col(text))).withColumn("n_entities", F.greatest(F.coalesce(F.size(m), F.lit(0)), F.lit(0)))
-    return scratch.keep_for(out.withColumn(text, F.col("__t")).select(*df.columns, "n_entities"))
+    between = F.split(F.col("text"), PATTERN, -1)
+    whole = F.array_join(F.zip_with(between, F.transform("m", one), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    replaced = F.when(F.size("m") > 0, whole).otherwise(F.col("text"))
+    n = F.greatest(F.coalesce(F.size("m"), F.lit(0)), F.lit(0)).alias("n_entities")
+    return scratch.keep_for(base.select(*((replaced if c == text else F.col("row")[c]).alias(c) for c in names), n), "maps")
