@@ -13,7 +13,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass covers; bounds a worker's memory.
 CHUNK_BYTES = 1 << 20
@@ -75,6 +76,13 @@ def fresh(df: DataFrame, *names: str) -> str:
     return name
 
 
+def with_text(df: DataFrame, text: str, keep: Iterable[str | Column], *made: str) -> DataFrame:
+    """The text, then the kept columns; kept ones named as one that the operator makes are left out."""
+    own = {c.lower() for c in made}
+    inner = df.select(F.col(text).alias(fresh(df, "text")), *keep)
+    return inner.drop(*(c for c in inner.columns[1:] if c.lower() in own))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
