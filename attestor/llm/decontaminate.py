@@ -12,7 +12,8 @@ item's distinct shingles that occur in the whole document.
 Shingles are of five words (A-Z folded, split at white space); a shorter text is one shingle,
 so an item of one to four words is found only in a document of just these words.
 Nulls and texts without words, on either side, match nothing.  Repeated rows each get their result;
-several items with the same text are all reported.
+several items with the same text are all reported.  Texts of any length are taken whole; empty tables
+match nothing.  A kept column named ``leaks`` gives way to the result's.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestor.llm.common import by_bytes, map_arrow, mix64, shingles, text_bytes, word_hashes
+from attestor.llm.common import by_bytes, map_arrow, mix64, shingles, text_bytes, with_text, word_hashes
 
 SLOTS, THRESHOLD, SMALLEST = 64, 0.75, 8
 #: Items of at most so many shingles are looked up exactly.
@@ -130,7 +131,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, keep: tuple[str | Column, ...] =
     """``keep`` columns and ``leaks``: an array of (item_id, n_shared, n_item) for each document."""
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length(item_text)), F.lit(0)).alias("n")).first()["n"]
     rounds = int(size // ROUND_BYTES) + 1
-    inner = docs.select(F.col(text).alias("__text"), *keep)
+    inner = with_text(docs, text, keep, "leaks")
     names = inner.columns[1:]
     kind = benchmark.schema[item_id].dataType
     out = inner.withColumn("leaks", F.array().cast(f"array<struct<item_id:{kind.simpleString()},n_shared:bigint,n_item:bigint>>"))

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestor.llm.common import map_arrow
+from attestor.llm.common import map_arrow, with_text
 
 #: Bounds of the training sample: excerpts for each language, and characters of each.
 EXCERPTS, EXCERPT_CHARS = 100, 1000
@@ -91,7 +91,7 @@ def predict(df: DataFrame, dictionaries: dict[str, bytes], text: str = "text", k
             lang, score, margin = (list(x) for x in zip(*out, strict=True)) if out else ([], [], [])
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64())], [*names, "lang_pred", "score", "margin"])
 
-    inner = df.select(F.col(text).alias("__text"), *keep)
+    inner = with_text(df, text, keep, "lang_pred", "score", "margin", "rejected")
     names = inner.columns[1:]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields[1:])
     out = map_arrow(inner, work, f"{schema}, lang_pred string, score double, margin double")

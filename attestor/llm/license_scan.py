@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestor.llm.common import by_bytes, map_arrow, mix64, text_bytes, word_hashes
+from attestor.llm.common import by_bytes, map_arrow, mix64, text_bytes, with_text, word_hashes
 
 THRESHOLD = 0.9
 
@@ -196,7 +196,7 @@ def scan(df: DataFrame, templates: dict[str, list[str]] | None = None, threshold
     """``keep`` columns, ``licenses`` (what was found, by line from 0, ends exclusive) and ``license`` and ``dice`` of the best."""
     ready = prepare(templates or TEMPLATES, threshold)
     shared = df.sparkSession.sparkContext.broadcast((ready, np.unique(np.concatenate([np.zeros(0, np.uint64), *(t.keys for t in ready)]))))
-    inner = df.select(F.col(text).alias("__text"), *keep)
+    inner = with_text(df, text, keep, "licenses", "license", "dice")
     names = inner.columns[1:]
     kind = pa.list_(pa.struct([("license", pa.string()), ("template", pa.int32()), ("dice", pa.float64()), ("first_line", pa.int32()), ("end_line", pa.int32())]))
 

@@ -8,7 +8,9 @@ findings (text, start, end, label; by default a built-in set made by rule), its
 calibrated on held-out findings, and each shape of candidate has the highest threshold that keeps
 the asked recall there.  Base findings carry a calibrated score too.
 
-Positions are code points, ends exclusive.  Nulls and empty texts give no finding.
+Positions are code points, ends exclusive.  Nulls and empty texts give no finding, an empty table
+no rows; texts of any length are taken whole, and repeated rows get the same findings.  Kept columns
+named ``findings`` or ``masked`` give way to the result's.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestor.llm.common import by_bytes, map_arrow, text_bytes
+from attestor.llm.common import by_bytes, map_arrow, text_bytes, with_text
 
 # The three base patterns.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -210,7 +212,7 @@ def learn(findings: Sequence[Finding], recall: float = RECALL, seed: int = 5) ->
     x, y = [], []
     for i in order[:cut]:
         text, s, e, label = findings[i]
-        for w in windows(text, s, e)[:1]:
+        for w in windows(text, s, e):
             x.append(w)
             y.append(label)
     net = Network()
@@ -285,10 +287,22 @@ def default_model() -> Model:
 # --- scan ------------------------------------------------------------------------------------
 
 
+def apart(spans: list[tuple[int, int]], others: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans, in order, that overlap none of the others; both are swept once."""
+    others, out, i, reach = sorted(others), [], 0, 0
+    for s, e in spans:
+        while i < len(others) and others[i][0] < e:
+            reach = max(reach, others[i][1])
+            i += 1
+        if reach <= s:
+            out.append((s, e))
+    return out
+
+
 def find(text: str, model: Model) -> list[dict]:
     """All findings of a text by start, then kind as listed."""
     own = base(text)
-    more = [c for c in candidates(text) if not any(c[0] < e and s < c[1] for _, s, e in own)]
+    more = apart(candidates(text), [(s, e) for _, s, e in own])
     scores = model.scores(text, [(s, e) for _, s, e in own] + more)
     out = [{"kind": k, "start": s, "end": e, "score": p} for (k, s, e), p in zip(own, scores, strict=False)]
     out += [{"kind": "neural", "start": s, "end": e, "score": p} for (s, e), p in zip(more, scores[len(own) :], strict=True) if p >= model.thresholds[shape(text[s:e])]]
@@ -301,7 +315,7 @@ FINDINGS = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 def scan(df: DataFrame, model: Model | None = None, keep: tuple[str | Column, ...] = ("doc_id",), text: str = "text", mask: str | None = None) -> DataFrame:
     """``keep`` columns and ``findings``; with ``mask`` also ``masked``, the text with every finding replaced."""
     shared = df.sparkSession.sparkContext.broadcast(model or default_model())
-    inner = df.select(F.col(text).alias("__text"), *keep)
+    inner = with_text(df, text, keep, "findings", *["masked"] * (mask is not None))
     names = inner.columns[1:]
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 

@@ -4,14 +4,17 @@ The model's compiled character map (a double-array trie and its replacement text
 longest prefix, as the library does, and records from which source bytes every normalised byte
 comes.  The library turns the text into ids; the ids' piece lengths tile the normalised text, and
 the recorded alignment projects each piece to the span of original bytes it stands for.  If a
-tiling does not cover the normalised text exactly, an error is raised: spans are never guessed.
+tiling does not cover the normalised text exactly, the row's spans are null: spans are never guessed,
+and no row ends a job.
 
-Nulls count as empty text; an empty text gives only the begin and end ids (when asked for).
-Extra columns of the input pass through untouched.
+Nulls count as empty text; an empty text gives only the begin and end ids.  Texts of any length are
+taken whole, repeated rows are encoded alike, and an empty table gives no rows.  Of the input's columns
+only the id is returned.
 """
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -170,15 +173,15 @@ class Codec:
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.lib.encode(text), "<u4")
 
-    def spans(self, text: str, ids: np.ndarray) -> np.ndarray:
-        """For each piece the original bytes [begin, end) it stands for, as an (n, 2) array."""
+    def spans(self, text: str, ids: np.ndarray) -> np.ndarray | None:
+        """For each piece the original bytes [begin, end) it stands for, as an (n, 2) array; None if the pieces don't fit."""
         normal, source = self.normalize(text.encode())
         sizes = self.lengths[ids]
         if (ids == self.unknown).any():
             sizes = np.array([len(p.encode()) for p in self.lib.encode(text, out_type=str)], np.int64)
         ends = np.cumsum(sizes)
         if (int(ends[-1]) if len(ends) else 0) != len(normal):
-            raise ValueError(f"pieces cover {ends[-1] if len(ends) else 0} of {len(normal)} normalised bytes")
+            return None
         return np.stack([source[ends - sizes], source[ends]], 1).astype("<u4")
 
 
@@ -187,7 +190,7 @@ _CODECS: dict[bytes, Codec] = {}
 
 def codec(model: bytes) -> Codec:
     """One codec per worker and model."""
-    key = model[:64] + len(model).to_bytes(8, "little")
+    key = hashlib.blake2b(model).digest()
     if key not in _CODECS:
         _CODECS[key] = Codec(model)
     return _CODECS[key]
@@ -211,8 +214,8 @@ def encode_decode(df: DataFrame, model: bytes, id_column: str = "doc_id", text_c
                 body = c.encode(text)
                 if with_spans:
                     inner = c.spans(text, body)
-                    close = np.array([[inner[-1, 1] if len(inner) else 0] * 2], "<u4")
-                    spans.append(np.concatenate([np.zeros((1, 2), "<u4"), inner, close]).tobytes())
+                    close = np.array([[inner[-1, 1] if inner is not None and len(inner) else 0] * 2], "<u4")
+                    spans.append(None if inner is None else np.concatenate([np.zeros((1, 2), "<u4"), inner, close]).tobytes())
                 whole = np.concatenate([first, body, last])
                 ids.append(whole.tobytes())
                 decoded.append(c.lib.decode(whole.tolist()))

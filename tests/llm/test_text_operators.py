@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from attestor.llm import decontaminate, exact_topk, language_id, license_scan, pii_surrogates, secret_scan, toxicity
+from attestor.llm import decontaminate, exact_topk, language_id, license_scan, pii_surrogates, queries, secret_scan, toxicity
 
 
 def docs(spark, texts, extra="x"):
@@ -258,14 +258,33 @@ def test_telephone_forms(spark):
     assert [r[0] for r in kinds.select(F.array_join(F.transform(pii_surrogates.matches(F.col("t")), pii_surrogates.kind), ",")).collect()] == ["phone"] * len(phones) + ["card", "card", "ssn", "ip"]
 
 
-@pytest.mark.parametrize("inline", [500, 0])
-def test_colliding_surrogates_are_told_apart(spark, monkeypatch, inline):
-    monkeypatch.setattr(pii_surrogates, "INLINE", inline)
-    texts = [f"see a{i}@x.io" if i < 10 else f"see {chr(97 + i - 10)}@x.io" for i in range(30)]
-    got = pii_surrogates.replace(docs(spark, texts), "k").collect()
-    out = {texts[r["doc_id"]][4:]: r["text"][4:] for r in got}
-    assert len(set(out.values())) == 30
-    assert not set(out.values()) & set(out)
+def test_colliding_surrogates_are_told_apart(spark, tmp_path):
+    """Through the registered query: 26 and more one-character addresses at each of many domains, some of them copies."""
+    texts = [f"see {x}@d{k}.io" for k in range(30) for x in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:40])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op8_pii_surrogates(spark, str(tmp_path)).select("doc_id", "text", "n_entities").where("n_entities = 1")
+    got = {r["doc_id"]: r["text"][4:] for r in out.collect()}
+    assert len(got) == len(texts) + 40
+    assert len({got[i] for i in range(len(texts))}) == len(texts)
+    assert not {got[i] for i in range(len(texts))} & {t[4:] for t in texts}
+    assert all(got[i] == got[len(texts) + i] for i in range(40))
+
+
+def test_surrogates_of_awkward_texts(spark):
+    """Very long texts and domains, nulls, empty texts, repeated rows, and columns named like the operator's own."""
+    texts = ["x@" + "a." * 20_000 + "com", "a.b" * 400_000 + " Mr Smith", "0" * 1_000_000, "@" * 500_000, "w " * 500_000 + "z@acme.com", None, "", "Mr Jones", "Mr Jones", "GB82 WEST 1234 5698 7654 32"]
+    df = spark.createDataFrame([(i, t, "m", 7, "r", "a") for i, t in enumerate(texts)], "doc_id long, text string, `__m` string, n_entities int, row string, again string")
+    out = pii_surrogates.replace(df, "key")
+    assert out.columns == ["doc_id", "text", "__m", "row", "again", "n_entities"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert [got[i]["n_entities"] for i in range(10)] == [0, 1, 0, 0, 1, 0, 0, 1, 1, 1]
+    assert all((r["__m"], r["row"], r["again"]) == ("m", "r", "a") for r in got.values())
+    assert got[5]["text"] is None and got[6]["text"] == "" and got[7]["text"] == got[8]["text"] != texts[7]
+    assert len(got[1]["text"]) > 1_200_000 and "z@acme" not in got[4]["text"]
+    iban = got[9]["text"].replace(" ", "")
+    assert iban[:2] == "GB" and iban != texts[9].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert pii_surrogates.replace(df.where("doc_id < 0"), "key").collect() == []
 
 
 def test_more_surnames_than_short_surrogates(spark):
@@ -295,11 +314,31 @@ def test_search_against_brute_force(spark):
         want += [(q, k + 1, x, -s) for k, (s, x) in enumerate(best)]
     a, b = (np.floor(256 * np.array(v)).astype(int) for v in ([0.5, 0.5], [0.25, 1.0]))
     want.append((1200, 1, 1201, int(a @ b)))
-    got = sorted(tuple(x) for x in exact_topk.search(df, F.col("id") % 50 == 0).collect())
-    assert got == sorted(want)
+    # The row without an id is a candidate as any other, after all ids where scores are equal.
+    want = []
+    every = [*((i, v) for i, v in ints.items()), (None, ints[0])]
+    for q in (i for i in ints if i % 50 == 0):
+        best = sorted((-int(ints[q] @ v), x is None, x or 0, x) for x, v in every if x != q)[:5]
+        want += [(q, k + 1, b[3], -b[0]) for k, b in enumerate(best)]
+    want.append((1200, 1, 1201, int(a @ b)))
+    got = sorted((tuple(x) for x in exact_topk.search(df, F.col("id") % 50 == 0).collect()), key=str)
+    assert got == sorted(want, key=str)
     assert exact_topk.search(df.where("vec_id < 0"), F.col("id") % 50 == 0).collect() == []
 
 
+def test_search_keeps_rows_with_equal_ids(spark, tmp_path):
+    """Against the registered SQL, which takes every row as its own."""
+    import duckdb
+
+    rows = [(50, [1.0, 1.0]), (7, [0.5, 0.5]), (7, [2.0, 2.0]), (8, [1.0, 0.0]), (50, [0.5, 0.25]), (None, [1.5, 0.5]), (9, None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted((tuple(x) for x in queries.op5_exact_topk(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()), key=str)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert got == sorted(db.execute(queries.OP5_SQL).fetchall(), key=str)
+    assert (50, 1, 7, 262144) in got
+
+
 def test_bounds_spare_most_candidates():
     r = np.random.default_rng(4)
     centres = r.normal(size=(40, 3)) * 2000
@@ -307,6 +346,6 @@ def test_bounds_spare_most_candidates():
     pivots = exact_topk.choose_pivots(x[:500].astype(float), 16)
     d = exact_topk._distances(x.astype(float), pivots)
     ids = np.arange(4000)
-    found, evaluated = exact_topk.search_block(x[:20], ids[:20], d[:20], np.full(20, -np.inf), x, ids, d, 5)
+    found, evaluated = exact_topk.search_block(x[:20], ids[:20], d[:20], np.full(20, -np.inf), x, ids, ids, d, 5)
     assert len(found) == 100
     assert evaluated < 0.5 * 20 * 4000
