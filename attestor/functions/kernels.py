@@ -1,4 +1,4 @@
-"""The few rules that Spark has no expression for, as Arrow UDFs: NFKC folding, rounding, similarity."""
+"""The few rules that Spark has no expression for, as Arrow UDFs: NFKC folding and similarity."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import StringType
 
 # Characters written in two ways, and Chinese digits.
 VARIANTS = str.maketrans("臺鍾", "台鐘")
@@ -55,12 +55,6 @@ def addr_norm(text: pd.Series) -> pd.Series:
     return text.map(lambda t: re.sub(r"[\s,，、.。\-—()（）:：]", "", fold(t)).upper())
 
 
-@F.pandas_udf(DoubleType())
-def round1(value: pd.Series) -> pd.Series:
-    """One decimal as Python rounds; SQL's round differs where a tie has no exact binary form."""
-    return value.map(lambda x: round(x, 1) if x == x else x)
-
-
 class Ratios:
     """Gestalt similarity of many keys with one query at a time, best first-come result."""
 

@@ -106,13 +106,33 @@ def label_line(line: Column, pattern: str) -> Column:
 
 
 def cascade(text: Column, patterns: Sequence[str]) -> Column:
-    """(value, layer) of the first pattern that occurs; ('', 0) if none does."""
-    value, layer = F.lit(""), F.lit(0)
-    for i in range(len(patterns), 0, -1):
-        hit = text.rlike(patterns[i - 1])
-        value = F.when(hit, F.regexp_extract(text, patterns[i - 1], 1)).otherwise(value)
-        layer = F.when(hit, i).otherwise(layer)
-    return F.struct(value.alias("value"), layer.alias("layer"))
+    """(value, layer) of the first pattern that occurs; ('', 0) if none does.
+
+    Every pattern's value has a character at least.  A pattern runs once a text, and not after a hit.
+    """
+
+    def found(i: int, pattern: str) -> Column:
+        return F.transform(F.array(F.regexp_extract(text, pattern, 1)), lambda v: F.when(v != "", F.struct(v.alias("value"), F.lit(i).alias("layer"))))[0]
+
+    return F.coalesce(*(found(i + 1, p) for i, p in enumerate(patterns)), F.struct(F.lit("").alias("value"), F.lit(0).alias("layer")))
+
+
+def round1(value: Column) -> Column:
+    """One decimal as Python rounds: to the nearest, by the exact binary value, ties to even.
+
+    Ten times the value is taken as the sum of eight and two times it, both exact, with the error of the sum.
+    """
+    a, b = value * F.lit(8.0), value * F.lit(2.0)
+
+    def of(total: Column) -> Column:
+        part = total - a
+        error = (a - (total - part)) + (b - part)
+        low = F.floor(total).cast("double")
+        over = total - low
+        up = (over > 0.5) | ((over == 0.5) & ((error > 0) | ((error == 0) & (F.abs(low) % 2 == 1))))
+        return (low + F.when(up, 1.0).otherwise(0.0)) / 10
+
+    return F.transform(F.array(a + b), of)[0]
 
 
 def permit_of(text: Column, roi: Column) -> Column:

@@ -68,7 +68,7 @@ def by_phone_prefix(queries: DataFrame, index: DataFrame, phone: str = "phone")
 
 def unique_hits(hits: DataFrame, keys: list[str]) -> DataFrame:
     """Keys with exactly one permit, and that permit with its name."""
-    return hits.groupBy(*keys).agg(F.count_distinct("permit").alias("n"), F.min(F.struct("permit", "name")).alias("h")).where("n = 1").select(*keys, "h.permit", "h.name")
+    return hits.groupBy(*keys).agg(F.min("permit").alias("a"), F.max("permit").alias("b"), F.min(F.struct("permit", "name")).alias("h")).where("a = b").select(*keys, "h.permit", "h.name")
 
 
 def most_similar(queries: DataFrame, keys: DataFrame, query: str, least: float, shortest: int = SHORTEST) -> DataFrame:

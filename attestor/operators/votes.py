@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
-from attestor.functions.kernels import round1
 from attestor.schema import OK, PERMIT_PARTIAL, SCAN_RESULT, SMALL_NO_HIT, conform
 
 
-def majority_vote(df: DataFrame, keys: Sequence[str], value: str, order: str, least: int = S.VOTE_MIN) -> DataFrame:
-    """The most frequent value of each key with its count; ties go to the value seen first.
+def majority_vote(df: DataFrame, keys: Sequence[str], value: str, order: str, least: int = S.VOTE_MIN, total: str | None = None) -> DataFrame:
+    """The most frequent value of each key with its count, and the sum of ``total`` over its rows; ties go to the value seen first.
 
     Two partial aggregations; no value's rows are gathered.  Keys without a value of ``least``
     occurrences give no row.  Null and '' don't vote.
     """
-    counted = df.where(F.col(value).isNotNull() & (F.col(value).cast("string") != "")).groupBy(*keys, value).agg(F.count("*").alias("votes"), F.min(order).alias("first_seen"))
-    best = counted.groupBy(*keys).agg(F.max_by(F.struct(value, "votes"), F.struct("votes", -F.col("first_seen"))).alias("b"))
-    return best.select(*keys, F.col(f"b.{value}").alias(value), F.col("b.votes").alias("votes")).where(F.col("votes") >= least)
+    counted = df.where(F.col(value).isNotNull() & (F.col(value).cast("string") != "")).groupBy(*keys, value).agg(F.count("*").alias("votes"), F.min(order).alias("first_seen"), *([F.sum(total).alias("total")] if total else []))
+    kept = [value, "votes", *(["total"] if total else [])]
+    best = counted.groupBy(*keys).agg(F.max_by(F.struct(*kept), F.struct("votes", -F.col("first_seen"))).alias("b"))
+    return best.select(*keys, *(F.col(f"b.{c}").alias(c) for c in kept)).where(F.col("votes") >= least)
 
 
 def first_by(df: DataFrame, keys: Sequence[str], value: Sequence[str], order: Column) -> DataFrame:
@@ -104,10 +104,10 @@ def scan_images(reads: DataFrame, classes: DataFrame) -> DataFrame:
     out = second.where((F.col("docx_class") == "small") | F.col("any_hit")).select(
         "source_docx", "image_name", "docx_class", "scan_tier", "mol", "mol_from_vote",
         F.when(mol_vote, 0).otherwise(F.coalesce("mh.layer", F.lit(0))).alias("mol_layer"),
-        F.when(mol_vote, round1(F.col("mv.conf"))).otherwise(F.coalesce("mh.conf", F.lit(0.0))).alias("mol_conf"),
+        F.when(mol_vote, S.round1(F.col("mv.conf"))).otherwise(F.coalesce("mh.conf", F.lit(0.0))).alias("mol_conf"),
         F.when(take, winner).otherwise(id_).alias("id"),
         F.when(take, 0).otherwise(F.coalesce("ph.layer", F.lit(0))).alias("id_layer"),
-        F.when(take, F.when(pooled, round1(F.col("vote.conf"))).otherwise(0.0)).otherwise(conf).alias("id_conf"),
+        F.when(take, F.when(pooled, S.round1(F.col("vote.conf"))).otherwise(0.0)).otherwise(conf).alias("id_conf"),
         take.alias("id_from_vote"),
         ((F.col("docx_class") == "large") & (F.col("mol") != "") & (winner == F.col("mol"))).alias("cross_match"),
         F.when(F.col("partial").isNotNull(), PERMIT_PARTIAL).otherwise(OK).alias("status"),
@@ -139,19 +139,22 @@ def decide(results: DataFrame) -> DataFrame:
     note = note.when(weak_id, F.when(F.col("id_from_vote"), "permit vote, low confidence").otherwise("permit alone, low confidence")).otherwise(F.col("note"))
     parts = F.array(note, F.when(weak_cross, "agreement with low confidence"), F.when(partial, "permit read in part, no majority"))
     review = (both & (conf <= S.KEY_IN)) | clash | weak_mol | weak_id | weak_cross | partial
-    return results.withColumns({"final_value": value, "final_conf": round1(conf), "vision_review": review, "note": F.array_join(F.filter(parts, lambda p: p.isNotNull() & (p != "")), " ")})
+    return results.withColumns({"final_value": value, "final_conf": S.round1(conf), "vision_review": review, "note": F.array_join(F.filter(parts, lambda p: p.isNotNull() & (p != "")), " ")})
 
 
 def aggregate_small(results: DataFrame, order: str = "ord") -> DataFrame:
-    """Small documents: the surest hit's value goes to all hits; rows without a hit go, unless all are."""
+    """Small documents: the surest hit's value goes to all hits; rows without a hit go, unless all are.
+
+    ``order`` has no ties within a document; it may be a number or a struct.
+    """
     hit = (F.col("mol") != "") | (F.col("id") != "")
     best = F.greatest("mol_conf", "id_conf")
-    top = results.where(hit).groupBy("source_docx").agg(F.max_by(F.struct(F.col(order).alias("place"), S.first_of(F.col("mol"), F.col("id")).alias("value"), best.alias("conf"), (F.col("mol_from_vote") & (F.col("mol_conf") > S.MOL_VOTE_MIN)).alias("sure")), F.struct(best, -F.col(order))).alias("w"))
+    top = results.where(hit).groupBy("source_docx").agg(F.min_by(F.struct(F.col(order).alias("place"), S.first_of(F.col("mol"), F.col("id")).alias("value"), best.alias("conf"), (F.col("mol_from_vote") & (F.col("mol_conf") > S.MOL_VOTE_MIN)).alias("sure")), F.struct(-best, F.col(order))).alias("w"))
     joined = results.join(top, "source_docx", "left").where(hit | F.col("w").isNull())
     none, wins = F.col("w").isNull(), F.col("w.place") == F.col(order)
     return joined.withColumns({
         "final_value": F.when(none, F.col("final_value")).otherwise(F.col("w.value")),
-        "final_conf": F.when(none, F.col("final_conf")).otherwise(round1(F.col("w.conf"))),
+        "final_conf": F.when(none, F.col("final_conf")).otherwise(S.round1(F.col("w.conf"))),
         "vision_review": F.when(none, True).otherwise(F.coalesce(wins & ~F.col("w.sure"), F.lit(False)) | F.col("vision_review")),
         "mol_from_vote": F.when(none | wins, F.col("mol_from_vote")).otherwise(False),
         "note": F.when(none, "no hit in a small document").otherwise(F.col("note")),

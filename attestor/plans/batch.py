@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
@@ -24,22 +24,16 @@ def decide_documents(reads: DataFrame, images: DataFrame | None = None) -> tuple
     scanned = votes.scan_images(reads, classes)
     done = votes.has_permit_vote(scanned.where("scan_tier = 1")).where("has_vote").select("source_docx")
     kept = scanned.where("docx_class = 'small' or scan_tier = 1").unionByName(scanned.where("docx_class = 'large' and scan_tier = 2").join(done, "source_docx", "left_anti"))
+    # The order within a document: tier, then the page's natural key, in which no two pages are equal.
     place = F.struct("scan_tier", S.natural_key(F.col("image_name")))
     large, small = kept.where("docx_class = 'large'"), kept.where("docx_class = 'small'")
     expanded = pages.where("docx_class = 'large'").groupBy("source_docx").agg(F.max("scan_tier").alias("scan_tier"))
-    # Order numbers within a document, from the page's key.
-    large = routing.with_placeholders(votes.decide(large), expanded).withColumn("ord", _order(place))
-    small = votes.aggregate_small(small.withColumn("ord", _order(place)))
+    large = routing.with_placeholders(votes.decide(large), expanded).withColumn("ord", place)
+    small = votes.aggregate_small(small.withColumn("ord", place))
     results = large.unionByName(small)
     return results.drop("ord"), routing.route(results)
 
 
-def _order(place: Column) -> Column:
-    """A number that grows with (tier, page number); pages without a number come last, by name."""
-    tier, key = place["scan_tier"], place.getField("col2")
-    return tier * F.lit(1 << 40) + key["none"] * F.lit(1 << 39) + key["n"] * 256
-
-
 def employers(page_texts: DataFrame, contract_texts: DataFrame, gaz: DataFrame) -> DataFrame:
     """Employer rows: ``page_texts`` (source_docx, ord, image_name, text) score the pages, ``contract_texts`` are the second reader's."""
     pages = extract.contract_pages(page_texts)

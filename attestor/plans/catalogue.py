@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
-from attestor.operators import assemble, extract, gazetteer, registry, routing, verify, votes
+from attestor.operators import assemble, extract, gazetteer, registry, rescue, routing, verify, votes
 from attestor.plans.batch import decide_documents
-from attestor.schema import OCR_READ, PERMIT_PARTIAL, SCAN_RESULT, conform
+from attestor.schema import EMPLOYER, OCR_READ, PERMIT_PARTIAL, SCAN_RESULT, conform
 from attestor.sources import tables
 from attestor.sources.sinks import roster_export
 from attestor.streaming.windows import windowed_counts
@@ -86,8 +86,8 @@ WHERE k = 1 AND n >= 2 GROUP BY ALL
 """)
 def vote_winner_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _t(spark, sf_dir, "lineitem").withColumn("place", F.col("l_linenumber") * F.lit(1_000_000_000_000) + F.col("l_partkey") * 100_000 + F.col("l_suppkey"))
-    won = votes.majority_vote(items, ["l_orderkey"], "l_returnflag", "place")
-    return items.join(won, ["l_orderkey", "l_returnflag"]).groupBy("l_orderkey", "l_returnflag", "votes").agg(F.sum("l_quantity").cast("bigint").alias("conf_sum"))
+    won = votes.majority_vote(items, ["l_orderkey"], "l_returnflag", "place", total="l_quantity")
+    return won.select("l_orderkey", "l_returnflag", F.col("total").cast("bigint").alias("conf_sum"), "votes")
 
 
 # --- pages and tiers -------------------------------------------------------------------------
@@ -131,17 +131,37 @@ def expand_second_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-WITH s AS (SELECT conv_id, turn, 2 * len(regexp_extract_all(text, '[.!?]')) + len(regexp_extract_all(text, ',')) AS score FROM conversations),
-b AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, turn) AS k FROM s)
-SELECT CAST(b.conv_id AS VARCHAR) AS source_docx, b.turn AS contract_ord, b.score AS score, s.turn AS next_ord
-FROM b JOIN s ON b.conv_id = s.conv_id AND s.turn = b.turn + 1 WHERE k = 1 AND b.score >= 2
+WITH s AS (SELECT conv_id, turn, 2 * (length(text) % 4) + length(text) % 3 AS score FROM conversations),
+b AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, turn) AS k, max(score) OVER (PARTITION BY conv_id) AS top FROM s),
+p AS (SELECT * FROM b WHERE CASE WHEN top = 0 AND conv_id IN (SELECT conv_id FROM s WHERE turn = 2) THEN turn = 2 ELSE k = 1 END)
+SELECT CAST(p.conv_id AS VARCHAR) AS source_docx, p.turn AS contract_ord, CAST(p.score AS INTEGER) AS score, p.score >= 2 AS found, s.turn AS next_ord
+FROM p LEFT JOIN s ON p.conv_id = s.conv_id AND s.turn = p.turn + 1 AND p.score >= 2
 """)
 def contract_and_next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _pages(spark, sf_dir).select("source_docx", F.col("turn").alias("ord"), "image_name", "text")
-    scored = p.withColumn("score", S.page_score(F.col("text"), "[.!?]", ",").cast("bigint"))
-    best = votes.last_by(scored, ["source_docx"], ["ord", "score"], "score", "ord").withColumn("found", F.col("score") >= extract.MIN_PAGE_SCORE)
-    after = extract.next_pages(p, best)
-    return after.select("source_docx", F.col("ord").alias("next_ord")).join(best.select("source_docx", F.col("ord").alias("contract_ord"), "score"), "source_docx")
+    n = F.length("text")
+    text = F.concat(F.repeat(F.lit("Alamat x "), n % 4), F.repeat(F.lit("SELANJUTNYA y "), n % 3))
+    p = _pages(spark, sf_dir).select("source_docx", F.col("turn").alias("ord"), "image_name", text.alias("text"))
+    best = extract.contract_pages(p)
+    after = extract.next_pages(p, best).select("source_docx", F.col("ord").alias("next_ord"))
+    return best.select("source_docx", F.col("ord").alias("contract_ord"), "score", "found").join(after, "source_docx", "left")
+
+
+@_query("""
+WITH c AS (SELECT conv_id, min(turn) AS front FROM conversations WHERE conv_id % 3 = 0 AND turn >= 1 GROUP BY conv_id),
+n AS (SELECT t.conv_id, t.turn, substr('小大中文雅志', CAST(length(t.text) % 6 AS INTEGER) + 1, 1) || '安' AS name FROM conversations t JOIN c ON t.conv_id = c.conv_id AND t.turn BETWEEN front + 1 AND front + 2 WHERE length(t.text) % 2 = 0),
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM n)
+SELECT CAST(d.conv_id AS VARCHAR) AS source_docx, CASE WHEN d.conv_id % 2 = 1 THEN '林大明' ELSE coalesce(f.name, '') END AS name_cn,
+  CASE WHEN d.conv_id % 2 = 1 THEN '' WHEN f.name IS NOT NULL THEN 'H: name from pledge page image' || f.turn || '.jpeg' ELSE 'H: no Chinese name' END AS doubt_name
+FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN f ON d.conv_id = f.conv_id AND k = 1
+""")
+def pledge_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _pages(spark, sf_dir)
+    conv, n = F.col("source_docx").cast("bigint"), F.length("text")
+    name = F.concat(F.lit("中華民國雇主/Majikan R.O.C: "), F.substr(F.lit("小大中文雅志"), (n % 6 + 1).cast("int"), F.lit(1)), F.lit(" 安/JIANG AN"))
+    front = (conv % 3 == 0) & (F.col("turn") >= 1)
+    pages = p.withColumn("first", F.when(front, F.col("turn"))).select("source_docx", F.col("turn").alias("ord"), "image_name", F.concat_ws(" ", F.when(front, "Surat Pernyataan"), F.when(n % 2 == 0, name).otherwise("none")).alias("text"))
+    emp = p.select("source_docx").distinct().select("source_docx", F.when(F.col("source_docx").cast("bigint") % 2 == 1, "林大明").otherwise("").alias("name_cn"), F.lit("").alias("name_en"))
+    return extract.rescue_names(emp, pages).select("source_docx", "name_cn", "doubt_name")
 
 
 @_query("""
@@ -171,33 +191,41 @@ def extract_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", hit["value"].alias("value"), hit["layer"].alias("layer"))
 
 
-@_query(r"""
-SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '\+1 \(\d{3}\) \d{3}-\d{4}'), lambda p: regexp_replace(p, '\D', '', 'g')), ',') AS phones,
-       len(regexp_extract_all(text, '\d{16}')) AS n_cards FROM documents
+@_query("""
+WITH d AS (SELECT c_custkey, lpad(CAST(c_custkey * 7919 % 10000000 AS VARCHAR), 7, '0') AS n, c_nationkey % 9 + 1 AS k FROM customer)
+SELECT c_custkey, '0' || k || '-' || n || CASE WHEN c_custkey % 2 = 0 THEN ',037-' || n ELSE '' END
+  || CASE WHEN c_custkey % 3 = 0 THEN ',09' || n ELSE '' END AS phones FROM d
 """)
 def contact_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.regexp_extract_all("text", F.lit(r"\+1 \(\d{3}\) \d{3}-\d{4}"), F.lit(0))
-    return _t(spark, sf_dir, "documents").select("doc_id", F.array_join(F.transform(found, S.phone_norm), ",").alias("phones"), F.regexp_count("text", F.lit(r"\d{16}")).cast("bigint").alias("n_cards"))
+    n, key = F.lpad((F.col("c_custkey") * 7919 % 10_000_000).cast("string"), 7, "0"), F.col("c_custkey")
+    plain = F.concat(F.lit("電話: 0"), (F.col("c_nationkey") % 9 + 1).cast("string"), F.lit("-"), n)
+    bracket = F.when(key % 2 == 0, F.concat(F.lit(" (037) "), F.substr(n, F.lit(1), F.lit(3)), F.lit(" - "), F.substr(n, F.lit(4)))).otherwise("")
+    abroad = F.when(key % 3 == 0, F.concat(F.lit(" +886-9"), n)).otherwise("")
+    line = F.concat(plain, bracket, abroad, F.lit(" tax 12345678901234 Fax 02-2345-6789"))
+    return _t(spark, sf_dir, "customer").select("c_custkey", F.array_join(S.phones_in(S.before_fax(line)), ",").alias("phones"))
 
 
 @_query("""
-WITH c AS (SELECT c_custkey, '0' || lpad(CAST(c_custkey AS VARCHAR), 8, '2') AS a, '09' || lpad(CAST(c_nationkey AS VARCHAR), 8, '1') AS b FROM customer)
-SELECT c_custkey, a || CASE WHEN a = b THEN '' ELSE ',' || b END AS phones, 'several' AS note FROM c
+WITH c AS (SELECT c_custkey, c_nationkey % 6 AS k, '0' || lpad(CAST(c_custkey AS VARCHAR), 8, '2') AS a, '09' || lpad(CAST(c_nationkey AS VARCHAR), 8, '1') AS b FROM customer)
+SELECT c_custkey, CASE WHEN k IN (0, 1) THEN '' WHEN k = 2 THEN a || ',' || b ELSE a END AS phones,
+  CASE k WHEN 0 THEN 'none' WHEN 1 THEN 'unusable' WHEN 2 THEN 'several' WHEN 3 THEN 'extension' WHEN 4 THEN 'partial' ELSE '' END AS note FROM c
 """)
 def phone_field_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = F.concat(F.lit("0"), F.lpad(F.col("c_custkey").cast("string"), 8, "2"))
     b = F.concat(F.lit("+886-9"), F.lpad(F.col("c_nationkey").cast("string"), 8, "1"))
-    raw = F.concat(F.substr(a, F.lit(1), F.lit(3)), F.lit("-"), F.substr(a, F.lit(4)), F.lit("#171/"), b, F.lit("、12345"))
+    dashed, k = F.concat(F.substr(a, F.lit(1), F.lit(3)), F.lit("-"), F.substr(a, F.lit(4))), F.col("c_nationkey") % 6
+    raw = F.when(k == 0, " ").when(k == 1, "12-34").when(k == 2, F.concat(dashed, F.lit("#171/"), b, F.lit("、12345"))).when(k == 3, F.concat(dashed, F.lit("*3"))).when(k == 4, F.concat(dashed, F.lit("、123"))).otherwise(dashed)
     return _t(spark, sf_dir, "customer").select("c_custkey", F.array_join(S.split_phone_field(raw), ",").alias("phones"), S.phone_note(raw).alias("note"))
 
 
 @_query("""
 SELECT p_partkey, len(list_filter(string_split_regex(trim(p_name), '[\\s,\\-]+'), lambda x: x <> '')) AS n_syllables,
-       '(' || p_name || repeat(')', CASE WHEN p_size % 2 = 0 THEN 1 ELSE 1 END) AS balanced,
+       CASE p_size % 4 WHEN 0 THEN '(' || p_name || ')' WHEN 1 THEN '(((' || p_name || ')))' WHEN 2 THEN '(' || p_name || ')' ELSE '（' || p_name || '）' END AS balanced,
        regexp_matches(p_brand, '\\d') AS has_digit FROM part
 """.replace("\\\\", "\\"))
 def text_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.concat(F.lit("("), F.col("p_name"), F.when(F.col("p_size") % 2 == 0, ")").otherwise(""))
+    k = F.col("p_size") % 4
+    name = F.concat(F.when(k == 0, "(").when(k == 1, "(((").otherwise(""), F.col("p_name"), F.when(k == 1, ")").when(k == 2, ")").when(k == 3, "）").otherwise(""))
     return _t(spark, sf_dir, "part").select("p_partkey", S.syllables(F.col("p_name")).cast("bigint").alias("n_syllables"), S.balance_brackets(name).alias("balanced"), (~S.name_like(F.col("p_brand"))).alias("has_digit"))
 
 
@@ -229,14 +257,20 @@ def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins and lookups -----------------------------------------------------------------------
 
 
+def _employers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as employers of documents."""
+    c = _t(spark, sf_dir, "customer")
+    rows = c.select(F.col("c_custkey").cast("string").alias("source_docx"), F.col("c_name").alias("name_cn"), F.when(F.col("c_acctbal") < 0, "in debt").alias("doubt"), F.lpad(F.col("c_nationkey").cast("string"), 3, "1").alias("zip"))
+    return conform(rows, EMPLOYER)
+
+
 @_query("""
-SELECT s_suppkey, coalesce(n_name, '') AS n_name, coalesce(r_name, '') AS r_name FROM supplier
-LEFT JOIN nation ON s_nationkey = n_nationkey AND n_nationkey % 2 = 0 LEFT JOIN region ON n_regionkey = r_regionkey
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE coalesce(c_name, '') END AS employer_cn, coalesce(lpad(CAST(c_nationkey AS VARCHAR), 3, '1'), '') AS zip
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey
 """)
 def lookup_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n, r = _t(spark, sf_dir, "nation").where("n_nationkey % 2 = 0"), _t(spark, sf_dir, "region")
-    out = _t(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    return out.select("s_suppkey", F.coalesce("n_name", F.lit("")).alias("n_name"), F.coalesce("r_name", F.lit("")).alias("r_name"))
+    rows = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("source_docx"), F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).otherwise("").alias("employer_cn"))
+    return assemble.with_employer(rows, _employers(spark, sf_dir)).select("o_orderkey", "employer_cn", "zip")
 
 
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,11 +308,14 @@ q AS (SELECT c_custkey, '0' || lpad(CAST(c_custkey * 7919 % 10000000 AS VARCHAR)
 
 
 @_query(_PHONES + """
-SELECT c_custkey, permit, s_name AS name FROM q JOIN r ON starts_with(phone, short)
+SELECT c_custkey, permit, s_name AS name FROM (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN short ELSE short || (c_nationkey % 10) || '5' END AS asked FROM q)
+JOIN r ON starts_with(phone, asked) OR starts_with(asked, phone)
 """)
 def prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = _t(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("+886 "), F.lpad((F.col("c_custkey") * 7919 % 10_000_000).cast("string"), 7, "0")).alias("phone"))
-    asked = asked.withColumn("phone", F.concat(F.lit("0"), F.lpad((F.col("c_custkey") * 7919 % 10_000_000).cast("string"), 7, "0")))
+    """Numbers that begin a registered one, and such that a registered one begins."""
+    short = F.concat(F.lit("0"), F.lpad((F.col("c_custkey") * 7919 % 10_000_000).cast("string"), 7, "0"))
+    longer = F.concat(short, (F.col("c_nationkey") % 10).cast("string"), F.lit("5"))
+    asked = _t(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, short).otherwise(longer).alias("phone"))
     return registry.by_phone_prefix(asked, registry.phone_index(_registry(spark, sf_dir))).select("c_custkey", "permit", "name")
 
 
@@ -311,8 +348,8 @@ def longest_contained_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query()
 def ratio_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The most similar supplier name of every part name; sequence similarity is beyond SQL."""
-    keys = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("pos"), F.concat(F.lower("n_name"), F.lit(" ring")).alias("key"))
+    """The most similar supplier name of every distinct part name; sequence similarity is beyond SQL."""
+    keys = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("pos"), F.lower("s_name").alias("key"))
     return registry.most_similar(_t(spark, sf_dir, "part"), keys, "p_name", 0.1).select("query", "pos", "ratio")
 
 
@@ -320,16 +357,22 @@ def ratio_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-WITH p AS (SELECT p_partkey, p_brand AS v, CASE WHEN p_size % 10 = 0 THEN '' ELSE 'Brand#' || (p_size % 26) END AS c, p_size BETWEEN 5 AND 45 AS ok FROM part),
-l AS (SELECT *, CASE WHEN NOT ok THEN 'format_invalid' WHEN c = '' THEN 'vision_only' WHEN v = c THEN 'confirmed' WHEN levenshtein(v, c) = 1 THEN 'likely_ocr_confusion' ELSE 'disagreement' END AS level FROM p)
+WITH p AS (SELECT p_partkey, CASE p_size % 10 WHEN 0 THEN '12' WHEN 1 THEN p_brand ELSE lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') || CASE WHEN p_size % 3 = 0 THEN '-1' ELSE '' END END AS v,
+  CASE p_size % 7 WHEN 0 THEN '' WHEN 1 THEN lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') WHEN 2 THEN lpad(CAST((p_partkey + 1) % 10000 AS VARCHAR), 4, '0') ELSE lpad(CAST(p_partkey * 7 % 10000 AS VARCHAR), 4, '0') END AS c FROM part),
+l AS (SELECT *, CASE WHEN NOT regexp_full_match(v, '[0-9]{4}(-[0-9])?') THEN 'format_invalid' WHEN c = '' THEN 'vision_only' WHEN v = c THEN 'confirmed' WHEN levenshtein(v, c) = 1 THEN 'likely_ocr_confusion' ELSE 'disagreement' END AS level FROM p)
 SELECT p_partkey, level, CASE WHEN level = 'likely_ocr_confusion' THEN '' ELSE v END AS final_value, level = 'confirmed' AS should_keyin,
-       level <> 'format_invalid' AND v IN (SELECT p_brand FROM part WHERE p_partkey % 7 = 0) AS in_known_list FROM l
+       level <> 'format_invalid' AND v IN (SELECT lpad(CAST(s_suppkey AS VARCHAR), 4, '0') FROM supplier) AS in_known_list FROM l
 """)
 def verify_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _t(spark, sf_dir, "part")
-    items = p.select("p_partkey", F.col("p_brand").alias("second_value"), F.when(F.col("p_size") % 10 == 0, "").otherwise(F.concat(F.lit("Brand#"), (F.col("p_size") % 26).cast("string"))).alias("candidate_value"), F.col("p_size").between(5, 45).alias("ok"))
-    known = verify.known_permits(p.where("p_partkey % 7 = 0").select(F.col("p_brand").alias("final_value")))
-    return verify.verify(items, known, valid=F.col("ok")).select("p_partkey", "level", "final_value", "should_keyin", "in_known_list")
+    def four(n: Column) -> Column:
+        return F.lpad((n % 10_000).cast("string"), 4, "0")
+
+    key, k, m = F.col("p_partkey"), F.col("p_size") % 10, F.col("p_size") % 7
+    second = F.when(k == 0, "12").when(k == 1, F.col("p_brand")).otherwise(F.concat(four(key), F.when(F.col("p_size") % 3 == 0, "-1").otherwise("")))
+    candidate = F.when(m == 0, "").when(m == 1, four(key)).when(m == 2, four(key + 1)).otherwise(four(key * 7))
+    items = _t(spark, sf_dir, "part").select("p_partkey", second.alias("second_value"), candidate.alias("candidate_value"))
+    known = verify.known_permits(_t(spark, sf_dir, "supplier").select(F.concat(F.lit(" "), F.lpad(F.col("s_suppkey").cast("string"), 4, "0")).alias("final_value")))
+    return verify.verify(items, known).select("p_partkey", "level", "final_value", "should_keyin", "in_known_list")
 
 
 def _order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,21 +402,21 @@ def route_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-WITH r AS (SELECT l_returnflag AS mol, l_linestatus AS id, CAST(l_quantity * 2 AS BIGINT) AS mc, CAST(l_linenumber * 15 AS BIGINT) AS ic, l_partkey % 4 AS k FROM lineitem),
-v AS (SELECT CASE WHEN k = 1 THEN '' ELSE mol END AS mol, CASE WHEN k = 2 THEN '' ELSE id END AS id, mc, ic, k = 3 AS voted FROM r),
+WITH r AS (SELECT l_returnflag AS mol, l_linestatus AS id, CAST(l_quantity * 2 AS BIGINT) AS mc, CAST(l_linenumber * 15 AS BIGINT) AS ic, l_partkey % 4 AS k, l_orderkey, l_linenumber FROM lineitem),
+v AS (SELECT CASE WHEN k = 1 THEN '' ELSE mol END AS mol, CASE WHEN k = 2 THEN '' ELSE id END AS id, mc, ic, k = 3 AS voted, l_orderkey, l_linenumber FROM r),
 f AS (SELECT *, CASE WHEN mol <> '' AND id <> '' THEN greatest(mc, ic) WHEN mol <> '' THEN mc ELSE ic END AS conf FROM v)
 SELECT CASE WHEN mol <> '' AND (id = '' OR mc >= ic) THEN mol ELSE id END AS final_value,
   CASE WHEN mol <> '' AND id <> '' THEN conf <= 55 OR (mc > ic AND mol <> id) WHEN mol <> '' THEN mc <= CASE WHEN voted THEN 50 ELSE 55 END ELSE ic <= CASE WHEN voted THEN 45 ELSE 55 END END AS vision_review,
-  count(*) AS n, CAST(sum(conf) AS BIGINT) AS conf_sum FROM f GROUP BY ALL
+  CAST(conf AS BIGINT) AS conf, l_orderkey, l_linenumber FROM f
 """)
 def decide_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("l_partkey") % 4
     rows = _t(spark, sf_dir, "lineitem").select(
         F.lit("large").alias("docx_class"), F.when(k == 1, "").otherwise(F.col("l_returnflag")).alias("mol"), F.when(k == 2, "").otherwise(F.col("l_linestatus")).alias("id"),
-        (F.col("l_quantity") * 2).alias("mol_conf"), (F.col("l_linenumber") * 15.0).alias("id_conf"), (k == 3).alias("mol_from_vote"), (k == 3).alias("id_from_vote"), F.lit("ok").alias("status"),
+        (F.col("l_quantity") * 2).alias("mol_conf"), (F.col("l_linenumber") * 15.0).alias("id_conf"), (k == 3).alias("mol_from_vote"), (k == 3).alias("id_from_vote"), F.lit("ok").alias("status"), "l_orderkey", "l_linenumber",
     )
-    out = votes.decide(conform(rows, SCAN_RESULT))
-    return out.groupBy("final_value", "vision_review").agg(F.count("*").alias("n"), F.sum("final_conf").cast("bigint").alias("conf_sum"))
+    out = votes.decide(conform(rows, SCAN_RESULT + ", l_orderkey bigint, l_linenumber bigint"))
+    return out.select("l_orderkey", "l_linenumber", "final_value", "vision_review", F.col("final_conf").cast("bigint").alias("conf"))
 
 
 @_query("""
@@ -404,37 +447,77 @@ def doubt_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
+SELECT DISTINCT c_mktsegment AS permit FROM customer WHERE c_mktsegment <> ''
 """)
 def known_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = _t(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
-    return _t(spark, sf_dir, "documents").join(known, "doc_id", "left_semi").select("doc_id", "lang")
+    padded = F.concat(F.when(F.col("c_custkey") % 2 == 0, " ").otherwise(""), "c_mktsegment", F.lit("  "))
+    blank = _t(spark, sf_dir, "nation").select(F.lit(" ").alias("final_value"))
+    return verify.known_permits(_t(spark, sf_dir, "customer").select(padded.alias("final_value")).unionByName(blank))
 
 
 @_query("""
-SELECT o_orderkey, 'keyed-in' AS status FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, 'manual_review' AS status FROM orders WHERE o_orderstatus <> 'F'
+WITH r AS (SELECT s_suppkey, s_name, '0' || lpad(CAST(s_suppkey * 7919 % 10000000 AS VARCHAR), 7, '0') || (s_nationkey % 10) AS phone FROM supplier WHERE s_suppkey % 3 <> 1)
+SELECT CAST(o_custkey AS VARCHAR) AS source_docx, CAST(o_custkey AS VARCHAR) AS permit, CASE WHEN o_orderstatus = 'F' THEN 'keyed-in' ELSE 'manual_review' END AS status, o_orderpriority AS reason,
+  coalesce(s_name, '') AS agency_name, '' AS agency_address, coalesce(phone, '') AS agency_phone, coalesce(c_name, '') AS employer_cn, '' AS employer_en, '' AS addr_std, '' AS addr_ocr,
+  CASE WHEN c_acctbal < 0 THEN 'in debt' ELSE '' END AS doubt, '' AS addr_en, coalesce(lpad(CAST(c_nationkey AS VARCHAR), 3, '1'), '') AS zip, '' AS employer_phone
+FROM orders LEFT JOIN r ON s_suppkey = o_custkey LEFT JOIN customer ON c_custkey = o_custkey
 """)
 def union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _t(spark, sf_dir, "orders")
-    return o.where("o_orderstatus = 'F'").select("o_orderkey", F.lit("keyed-in").alias("status")).unionByName(o.where("o_orderstatus <> 'F'").select("o_orderkey", F.lit("manual_review").alias("status")))
+    """Keyed-in and manual rows as the 15 columns of the sheet."""
+    key = F.col("o_custkey").cast("string")
+    o = _t(spark, sf_dir, "orders").select(key.alias("source_docx"), key.alias("permit"), F.col("o_orderpriority").alias("reason"), (F.col("o_orderstatus") == "F").alias("sure"))
+    return assemble.sheet_rows(o.where("sure"), o.where("not sure"), _registry(spark, sf_dir), _employers(spark, sf_dir))
 
 
 @_query("""
-WITH s AS (SELECT user_id, list(DISTINCT event_type) FILTER (event_id % 2 = 0) AS a, list(DISTINCT event_type) FILTER (event_id % 2 = 1) AS b FROM events GROUP BY user_id)
-SELECT user_id, array_to_string(list_sort(list_intersect(coalesce(a, []), coalesce(b, []))), ',') AS common FROM s
+WITH o AS (SELECT *, o_orderkey % 2 = 1 AS is_mol, floor(o_totalprice / 5000) AS conf FROM orders),
+s AS (SELECT o_custkey, o_orderstatus, bool_or(is_mol) AND bool_or(NOT is_mol) AS common FROM o GROUP BY ALL),
+d AS (SELECT o_custkey, bool_or(is_mol) AND bool_or(NOT is_mol) AS has_both FROM o GROUP BY o_custkey),
+e AS (SELECT o_custkey, bool_or(common) AS agree FROM s GROUP BY o_custkey),
+k AS (SELECT o.*, agree, row_number() OVER (PARTITION BY o.o_custkey ORDER BY CASE WHEN s.common THEN 0 ELSE 1 END, conf DESC, NOT is_mol, o_orderkey) AS a,
+  row_number() OVER (PARTITION BY o.o_custkey ORDER BY is_mol, o_orderkey) AS b
+  FROM o JOIN s ON o.o_custkey = s.o_custkey AND o.o_orderstatus = s.o_orderstatus JOIN d ON d.o_custkey = o.o_custkey JOIN e ON e.o_custkey = o.o_custkey WHERE has_both)
+SELECT CAST(o_custkey AS VARCHAR) AS source_docx, 'image' || o_orderkey || '.png' AS image_name, o_orderstatus AS candidate_value, CAST(conf AS BIGINT) AS conf,
+  CASE WHEN agree AND conf > 55 THEN 'direct' ELSE 'second_reader' END AS route FROM k WHERE CASE WHEN agree THEN a = 1 ELSE b = 1 END
 """)
 def value_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def values(rest: int) -> Column:
-        return F.collect_set(F.when(F.col("event_id") % 2 == rest, F.col("event_type")))
+    """Odd orders as licence readings, even ones as permits: the value that both kinds have, else the earliest permit."""
+    o = _t(spark, sf_dir, "orders")
+    mol, conf = F.col("o_orderkey") % 2 == 1, F.floor(F.col("o_totalprice") / 5000).cast("double")
+    rows = o.select(
+        F.col("o_custkey").cast("string").alias("source_docx"), F.concat(F.lit("image"), F.col("o_orderkey").cast("string"), F.lit(".png")).alias("image_name"), F.lit("large").alias("docx_class"), F.lit("ok").alias("status"),
+        F.when(mol, F.col("o_orderstatus")).alias("mol"), F.when(mol, conf).alias("mol_conf"), F.when(~mol, F.col("o_orderstatus")).alias("id"), F.when(~mol, conf).alias("id_conf"), F.col("o_orderkey").alias("ord"),
+    )
+    return routing.route(conform(rows, SCAN_RESULT + ", ord bigint")).select("source_docx", "image_name", "candidate_value", F.col("candidate_conf").cast("bigint").alias("conf"), "route")
+
 
-    return _t(spark, sf_dir, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.array_intersect(values(0), values(1))), ",").alias("common"))
+@_query("""
+WITH e AS (SELECT user_id, event_id, CASE WHEN user_id % 10 = 0 THEN '' WHEN event_type IN ('click', 'error') THEN event_type ELSE '' END AS v, floor(value) AS conf, event_id % 3 = 0 AS voted, event_id % 5 = 0 AS review FROM events),
+i AS (SELECT *, CASE WHEN voted AND conf > 50 AND v <> '' THEN 'direct' WHEN review THEN CASE WHEN NOT voted AND conf < 50 THEN 'rescue' ELSE 'second_reader' END END AS route FROM e WHERE user_id % 10 <> 0),
+r AS (SELECT *, count(route) OVER (PARTITION BY user_id) AS n, row_number() OVER (PARTITION BY user_id, v <> '' ORDER BY event_id) AS k FROM i)
+SELECT CAST(user_id AS VARCHAR) AS source_docx, 'image' || event_id || '.png' AS image_name, v AS candidate_value, CAST(conf AS BIGINT) AS conf, coalesce(route, 'second_reader') AS route
+FROM r WHERE route IS NOT NULL OR (n = 0 AND v <> '' AND k = 1)
+UNION ALL SELECT CAST(user_id AS VARCHAR), '', '', 0, 'manual_review' FROM e WHERE user_id % 10 = 0 GROUP BY user_id
+""")
+def route_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as small documents: sure votes, reviews, the last resort, and documents without any hit."""
+    none = F.col("user_id") % 10 == 0
+    value, conf = F.when(~none & F.col("event_type").isin("click", "error"), F.col("event_type")).otherwise(""), F.floor("value").cast("double")
+    rows = _t(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("source_docx"), F.concat(F.lit("image"), F.col("event_id").cast("string"), F.lit(".png")).alias("image_name"), F.lit("small").alias("docx_class"), F.when(none, "small_no_hit").otherwise("ok").alias("status"),
+        value.alias("mol"), value.alias("final_value"), conf.alias("mol_conf"), conf.alias("final_conf"), (F.col("event_id") % 3 == 0).alias("mol_from_vote"), (F.col("event_id") % 5 == 0).alias("vision_review"), F.col("event_id").alias("ord"),
+    )
+    return routing.route(conform(rows, SCAN_RESULT + ", ord bigint")).select("source_docx", "image_name", "candidate_value", F.col("candidate_conf").cast("bigint").alias("conf"), "route")
 
 
 @_query("""
-SELECT l_returnflag, count(*) AS n, count(*) FILTER (l_quantity > 25) AS n_large, bool_and(l_tax >= 0) AS all_taxed FROM lineitem GROUP BY l_returnflag
+SELECT count(*) AS n, count(*) FILTER (o_orderstatus <> 'P') AS hits, count(*) FILTER (o_orderkey % 3 = 0) AS upper, count(*) FILTER (o_orderkey % 3 = 1) AS lower,
+  count(DISTINCT o_custkey) FILTER (t = 1) AS tier1_docs, count(DISTINCT o_custkey) FILTER (t = 2) AS expanded_docs FROM (SELECT *, max(CASE WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END) OVER (PARTITION BY o_custkey) AS t FROM orders)
 """)
 def summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), F.count_if(F.col("l_quantity") > 25).alias("n_large"), F.bool_and(F.col("l_tax") >= 0).alias("all_taxed"))
+    key = F.col("o_orderkey")
+    rows = _t(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("source_docx"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("id"), F.when(key % 5 == 0, 2).otherwise(1).alias("scan_tier"), F.when(key % 3 == 0, "permit_upper").when(key % 3 == 1, "permit_lower").otherwise("mol").alias("hit_roi"))
+    return assemble.scan_counters(conform(rows, SCAN_RESULT))
 
 
 @_query("""
@@ -480,6 +563,148 @@ def windowed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("window_start", "event_type", "n", F.round(F.col("total") * 100).cast("bigint").alias("cents"))
 
 
+# --- scans, page texts, addresses and rescue ---------------------------------------------------
+
+
+@_query("""
+WITH l AS (SELECT l_orderkey AS k, l_linenumber AS o, lpad(CAST(l_suppkey % 7 AS VARCHAR), 4, '0') AS v, (l_suppkey % 7) * 10 + 5 AS c FROM lineitem WHERE l_linenumber <= 6),
+u AS (SELECT k, o, min(v) AS v, min(c) AS c FROM l GROUP BY k, o),
+t AS (SELECT k, v, count(*) AS n, min(o) AS seen, min(c) AS c FROM u GROUP BY k, v),
+w AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, seen) AS a, row_number() OVER (PARTITION BY k ORDER BY c DESC, seen) AS b FROM t)
+SELECT CAST(x.k AS VARCHAR) AS source_docx, CASE WHEN x.n >= 2 THEN x.v ELSE y.v END AS id, CAST(CASE WHEN x.n >= 2 THEN x.c ELSE y.c END AS BIGINT) AS conf, x.n >= 2 AS id_from_vote,
+  CASE WHEN x.n >= 2 THEN 'ok' ELSE 'permit_partial' END AS status FROM w x JOIN w y ON x.k = y.k AND x.a = 1 AND y.b = 1
+""")
+def scan_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order as a page of a large document, its lines as readings that vote: the majority's value, else the surest reading."""
+    n = F.col("l_suppkey") % 7
+    l = _t(spark, sf_dir, "lineitem").where("l_linenumber <= 6").groupBy(F.col("l_orderkey").cast("string").alias("source_docx"), F.col("l_linenumber").cast("int").alias("config_ord")).agg(F.min(F.struct(F.lpad(n.cast("string"), 4, "0").alias("v"), (n * 10 + 5).cast("double").alias("c"))).alias("x"))
+    vote = l.select("source_docx", F.lit("image1.png").alias("image_name"), F.lit("permit_upper").alias("roi"), F.lit("vote").alias("phase"), "config_ord", F.concat(F.lit("No. izin: "), F.col("x.v")).alias("text"), F.col("x.c").alias("conf"))
+    scan = vote.select("source_docx").distinct().select("source_docx", F.lit("image1.png").alias("image_name"), F.lit("permit_lower").alias("roi"), F.lit("scan").alias("phase"), F.lit(0).alias("config_ord"), F.lit("No izin 9999").alias("text"), F.lit(1.0).alias("conf"))
+    classes = scan.select("source_docx", "image_name", F.lit("large").alias("docx_class"), F.lit(1).alias("scan_tier"))
+    out = votes.scan_images(conform(vote.unionByName(scan), OCR_READ), classes)
+    return out.select("source_docx", "id", F.col("id_conf").cast("bigint").alias("conf"), "id_from_vote", "status")
+
+
+@_query("""
+WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS o, l_linenumber % 3 AS r FROM lineitem),
+v AS (SELECT k, r, count(*) AS n, min(o) AS seen FROM l GROUP BY k, r),
+w AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, seen) AS a FROM v)
+SELECT CAST(k AS VARCHAR) AS source_docx, CASE WHEN n >= 2 THEN '100' || r ELSE '' END AS mol, CASE WHEN n >= 2 THEN 20 * r + 10 ELSE 0 END AS conf, n >= 2 AS mol_from_vote,
+  CASE WHEN n >= 2 THEN '' ELSE 'no licence number' END AS manual_review FROM w WHERE a = 1
+""")
+def scan_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small documents: votes at the licence region alone."""
+    l = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    r = F.col("l_linenumber") % 3
+    reads = l.select(F.col("l_orderkey").cast("string").alias("source_docx"), F.lit("image1.png").alias("image_name"), F.lit("mol").alias("roi"), F.lit("vote").alias("phase"), F.col("l_linenumber").cast("int").alias("config_ord"), F.concat(F.lit("MOL No 100"), r.cast("string")).alias("text"), (r * 20.0 + 10).alias("conf"))
+    classes = reads.select("source_docx", "image_name", F.lit("small").alias("docx_class"), F.lit(1).alias("scan_tier")).distinct()
+    out = votes.scan_images(conform(reads, OCR_READ), classes)
+    return out.select("source_docx", "mol", F.col("mol_conf").cast("int").alias("conf"), "mol_from_vote", "manual_review")
+
+
+_PEOPLE = "趙錢孫李周吳鄭王馮陳"
+
+
+@_query(f"""
+WITH c AS (SELECT c_custkey AS k, substr('{_PEOPLE}', CAST(c_custkey % 10 AS INTEGER) + 1, 1) || substr('明華美英志文', CAST(c_nationkey % 6 AS INTEGER) + 1, 1) || '安' AS n, lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS p FROM customer)
+SELECT k AS c_custkey, CASE WHEN k % 5 = 4 THEN '' ELSE n END AS name_cn, CASE WHEN k % 5 = 4 THEN '' ELSE 'LEE AN' END AS name_en, CASE WHEN k % 5 = 4 THEN '' ELSE '臺北市中山區一號路' || k || '號' END AS addr_cn,
+  CASE WHEN k % 5 = 4 THEN '' ELSE 'No. ' || k || ', Yihao Rd., Zhongshan Dist., Taipei City' || CASE WHEN k % 2 = 0 THEN ' Taiwan' ELSE '' END END AS addr_en, CASE WHEN k % 5 = 4 THEN '' ELSE '02-2345-' || p END AS phone, CASE WHEN k % 5 = 4 THEN 'employer block not anchored' ELSE '' END AS note FROM c
+""")
+def employer_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract texts made of customers; one in five has lost its labels."""
+    key = F.col("c_custkey")
+    name = F.concat(F.substr(F.lit(_PEOPLE), (key % 10 + 1).cast("int"), F.lit(1)), F.substr(F.lit("明華美英志文"), (F.col("c_nationkey") % 6 + 1).cast("int"), F.lit(1)), F.lit("安"))
+    phone = F.concat(F.lit("02-2345-"), F.lpad((key % 10_000).cast("string"), 4, "0"))
+    label = F.when(key % 3 == 0, F.lit("甲方名稱:")).otherwise(F.lit("雇主名稱："))
+    lines = [F.lit("契約書 03-1234567"), F.concat(label, name), F.lit("Nama Majikan: LEE AN"), F.concat(F.lit("地址:臺北市中山區一號路"), key.cast("string"), F.lit("號")), F.concat(F.lit("Alamat: No. "), key.cast("string"), F.lit(", Yihao Rd., Zhongshan Dist., Taipei City")), F.when(key % 2 == 0, "Taiwan").otherwise("12345678"), F.concat(F.lit("電話:"), phone, F.lit(" 傳真:02-1111-2222")), F.lit("07-7654321"), F.lit("PIHAK KEDUA"), F.lit("電話:04-8888-9999")]
+    text = F.when(key % 5 == 4, "scan 02-2345-6789").otherwise(F.concat_ws("\n", *lines))
+    return extract.employer_fields(_t(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))).select("c_custkey", "name_cn", "name_en", "addr_cn", "addr_en", "phone", "note")
+
+
+@_query(f"""
+WITH s AS (SELECT s_suppkey AS k, substr('{_PEOPLE}', CAST(s_suppkey % 10 AS INTEGER) + 1, 1) || '氏人力仲介股份有限公司' AS n, lpad(CAST(s_suppkey % 10000 AS VARCHAR), 4, '0') AS p FROM supplier)
+SELECT k AS s_suppkey, CASE WHEN k % 4 = 3 THEN '' ELSE n END AS name, CASE WHEN k % 4 = 3 THEN '' ELSE '臺中市西區二號街' || k || '號' END AS address, CASE WHEN k % 4 = 3 THEN '' ELSE '04-2222-' || p || CASE WHEN k % 2 = 0 THEN ',0912-345-678' ELSE '' END END AS phones FROM s
+""")
+def agency_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages after the contract made of suppliers: strict and loose labels, and prose that only mentions the agency."""
+    key = F.col("s_suppkey")
+    name = F.concat(F.substr(F.lit(_PEOPLE), (key % 10 + 1).cast("int"), F.lit(1)), F.lit("氏人力仲介股份有限公司"))
+    label = F.when(key % 4 == 0, "台灣仲介公司:").when(key % 4 == 1, "Agency Taiwan").when(key % 4 == 2, "gensi Taiwan :").otherwise("另一份由台灣仲介公司存查。")
+    lines = [F.lit("甲方 03-9999999"), label, F.concat(F.lit("名稱:"), name, F.lit(" LTD")), F.concat(F.lit("地址:臺中市西區二號街"), key.cast("string"), F.lit("號")), F.concat(F.lit("電話:04-2222-"), F.lpad((key % 10_000).cast("string"), 4, "0"), F.lit(" Fax 04-3333-4444")), F.when(key % 2 == 0, "0912-345-678").otherwise("-"), F.lit("印尼仲介"), F.lit("JL. SUDIRMAN 021-5555555")]
+    out = extract.with_agency_block(_t(spark, sf_dir, "supplier").select("s_suppkey", F.concat_ws("\n", *lines).alias("text")))
+    return out.select("s_suppkey", "agency.name", "agency.address", F.array_join("agency.phones", ",").alias("phones"))
+
+
+_CITIES, _PLACES = ("臺北市", "臺中市", "高雄市", "花蓮縣", "澎湖縣"), "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午未申酉戌亥乾坤"
+
+
+def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions as cities, nations as areas, three roads each; roads of one city share names across areas."""
+    n = _t(spark, sf_dir, "nation").where("n_nationkey < 24")
+    city = F.element_at(F.array(*map(F.lit, _CITIES)), (F.col("n_regionkey") + 1).cast("int"))
+    place = lambda i: F.substr(F.lit(_PLACES), (i + 1).cast("int"), F.lit(1))
+    roads = F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda j: F.struct(F.concat(place((F.col("n_nationkey") * (j + 1) + j) % 24), F.lit("平路")).alias("RoadName"), F.lit("").alias("RoadEngName")))
+    areas = n.groupBy(F.col("n_regionkey").alias("r"), city.alias("CityName")).agg(F.array_sort(F.collect_list(F.struct(F.concat(place(F.col("n_nationkey")), F.lit("安區")).alias("AreaName"), F.lit("").alias("AreaEngName"), F.lpad(F.col("n_nationkey").cast("string"), 3, "1").alias("ZipCode"), roads.alias("RoadList")))).alias("AreaList"))
+    return gazetteer.flatten(areas.select("CityName", F.lit("").alias("CityEngName"), "AreaList"))
+
+
+@_query(f"""
+WITH n AS (SELECT n_nationkey AS k, substr('{_PLACES}', CAST(n_nationkey AS INTEGER) + 1, 1) || '安區' AS area, ['臺北市', '臺中市', '高雄市', '花蓮縣', '澎湖縣'][CAST(n_regionkey AS INTEGER) + 1] AS city, lpad(CAST(n_nationkey AS VARCHAR), 3, '1') AS zip FROM nation WHERE n_nationkey < 24),
+r AS (SELECT DISTINCT city, area, zip, k, j, substr('{_PLACES}', CAST((k * (j + 1) + j) % 24 AS INTEGER) + 1, 1) || '平路' AS road FROM n, (VALUES (0), (1), (2)) t(j)),
+u AS (SELECT city, road, min(area) AS area, min(zip) AS zip FROM r GROUP BY ALL HAVING count(DISTINCT area) = 1),
+q AS (SELECT c_custkey, c_custkey % 5 AS case_, c.c_custkey || '號' AS no, r.* FROM customer c JOIN r ON r.k = c_nationkey AND r.j = c_custkey % 3)
+SELECT c_custkey, CASE case_ WHEN 0 THEN q.city || q.area || q.road || no WHEN 1 THEN q.city || q.area || q.road || no WHEN 2 THEN coalesce(q.city || u.area || q.road || no, '') ELSE '' END AS addr_std,
+  CASE case_ WHEN 0 THEN q.zip WHEN 1 THEN q.zip WHEN 2 THEN coalesce(u.zip, '') WHEN 3 THEN q.zip ELSE '' END AS zip, case_ <> 4 AS addr_matched,
+  CASE case_ WHEN 2 THEN CASE WHEN u.area IS NULL THEN 'J: area open, the road is in several' ELSE '' END WHEN 3 THEN 'J: road not listed in the area' WHEN 4 THEN 'J: city not in the gazetteer' ELSE '' END AS doubt_addr
+FROM q LEFT JOIN u ON u.city = q.city AND u.road = q.road
+""")
+def standard_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of customers in full, with the city's short name, without area, with an unknown road, and with none of all."""
+    gaz = _gazetteer(spark, sf_dir)
+    k, case = F.col("c_custkey"), F.col("c_custkey") % 5
+    place = lambda i: F.substr(F.lit(_PLACES), (i + 1).cast("int"), F.lit(1))
+    j = k % 3
+    n = _t(spark, sf_dir, "nation").where("n_nationkey < 24")
+    c = _t(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    city, area, road = F.element_at(F.array(*map(F.lit, _CITIES)), (F.col("n_regionkey") + 1).cast("int")), F.concat(place(F.col("n_nationkey")), F.lit("安區")), F.concat(place((F.col("n_nationkey") * (j + 1) + j) % 24), F.lit("平路"))
+    no = F.concat(k.cast("string"), F.lit("號"))
+    text = F.when(case == 0, F.concat(F.lit("x\n"), city, area, road, F.lit(" "), no)).when(case == 1, F.concat(F.regexp_replace(city, "[市縣]$", ""), area, road, no)).when(case == 2, F.concat(city, road, no)).when(case == 3, F.concat(city, area, F.lit("無名大道"), no)).otherwise("PO Box")
+    known = gazetteer.standard_address(gazetteer.normalise(c.select("c_custkey", text.alias("addr_cn"), F.lit("").alias("addr_en")), gaz))
+    return known.select("c_custkey", "addr_std", "zip", "addr_matched", "doubt_addr")
+
+
+@_query("""
+SELECT CAST(s_suppkey AS VARCHAR) AS source_docx, CASE WHEN s_suppkey % 3 = 1 THEN (s_suppkey - 1) || '-02' ELSE lpad(CAST(s_suppkey AS VARCHAR), 4, '0') END AS candidate_value,
+  CASE s_suppkey % 4 WHEN 0 THEN 'phone' WHEN 1 THEN 'phone_prefix' ELSE 'name' END AS rescued_by FROM supplier WHERE s_suppkey % 5 <> 4
+""")
+def rescue_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active suppliers looked up again by their number, by the beginning of it, and by their name."""
+    s = _t(spark, sf_dir, "supplier").where("s_suppkey % 5 <> 4")
+    key = F.col("s_suppkey")
+    short = F.concat(F.lit("0"), F.lpad((key * 7919 % 10_000_000).cast("string"), 7, "0"))
+    number = F.when(key % 4 == 0, F.concat(short, (F.col("s_nationkey") % 10).cast("string"))).when(key % 4 == 1, short)
+    blocks = s.select(key.cast("string").alias("source_docx"), F.array_compact(F.array(number)).alias("phones"), F.col("s_name").alias("agency_text_name"), F.lit("").alias("agency_text_address"))
+    items = s.select(key.cast("string").alias("source_docx"), F.lit("").alias("candidate_value"), F.lit("").alias("reason"))
+    return rescue.rescue(items, blocks, _registry(spark, sf_dir)).select("source_docx", "candidate_value", "rescued_by")
+
+
+@_query("""
+SELECT CAST(conv_id AS VARCHAR) AS source_docx, turn, CASE WHEN turn = 0 THEN 1073741824 ELSE turn END AS flat, CASE turn % 3 WHEN 0 THEN 'mol' ELSE 'permit' END AS field,
+  CASE WHEN turn % 2 = 0 THEN 'p' WHEN turn % 3 = 0 THEN 'm' ELSE '' END AS best, CASE turn % 4 WHEN 0 THEN '東' WHEN 1 THEN '' WHEN 2 THEN '北' ELSE '' END AS way, turn || CASE WHEN turn % 2 = 0 THEN '-2' ELSE '' END AS branch,
+  turn % 3 = 0 AS cjk, '甲路' AS base FROM conversations
+""")
+def page_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small rules on pages: keys, regions, paths, directions, branches."""
+    turn = F.col("turn")
+    name = F.when(turn == 0, "front.png").otherwise(F.concat(F.lit("image"), turn.cast("string"), F.lit(".png")))
+    roi = F.when(turn % 3 == 0, "mol").when(turn % 3 == 1, "permit_upper").otherwise("permit_lower")
+    road = F.when(turn % 4 == 0, "甲東路").when(turn % 4 == 1, "甲路").when(turn % 4 == 2, "甲北大道").otherwise("東甲街")
+    return _pages(spark, sf_dir).select(
+        "source_docx", "turn", S.natural_key_flat(name)["n"].cast("int").alias("flat"), S.roi_field(roi).alias("field"), S.first_of(F.when(turn % 2 == 0, "p").otherwise(""), F.when(turn % 3 == 0, "m").otherwise("")).alias("best"),
+        S.direction(road).alias("way"), S.branch_key(turn, F.when(turn % 2 == 0, "2")).alias("branch"), S.has_cjk(F.when(turn % 3 == 0, "x甲").otherwise("x")).alias("cjk"), S.strip_section(F.concat(F.lit("甲路"), turn.cast("string"), F.lit("段"))).alias("base"),
+    )
+
+
 # --- end to end ------------------------------------------------------------------------------
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "attestor", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,6 +25,20 @@ def build_session(app: str = "attestor", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared checkpoint folder: later plans start there and survive the loss of executors.
+
+    The folder is ``spark.checkpoint.dir``; only a session on one machine may go without it.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or f"file://{tempfile.gettempdir()}/attestor-checkpoints")
+    return df.checkpoint()
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -33,7 +49,6 @@ def ship(spark: SparkSession) -> SparkSession:
     """
     import os
     import shutil
-    import tempfile
     from pathlib import Path
 
     root = Path(__file__).resolve().parent.parent

@@ -21,14 +21,16 @@ def channel(image: np.ndarray, name: str) -> np.ndarray:
 
 
 def stretch(gray: np.ndarray, low: float = 2, high: float = 98) -> np.ndarray:
-    """Contrast between two percentiles spread over 0 to 255."""
+    """Contrast between two percentiles spread over 0 to 255; an image in which they are equal stays."""
     a, b = np.percentile(gray, [low, high])
-    return np.clip((gray - a) * (255 / max(b - a, 1e-9)), 0, 255)
+    return np.clip((gray - a) * (255 / (b - a)), 0, 255) if b > a else gray
 
 
-def median3(gray: np.ndarray) -> np.ndarray:
-    padded = np.pad(gray, 1, mode="edge")
-    return np.median(np.stack([padded[i : i + gray.shape[0], j : j + gray.shape[1]] for i in range(3) for j in range(3)]), 0)
+def median(gray: np.ndarray, size: int) -> np.ndarray:
+    """The median of the square of an odd size around every place, edges repeated."""
+    h, w = gray.shape
+    padded = np.pad(gray, size // 2, mode="edge")
+    return np.median(np.stack([padded[i : i + h, j : j + w] for i in range(size) for j in range(size)]), 0)
 
 
 def enlarge(gray: np.ndarray, factor: int) -> np.ndarray:
@@ -54,7 +56,7 @@ def prepare(image: np.ndarray, settings: dict) -> np.ndarray:
     gray = channel(crop(image, tuple(settings.get("roi", (0, 0, 1, 1)))), settings.get("channel", "gray"))
     gray = stretch(enlarge(gray, settings.get("scale", 1)), *settings.get("contrast", (2, 98)))
     if settings.get("median"):
-        gray = median3(gray)
+        gray = median(gray, settings["median"])
     for _ in range(2 * bool(settings.get("sharpen"))):
         gray = sharpen(gray)
     return gray.round().astype(np.uint8)

@@ -34,7 +34,18 @@ def write_doubts(employers: DataFrame, path: str) -> None:
     doubt_report(employers).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def retrying(action: Callable[[], object], tries: int = 5, start: float = 2.0, most: float = 30.0, should_retry: Callable[[Exception], bool] = lambda e: isinstance(e, (ConnectionError, TimeoutError)), sleep: Callable[[float], None] = time.sleep) -> object:
+# Names of the remote errors that may pass.
+_PASSING = ("ServiceUnavailable", "DeadlineExceeded", "InternalServerError", "TooManyRequests")
+
+
+def may_pass(error: Exception) -> bool:
+    """Connection errors, timeouts, HTTP 429 and 5xx, and the remote classes that stand for them."""
+    status = getattr(getattr(error, "resp", error), "status", None) or getattr(error, "code", None)
+    busy = isinstance(status, int) and (status == 429 or 500 <= status < 600)
+    return isinstance(error, (ConnectionError, TimeoutError)) or busy or type(error).__name__ in _PASSING
+
+
+def retrying(action: Callable[[], object], tries: int = 5, start: float = 2.0, most: float = 30.0, should_retry: Callable[[Exception], bool] = may_pass, sleep: Callable[[float], None] = time.sleep) -> object:
     """Run an action, waiting longer after each failure that is worth a retry."""
     wait = start
     for attempt in range(1, tries + 1):
@@ -56,7 +67,7 @@ def append_sheet(rows: DataFrame, path: str, log_path: str, log: DataFrame, run_
     overwritten.
     """
     new = not_yet_written(rows, log)
-    new.write.mode("overwrite").parquet(f"{path}/run={run_id}")
+    retrying(lambda: new.write.mode("overwrite").parquet(f"{path}/run={run_id}"))
     done = rows.sparkSession.read.parquet(f"{path}/run={run_id}")
     entries = done.select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "source_docx", F.col("permit").alias("final_value"), "status", "reason")
     entries.write.mode("append").option("header", True).csv(log_path)

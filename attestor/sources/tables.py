@@ -53,11 +53,15 @@ def encoded_results(results: DataFrame) -> DataFrame:
     return results.select(*columns)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def upload_log(spark: SparkSession, path: str) -> DataFrame:
     """timestamp, source_docx, final_value, status, reason as text; a log that isn't there is empty."""
     schema = "timestamp string, source_docx string, final_value string, status string, reason string"
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    if not _exists(spark, path):
         return spark.createDataFrame([], schema)
     names = [f.name for f in StructType.fromDDL(schema)]
     raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
@@ -66,6 +70,8 @@ def upload_log(spark: SparkSession, path: str) -> DataFrame:
 
 def roster(spark: SparkSession, path: str) -> DataFrame:
     """The registry from its JSON array, each row with its place."""
+    if not _exists(spark, path):
+        raise FileNotFoundError(f"no registry at {path}: fetch the official list of agencies as a JSON array first")
     schema = ", ".join(f"`{v}` string" for v in REGISTRY_FIELDS.values())
     raw = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("pos", F.monotonically_increasing_id())
     return registry.roster(raw.select("pos", *(F.col(v).alias(k) for k, v in REGISTRY_FIELDS.items())))
@@ -77,8 +83,8 @@ def roster_age_days(spark: SparkSession, path: str) -> DataFrame:
 
 
 def gazetteer_roads(spark: SparkSession, path: str, custom: str = "") -> DataFrame:
-    """gaz_road from nested JSON, with own roads from a second file laid over it."""
+    """gaz_road from nested JSON, with own roads from a second file, if it is there, laid over it."""
     out = gazetteer.flatten(spark.read.schema(CITY_SCHEMA).option("multiLine", True).json(path))
-    if custom:
+    if custom and _exists(spark, custom):
         out = gazetteer.overlay(out, spark.read.schema(ROAD_SCHEMA).option("multiLine", True).json(custom).where("CityName is not null"))
     return out

@@ -163,3 +163,12 @@ def test_every_document_is_routed(spark, rows):
     got = queue.groupBy("source_docx").agg(F.count_distinct("route").alias("n"), F.collect_set("route").alias("r")).collect()
     assert {r["source_docx"] for r in got} == {r[0] for r in rows}
     assert all(r["n"] == 1 or set(r["r"]) <= {"rescue", "second_reader"} for r in got)
+
+
+def test_pages_without_a_number_never_tie(spark):
+    """Equal numbers and none at all: one page wins, the first by name."""
+    reads = spark.createDataFrame([(d, n, "mol", "scan", 0, "c", "", f"MOL No {v}", 40.0) for d, n, v in (("a", "front.png", 5678), ("a", "back.png", 1234), ("b", "image2.png", 5678), ("b", "image2.jpeg", 1234))], OCR_READ)
+    results, queue = decide_documents(reads)
+    got = {(r["source_docx"], r["image_name"]): (r["final_value"], r["vision_review"]) for r in results.collect()}
+    assert got == {("a", "back.png"): ("1234", True), ("a", "front.png"): ("1234", False), ("b", "image2.jpeg"): ("1234", True), ("b", "image2.png"): ("1234", False)}
+    assert queue.count() == 2

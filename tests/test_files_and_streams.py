@@ -34,6 +34,47 @@ def test_documents_and_pages(spark, tmp_path):
     assert sorted(r["image_name"] for r in documents.for_extraction(pages).collect()) == ["image10.JPG", "image2.png"]
 
 
+def test_names_and_damaged_archives(spark, tmp_path):
+    docx(tmp_path / "a+b %41.docx", ["word/media/image1.png", "word/media/image2.png"])
+    raw = bytearray((tmp_path / "a+b %41.docx").read_bytes())
+    with zipfile.ZipFile(tmp_path / "c.docx", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("word/media/image1.png", bytes(range(256)) * 40)
+        z.writestr("word/media/image2.png", b"fine")
+    raw = bytearray((tmp_path / "c.docx").read_bytes())
+    raw[60:90] = b"\xff" * 30  # inside the first deflate stream
+    (tmp_path / "c.docx").write_bytes(raw)
+    pages = documents.page_images(documents.documents(spark, f"file://{tmp_path}")).collect()
+    assert sorted((r["source_docx"], r["image_name"], r["error"] == "") for r in pages) == [("a+b %41.docx", "image1.png", True), ("a+b %41.docx", "image2.png", True), ("c.docx", "image1.png", False), ("c.docx", "image2.png", True)]
+
+
+def test_second_tier_is_read_only_where_needed(spark):
+    """A sure vote in images 2, 5, 6 spares the rest; the reader's calls are in its readings."""
+    names = [f"image{i}.png" for i in range(1, 8)]
+    rows = [(d, n, n.encode() + d.encode()) for d in ("sure", "open") for n in names] + [("small", "image1.png", b"image1.pngsmall")]
+    pages = spark.createDataFrame(rows, "source_docx string, image_name string, content binary")
+
+    def reader(content, settings):
+        return ("No. izin: 1234", 80.0) if content == b"image2.pngsure" else ("", 0.0)
+
+    got = documents.scan_in_tiers(pages, documents.config_table(spark), reader)
+    read = {(r["source_docx"], r["image_name"]) for r in got.select("source_docx", "image_name").distinct().collect()}
+    assert {n for d, n in read if d == "sure"} == {"image2.png", "image5.png", "image6.png"}
+    assert {n for d, n in read if d == "open"} == set(names)
+    assert ("small", "image1.png") in read
+    assert got.groupBy("source_docx", "image_name").count().where("count <> 51").count() == 0
+    whole = documents.scan_in_tiers(pages, documents.config_table(spark, "mol"), reader, whole=True)
+    assert whole.count() == 15 * 17
+    assert documents.engine_options({"psm": 6, "characters": "ab"}) == "--psm 6 -c tessedit_char_whitelist=ab"
+
+
+def test_errors_that_may_pass():
+    class Odd(Exception):
+        def __init__(self, code):
+            self.code = code
+
+    assert [sinks.may_pass(e) for e in (ConnectionError(), TimeoutError(), Odd(429), Odd(503), Odd(404), ValueError())] == [True, True, True, True, False, False]
+
+
 def test_readers_never_fail_a_task(spark):
     pages = spark.createDataFrame([("d", "image1.png", b"ok"), ("d", "image2.png", b"bad")], "source_docx string, image_name string, content binary")
 
@@ -60,6 +101,10 @@ def test_pixels():
     assert clean[27, 20] == 0
     out = images.prepare(image, {"channel": "R", "scale": 2, "median": 3, "sharpen": True, "roi": (0, 0, 1, 1)})
     assert out.shape == (80, 120)
+    page = np.full((20, 20), 255.0)
+    page[3, 4] = 0
+    assert (images.stretch(page) == page).all()
+    assert images.median(np.arange(81.0).reshape(9, 9), 5)[4, 4] == 40
     assert out.dtype == np.uint8
 
 

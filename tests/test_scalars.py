@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
-from attestor.functions.kernels import fold, fold_variants, round1, section_number
+from attestor.functions.kernels import fold, fold_variants, section_number
 
 
 def column(spark, values, expr, schema="v string"):
@@ -74,8 +74,8 @@ def test_page_score_and_labels(spark):
 
 
 def test_rounding_is_pythons(spark):
-    values = [55.05, 45.05, 50.05, 66.35, 0.0]
-    assert column(spark, values, round1, "v double") == [round(v, 1) for v in values]
+    values = [55.05, 45.05, 50.05, 66.35, 0.0, 0.25, 0.35, 0.45, 2.5, 99.95, 33.333, 12.65, *(i / 20 for i in range(2001)), *(i / 7 for i in range(500))]
+    assert column(spark, values, S.round1, "v double") == [round(v, 1) for v in values]
 
 
 def test_folding(spark):
