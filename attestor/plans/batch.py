@@ -9,6 +9,7 @@ from attestor.functions import scalars as S
 from attestor.operators import assemble, extract, gazetteer, routing, verify, votes
 from attestor.operators.rescue import rescue
 from attestor.schema import EMPLOYER, conform
+from attestor.session import cut
 
 
 def decide_documents(reads: DataFrame, images: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -21,7 +22,8 @@ def decide_documents(reads: DataFrame, images: DataFrame | None = None) -> tuple
     pages = routing.pages(images if images is not None else reads.select("source_docx", "image_name").distinct())
     pages = pages.withColumn("scan_tier", F.when(F.col("docx_class") == "small", 1).otherwise(F.col("tier")))
     classes = pages.select("source_docx", "image_name", "docx_class", "scan_tier")
-    scanned = votes.scan_images(reads, classes)
+    # Cut once: the votes, the tiers and the routes all start from it.
+    scanned = cut(votes.scan_images(reads, classes))
     done = votes.has_permit_vote(scanned.where("scan_tier = 1")).where("has_vote").select("source_docx")
     kept = scanned.where("docx_class = 'small' or scan_tier = 1").unionByName(scanned.where("docx_class = 'large' and scan_tier = 2").join(done, "source_docx", "left_anti"))
     # The order within a document: tier, then the page's natural key, in which no two pages are equal.
