@@ -60,6 +60,16 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, digest, joined(F.col("findings")).alias("spans"))
 
 
+#: Shingles of a table's texts: A-Z folded, words at white space, runs of five words or the whole of fewer.
+_SHINGLES_SQL = """
+  SELECT DISTINCT {id}, unnest(CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+  FROM (SELECT {id}, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM {table} WHERE text IS NOT NULL)
+"""
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id, n_shared, n_item and containment of every item found in a document."""
     from attestor.llm import decontaminate
@@ -68,6 +78,17 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.inline("leaks")).withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
+#: Exact containment of every item in every document that shares a shingle with it.
+OP4_SQL = f"""
+WITH d AS ({_SHINGLES_SQL.format(id="doc_id", table="documents")}),
+b AS ({_SHINGLES_SQL.format(id="item_id", table="benchmark")}),
+n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id),
+c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (shingle) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shared, n_item, CAST(n_shared AS DOUBLE) / n_item AS containment
+FROM c JOIN n USING (item_id) WHERE 4 * n_shared >= 3 * n_item
+"""
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id, rank, vec_id, score: the 5 best of every query row."""
     from attestor.llm import exact_topk
@@ -145,6 +166,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(_table(spark, sf_dir, "documents"))
 
 
+#: All pairs that share a shingle, then the closure of their links.
+OP10_SQL = f"""
+WITH RECURSIVE s AS MATERIALIZED ({_SHINGLES_SQL.format(id="doc_id", table="documents")}),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT a AS doc_id, coalesce(max(n), 0) AS n_shingles, min(b) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py."""
     import corpus_pipeline
@@ -170,5 +203,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_decontaminate": OP4_SQL,
         "op5_exact_topk": OP5_SQL,
+        "op10_jaccard_join": OP10_SQL,
     }
