@@ -2,7 +2,8 @@
 
 Base findings are the leftmost non-overlapping matches of each kind (assign, access, hex); the
 network only adds spans, of kind ``neural``, that overlap no base span.  Its candidates are all
-runs of 16 or more token characters with a letter and a digit, scored with 24 characters around them; long
+runs of 16 or more token characters with a letter and a digit, or with letters of both cases and a capital
+after the first character, scored with 24 characters around them; long
 candidates are scored in parts and the highest counts.  It is trained in numpy on labelled
 findings (text, start, end, label; by default a built-in set made by rule), its scores are
 calibrated on held-out findings, and each shape of candidate has the highest threshold that keeps
@@ -37,9 +38,10 @@ CONTEXT, BODY = 24, 48
 RECALL = 0.98
 SHAPES = ("hex", "upper", "mixed")
 
-_TOKEN, _DIGIT = np.zeros(256, bool), np.zeros(256, bool)
+_TOKEN, _DIGIT, _CAPITAL = (np.zeros(256, bool) for _ in range(3))
 _TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_=-"]] = True
 _DIGIT[48:58] = True
+_CAPITAL[65:91] = True
 
 
 def base(text: str) -> list[tuple[str, int, int]]:
@@ -53,7 +55,7 @@ def candidates(text: str) -> list[tuple[int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
         s = m[0]
-        if any("0" <= c <= "9" for c in s) and any(c.isalpha() for c in s):
+        if any(c.isalpha() for c in s) and (any("0" <= c <= "9" for c in s) or s[1:].lower() != s[1:] and s.upper() != s):
             out.append((m.start(), m.end()))
     return out
 
@@ -70,7 +72,8 @@ def suspects(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     long = end - start >= 16
     start, end = start[long], end[long]
     digits = np.concatenate([[0], np.cumsum(_DIGIT[raw], dtype=np.int32)])
-    good = (digits[end] > digits[start]) | (end - start >= 32)
+    capitals = np.concatenate([[0], np.cumsum(_CAPITAL[raw], dtype=np.int32)])
+    good = (digits[end] > digits[start]) | (capitals[end] > capitals[start + 1]) | (end - start >= 32)
     hits = [start[good], end[good] - 1, np.flatnonzero((raw == 0x3A) | (raw == 0x3D))]
     data, at, keys = raw.tobytes(), 0, []
     while (at := data.find(b"AKIA", at)) >= 0:
@@ -233,7 +236,7 @@ def learn(findings: Sequence[Finding], recall: float = RECALL, seed: int = 5) ->
     return Model(net, a, b, limits)
 
 
-def built_in_findings(n: int = 2400, seed: int = 3) -> list[Finding]:
+def built_in_findings(n: int = 6000, seed: int = 3) -> list[Finding]:
     """Labelled findings made by rule: credentials of many formats, and look-alikes, in prose and code."""
     r = np.random.default_rng(seed)
 
@@ -244,20 +247,32 @@ def built_in_findings(n: int = 2400, seed: int = 3) -> list[Finding]:
     hexa, alnum = dig + "abcdef", low + up + dig
     syllables = "an en in on the re ti or es st ed at he nd th ea ou ing ion ent der die und sch ich lo ra co que el la eau ment tion".split()  # fixed value
 
+    def syllable() -> str:
+        if r.random() < 0.4:
+            return syllables[int(r.integers(0, len(syllables)))]
+        return chars("bcdfghjklmnprstvwz", 1) + chars("aeiou", 1) + (chars("lmnrst", 1) if r.random() < 0.6 else "")
+
     def word() -> str:
-        return "".join(syllables[i] for i in r.integers(0, len(syllables), r.integers(1, 4)))
+        return "".join(syllable() for _ in range(int(r.integers(1, 4))))
 
     def prose(k: int) -> str:
         return " ".join(word() for _ in range(k))
 
+    def mark() -> str:
+        """A prefix of one or two parts, as issuers put before their tokens."""
+        return "".join(chars(low, int(r.integers(2, 7))) + "-_"[int(r.integers(0, 2))] for _ in range(int(r.integers(1, 3))))
+
     good = [
         lambda: chars(hexa, int(r.choice([24, 32, 40, 64]))), lambda: chars(hexa, 40).upper(), lambda: chars(alnum + "+/", 40), lambda: "ghp_" + chars(alnum, 36), lambda: "xoxb-" + chars(dig, 12) + "-" + chars(alnum, 24),
         lambda: "sk_live_" + chars(alnum, 24), lambda: "AIza" + chars(alnum + "-_", 35), lambda: "eyJ" + chars(alnum, int(r.integers(20, 120))), lambda: chars(alnum, int(r.integers(20, 44))), lambda: "AKIA" + chars(up + dig, 16), lambda: chars(up + dig, int(r.integers(20, 36))), lambda: chars(alnum + "+/", 43) + "=",
+        # any prefix, any alphabet: formats that nobody listed
+        lambda: mark() + chars(alnum, int(r.integers(18, 60))), lambda: mark() + chars(alnum + "-_", int(r.integers(18, 60))), lambda: mark() + chars(low + up, int(r.integers(18, 44))), lambda: mark() + chars(hexa, int(r.choice([24, 32, 40]))),
     ]
     bad = [
         lambda: "-".join(word() for _ in range(4)) + "-" + chars(dig, 4), lambda: f"20{chars(dig, 2)}-0{chars('123456789', 1)}-1{chars(dig, 1)}T{chars(dig, 2)}-{chars(dig, 2)}", lambda: "INV-20" + chars(dig, 2) + "-" + chars(dig, 8), lambda: word() + "_" + word() + "_" + word() + chars(dig, 2), lambda: "/".join([word(), word(), word(), "v" + chars(dig, 1)]),
         lambda: chars(low, 1) * 12 + chars(dig, 1) * 8, lambda: word().capitalize() + word().capitalize() + word().capitalize() + "Test" + chars(dig, 2), lambda: "=" * 14 + chars(dig, 2) + "a", lambda: "ISBN-978-" + chars(dig, 9), lambda: "build-" + chars(dig, 4) + "-release-" + chars(dig, 2), lambda: "".join(word() for _ in range(5)) + chars(dig, 1), lambda: "page_" + chars(dig, 3) + "_of_" + chars(dig, 4) + "_draft",
         lambda: word() + "+" + word() + "=" + word() + chars(dig, 2) + "-" + word(),
+        lambda: "_".join(word().upper() for _ in range(4)) + "_" + chars(up, 1) + chars(dig, 1), lambda: "-".join(word().upper() for _ in range(3)) + "-" + chars(dig, 3), lambda: "-".join(chars(hexa, k) for k in (8, 4, 4, 4, 12)), lambda: "/".join(word().capitalize() for _ in range(4)), lambda: "".join(word().capitalize() for _ in range(5)), lambda: "_".join(word().capitalize() for _ in range(4)) + chars(dig, 2), lambda: "-".join(word().capitalize() for _ in range(4)), lambda: word() + "".join(word().capitalize() for _ in range(4)),
     ]
     before = ["key", "bearer", "auth =", "credential:", "private key", "pwd is", "access", "token", "apikey:", ""]  # fixed value
     after_bad = ["file", "see", "order", "path", "version", "id", "page", ""]  # fixed value
@@ -265,8 +280,8 @@ def built_in_findings(n: int = 2400, seed: int = 3) -> list[Finding]:
     for i in range(n):
         label = i % 2
         value = (good if label else bad)[int(r.integers(0, len(good if label else bad)))]()
-        if len(value) < 16:
-            value += chars(dig, 16 - len(value))
+        if len(value) < 16 or not candidates(value):
+            value += chars(dig, max(16 - len(value), 2))
         cue = (before if label else after_bad)[int(r.integers(0, len(before if label else after_bad)))] if r.random() < 0.5 else ""
         quote = '"' if r.random() < 0.3 else ""
         head = prose(int(r.integers(0, 8))) + " " + cue + " " + quote

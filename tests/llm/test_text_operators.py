@@ -1,8 +1,10 @@
 """Licences, secrets, decontamination, language, toxicity, surrogates and search, on small tables."""
 
+import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,7 +30,6 @@ def test_licences(spark):
 def test_dice_against_brute_force():
     from collections import Counter
 
-    import pyarrow as pa
 
     from attestor.llm.common import text_bytes, word_hashes
 
@@ -114,6 +115,50 @@ def test_network_on_held_out_findings():
     assert np.mean([h for h, y in zip(hit, label, strict=True) if not y]) <= 0.02
 
 
+def test_network_on_formats_it_was_not_given():
+    """Token formats and look-alikes that the labelled set doesn't list, with other words around them."""
+    r = random.Random(9)
+    low, dig, hexa = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
+    alnum = low + low.upper() + dig
+
+    def chars(alphabet, k):
+        return "".join(r.choice(alphabet) for _ in range(k))
+
+    def word():
+        return "".join(r.choice("ban der ing tion mar low ket sun riv er stone hill park".split()) for _ in range(r.randint(1, 3)))
+
+    good = [
+        lambda: "glpat-" + chars(alnum + "-_", 20), lambda: "npm_" + chars(alnum, 36), lambda: "rk_live_" + chars(alnum, 24), lambda: "shpat_" + chars(hexa, 32), lambda: "GOCSPX-" + chars(alnum + "-_", 28),
+        lambda: chars(alnum + "+/", 86) + "==", lambda: "SK" + chars(hexa, 32), lambda: "pypi-" + chars(alnum + "-_", 150), lambda: "hf_" + chars(low + low.upper(), 34), lambda: chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32),
+    ]
+    bad = [
+        lambda: "-".join(word() for _ in range(5)) + "-" + chars(dig, 4), lambda: "/".join([word(), word(), word(), "img" + chars(dig, 2)]), lambda: "".join(word().capitalize() for _ in range(4)) + chars(dig, 1), lambda: "_".join(word() for _ in range(4)) + "_" + chars(dig, 2),
+        lambda: "_".join(word().upper() for _ in range(3)) + "_V" + chars(dig, 1), lambda: "-".join(chars(hexa, k) for k in (8, 4, 4, 4, 12)), lambda: "ref" + chars(dig, 16), lambda: "/".join(word().capitalize() for _ in range(4)),
+    ]
+    words, model, share = "the account was moved to another region and then we saw this value in the log of a service".split(), secret_scan.default_model(), []
+    for kinds in (good, bad):
+        hit = []
+        for i in range(400):
+            value = kinds[i % len(kinds)]()
+            head = " ".join(r.choice(words) for _ in range(r.randint(0, 8))) + r.choice([" ", " use ", " client ", " x-header: "]) + r.choice(["", '"', "'"])
+            found = secret_scan.find(head + value + " " + r.choice(words), model)
+            hit.append(any(f["start"] < len(head) + len(value) and f["end"] > len(head) for f in found))
+        share.append(np.mean(hit))
+    print("recall, false alarms:", share)
+    assert share[0] >= 0.9
+    assert share[1] <= 0.02
+
+
+def test_candidates_lie_in_suspect_rows():
+    r = random.Random(3)
+    texts = ["".join(r.choice("abzAZ09 -/.é") for _ in range(r.randint(0, 60))).replace(" ", "" if i % 2 else " ") for i in range(3000)]
+    raw, bounds = secret_scan.text_bytes(pa.array(texts))
+    flag = secret_scan.suspects(raw, bounds)
+    assert all(flag[i] for i, t in enumerate(texts) if secret_scan.candidates(t) or secret_scan.base(t))
+    assert secret_scan.candidates("a MixedCaseOfLettersOnly b") == [(2, 24)]
+    assert secret_scan.candidates("Capitalisedwordoflength ALLCAPITALSWORDOFLENGTH") == []
+
+
 def test_gradients():
     net, r = secret_scan.Network(1), np.random.default_rng(0)
     x, y = r.integers(0, 66, (4, secret_scan._LENGTH)), np.array([0, 1, 0, 1.0])
