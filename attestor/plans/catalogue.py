@@ -567,7 +567,7 @@ def windowed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-WITH l AS (SELECT l_orderkey AS k, l_linenumber AS o, lpad(CAST(l_suppkey % 7 AS VARCHAR), 4, '0') AS v, (l_suppkey % 7) * 10 + 5 AS c FROM lineitem WHERE l_linenumber <= 6),
+WITH l AS (SELECT l_orderkey AS k, l_linenumber AS o, lpad(CAST(l_suppkey % 7 AS VARCHAR), 4, '0') AS v, (l_suppkey % 7) * 10 + 5 AS c FROM lineitem),
 u AS (SELECT k, o, min(v) AS v, min(c) AS c FROM l GROUP BY k, o),
 t AS (SELECT k, v, count(*) AS n, min(o) AS seen, min(c) AS c FROM u GROUP BY k, v),
 w AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, seen) AS a, row_number() OVER (PARTITION BY k ORDER BY c DESC, seen) AS b FROM t)
@@ -577,7 +577,7 @@ SELECT CAST(x.k AS VARCHAR) AS source_docx, CASE WHEN x.n >= 2 THEN x.v ELSE y.v
 def scan_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An order as a page of a large document, its lines as readings that vote: the majority's value, else the surest reading."""
     n = F.col("l_suppkey") % 7
-    l = _t(spark, sf_dir, "lineitem").where("l_linenumber <= 6").groupBy(F.col("l_orderkey").cast("string").alias("source_docx"), F.col("l_linenumber").cast("int").alias("config_ord")).agg(F.min(F.struct(F.lpad(n.cast("string"), 4, "0").alias("v"), (n * 10 + 5).cast("double").alias("c"))).alias("x"))
+    l = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("source_docx"), F.col("l_linenumber").cast("int").alias("config_ord")).agg(F.min(F.struct(F.lpad(n.cast("string"), 4, "0").alias("v"), (n * 10 + 5).cast("double").alias("c"))).alias("x"))
     vote = l.select("source_docx", F.lit("image1.png").alias("image_name"), F.lit("permit_upper").alias("roi"), F.lit("vote").alias("phase"), "config_ord", F.concat(F.lit("No. izin: "), F.col("x.v")).alias("text"), F.col("x.c").alias("conf"))
     scan = vote.select("source_docx").distinct().select("source_docx", F.lit("image1.png").alias("image_name"), F.lit("permit_lower").alias("roi"), F.lit("scan").alias("phase"), F.lit(0).alias("config_ord"), F.lit("No izin 9999").alias("text"), F.lit(1.0).alias("conf"))
     classes = scan.select("source_docx", "image_name", F.lit("large").alias("docx_class"), F.lit(1).alias("scan_tier"))
@@ -635,22 +635,22 @@ def agency_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("s_suppkey", "agency.name", "agency.address", F.array_join("agency.phones", ",").alias("phones"))
 
 
-_CITIES, _PLACES = ("臺北市", "臺中市", "高雄市", "花蓮縣", "澎湖縣"), "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午未申酉戌亥乾坤"
+_CITIES, _PLACES = ("臺北市", "臺中市", "高雄市", "花蓮縣", "澎湖縣"), "甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳午未申酉戌亥乾坤離"
 
 
 def _gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions as cities, nations as areas, three roads each; roads of one city share names across areas."""
-    n = _t(spark, sf_dir, "nation").where("n_nationkey < 24")
+    n = _t(spark, sf_dir, "nation")
     city = F.element_at(F.array(*map(F.lit, _CITIES)), (F.col("n_regionkey") + 1).cast("int"))
     place = lambda i: F.substr(F.lit(_PLACES), (i + 1).cast("int"), F.lit(1))
-    roads = F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda j: F.struct(F.concat(place((F.col("n_nationkey") * (j + 1) + j) % 24), F.lit("平路")).alias("RoadName"), F.lit("").alias("RoadEngName")))
+    roads = F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda j: F.struct(F.concat(place((F.col("n_nationkey") * (j + 1) + j) % 25), F.lit("平路")).alias("RoadName"), F.lit("").alias("RoadEngName")))
     areas = n.groupBy(F.col("n_regionkey").alias("r"), city.alias("CityName")).agg(F.array_sort(F.collect_list(F.struct(F.concat(place(F.col("n_nationkey")), F.lit("安區")).alias("AreaName"), F.lit("").alias("AreaEngName"), F.lpad(F.col("n_nationkey").cast("string"), 3, "1").alias("ZipCode"), roads.alias("RoadList")))).alias("AreaList"))
     return gazetteer.flatten(areas.select("CityName", F.lit("").alias("CityEngName"), "AreaList"))
 
 
 @_query(f"""
-WITH n AS (SELECT n_nationkey AS k, substr('{_PLACES}', CAST(n_nationkey AS INTEGER) + 1, 1) || '安區' AS area, ['臺北市', '臺中市', '高雄市', '花蓮縣', '澎湖縣'][CAST(n_regionkey AS INTEGER) + 1] AS city, lpad(CAST(n_nationkey AS VARCHAR), 3, '1') AS zip FROM nation WHERE n_nationkey < 24),
-r AS (SELECT DISTINCT city, area, zip, k, j, substr('{_PLACES}', CAST((k * (j + 1) + j) % 24 AS INTEGER) + 1, 1) || '平路' AS road FROM n, (VALUES (0), (1), (2)) t(j)),
+WITH n AS (SELECT n_nationkey AS k, substr('{_PLACES}', CAST(n_nationkey AS INTEGER) + 1, 1) || '安區' AS area, ['臺北市', '臺中市', '高雄市', '花蓮縣', '澎湖縣'][CAST(n_regionkey AS INTEGER) + 1] AS city, lpad(CAST(n_nationkey AS VARCHAR), 3, '1') AS zip FROM nation),
+r AS (SELECT DISTINCT city, area, zip, k, j, substr('{_PLACES}', CAST((k * (j + 1) + j) % 25 AS INTEGER) + 1, 1) || '平路' AS road FROM n, (VALUES (0), (1), (2)) t(j)),
 u AS (SELECT city, road, min(area) AS area, min(zip) AS zip FROM r GROUP BY ALL HAVING count(DISTINCT area) = 1),
 q AS (SELECT c_custkey, c_custkey % 5 AS case_, c.c_custkey || '號' AS no, r.* FROM customer c JOIN r ON r.k = c_nationkey AND r.j = c_custkey % 3)
 SELECT c_custkey, CASE case_ WHEN 0 THEN q.city || q.area || q.road || no WHEN 1 THEN q.city || q.area || q.road || no WHEN 2 THEN coalesce(q.city || u.area || q.road || no, '') ELSE '' END AS addr_std,
@@ -664,9 +664,9 @@ def standard_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, case = F.col("c_custkey"), F.col("c_custkey") % 5
     place = lambda i: F.substr(F.lit(_PLACES), (i + 1).cast("int"), F.lit(1))
     j = k % 3
-    n = _t(spark, sf_dir, "nation").where("n_nationkey < 24")
+    n = _t(spark, sf_dir, "nation")
     c = _t(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-    city, area, road = F.element_at(F.array(*map(F.lit, _CITIES)), (F.col("n_regionkey") + 1).cast("int")), F.concat(place(F.col("n_nationkey")), F.lit("安區")), F.concat(place((F.col("n_nationkey") * (j + 1) + j) % 24), F.lit("平路"))
+    city, area, road = F.element_at(F.array(*map(F.lit, _CITIES)), (F.col("n_regionkey") + 1).cast("int")), F.concat(place(F.col("n_nationkey")), F.lit("安區")), F.concat(place((F.col("n_nationkey") * (j + 1) + j) % 25), F.lit("平路"))
     no = F.concat(k.cast("string"), F.lit("號"))
     text = F.when(case == 0, F.concat(F.lit("x\n"), city, area, road, F.lit(" "), no)).when(case == 1, F.concat(F.regexp_replace(city, "[市縣]$", ""), area, road, no)).when(case == 2, F.concat(city, road, no)).when(case == 3, F.concat(city, area, F.lit("無名大道"), no)).otherwise("PO Box")
     known = gazetteer.standard_address(gazetteer.normalise(c.select("c_custkey", text.alias("addr_cn"), F.lit("").alias("addr_en")), gaz))
@@ -674,16 +674,15 @@ def standard_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT CAST(s_suppkey AS VARCHAR) AS source_docx, CASE WHEN s_suppkey % 3 = 1 THEN (s_suppkey - 1) || '-02' ELSE lpad(CAST(s_suppkey AS VARCHAR), 4, '0') END AS candidate_value,
-  CASE s_suppkey % 4 WHEN 0 THEN 'phone' WHEN 1 THEN 'phone_prefix' ELSE 'name' END AS rescued_by FROM supplier WHERE s_suppkey % 5 <> 4
+SELECT CAST(s_suppkey AS VARCHAR) AS source_docx, CASE WHEN s_suppkey % 5 = 4 THEN '' WHEN s_suppkey % 3 = 1 THEN (s_suppkey - 1) || '-02' ELSE lpad(CAST(s_suppkey AS VARCHAR), 4, '0') END AS candidate_value,
+  CASE WHEN s_suppkey % 5 = 4 THEN '' WHEN s_suppkey % 4 = 0 THEN 'phone' WHEN s_suppkey % 4 = 1 THEN 'phone_prefix' ELSE 'name' END AS rescued_by FROM supplier
 """)
 def rescue_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Active suppliers looked up again by their number, by the beginning of it, and by their name."""
-    s = _t(spark, sf_dir, "supplier").where("s_suppkey % 5 <> 4")
-    key = F.col("s_suppkey")
+    """Suppliers looked up again by their number, by the beginning of it, and by their name; closed ones give no name and aren't found."""
+    s, key = _t(spark, sf_dir, "supplier"), F.col("s_suppkey")
     short = F.concat(F.lit("0"), F.lpad((key * 7919 % 10_000_000).cast("string"), 7, "0"))
     number = F.when(key % 4 == 0, F.concat(short, (F.col("s_nationkey") % 10).cast("string"))).when(key % 4 == 1, short)
-    blocks = s.select(key.cast("string").alias("source_docx"), F.array_compact(F.array(number)).alias("phones"), F.col("s_name").alias("agency_text_name"), F.lit("").alias("agency_text_address"))
+    blocks = s.select(key.cast("string").alias("source_docx"), F.array_compact(F.array(number)).alias("phones"), F.when(key % 5 == 4, "").otherwise(F.col("s_name")).alias("agency_text_name"), F.lit("").alias("agency_text_address"))
     items = s.select(key.cast("string").alias("source_docx"), F.lit("").alias("candidate_value"), F.lit("").alias("reason"))
     return rescue.rescue(items, blocks, _registry(spark, sf_dir)).select("source_docx", "candidate_value", "rescued_by")
 
