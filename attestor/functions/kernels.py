@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import difflib
+import math
 import re
 import unicodedata
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -63,7 +63,7 @@ class Ratios:
 
     def best(self, query: str, least: float) -> tuple[int, float] | None:
         """(place, ratio) of the most similar key, the first of equals; None below ``least``."""
-        matcher, place, top = difflib.SequenceMatcher(), -1, 0.0
+        matcher, place, top = difflib.SequenceMatcher(), -1, max(0.0, math.nextafter(least, 0.0))
         matcher.set_seq2(query)
         for i, key in enumerate(self.keys):
             if not key:
@@ -71,16 +71,11 @@ class Ratios:
             matcher.set_seq1(key)
             if matcher.real_quick_ratio() > top and matcher.quick_ratio() > top and (r := matcher.ratio()) > top:
                 place, top = i, r
-        return (place, top) if place >= 0 and top >= least else None
-
-
-def best_keys(queries: Iterator[pd.Series], keys: list[str], least: float, shortest: int) -> Iterator[pd.DataFrame]:
-    table, seen = Ratios(keys), {}
-    for series in queries:
-        out = []
-        for q in series:
-            if q not in seen:
-                seen[q] = table.best(q, least) if q is not None and len(q) >= shortest else None
-            hit = seen[q]
-            out.append((hit[0], round(hit[1], 3)) if hit else (-1, 0.0))
-        yield pd.DataFrame(out, columns=["place", "ratio"])
+        return (place, top) if place >= 0 else None
+
+
+def best_keys(queries: pd.Series, keys: list[str], least: float) -> pd.DataFrame:
+    """place (-1: none), exact ratio and ratio to three places for each query."""
+    table = Ratios(keys)
+    hits = [table.best(q, least) or (-1, 0.0) for q in queries]
+    return pd.DataFrame([(place, ratio, round(ratio, 3)) for place, ratio in hits], columns=["place", "exact", "ratio"])

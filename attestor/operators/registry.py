@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +11,8 @@ from attestor.functions.kernels import addr_norm, best_keys, name_norm
 from attestor.schema import ROSTER, conform
 
 NAME_MIN, ADDRESS_MIN, SHORTEST = 0.78, 0.72, 4
-#: A registry above this many rows is not sent to every worker whole; its rows are dealt in blocks.
-SMALL_REGISTRY = 20_000
+#: Keys and queries that one task of the similarity join holds, about.
+BLOCK_KEYS, BLOCK_QUERIES = 20_000, 250
 
 
 def roster(raw: DataFrame) -> DataFrame:
@@ -74,29 +72,40 @@ def unique_hits(hits: DataFrame, keys: list[str]) -> DataFrame:
 def most_similar(queries: DataFrame, keys: DataFrame, query: str, least: float, shortest: int = SHORTEST) -> DataFrame:
     """(query, pos, ratio) of the key most similar to each distinct normalised query, the first of equals.
 
-    ``keys`` is (pos, key).  Queries meet all keys in blocks of ``SMALL_REGISTRY`` rows; each block
-    gives its best and the best of the blocks is kept, so no worker holds more than one block.
+    ``keys`` is (pos, key) with distinct ``pos``.  Every query meets every key, so both are dealt by
+    hash into blocks of bounded size and each pair of blocks is one group; the best of a query's
+    blocks is kept.  Only the two counts reach the driver, and no plan holds keys.
     """
-    distinct = queries.select(F.col(query).alias("query")).where(F.length("query") >= shortest).distinct()
-    n = keys.count()
-    found = None
-    for start in range(0, max(n, 1), SMALL_REGISTRY):
-        part = keys.orderBy("pos").offset(start).limit(SMALL_REGISTRY).collect()
-        names, places = [r["key"] or "" for r in part], [r["pos"] for r in part]
-        block = distinct.mapInPandas(_block(names, places, least, shortest), "query string, pos bigint, ratio double")
-        found = block if found is None else found.unionByName(block)
-    best = found.groupBy("query").agg(F.max_by(F.struct("pos", "ratio"), F.struct("ratio", -F.col("pos"))).alias("b"))
-    return best.select("query", "b.pos", "b.ratio")
-
-
-def _block(names: list[str], places: list[int], least: float, shortest: int):
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            hits = next(best_keys(iter([frame["query"]]), names, least, shortest))
-            out = pd.DataFrame({"query": frame["query"], "pos": [places[p] if p >= 0 else -1 for p in hits["place"]], "ratio": hits["ratio"]})
-            yield out[out["pos"] >= 0]
-
-    return work
+    asked = queries.select(F.col(query).alias("query")).where(F.length("query") >= shortest).distinct()
+    known = keys.select("pos", "key").where("key <> ''")
+    n_keys, n_asked = _blocks(known, BLOCK_KEYS), _blocks(asked, BLOCK_QUERIES)
+    tasks = max(1, min(n_keys * n_asked, int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    known = known.select("pos", "key", _dealt("pos", n_keys).alias("b"), _all(n_asked).alias("c")).repartition(tasks, "b", "c")
+    asked = asked.select("query", _all(n_keys).alias("b"), _dealt("query", n_asked).alias("c")).repartition(tasks, "b", "c")
+
+    def best(keys: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        keys = keys.sort_values("pos")
+        hits = best_keys(queries["query"], keys["key"].tolist(), least).assign(query=queries["query"].to_numpy(object))
+        hits = hits[hits["place"] >= 0]
+        hits = hits.assign(pos=keys["pos"].to_numpy()[hits["place"]])[["query", "pos", "exact", "ratio"]]
+        return hits.astype({"query": object})  # an empty Arrow string column can't be sent back
+
+    found = known.groupBy("b", "c").cogroup(asked.groupBy("b", "c")).applyInPandas(best, "query string, pos bigint, exact double, ratio double")
+    one = found.groupBy("query").agg(F.max_by(F.struct("pos", "ratio"), F.struct("exact", -F.col("pos"))).alias("b"))
+    return one.select("query", "b.pos", "b.ratio")
+
+
+def _blocks(df: DataFrame, size: int) -> int:
+    return max(1, -(-df.count() // size))
+
+
+def _dealt(column: str, n: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(n))
+
+
+def _all(n: int) -> Column:
+    """Every block's number, one row each."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
 
 
 def best_by_text(queries: DataFrame, registry: DataFrame, query: str, kind: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from attestor.functions.kernels import Ratios
 from attestor.operators import assemble, extract, gazetteer, registry
 from attestor.operators.rescue import rescue
 from attestor.schema import EMPLOYER, SHEET_COLUMNS, conform
@@ -52,6 +53,24 @@ def test_similarity(spark, reg):
     assert (addr["permit"], addr["ratio"]) == ("2340", 1.0)
 
 
+def test_similarity_in_blocks(spark, monkeypatch):
+    """Blocks of any size give what one pass over all keys gives; equals in different blocks go to the first."""
+    names = ["alpha trading", "alpha tradings", "beta service", "alpha trading", None, "", "betas services", "gamma", "alpha trade", "beta service", "delta works"]
+    asked = ["alpha trading", "alpha tradin", "beta servic", "gamm", "delta wrks", "zzzz", "abc", "", None, "alpha trading"]
+    keys = spark.createDataFrame(list(enumerate(names)), "pos long, key string")
+    queries = spark.createDataFrame([(q,) for q in asked], "q string")
+    table = Ratios([n or "" for n in names])
+    best = {q: table.best(q, 0.7) for q in asked if q and len(q) >= registry.SHORTEST}
+    want = {(q, hit[0], round(hit[1], 3)) for q, hit in best.items() if hit}
+    assert ("alpha trading", 0, 1.0) in want and ("zzzz", -1, 0.0) not in want and len(want) == 5
+    for k, q in ((20_000, 250), (2, 3), (1, 1)):
+        monkeypatch.setattr(registry, "BLOCK_KEYS", k)
+        monkeypatch.setattr(registry, "BLOCK_QUERIES", q)
+        assert {tuple(r) for r in registry.most_similar(queries, keys, "q", 0.7).collect()} == want
+    assert registry.most_similar(queries, keys.limit(0), "q", 0.7).count() == 0
+    assert registry.most_similar(queries.limit(0), keys, "q", 0.7).count() == 0
+
+
 def test_rescue_in_order(spark, reg):
     items = spark.createDataFrame([(d, "old", "why") for d in "abcdef"], "source_docx string, candidate_value string, reason string")
     blocks = [("a", ["0000000000", "02-2345-6789"], "藍海國際開發有限公司", ""), ("b", ["02-2345-67"], "藍海國際開發有限公司", ""), ("c", ["03-4567890"], "藍海國際開發有限公司", "桃園市中壢區四號路1號"), ("d", ["03-4567890"], "", ""), ("e", [], "", "")]
