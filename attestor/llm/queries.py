@@ -178,6 +178,36 @@ FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
 """
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n, form, prefix_chars, middle_chars and the digests of the output and of the text rebuilt from it."""
+    from attestor.llm import fill_middle
+
+    def digest(text: Column) -> Column:
+        return F.sha2(text.cast("binary"), 256)
+
+    out = fill_middle.transform(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(fill_middle.restored()).alias("restored_sha256"))
+
+
+#: Lines as a list; prefix and middle are its first a and b elements.
+OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines, sha256(concat('7:', doc_id)) AS h FROM documents
+), c AS (
+  SELECT *, len(lines) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(lines) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(lines) + 1) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+         WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d
+), p AS (
+  SELECT *, array_to_string(lines[1:least(x, y)], '') AS p, array_to_string(lines[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(lines[greatest(x, y) + 1:], '') AS s FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py."""
     import corpus_pipeline
@@ -197,6 +227,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
         "op10_jaccard_join": op10_jaccard_join,
+        "op13_fill_middle": op13_fill_middle,
         "pipeline": pipeline,
     }
 
@@ -206,4 +237,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": OP4_SQL,
         "op5_exact_topk": OP5_SQL,
         "op10_jaccard_join": OP10_SQL,
+        "op13_fill_middle": OP13_SQL,
     }

@@ -9,6 +9,7 @@ import zlib
 import pytest
 
 from attestor.llm import queries
+from test_fill_middle import plain
 from test_jaccard_join import brute
 from test_text_operators import plain_base
 
@@ -149,6 +150,15 @@ def test_licences_and_surrogates(results):
     assert all(r["text"] == texts[d] for d, r in of.items() if not r["n_entities"])
 
 
+def test_fill_middle(results):
+    want = []
+    for d, t in TEXTS:
+        n, form, p, m, out = plain(d, t)
+        want.append((d, n, form, p, m, hashlib.sha256(out.encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    got = [tuple(r[c] for c in ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")) for r in results("op13_fill_middle")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_vectors(results):
     """Rows of equal ids are rows of their own; null ids are candidates, never queries."""
     whole = [(50, (128, 64)), (50, (128, 64)), (7, (32, -256)), (None, (512, 512)), (9, (128, 64))]
