@@ -178,6 +178,76 @@ FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
 """
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every conversation, after damage that a hash of each row decides."""
+    from attestor.llm import conversation_repair
+
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", *(F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")))
+    name = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    rows = rows.withColumn("damage", F.crc32(name.cast("binary")) % 20)
+    damage = F.col("damage")
+    damaged = rows.select(
+        "conv_id", "turn", "damage",
+        F.when(damage == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(damage == 1, "").when(damage == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(damage == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+    return conversation_repair.audit(damaged, present=damage != 0)
+
+
+#: The damage with CRC-32 by table, then the shortest path over rows and states (0 start, 1 after s, 2 after u, 3 after a).
+#: A weight is its cost in twelve digits and the audit, so the least string is the least weight.
+OP12_SQL = r"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) t(i) UNION ALL SELECT i, k + 1, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END) FROM bits WHERE k < 8
+), crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+raw AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), hashed AS (
+  SELECT raw.*, xor(list_reduce(list_transform(range(1, length(name) + 1), lambda i: CAST(ascii(name[i]) AS BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS h FROM raw, crc
+), damaged AS (
+  SELECT c, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed, range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) copies
+), ordered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) AS nth FROM ordered),
+r AS MATERIALIZED (
+  SELECT *, role[1:1] AS initial,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN nth > 1 THEN 2 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS fault FROM placed
+), moves(q, p, icost, ins) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 2, 'I'), (0, 3, 4, 'II'), (1, 2, 2, 'I'), (1, 3, 4, 'II'), (2, 3, 2, 'I'), (3, 2, 2, 'I')),
+edits(p, e, needs, nq, ecost) AS (VALUES (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (3, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0),
+  (0, 'R', NULL, 2, 2), (1, 'R', NULL, 2, 2), (3, 'R', NULL, 2, 2), (2, 'R', NULL, 3, 2), (0, 'D', NULL, 0, 3), (1, 'D', NULL, 1, 3), (2, 'D', NULL, 2, 3), (3, 'D', NULL, 3, 3)),
+steps AS MATERIALIZED (
+  SELECT q, nq, ins || e AS es, e, needs, icost + ecost AS cost FROM moves JOIN edits USING (p)
+), best(c, i, q, w) AS (
+  SELECT DISTINCT c, CAST(0 AS BIGINT), 0, '000000000000' FROM raw
+  UNION ALL
+  SELECT b.c, b.i + 1, s.nq, min(printf('%012d', CAST(b.w[1:12] AS BIGINT) + s.cost + CASE WHEN r.fault = 3 AND s.e <> 'D' THEN 1 ELSE 0 END) || b.w[13:] || s.es)
+  FROM best b JOIN r ON r.c = b.c AND r.i = b.i + 1
+  JOIN steps s ON s.q = b.q AND (s.needs IS NULL OR s.needs = r.initial) AND (s.e = 'D' OR r.fault NOT IN (1, 2))
+  GROUP BY b.c, b.i + 1, s.nq
+), n AS (SELECT c, conv_id, (SELECT count(*) FROM r WHERE r.c = raw.c) AS n FROM raw GROUP BY c, conv_id),
+done AS MATERIALIZED (
+  SELECT n.c, min(printf('%012d', CAST(w[1:12] AS BIGINT) + cost) || w[13:] || es) AS w
+  FROM n JOIN best b ON b.c = n.c AND b.i = n.n JOIN (VALUES (0, 0, ''), (1, 4, 'II'), (2, 2, 'I'), (3, 0, '')) l(q, cost, es) ON l.q = b.q GROUP BY n.c
+), letters AS (
+  SELECT c, p, w[12 + p] AS e, length(replace(w[13:], 'D', '')) AS m,
+    length(replace(w[13:12 + p], 'I', '')) AS i, length(replace(w[13:12 + p], 'D', '')) AS place
+  FROM done, range(1, length(w) - 11) t(p)
+), repaired AS (
+  SELECT l.c, string_agg(CASE WHEN l.e = 'K' THEN r.role WHEN (m - place) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN l.e = 'I' THEN '' ELSE r.text END, chr(10) ORDER BY p) AS t
+  FROM letters l LEFT JOIN r ON r.c = l.c AND r.i = l.i WHERE l.e <> 'D' GROUP BY l.c
+), pairs AS (SELECT c, lag(initial) OVER (PARTITION BY c ORDER BY i) || initial AS pair FROM r),
+faults AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated FROM r GROUP BY c
+)
+SELECT n.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  (SELECT count(*) FROM pairs WHERE pairs.c = n.c AND pair NOT IN ('su', 'ua', 'au')) AS illegal,
+  CAST(w[1:12] AS BIGINT) AS cost, w[13:] AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM n JOIN done USING (c) LEFT JOIN faults USING (c) LEFT JOIN repaired USING (c)
+"""
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n, form, prefix_chars, middle_chars and the digests of the output and of the text rebuilt from it."""
     from attestor.llm import fill_middle
@@ -190,7 +260,7 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Lines as a list; prefix and middle are its first a and b elements.
-OP13_SQL = """
+OP13_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines, sha256(concat('7:', doc_id)) AS h FROM documents
 ), c AS (
@@ -227,6 +297,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
         "op10_jaccard_join": op10_jaccard_join,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_fill_middle": op13_fill_middle,
         "pipeline": pipeline,
     }
@@ -237,5 +308,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": OP4_SQL,
         "op5_exact_topk": OP5_SQL,
         "op10_jaccard_join": OP10_SQL,
+        "op12_conversation_repair": OP12_SQL,
         "op13_fill_middle": OP13_SQL,
     }

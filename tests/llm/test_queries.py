@@ -9,6 +9,8 @@ import zlib
 import pytest
 
 from attestor.llm import queries
+from test_conversation_repair import ROLES, damaged
+from test_conversation_repair import plain as plain_repair
 from test_fill_middle import plain
 from test_jaccard_join import brute
 from test_text_operators import plain_base
@@ -19,6 +21,8 @@ TABLES = {
     "benchmark": "item_id long, text string",
     "labels": "doc_id long, quality int, toxic int",
     "embeddings": "vec_id long, embedding array<float>",
+    "pages": "page_id long, url string, html string",
+    "conversations": "conv_id long, turn long, role string, text string",
 }
 #: Columns of other people's tables that are named like the operators' own.
 CLASHING = ("license", "licenses", "dice", "findings", "masked", "leaks", "score", "margin", "rejected", "lang_pred", "ids", "n_tokens", "start", "decoded", "spans", "n_entities", "n_shingles", "component_id", "held_out", "__text", "__h", "__m", "id", "r")
@@ -45,6 +49,7 @@ TEXTS = [
     (9, "password: hunter2hunter2 and AKIA" + "B7" * 10 + " then " + "0f" * 20), (10, "写真 ✓ é́ \U0001f600 ﬁ " * 30), (11, "w " * 60_000 + "secret=abcdefgh12345"),
     (12, "Licensed under the MIT License."), (13, "Write to Ms. Anna Berg at anna.berg@example.com or +49 171 2345678."), (14, "x" * 200_000), (None, "no id here but words enough to count"), (-5, "a negative id comes before the others"),
 ]
+TURNS = [(i // 4 if i % 57 else None, (i % 4, None, i % 3)[i % 7 % 3], ROLES[i % 11 % 7], ("Yes.", "No? ", "cut", "", None, "é!\n", "Yes.")[i % 13 % 7]) for i in range(400)]
 
 
 @pytest.fixture(scope="module")
@@ -52,7 +57,7 @@ def awkward(spark, tmp_path_factory):
     docs = [(d, t, ("en", "de", None)[i % 3], "s", None if t is None else len(t)) for i, (d, t) in enumerate(TEXTS)]
     vectors = [(50, [0.5, 0.25]), (50, [0.5, 0.25]), (7, [0.125, -1.0]), (8, None), (100, [math.nan, 1.0]), (None, [2.0, 2.0]), (9, [0.5, 0.25]), (10, [None, 1.0])]
     return tables(spark, tmp_path_factory.mktemp("awkward") / "t", {
-        "documents": docs, "benchmark": [(1, PROSE), (2, None), (3, ""), (4, "one two")],
+        "conversations": TURNS, "documents": docs, "benchmark": [(1, PROSE), (2, None), (3, ""), (4, "one two")],
         "labels": [(3, 1, 0), (4, 1, 1), (4, 1, 0), (None, 1, 1), (9, None, None)], "embeddings": vectors,
     })
 
@@ -150,6 +155,14 @@ def test_licences_and_surrogates(results):
     assert all(r["text"] == texts[d] for d, r in of.items() if not r["n_entities"])
 
 
+def test_conversations(results):
+    want = {c: plain_repair(c, rows)[0] for c, rows in damaged(TURNS).items() if len(rows) <= 6}
+    got = {r["conv_id"]: tuple(r.values()) for r in results("op12_conversation_repair")}
+    assert set(got) == {r[0] for r in TURNS}
+    assert len(want) > 90
+    assert all(got[c] == row for c, row in want.items())
+
+
 def test_fill_middle(results):
     want = []
     for d, t in TEXTS:
