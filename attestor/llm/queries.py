@@ -178,6 +178,29 @@ FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
 """
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, main text and its length in code points, for every page."""
+    from attestor.llm import html_extraction
+
+    out = html_extraction.extract(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+#: The given pages: one ``article`` each, whose blocks begin and end at tags other than ``b``, with these references.
+OP11_SQL = r"""
+WITH a AS (
+  SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '') AS body FROM pages
+), t AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(body, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS marked FROM a
+), d AS (
+  SELECT page_id, url, replace(replace(replace(replace(replace(marked, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&') AS plain FROM t
+), w AS (
+  SELECT page_id, url, trim(regexp_replace(plain, '[\s\x{0B}\x{85}\p{Z}]+', ' ', 'g')) AS text FROM d
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM w
+"""
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest repair and digest of every conversation, after damage that a hash of each row decides."""
     from attestor.llm import conversation_repair
@@ -297,6 +320,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity": op9_toxicity,
         "op7_sentencepiece": op7_sentencepiece,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_html_extraction": op11_html_extraction,
         "op12_conversation_repair": op12_conversation_repair,
         "op13_fill_middle": op13_fill_middle,
         "pipeline": pipeline,
@@ -308,6 +332,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": OP4_SQL,
         "op5_exact_topk": OP5_SQL,
         "op10_jaccard_join": OP10_SQL,
+        "op11_html_extraction": OP11_SQL,
         "op12_conversation_repair": OP12_SQL,
         "op13_fill_middle": OP13_SQL,
     }

@@ -12,6 +12,7 @@ from attestor.llm import queries
 from test_conversation_repair import ROLES, damaged
 from test_conversation_repair import plain as plain_repair
 from test_fill_middle import plain
+from test_html_extraction import CASES
 from test_jaccard_join import brute
 from test_text_operators import plain_base
 
@@ -57,7 +58,7 @@ def awkward(spark, tmp_path_factory):
     docs = [(d, t, ("en", "de", None)[i % 3], "s", None if t is None else len(t)) for i, (d, t) in enumerate(TEXTS)]
     vectors = [(50, [0.5, 0.25]), (50, [0.5, 0.25]), (7, [0.125, -1.0]), (8, None), (100, [math.nan, 1.0]), (None, [2.0, 2.0]), (9, [0.5, 0.25]), (10, [None, 1.0])]
     return tables(spark, tmp_path_factory.mktemp("awkward") / "t", {
-        "conversations": TURNS, "documents": docs, "benchmark": [(1, PROSE), (2, None), (3, ""), (4, "one two")],
+        "pages": [(i or None, f"u{i}", page) for i, (page, _) in enumerate(CASES.values())], "conversations": TURNS, "documents": docs, "benchmark": [(1, PROSE), (2, None), (3, ""), (4, "one two")],
         "labels": [(3, 1, 0), (4, 1, 1), (4, 1, 0), (None, 1, 1), (9, None, None)], "embeddings": vectors,
     })
 
@@ -155,6 +156,12 @@ def test_licences_and_surrogates(results):
     assert all(r["text"] == texts[d] for d, r in of.items() if not r["n_entities"])
 
 
+def test_pages(results):
+    want = {(i or None, f"u{i}", text, len(text)) for i, (_, text) in enumerate(CASES.values())}
+    assert {tuple(r.values()) for r in results("op11_html_extraction")} == want
+    assert len(results("op11_html_extraction")) == len(CASES)
+
+
 def test_conversations(results):
     want = {c: plain_repair(c, rows)[0] for c, rows in damaged(TURNS).items() if len(rows) <= 6}
     got = {r["conv_id"]: tuple(r.values()) for r in results("op12_conversation_repair")}
