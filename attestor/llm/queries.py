@@ -193,7 +193,7 @@ WITH a AS (
 ), t AS (
   SELECT page_id, url, regexp_replace(regexp_replace(body, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS marked FROM a
 ), d AS (
-  SELECT page_id, url, replace(replace(replace(replace(replace(marked, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&') AS plain FROM t
+  SELECT page_id, url, regexp_replace(replace(replace(replace(replace(marked, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g') AS plain FROM t
 ), w AS (
   SELECT page_id, url, trim(regexp_replace(plain, '[\s\x{0B}\x{85}\p{Z}]+', ' ', 'g')) AS text FROM d
 )
