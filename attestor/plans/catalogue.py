@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from attestor.functions import scalars as S
 from attestor.operators import assemble, extract, gazetteer, registry, rescue, routing, verify, votes
 from attestor.plans.batch import decide_documents
-from attestor.schema import EMPLOYER, OCR_READ, PERMIT_PARTIAL, SCAN_RESULT, conform
-from attestor.sources import tables
+from attestor.schema import EMPLOYER, KEYED_IN, MANUAL_REVIEW, OCR_READ, PERMIT_PARTIAL, SCAN_RESULT, SHEET_COLUMNS, conform
+from attestor.session import shared_path
+from attestor.sources import sinks, tables
 from attestor.sources.sinks import roster_export
 from attestor.streaming.windows import windowed_counts
 
@@ -537,13 +538,44 @@ def log_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble.not_yet_written(rows, log).select(F.col("source_docx").alias("o_orderkey"), "status")
 
 
-@_query("""
-SELECT CAST(o_custkey AS VARCHAR) AS source_docx, CASE WHEN floor(o_totalprice / 5000) = 0 THEN '' ELSE CAST(floor(o_totalprice / 5000) AS BIGINT) || '.0' END AS id_conf,
-  CASE WHEN o_orderpriority[1] = '1' THEN 'Y' ELSE '' END AS id_from_vote FROM orders
+@_query(r"""
+WITH s AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS source_docx, coalesce(text, '') AS note, doc_id % 50 AS c, CASE WHEN lang = 'en' THEN 'small_no_hit' ELSE 'ok' END AS status FROM documents
+)
+SELECT source_docx, md5(note) AS note_md5, length(note) AS n_note, CAST(c AS DOUBLE) AS id_conf, c = 0 AS id_from_vote, CASE WHEN c % 3 = 0 THEN 1 ELSE CAST(c AS INTEGER) END AS scan_tier, status FROM s
 """)
 def csv_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = tables.encoded_results(_order_rows(spark, sf_dir).drop("ord"))
-    return tables.encoded_results(tables.typed_results(coded)).select("source_docx", "id_conf", "id_from_vote")
+    """Whole texts as notes, written to CSV files and read back."""
+    docs = _t(spark, sf_dir, "documents")
+    c = F.col("doc_id") % 50
+    rows = docs.select(
+        F.col("doc_id").cast("string").alias("source_docx"), F.coalesce("text", F.lit("")).alias("note"), c.cast("double").alias("id_conf"), (c == 0).alias("id_from_vote"),
+        F.when(c % 3 != 0, c.cast("int")).otherwise(0).alias("scan_tier"), F.when(F.col("lang") == "en", "small_no_hit").otherwise("ok").alias("status"),
+    )
+    path = shared_path(spark, "results")
+    sinks.write_results(conform(rows, SCAN_RESULT), path)
+    back = tables.scan_results(spark, path)
+    return back.select("source_docx", F.md5(F.col("note").cast("binary")).alias("note_md5"), F.length("note").cast("long").alias("n_note"), "id_conf", "id_from_vote", "scan_tier", "status")
+
+
+@_query(r"""
+SELECT CAST(doc_id AS VARCHAR) AS source_docx, CASE WHEN lang = 'de' THEN 'keyed-in' ELSE 'manual_review' END AS status, CASE WHEN lang = 'en' THEN 'one' ELSE 'two' END AS run,
+  md5(coalesce(text, '')) AS reason_md5, CAST(n_chars AS VARCHAR) AS logged_value
+FROM documents
+""")
+def sheet_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three appends, the later ones of all rows: every row is in the sheet and its log once, by the run that came first."""
+    docs = _t(spark, sf_dir, "documents")
+    status = F.when(F.col("lang") == "de", KEYED_IN).otherwise(MANUAL_REVIEW)
+    texts = docs.select(F.col("doc_id").cast("string").alias("source_docx"), status.alias("status"), F.coalesce("text", F.lit("")).alias("reason"), F.col("n_chars").cast("string").alias("permit"), "lang")
+    rows = conform(texts, ", ".join(f"{c} string" for c in (*SHEET_COLUMNS, "lang")))
+    path = shared_path(spark, "sheet")
+    sinks.append_sheet(rows.where("lang = 'en'"), path, "one")
+    sinks.append_sheet(rows, path, "two")
+    sinks.append_sheet(rows, path, "three")
+    log = sinks.sheet_log(spark, path).select("source_docx", "status", F.col("final_value").alias("logged_value"))
+    sheet = sinks.sheet(spark, path).rows().select("source_docx", "status", "run", F.md5(F.col("reason").cast("binary")).alias("reason_md5"))
+    return sheet.join(log, ["source_docx", "status"])
 
 
 @_query("""

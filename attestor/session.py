@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,23 +20,38 @@ def build_session(app: str = "attestor", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Checkpoints go with the plans that read them.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared checkpoint folder: later plans start there and survive the loss of executors.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``; only a session on one machine may go without it."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if not folder and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return folder or f"file://{tempfile.gettempdir()}/attestor-checkpoints"
 
-    The folder is ``spark.checkpoint.dir``; only a session on one machine may go without it.
-    """
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes when the session's JVM ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)  # only what exists is deleted on exit
+    files.deleteOnExit(target)
+    return path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared checkpoint folder: later plans start there and survive the loss of executors."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if not folder and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(folder or f"file://{tempfile.gettempdir()}/attestor-checkpoints")
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
 
 

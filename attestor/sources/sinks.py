@@ -5,17 +5,28 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
 from attestor.operators.assemble import doubt_report, not_yet_written
-from attestor.sources.tables import encoded_results
+from attestor.schema import SHEET_COLUMNS
+from attestor.sources.ledger import Ledger
+from attestor.sources.tables import CSV, encoded_results
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV files that spreadsheets read: a byte-order mark and a header in each, and quotes doubled.
+
+    The mark is part of the first name as it is written.  Values keep their line breaks and outer spaces.
+    """
+    marked = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
+    marked.write.mode("overwrite").options(**CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_results(results: DataFrame, path: str) -> None:
-    """Scan results as CSV with a header, replacing what is there."""
-    encoded_results(results).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    """Scan results as CSV, replacing what is there."""
+    write_csv(encoded_results(results), path)
 
 
 def review_pages(pages: DataFrame, content: DataFrame) -> DataFrame:
@@ -31,7 +42,7 @@ def write_texts(texts: DataFrame, path: str) -> None:
 
 def write_doubts(employers: DataFrame, path: str) -> None:
     """Documents with doubts; a handful of rows, in one file in order."""
-    doubt_report(employers).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    write_csv(doubt_report(employers).coalesce(1), path)
 
 
 # Names of the remote errors that may pass.
@@ -59,18 +70,35 @@ def retrying(action: Callable[[], object], tries: int = 5, start: float = 2.0, m
     return None
 
 
-def append_sheet(rows: DataFrame, path: str, log_path: str, log: DataFrame, run_id: str) -> None:
-    """One append of all rows that the log doesn't have, committed by the driver, then the log.
+def sheet(spark: SparkSession, path: str) -> Ledger:
+    """The sheet at a path: 15 text columns, appended to in transactions."""
+    return Ledger(spark, path, ", ".join(f"{c} string" for c in SHEET_COLUMNS))
+
+
+def append_sheet(rows: DataFrame, path: str, run_id: str, log: DataFrame | None = None) -> int:
+    """Append all rows that neither the sheet nor an older ``log`` has, in one transaction; return how many.
 
-    The rows are one job's output: either all files are committed or none.  The log is written after
-    them, so a run that dies in between repeats rows only for the same ``run_id`` folder, which is
-    overwritten.
+    The sheet's log is a view of its rows (``sheet_log``), so both are published by the same step: whatever
+    step a run is killed at, the next one writes exactly what is missing.
     """
-    new = not_yet_written(rows, log)
-    retrying(lambda: new.write.mode("overwrite").parquet(f"{path}/run={run_id}"))
-    done = rows.sparkSession.read.parquet(f"{path}/run={run_id}")
-    entries = done.select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "source_docx", F.col("permit").alias("final_value"), "status", "reason")
-    entries.write.mode("append").option("header", True).csv(log_path)
+
+    def new(rows: DataFrame, committed: DataFrame) -> DataFrame:
+        left = not_yet_written(rows, committed)
+        return left if log is None else not_yet_written(left, log)
+
+    ledger = sheet(rows.sparkSession, path)
+    return retrying(lambda: ledger.append(rows, run_id, new))
+
+
+def sheet_log(spark: SparkSession, path: str) -> DataFrame:
+    """timestamp, source_docx, final_value, status and reason of every row of the sheet."""
+    rows = sheet(spark, path).rows()
+    return rows.select(F.col("committed_at").alias("timestamp"), "source_docx", F.col("permit").alias("final_value"), "status", "reason")
+
+
+def export_log(log: DataFrame, path: str) -> None:
+    """The log as CSV for people and spreadsheets."""
+    write_csv(log, path)
 
 
 def roster_export(roster: DataFrame) -> DataFrame:

@@ -11,14 +11,20 @@ from attestor.schema import LARGE_NO_HIT, OK, PERMIT_PARTIAL, SCAN_RESULT, SMALL
 
 # Registry fields by our names.
 REGISTRY_FIELDS = {"permit": "許可證", "name": "機構名稱", "address": "機構地址", "phone": "電話", "revoked_on": "廢止許可日期", "closed_on": "終止營業日期"}
+#: Options of CSV that holds any text: line breaks inside quotes, quotes doubled, blank rather than null.
+CSV = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "emptyValue": "", "lineSep": "\n"}
 CITY_SCHEMA = "CityName string, CityEngName string, AreaList array<struct<AreaName:string,AreaEngName:string,ZipCode:string,RoadList:array<struct<RoadName:string,RoadEngName:string>>>>"
 ROAD_SCHEMA = "CityName string, AreaName string, RoadName string, RoadEngName string, _note string"
 
 
 def scan_results(spark: SparkSession, path: str) -> DataFrame:
     """Typed scan results: Y or a check mark is true, blank or unreadable numbers 0, unknown states ok, a missing tier 1."""
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
-    return typed_results(raw)
+    return typed_results(read_csv(spark, path))
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Text columns of CSV with a header; values may hold line breaks, and none is null."""
+    return spark.read.options(**CSV, multiLine=True).csv(path).fillna("")
 
 
 def typed_results(raw: DataFrame) -> DataFrame:
@@ -64,7 +70,7 @@ def upload_log(spark: SparkSession, path: str) -> DataFrame:
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
     names = [f.name for f in StructType.fromDDL(schema)]
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    raw = read_csv(spark, path)
     return raw.select(*(F.col(n) if n in raw.columns else F.lit(None).cast("string").alias(n) for n in names))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from attestor.plans import batch, catalogue
 from attestor.operators import registry
-from attestor.schema import EMPLOYER, OCR_READ, SCAN_RESULT, conform
+from attestor.schema import EMPLOYER, OCR_READ, SCAN_RESULT, SHEET_COLUMNS, conform
 from attestor.sources import documents, images, sinks, tables
 from attestor.streaming import watch
 
@@ -124,11 +124,9 @@ def test_log_sheet_and_reports(spark, tmp_path):
     base = f"file://{tmp_path}"
     assert tables.upload_log(spark, f"{base}/none.csv").count() == 0
     rows = spark.createDataFrame([("a", "1", "keyed-in", "r"), ("b", "", "manual_review", "r")], "source_docx string, permit string, status string, reason string")
-    sinks.append_sheet(rows, f"{base}/sheet", f"{base}/log", tables.upload_log(spark, f"{base}/log"), "one")
-    assert spark.read.parquet(f"{base}/sheet").count() == 2
-    log = tables.upload_log(spark, f"{base}/log")
-    sinks.append_sheet(rows, f"{base}/sheet", f"{base}/log", spark.createDataFrame(log.collect(), log.schema), "two")
-    assert spark.read.parquet(f"{base}/sheet").count() == 2
+    whole = conform(rows, ", ".join(f"{c} string" for c in SHEET_COLUMNS))
+    assert [sinks.append_sheet(whole, f"{base}/sheet", run, tables.upload_log(spark, f"{base}/none.csv")) for run in ("one", "two")] == [2, 0]
+    assert sinks.sheet(spark, f"{base}/sheet").rows().count() == 2
     emp = conform(spark.createDataFrame([("a", "J: x"), ("b", "")], "source_docx string, doubt string"), EMPLOYER)
     sinks.write_doubts(emp, f"{base}/doubts")
     assert spark.read.option("header", True).csv(f"{base}/doubts").count() == 1
