@@ -49,24 +49,31 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def first_number(name: Column) -> Column:
-    """The first run of digits as a number, or null."""
-    return F.when(name.rlike(r"\d"), F.regexp_extract(name, r"\d+", 0).cast("bigint"))
+def first_digits(name: Column) -> Column:
+    """The first run of digits without leading zeros, or null."""
+    return F.when(name.rlike(r"\d"), F.regexp_replace(F.regexp_extract(name, r"\d+", 0), "^0+", ""))
 
 
 def natural_key(name: Column) -> Column:
-    """Sorts image2 before image10, and names without a number last."""
-    n = first_number(name)
-    return F.struct(F.when(n.isNull(), 1).otherwise(0).alias("none"), F.coalesce(n, F.lit(0)).alias("n"), name.alias("name"))
+    """Sorts image2 before image10, and names without a number last; numbers may have any length."""
+    n = first_digits(name)
+    return F.struct(F.when(n.isNull(), 1).otherwise(0).alias("none"), F.coalesce(F.length(n), F.lit(0)).alias("width"), F.coalesce(n, F.lit("")).alias("n"), name.alias("name"))
+
+
+def _number(name: Column, kind: str, most: int) -> Column:
+    """The first number of a name, ``most`` for larger ones, null without one."""
+    n = first_digits(name)
+    return F.when(n == "", F.lit(0).cast(kind)).when(n.isNotNull(), F.coalesce(n.try_cast(kind), F.lit(str(most)).cast(kind)))
 
 
 def natural_key_flat(name: Column) -> Column:
     """The second reader's order: names without a number at 2**30."""
-    return F.struct(F.coalesce(first_number(name), F.lit(1 << 30)).alias("n"), name.alias("name"))
+    return F.struct(F.coalesce(_number(name, "decimal(38,0)", 10**38 - 1), F.lit(1 << 30)).alias("n"), name.alias("name"))
 
 
 def image_index(name: Column) -> Column:
-    return F.coalesce(first_number(name), F.lit(0)).cast("int")
+    """The number of an image, 0 without one; a number beyond an int's range is its largest."""
+    return F.coalesce(_number(name, "int", (1 << 31) - 1), F.lit(0))
 
 
 def docx_class(n_images: Column) -> Column:

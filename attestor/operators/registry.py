@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
 from attestor.functions.kernels import addr_norm, best_keys, name_norm
+from attestor.operators import similarity
 from attestor.schema import ROSTER, conform
 
 NAME_MIN, ADDRESS_MIN, SHORTEST = 0.78, 0.72, 4
@@ -72,14 +73,25 @@ def unique_hits(hits: DataFrame, keys: list[str]) -> DataFrame:
 def most_similar(queries: DataFrame, keys: DataFrame, query: str, least: float, shortest: int = SHORTEST) -> DataFrame:
     """(query, pos, ratio) of the key most similar to each distinct normalised query, the first of equals.
 
-    ``keys`` is (pos, key) with distinct ``pos``.  Every query meets every key, so both are dealt by
-    hash into blocks of bounded size and each pair of blocks is one group; the best of a query's
-    blocks is kept.  Only the two counts reach the driver, and no plan holds keys.
+    ``keys`` is (pos, key) with distinct ``pos``.  An index finds the pairs that may reach the ratio; where
+    it is so low that nearly all do, every query is compared with every key, block by block.
     """
     asked = queries.select(F.col(query).alias("query")).where(F.length("query") >= shortest).distinct()
     known = keys.select("pos", "key").where("key <> ''")
+    if least < similarity.WORTH_INDEXING:
+        return _most_similar_of_all(asked, known, least)
+    best = similarity.most_similar(asked, known, "pos", least)
+    return best.select("query", "pos", F.bround("ratio", 3).alias("ratio"))
+
+
+def _most_similar_of_all(asked: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """As ``most_similar``, by comparing all pairs.
+
+    Both sides are dealt by hash into blocks of bounded size and each pair of blocks is one group; the
+    best of a query's blocks is kept.  Only the two counts reach the driver, and no plan holds keys.
+    """
     n_keys, n_asked = _blocks(known, BLOCK_KEYS), _blocks(asked, BLOCK_QUERIES)
-    tasks = max(1, min(n_keys * n_asked, int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    tasks = max(1, min(n_keys * n_asked, int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     known = known.select("pos", "key", _dealt("pos", n_keys).alias("b"), _all(n_asked).alias("c")).repartition(tasks, "b", "c")
     asked = asked.select("query", _all(n_keys).alias("b"), _dealt("query", n_asked).alias("c")).repartition(tasks, "b", "c")
 

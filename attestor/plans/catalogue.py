@@ -354,6 +354,21 @@ def ratio_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.most_similar(_t(spark, sf_dir, "part"), keys, "p_name", 0.1).select("query", "pos", "ratio")
 
 
+def _agency_name(key: Column) -> Column:
+    """A name of four characters and a common ending, made of a number."""
+    place = lambda i: F.substr(F.lit(_PLACES), (F.pmod(i, F.lit(25)) + 1).cast("int"), F.lit(1))
+    return F.concat(place(key), place(F.floor(key / 25) + key * 7), place(key * 3 + 1), place(F.floor(key / 7)), F.lit("人力資源仲介有限公司"))
+
+
+@_query()
+def similar_agencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agencies by names that lost or changed a character, at the engine's own ratio; sequence similarity is beyond SQL."""
+    s = _t(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("pos"), _agency_name(F.col("s_suppkey")).alias("key"))
+    key, name = F.col("c_custkey"), _agency_name(F.col("c_custkey"))
+    asked = F.when(key % 3 == 0, F.substr(name, F.lit(2))).when(key % 3 == 1, F.concat(F.substr(name, F.lit(1), F.lit(2)), F.lit("大"), F.substr(name, F.lit(4)))).otherwise(name)
+    return registry.most_similar(_t(spark, sf_dir, "customer").select(asked.alias("asked")), s, "asked", registry.NAME_MIN)
+
+
 # --- decisions -------------------------------------------------------------------------------
 
 
@@ -705,6 +720,25 @@ def standard_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.select("c_custkey", "addr_std", "zip", "addr_matched", "doubt_addr")
 
 
+@_query("""
+SELECT c_custkey, '' AS addr_std, CASE WHEN n_regionkey = 4 THEN '' ELSE lpad(CAST(n_nationkey AS VARCHAR), 3, '1') END AS zip, true AS addr_matched,
+  CASE WHEN n_regionkey = 4 THEN 'J: area open' ELSE 'J: road not listed in the area' END AS doubt_addr
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+""")
+def areas_without_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses in areas that list no road, and in a city that lists no area: what is known is still found."""
+    n = _t(spark, sf_dir, "nation")
+    city = F.element_at(F.array(*map(F.lit, _CITIES)), (F.col("n_regionkey") + 1).cast("int"))
+    area = F.concat(F.substr(F.lit(_PLACES), (F.col("n_nationkey") + 1).cast("int"), F.lit(1)), F.lit("安區"))
+    none = F.array().cast("array<struct<RoadName:string,RoadEngName:string>>")
+    listed = n.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct(area.alias("AreaName"), F.lit("").alias("AreaEngName"), F.lpad(F.col("n_nationkey").cast("string"), 3, "1").alias("ZipCode"), none.alias("RoadList")))).alias("AreaList"))
+    gaz = gazetteer.flatten(listed.select(city.alias("CityName"), F.lit("").alias("CityEngName"), F.when(F.col("n_regionkey") != 4, F.col("AreaList")).otherwise(F.slice("AreaList", 1, 0)).alias("AreaList")))
+    text = F.concat(city, area, F.lit("無名大道"), F.col("c_custkey").cast("string"), F.lit("號"))
+    c = _t(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    known = gazetteer.standard_address(gazetteer.normalise(c.select("c_custkey", text.alias("addr_cn"), F.lit("").alias("addr_en")), gaz))
+    return known.select("c_custkey", "addr_std", "zip", "addr_matched", "doubt_addr")
+
+
 @_query("""
 SELECT CAST(s_suppkey AS VARCHAR) AS source_docx, CASE WHEN s_suppkey % 5 = 4 THEN '' WHEN s_suppkey % 3 = 1 THEN (s_suppkey - 1) || '-02' ELSE lpad(CAST(s_suppkey AS VARCHAR), 4, '0') END AS candidate_value,
   CASE WHEN s_suppkey % 5 = 4 THEN '' WHEN s_suppkey % 4 = 0 THEN 'phone' WHEN s_suppkey % 4 = 1 THEN 'phone_prefix' ELSE 'name' END AS rescued_by FROM supplier

@@ -148,6 +148,8 @@ CITIES = [
     ("新北市", "New Taipei City", [("板橋區", "Banqiao Dist.", "220", [("共同路", "Gongtong Rd.")])]),
     ("臺南市", "Tainan City", [("南區", "South Dist.", "702", [("海濱路", "Haibin Rd.")]), ("安南區", "Annan Dist.", "709", [("海佃路", "Haidian Rd."), ("大眾北路", "Dazhong N. Rd.")])]),
     ("桃園市", "Taoyuan City", [("桃園區", "Taoyuan Dist.", "330", [("春日路", "Chunri Rd.")]), ("龜山區", "Guishan Dist.", "333", [("文化七路", "Wenhua 7th Rd."), ("共同路", "Gongtong Rd.")]), ("大溪區", "Daxi Dist.", "335", [("共同路", "Gongtong Rd.")])]),
+    ("甲市", "Jia City", [("空區", "Kong Dist.", "901", []), ("滿區", "Man Dist.", "902", [("甲乙路", "Jiayi Rd.")]), ("無區", "Wu Dist.", "903", None)]),
+    ("孤島縣", "Gudao County", []),
 ]
 
 
@@ -155,12 +157,17 @@ CITIES = [
 def gaz(spark):
     road = "struct<RoadName:string,RoadEngName:string>"
     raw = spark.createDataFrame([(c, e, [(a, ae, z, r) for a, ae, z, r in areas]) for c, e, areas in CITIES], f"CityName string, CityEngName string, AreaList array<struct<AreaName:string,AreaEngName:string,ZipCode:string,RoadList:array<{road}>>>").coalesce(1)
-    custom = spark.createDataFrame([("台南市", "南區", "新開路", "Xinkai Rd."), ("臺南市", "南區", "海濱路", "dup"), ("無市", "南區", "x路", "x"), ("台南市", "南區", "新開路", "again")], "CityName string, AreaName string, RoadName string, RoadEngName string")
+    custom = spark.createDataFrame([("台南市", "南區", "新開路", "Xinkai Rd."), ("臺南市", "南區", "海濱路", "dup"), ("無市", "南區", "x路", "x"), ("甲市", "空區", "補路", "Bu Rd."), ("孤島縣", "", "y路", "y"), ("台南市", "南區", "新開路", "again")], "CityName string, AreaName string, RoadName string, RoadEngName string")
     return gazetteer.overlay(gazetteer.flatten(raw), custom).cache()
 
 
 def test_overlay_and_search(gaz):
-    assert gaz.count() == 12 + 1
+    assert gaz.count() == 13 + 2 + 3  # roads, own roads, two areas without roads and a city without areas
+    assert [r["road_raw"] for r in gazetteer.search(gaz, city="甲市").collect()] in (["甲乙路", "補路"], ["補路", "甲乙路"])
+    whole = gazetteer.search(gaz, "路").collect()
+    assert len(whole) == 15
+    assert gazetteer.search(gaz, "路", first=4).count() == 4
+    assert [r["road_raw"] for r in gazetteer.search(gaz, city="甲市", first=gazetteer.SHOWN).collect()] == ["補路", "甲乙路"]
     assert [r["zip"] for r in gazetteer.search(gaz, keyword="新開").collect()] == ["702"]
     assert sorted(r["area_raw"] for r in gazetteer.search(gaz, "共同路", city="台北").collect()) == ["大安區"]
     only = {(r["city_norm"], r["road_norm"]): r["area_raw"] for r in gazetteer.unique_area(gaz).collect()}
@@ -179,6 +186,11 @@ CASES = [
     ("●●市●●區一號路2段7號", "No. 7, Sec. 2, Yihao Rd., Zhongshan Dist., Taipei City", ("臺北市", "中山區", "一號路2段", "104", 1)),
     ("●●●●7號", "No. 7, Haidian Rd, Annan Dist., Tainan City", ("臺南市", "安南區", "海佃路", "709", 1)),
     ("板橋共同路", "Banqiao Dist., New Taipei City", ("新北市", "板橋區", "共同路", "220", 1)),
+    ("甲市空區補路3號", "", ("甲市", "空區", "補路", "901", 1)),
+    ("甲市無區某某路3號", "", ("甲市", "無區", "", "903", 1)),  # an area without roads has a zip code all the same
+    ("孤島縣某路3號", "", ("孤島縣", "", "", "", 1)),  # and a city without areas is a city
+    ("桃園市龜山區文花七路8號", "", ("桃園市", "龜山區", "文化七路", "333", 1)),  # a similar road
+    ("桃園市龜由區文化七路8號", "", ("桃園市", "龜山區", "文化七路", "333", 1)),  # an area open, given by the road
     ("xyz", "", ("", "", "", "", 0)),
     ("", "Taipei City", ("", "", "", "", 0)),
 ]
@@ -192,8 +204,8 @@ def test_standardiser(spark, gaz):
         assert (n["city"], n["district"], n["road"], n["zip"], n["city_tier"]) == want, cn
     assert got[0]["addr_std"] == "臺北市中山區一號路2段38號三樓之2"
     assert got[0]["norm"]["address_en"] == "3F.-2, No. 38, Sec. 2, Yihao Rd., Zhongshan Dist., Taipei City"
-    assert [got[i]["doubt_addr"] for i in (0, 5, 6, 10, 11)] == ["", "J: area open, the road is in several", "J: road not listed in the area", "J: city not in the gazetteer", "J: no Chinese address"]
-    assert (got[5]["addr_std"], got[5]["zip"], got[10]["addr_matched"]) == ("", "", False)
+    assert [got[i]["doubt_addr"] for i in (0, 5, 6, 15, 16)] == ["", "J: area open, the road is in several", "J: road not listed in the area", "J: city not in the gazetteer", "J: no Chinese address"]
+    assert (got[5]["addr_std"], got[5]["zip"], got[15]["addr_matched"]) == ("", "", False)
 
 
 def test_english_anchor_as_a_join(spark, gaz):

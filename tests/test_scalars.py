@@ -1,5 +1,7 @@
 """Keys, predicates, cascades and telephone forms: literal inputs, literal results."""
 
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -88,3 +90,15 @@ def test_folding(spark):
 @given(st.text(alphabet="臺鍾一二十段0９Ａb路", max_size=12))
 def test_folding_twice_changes_nothing(text):
     assert fold(fold(text)) == fold(text)
+
+
+def test_numbers_of_any_length(spark):
+    """Long numbers sort by value and never end the job."""
+    names = ["image10.png", "image2.png", "image1700000000000.png", "front.png", "image99999999999999999999.png", "image0.png", "p" + "9" * 60 + ".png", "image002.png", "image100000000000000000000.png"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    order = [r["n"] for r in df.orderBy(S.natural_key(F.col("n"))).collect()]
+    assert order == sorted(names, key=lambda n: ((0, int(m.group()), n) if (m := re.search(r"\d+", n)) else (1, 0, n)))
+    index = {r["n"]: r["i"] for r in df.select("n", S.image_index(F.col("n")).alias("i")).collect()}
+    assert (index["image10.png"], index["front.png"], index["image0.png"], index["image1700000000000.png"]) == (10, 0, 0, 2**31 - 1)
+    flat = {r["n"]: r["k"]["n"] for r in df.select("n", S.natural_key_flat(F.col("n")).alias("k")).collect()}
+    assert (flat["front.png"], flat["image99999999999999999999.png"]) == (1 << 30, 99999999999999999999)
