@@ -1,13 +1,11 @@
 """Tiering of pages, placeholder rows, and routing of documents by ordered rules.
 
-A document's rows are bounded by its pages, so routing gathers them once and decides inside the
-array: one shuffle by document, no window.
+Routing keeps one state a document, whose parts merge before and after the shuffle: no rows are gathered, and
+a document may have any number of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,91 +49,117 @@ def with_placeholders(results: DataFrame, documents: DataFrame) -> DataFrame:
 
 # --- routing ---------------------------------------------------------------------------------
 
+# How a document ends: without a hit, by one item that the state of all its rows gives, or by an item a row.
+_NO_HIT, _ONE, _ROWS, _NOTHING = "no_hit", "one", "rows", "nothing"
+
 
-def _item(r: Column, value: Column, conf: Column, reason: Column, direct: Column, rescue: Column | None = None) -> Column:
-    path = S.first_of(r["permit_crop"], r["mol_crop"])
+def _item(value: Column, conf: Column, reason: Column, direct: Column | None = None, rescue: Column | None = None, of: str = "") -> Column:
+    """An item of the row at hand, or of the page that a state holds (``of``: its name and a dot)."""
+    no = F.lit(False)
     return F.struct(
-        r["source_docx"].alias("source_docx"), r["image_name"].alias("image_name"), path.alias("img_path"), value.alias("candidate_value"),
-        conf.alias("candidate_conf"), reason.alias("reason"), direct.alias("direct_keyin"), (F.lit(False) if rescue is None else rescue).alias("no_vote_rescue"),
+        F.col(f"{of}image_name").alias("image_name"), S.first_of(F.col(f"{of}permit_crop"), F.col(f"{of}mol_crop")).alias("img_path"), value.alias("candidate_value"), conf.alias("candidate_conf"), reason.alias("reason"),
+        (no if direct is None else direct).alias("direct_keyin"), (no if rescue is None else rescue).alias("no_vote_rescue"),
     )
 
 
-def _why(r: Column) -> Column:
+def _why() -> Column:
     """The row's note, or what its state says."""
-    conf = F.format_string("%.1f", F.when(r["final_conf"] > 0, r["final_conf"]).otherwise(F.greatest(r["mol_conf"], r["id_conf"])))
-    small = F.when(r["mol_from_vote"], "small: licence vote below the key-in mark").otherwise(F.concat(F.lit("small: single licence reading, conf="), conf))
-    large = F.when(r["cross_match"], "large: agreement, low confidence").when((r["mol"] != "") & (r["id"] != ""), "large: both values, low confidence").when(r["mol"] != "", "large: licence alone, low confidence").when(r["id"] != "", "large: permit alone, low confidence").otherwise("to be confirmed")
-    return F.when(r["note"] != "", r["note"]).when(r["docx_class"] == "small", small).otherwise(F.concat(large, F.lit(", conf="), conf))
-
-
-def _first(rows: Column, key: Callable[[Column], Column]) -> Column:
-    """The row with the smallest key; rows are in their own order, so ties go to the first."""
-    return F.array_min(F.transform(rows, lambda r, i: F.struct(key(r).alias("k"), i.alias("i"), r.alias("r"))))["r"]
-
-
-def _large(rows: Column) -> Column:
-    """Items of a large document: the first rule that applies."""
-    none = F.lit(None).cast("double")
-    mol, id_ = F.filter(rows, lambda r: r["mol"] != ""), F.filter(rows, lambda r: r["id"] != "")
-    common = F.array_intersect(F.transform(mol, lambda r: r["mol"]), F.transform(id_, lambda r: r["id"]))
-
-    def cand(r: Column, v: Column, c: Column) -> Column:
-        return F.struct(v.alias("v"), c.alias("c"), r.alias("r"))
-
-    pool = F.concat(F.transform(mol, lambda r: cand(r, r["mol"], r["mol_conf"])), F.transform(id_, lambda r: cand(r, r["id"], r["id_conf"])))
-    best = _first(F.filter(pool, lambda x: F.array_contains(common, x["v"])), lambda x: -x["c"])
-    agree = _item(best["r"], best["v"], best["c"], F.concat(F.lit("agreement in document, conf="), best["c"].cast("string")), best["c"] > S.KEY_IN)
-    early = _first(id_, lambda r: S.natural_key(r["image_name"]))
-    clash = _item(early, early["id"], early["id_conf"], F.concat(F.lit("licence and permit differ, earliest permit of "), early["image_name"]), F.lit(False))
-    votes = F.filter(id_, lambda r: r["id_from_vote"] & (r["id_conf"] > S.PERMIT_VOTE_MIN))
-    vote = _first(votes, lambda r: S.natural_key(r["image_name"]))
-    voted = _item(vote, vote["id"], vote["id_conf"], F.concat(F.lit("sure permit vote, earliest of "), vote["image_name"]), F.lit(True))
-    partial = F.filter(rows, lambda r: r["status"] == PERMIT_PARTIAL)
-    handled = F.transform(partial, lambda r: r["image_name"])
-
-    def part(r: Column) -> Column:
-        conf = F.when(r["id_conf"] > 0, r["id_conf"]).otherwise(r["final_conf"])
-        return _item(r, S.first_of(r["id"], r["final_value"]), conf, F.lit("permit read in part, no majority"), F.lit(False), conf < S.RESCUE_BELOW)
-
-    review = F.filter(rows, lambda r: r["vision_review"] & ~F.array_contains(handled, r["image_name"]))
-    several = F.concat(F.transform(partial, part), F.transform(review, lambda r: _item(r, r["final_value"], r["final_conf"], _why(r), F.lit(False))))
-    valued = F.filter(rows, lambda r: r["final_value"] != "")
-    top = _first(valued, lambda r: -r["final_conf"])
-    sure = F.when(F.size(valued) > 0, F.array(_item(top, top["final_value"], top["final_conf"], F.concat(F.lit("high confidence, conf="), top["final_conf"].cast("string")), F.lit(True)))).otherwise(F.filter(several, lambda _: F.lit(False)))
-    both = (F.size(mol) > 0) & (F.size(id_) > 0)
-    del none
-    return F.when(both & (F.size(common) > 0), F.array(agree)).when(both, F.array(clash)).when((F.size(mol) == 0) & (F.size(votes) > 0), F.array(voted)).when(F.size(several) > 0, several).otherwise(sure)
-
-
-def _small(rows: Column) -> Column:
-    """Items of a small document; the last resort sends the first valued row to the second reader."""
-
-    def one(r: Column) -> Column:
-        sure = r["mol_from_vote"] & (r["mol_conf"] > S.MOL_VOTE_MIN) & (r["final_value"] != "")
-        direct = _item(r, r["final_value"], r["mol_conf"], F.concat(F.lit("sure licence vote, conf="), r["mol_conf"].cast("string")), F.lit(True))
-        review = _item(r, r["final_value"], r["final_conf"], _why(r), F.lit(False), ~r["mol_from_vote"] & (r["final_conf"] < S.RESCUE_BELOW))
-        return F.when(sure, direct).when(r["vision_review"], review)
-
-    items = F.filter(F.transform(rows, one), lambda x: x.isNotNull())
-    valued = F.filter(rows, lambda r: r["final_value"] != "")
-    rest = F.transform(F.slice(valued, 1, 1), lambda r: _item(r, r["final_value"], r["final_conf"], F.lit("value without a deciding flag"), F.lit(False)))
-    return F.when(F.size(items) > 0, items).otherwise(rest)
+    r = F.col
+    conf = F.format_string("%.1f", F.when(r("final_conf") > 0, r("final_conf")).otherwise(F.greatest("mol_conf", "id_conf")))
+    small = F.when(r("mol_from_vote"), "small: licence vote below the key-in mark").otherwise(F.concat(F.lit("small: single licence reading, conf="), conf))
+    large = F.when(r("cross_match"), "large: agreement, low confidence").when((r("mol") != "") & (r("id") != ""), "large: both values, low confidence").when(r("mol") != "", "large: licence alone, low confidence").when(r("id") != "", "large: permit alone, low confidence").otherwise("to be confirmed")
+    return F.when(r("note") != "", r("note")).when(r("docx_class") == "small", small).otherwise(F.concat(large, F.lit(", conf="), conf))
 
 
-def route(results: DataFrame, order: str = "ord") -> DataFrame:
-    """Queue items of all documents with their route; documents without any hit go to manual review.
+def _first(item: Column, where: Column, *order: Column) -> Column:
+    """An aggregate: the item of the first of the rows that count."""
+    return F.min_by(item, F.when(where, F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)))))
+
 
-    ``order`` keeps the rows' own order within a document.
+def _agreements(rows: DataFrame) -> DataFrame:
+    """(source_docx, agree): of the values that a document has both as licence and as permit the surest reading.
+
+    Readings are brought together by value first, so nothing of a document is gathered.
+    """
+    read = F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("mol").alias("value"), F.col("mol_conf").alias("conf")),
+        F.struct(F.lit(1).alias("kind"), F.col("id").alias("value"), F.col("id_conf").alias("conf")),
+    )
+    each = rows.where("mol <> '' or id <> ''").select("source_docx", "ord", "image_name", "permit_crop", "mol_crop", F.explode(read).alias("r")).select("*", "r.*").where("value <> ''")
+    best = F.struct((-F.col("conf")).alias("less"), "kind", "ord", "image_name", "permit_crop", "mol_crop", "value", "conf")
+    by_value = each.groupBy("source_docx", "value").agg(F.min("kind").alias("low"), F.max("kind").alias("high"), F.min(best).alias("best"))
+    one = by_value.where("low < high").groupBy("source_docx").agg(F.min("best").alias("b"))
+    conf = F.col("b.conf")
+    return one.select("source_docx", _item(F.col("b.value"), conf, F.concat(F.lit("agreement in document, conf="), conf.cast("string")), conf > S.KEY_IN, of="b.").alias("agree"))
+
+
+def _decisions(rows: DataFrame) -> DataFrame:
+    """One row a document: how it ends, its item if that is one, and the number of its rows.
+
+    Every rule is a state that merges (a flag, or the first row in some order), so partial results are
+    combined before and after one shuffle, whatever a document's size.
     """
-    fields = [f.strip().split(" ")[0] for f in SCAN_RESULT.split(",")]
-    row = F.struct(F.col(order).alias("ord"), *fields)
-    docs = results.groupBy("source_docx").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    large = F.element_at("rows", 1)["docx_class"] == "large"
-    no_hit = F.forall("rows", lambda r: r["status"] == F.when(r["docx_class"] == "large", LARGE_NO_HIT).otherwise(SMALL_NO_HIT))
+    r = F.col
+    valued, review, partial = r("final_value") != "", r("vision_review"), r("status") == PERMIT_PARTIAL
+    vote = (r("id") != "") & r("id_from_vote") & (r("id_conf") > S.PERMIT_VOTE_MIN)
+    page = F.struct("image_name", "permit_crop", "mol_crop", "id", "id_conf", "final_value", "final_conf")
+    # Once a row, as several states order by it; only permits do.
+    used = rows.select("*", page.alias("page"), F.when(r("id") != "", S.natural_key(r("image_name"))).alias("early"))
+    states = used.groupBy("source_docx").agg(
+        F.count("*").alias("n"), F.min_by("docx_class", "ord").alias("class"),
+        F.bool_and(r("status") == F.when(r("docx_class") == "large", LARGE_NO_HIT).otherwise(SMALL_NO_HIT)).alias("no_hit"),
+        F.bool_or(r("mol") != "").alias("has_mol"), F.bool_or(r("id") != "").alias("has_id"), F.bool_or(partial | review).alias("open_large"), F.bool_or(_sure_licence() | review).alias("open_small"),
+        _first(r("page"), r("id") != "", r("early"), r("ord")).alias("clash"), _first(r("page"), vote, r("early"), r("ord")).alias("voted"),
+        _first(r("page"), valued, -r("final_conf"), r("ord")).alias("sure"), _first(r("page"), valued, r("ord")).alias("rest"),
+    )
+    made = {
+        "clash": ("id", F.concat(F.lit("licence and permit differ, earliest permit of "), "clash.image_name"), False),
+        "voted": ("id", F.concat(F.lit("sure permit vote, earliest of "), "voted.image_name"), True),
+        "sure": ("final", F.concat(F.lit("high confidence, conf="), r("sure.final_conf").cast("string")), True),
+        "rest": ("final", F.lit("value without a deciding flag"), False),
+    }
+    states = states.withColumns({state: F.when(r(state).isNotNull(), _item(r(f"{state}.{'id' if of == 'id' else 'final_value'}"), r(f"{state}.{of}_conf"), why, F.lit(direct), of=f"{state}.")) for state, (of, why, direct) in made.items()})
+    known = states.join(_agreements(rows), "source_docx", "left")
     blank = F.struct(
-        F.col("source_docx"), F.lit("").alias("image_name"), F.lit("").alias("img_path"), F.lit("").alias("candidate_value"), F.lit(0.0).alias("candidate_conf"),
-        F.concat(F.lit("no hit in all "), F.size("rows").cast("string"), F.lit(" images")).alias("reason"), F.lit(False).alias("direct_keyin"), F.lit(False).alias("no_vote_rescue"),
+        F.lit("").alias("image_name"), F.lit("").alias("img_path"), F.lit("").alias("candidate_value"), F.lit(0.0).alias("candidate_conf"),
+        F.concat(F.lit("no hit in all "), r("n").cast("string"), F.lit(" images")).alias("reason"), F.lit(False).alias("direct_keyin"), F.lit(False).alias("no_vote_rescue"),
     )
-    items = docs.select(no_hit.alias("no_hit"), F.explode(F.when(no_hit, F.array(blank)).when(large, _large(F.col("rows"))).otherwise(_small(F.col("rows")))).alias("i"))
-    way = F.when(F.col("no_hit"), MANUAL).when(F.col("i.direct_keyin"), DIRECT).when(F.col("i.no_vote_rescue"), RESCUE).otherwise(SECOND_READER)
-    return conform(items.select("i.*", way.alias("route")), QUEUE)
+    both, large = r("has_mol") & r("has_id"), r("class") == "large"
+    one = F.when(large, F.when(both, F.coalesce("agree", "clash")).when(~r("has_mol") & r("voted").isNotNull(), r("voted")).when(~r("open_large"), r("sure"))).when(~r("open_small"), r("rest"))
+    many = F.when(large, r("open_large")).otherwise(r("open_small"))
+    end = F.when(r("no_hit"), _NO_HIT).when(one.isNotNull(), _ONE).when(many, _ROWS).otherwise(_NOTHING)
+    return known.select("source_docx", "class", end.alias("end"), F.when(r("no_hit"), blank).otherwise(one).alias("item"))
+
+
+def _sure_licence() -> Column:
+    return F.col("mol_from_vote") & (F.col("mol_conf") > S.MOL_VOTE_MIN) & (F.col("final_value") != "")
+
+
+def _row_items(rows: DataFrame) -> DataFrame:
+    """(source_docx, class, item) of every row that gives an item where its document's rows decide for themselves."""
+    r = F.col
+    partial, review = r("status") == PERMIT_PARTIAL, r("vision_review")
+    conf = F.when(r("id_conf") > 0, r("id_conf")).otherwise(r("final_conf"))
+    part = _item(S.first_of(r("id"), r("final_value")), conf, F.lit("permit read in part, no majority"), rescue=conf < S.RESCUE_BELOW)
+    large = F.when(partial, part).when(review, _item(r("final_value"), r("final_conf"), _why()))
+    direct = _item(r("final_value"), r("mol_conf"), F.concat(F.lit("sure licence vote, conf="), r("mol_conf").cast("string")), F.lit(True))
+    small = F.when(_sure_licence(), direct).when(review, _item(r("final_value"), r("final_conf"), _why(), rescue=~r("mol_from_vote") & (r("final_conf") < S.RESCUE_BELOW)))
+    handled = rows.where(partial).select("source_docx", "image_name").distinct().withColumn("handled", F.lit(True))
+    found = rows.where(partial | review | _sure_licence()).join(handled, ["source_docx", "image_name"], "left")
+    again = ~partial & r("handled").isNotNull()  # a page that is in review by its partial reading
+    items = F.array(F.struct(F.lit("large").alias("class"), F.when(~again, large).alias("item")), F.struct(F.lit("small").alias("class"), small.alias("item")))
+    return found.select("source_docx", F.explode(items).alias("i")).select("source_docx", "i.*").where("item is not null")
+
+
+def route(results: DataFrame, order: str = "ord") -> DataFrame:
+    """Queue items of all documents with their route; documents without any hit go to manual review.
+
+    ``order`` keeps the rows' own order within a document.  ``results`` is read several times: cut it where it is costly.
+    """
+    rows = results.withColumn("ord", F.col(order))
+    ends = _decisions(rows).withColumn("class", F.when(F.col("class") == "large", "large").otherwise("small"))
+    one = ends.where(F.col("end").isin(_NO_HIT, _ONE)).select("source_docx", "end", "item")
+    several = ends.where(F.col("end") == _ROWS).select("source_docx", "class", "end")
+    items = one.unionByName(_row_items(rows).join(several, ["source_docx", "class"]).select("source_docx", "end", "item"))
+    way = F.when(F.col("end") == _NO_HIT, MANUAL).when(F.col("item.direct_keyin"), DIRECT).when(F.col("item.no_vote_rescue"), RESCUE).otherwise(SECOND_READER)
+    return conform(items.select("source_docx", "item.*", way.alias("route")), QUEUE)

@@ -32,7 +32,7 @@ def decide_documents(reads: DataFrame, images: DataFrame | None = None) -> tuple
     expanded = pages.where("docx_class = 'large'").groupBy("source_docx").agg(F.max("scan_tier").alias("scan_tier"))
     large = routing.with_placeholders(votes.decide(large), expanded).withColumn("ord", place)
     small = votes.aggregate_small(small.withColumn("ord", place))
-    results = large.unionByName(small)
+    results = cut(large.unionByName(small))  # routing reads it for its states and for its rows
     return results.drop("ord"), routing.route(results)
 
 
@@ -57,10 +57,11 @@ def run(reads: DataFrame, second_reads: DataFrame, blocks: DataFrame, registry:
     without one is reported for review, never dropped.  ``blocks`` as ``rescue`` takes them.
     """
     _, queue = decide_documents(reads, images)
+    queue = cut(queue)
     keyed = queue.where(F.col("route") == routing.DIRECT).select("source_docx", F.col("candidate_value").alias("permit"), "reason")
     second = second_reads.select("source_docx", "image_name", S.second_reader_value(F.col("text")).alias("second_value"))
     asked = queue.where(F.col("route") == routing.SECOND_READER).join(second, ["source_docx", "image_name"], "left")
-    checked = verify.verify(asked, verify.known_permits(log))
+    checked = cut(verify.verify(asked, verify.known_permits(log)))
     keyed = keyed.unionByName(checked.where("should_keyin").select("source_docx", F.col("final_value").alias("permit"), F.col("rationale").alias("reason")))
     review = checked.where(~F.col("should_keyin")).select("source_docx", F.col("final_value").alias("permit"), F.concat_ws("; ", "reason", "rationale").alias("reason"))
     saved = rescue(queue.where(F.col("route").isin(routing.RESCUE, routing.MANUAL)), blocks, registry)
