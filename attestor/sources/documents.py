@@ -40,7 +40,7 @@ def page_images(docs: DataFrame) -> DataFrame:
                 for row in _images_in(content):
                     yield pd.DataFrame([(source, *row)], columns=["source_docx", "image_name", "extension", "content", "error"])
 
-    _few_rows(docs.sparkSession)
+    few_rows(docs.sparkSession)
     return docs.select("source_docx", "content").mapInPandas(work, "source_docx string, image_name string, extension string, content binary, error string")
 
 
@@ -62,7 +62,7 @@ def _images_in(content: bytes) -> Iterator[tuple[str, str, bytes | None, str]]:
                 yield name, kind, None, f"{type(e).__name__}: {e}"
 
 
-def _few_rows(spark: SparkSession) -> None:
+def few_rows(spark: SparkSession) -> None:
     """Arrow batches of at most 64 MB, whatever the number of rows."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
@@ -95,34 +95,40 @@ def read_images(images: DataFrame, configs: DataFrame, reader: Reader, keep: tup
                 out = []
                 for roi, phase, place, config, settings in plan:
                     try:
-                        text, conf, error = *reader(bytes(row["content"]), settings), ""
+                        text, conf, error = (*reader(bytes(row["content"]), settings), "") if row["content"] is not None else ("", 0.0, "no content")
                     except Exception as e:  # an external engine may raise anything
                         text, conf, error = "", 0.0, f"{type(e).__name__}: {e}"
                     out.append([*(row[c] for c in keep), roi, phase, place, config, text, float(conf), error])
                 yield pd.DataFrame(out, columns=columns)
 
     schema = ", ".join(f"{c} string" for c in keep) + ", roi string, phase string, config_ord int, config string, text string, conf double, error string"
-    _few_rows(images.sparkSession)
+    few_rows(images.sparkSession)
     return images.select(*keep, "content").mapInPandas(work, schema)
 
 
 def scan_in_tiers(images: DataFrame, configs: DataFrame, reader: Reader, whole: bool = False) -> DataFrame:
-    """Readings (OCR_READ) of the first tier of pages, and of the rest only for large documents without a sure permit vote.
-
-    The first pass is cut, as the second depends on what it read; ``whole`` reads every page at once.
-    """
+    """Readings (OCR_READ) of a table of images (source_docx, image_name, content): see ``read_in_tiers``."""
     named = images.where("error = ''") if "error" in images.columns else images
-    pages = routing.pages(named.select("source_docx", "image_name"))
     content = named.select("source_docx", "image_name", "content")
+    pages = routing.pages(named.select("source_docx", "image_name"))
+    return conform(read_in_tiers(pages, lambda wanted: content.join(wanted.select("source_docx", "image_name"), ["source_docx", "image_name"]), configs, reader, whole), OCR_READ)
+
+
+def read_in_tiers(pages: DataFrame, fetch: Callable[[DataFrame], DataFrame], configs: DataFrame, reader: Reader, whole: bool = False, keep: tuple[str, ...] = ("source_docx", "image_name")) -> DataFrame:
+    """Readings of the first tier of pages, and of the rest only for large documents without a sure permit vote.
+
+    ``fetch`` gives the content of wanted pages, with the columns to keep.  Each pass is cut (its readings, no
+    contents), as the second depends on what the first read; ``whole`` reads every page at once.
+    """
 
     def read(wanted: DataFrame) -> DataFrame:
-        return conform(read_images(content.join(wanted.select("source_docx", "image_name"), ["source_docx", "image_name"]), configs, reader), OCR_READ)
+        return cut(read_images(fetch(wanted), configs, reader, keep))
 
     if whole:
-        return cut(read(pages))
-    first = cut(read(pages.where("docx_class = 'small' or tier = 1")))
+        return read(pages)
+    first = read(pages.where("docx_class = 'small' or tier = 1"))
     classes = pages.where("docx_class = 'large' and tier = 1").select("source_docx", "image_name", "docx_class", F.lit(1).alias("scan_tier"))
-    return first.unionByName(cut(read(routing.second_tier(pages, votes.scan_images(first, classes)))))
+    return first.unionByName(read(routing.second_tier(pages, votes.scan_images(conform(first, OCR_READ), classes))))
 
 
 # The order of the readings; the first six of them vote.
