@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
 from attestor.operators.assemble import doubt_report, not_yet_written
 from attestor.schema import SHEET_COLUMNS
+from attestor.sources import images
+from attestor.sources.documents import REGIONS, few_rows
 from attestor.sources.ledger import Ledger
 from attestor.sources.tables import CSV, encoded_results
 
@@ -35,9 +39,43 @@ def review_pages(pages: DataFrame, content: DataFrame) -> DataFrame:
     return pages.where(wanted).select("source_docx", "image_name").join(content, ["source_docx", "image_name"])
 
 
-def write_texts(texts: DataFrame, path: str) -> None:
-    """Full texts of the second reader, for replay without new calls."""
-    texts.write.mode("append").parquet(path)
+def crops(results: DataFrame, content: DataFrame, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """(source_docx, image_name, crop, content, error): the regions that results name, upright, as PNG.
+
+    ``decode`` turns an image file into an array; its errors become values.
+    """
+    named = F.array(
+        F.struct(F.col("mol_crop").alias("crop"), F.lit("mol").alias("region")),
+        F.struct(F.col("permit_crop").alias("crop"), F.when(F.col("hit_roi").isin(*REGIONS), F.col("hit_roi")).otherwise("permit_upper").alias("region")),
+    )
+    wanted = results.select("source_docx", "image_name", F.explode(named).alias("c")).select("source_docx", "image_name", "c.*").where("crop <> ''")
+    wanted = wanted.groupBy("source_docx", "image_name").agg(F.collect_set(F.struct("crop", "region")).alias("asked"))  # two names a page
+    columns = ["source_docx", "image_name", "crop", "content", "error"]
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                try:
+                    page, error = images.upright(decode(bytes(r.content)), images.orientation(bytes(r.content))), ""
+                except Exception as e:  # a decoder may raise anything
+                    page, error = None, f"{type(e).__name__}: {e}"
+                rows = [(r.source_docx, r.image_name, a["crop"], None if page is None else images.png(images.crop(page, REGIONS[a["region"]])), error) for a in r.asked]
+                yield pd.DataFrame(rows, columns=columns)
+
+    few_rows(results.sparkSession)
+    joined = wanted.join(content.select("source_docx", "image_name", "content"), ["source_docx", "image_name"])
+    return joined.mapInPandas(work, "source_docx string, image_name string, crop string, content binary, error string")
+
+
+def texts(spark: SparkSession, path: str) -> Ledger:
+    """The second reader's full texts at a path, for replay without new calls."""
+    return Ledger(spark, path, "source_docx string, image_name string, text string")
+
+
+def write_texts(rows: DataFrame, path: str, run_id: str) -> int:
+    """Append the texts of pages that the store doesn't have; a retry adds nothing."""
+    page = ["source_docx", "image_name"]
+    return texts(rows.sparkSession, path).append(rows, run_id, lambda new, known: new.dropDuplicates(page).join(known.select(*page), page, "left_anti"))
 
 
 def write_doubts(employers: DataFrame, path: str) -> None:
