@@ -182,12 +182,42 @@ def test_stream_routes_late_readings_anew(spark, tmp_path):
     base = f"file://{tmp_path}"
     permit = "No. izin: 2340"
     _reads(spark, [("d", "image5.png", "permit_upper", "scan", 0, permit, 40.0), *(("d", f"image{i}.png", "mol", "vote", 0, "", 1.0) for i in range(1, 5))]).write.mode("append").parquet(f"{base}/in")
-    paths = (f"{base}/in", f"{base}/store", f"{base}/out", f"{base}/check")
+    paths = (f"{base}/in", f"{base}/out", f"{base}/check")
     watch.watch(spark, *paths).awaitTermination(120)
-    assert [r["route"] for r in watch.latest(spark, paths[2]).collect()] == ["second_reader"]
+    assert [r["route"] for r in watch.latest(spark, paths[1]).collect()] == ["second_reader"]
     _reads(spark, [("d", "image5.png", "permit_upper", "vote", n, permit, 80.0) for n in (0, 1)]).write.mode("append").parquet(f"{base}/in")
     watch.watch(spark, *paths).awaitTermination(120)
-    assert [(r["route"], r["candidate_value"]) for r in watch.latest(spark, paths[2]).collect()] == [("direct", "2340")]
+    assert [(r["route"], r["candidate_value"]) for r in watch.latest(spark, paths[1]).collect()] == [("direct", "2340")]
+    # A reading that comes again replaces the one before.
+    _reads(spark, [("d", "image5.png", "permit_upper", "vote", n, "No. izin: 7777", 90.0) for n in (0, 1)]).write.mode("append").parquet(f"{base}/in")
+    watch.watch(spark, *paths).awaitTermination(120)
+    assert [(r["route"], r["candidate_value"]) for r in watch.latest(spark, paths[1]).collect()] == [("direct", "7777")]
+
+
+def test_batches_of_a_stream_stay_small(spark, tmp_path, monkeypatch):
+    """Every batch decides its own document from state; what was stored before isn't read again."""
+    base, sizes = f"file://{tmp_path}", []
+    decide = watch.decide_documents
+
+    def counting(df):
+        sizes.append((df.count(), df.select("source_docx").distinct().count()))
+        return decide(df)
+
+    monkeypatch.setattr(watch, "decide_documents", counting)
+    for i in range(4):
+        rows = [(f"d{i // 2}", f"image{k}.png", "permit_upper", "vote" if i % 2 else "scan", 0, "No. izin: 2340", 80.0) for k in range(1, 6)]
+        _reads(spark, rows).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        os.utime(next(p for p in (tmp_path / "in").glob("*.parquet") if p.stat().st_mtime > 1000 + 10 * i or not i), (1000 + 10 * i, 1000 + 10 * i))
+    query = watch.watch(spark, f"{base}/in", f"{base}/out", f"{base}/check", files_a_batch=1)
+    query.awaitTermination(240)
+    assert [n for n, _ in sizes if n] == [5, 10] * 2
+    assert {d for n, d in sizes if n} == {1}
+    assert {p["numInputRows"] for p in query.recentProgress if p["numInputRows"]} == {5}
+    _, whole = decide(spark.read.schema(OCR_READ).parquet(f"{base}/in"))
+    columns = ("source_docx", "image_name", "candidate_value", "route")
+    want = sorted(tuple(r[c] for c in columns) for r in whole.collect())
+    assert sorted(tuple(r[c] for c in columns) for r in watch.latest(spark, f"{base}/out").collect()) == want
+    assert {r[0] for r in want} == {f"d{i}" for i in range(2)}
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no driver tables")
