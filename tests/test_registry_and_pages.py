@@ -226,3 +226,13 @@ def test_sheet_rows(spark, reg):
     got = sorted(tuple(r) for r in rows.collect())
     assert [(r[0], r[1], r[2], r[4][:2], r[7], r[11]) for r in got] == [("a", "2340", "keyed-in", "新星", "林大明", "J: x"), ("b", "", "manual_review", "", "", ""), ("b", "999", "manual_review", "", "", "")]
     assert [r["source_docx"] for r in assemble.doubt_report(emp).collect()] == ["a"]
+
+
+@pytest.mark.parametrize(("detail", "want"), [
+    ("38號", "No. 38, R, A, C"), ("38號三樓之2", "3F.-2, No. 38, R, A, C"), ("41號之8", "No. 41-8, R, A, C"), ("1之9號", "No. 1-9, R, A, C"), ("11.13.15.17號", "No. 11.13.15.17, R, A, C"), ("3-5號", "No. 5, R, A, C"),
+    ("201巷2號", "No. 2, Ln. 201, R, A, C"), ("69巷7弄15號12樓", "12F., No. 15, Aly. 7, Ln. 69, R, A, C"), ("5號十二樓", "12F., No. 5, R, A, C"), ("", "R, A, C"),
+])
+def test_english_address(spark, detail, want):
+    df = spark.createDataFrame([(detail,)], "d string")
+    assert df.select(gazetteer.english_address(F.lit("R"), F.lit("A"), F.lit("C"), F.col("d"))).first()[0] == want
+    assert df.select(gazetteer.english_address(F.lit(""), F.lit(""), F.lit(""), F.col("d"))).first()[0] == ""
