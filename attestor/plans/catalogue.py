@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
+from attestor.functions.kernels import addr_norm, fold_variants
 from attestor.operators import assemble, extract, gazetteer, registry, rescue, routing, verify, votes
 from attestor.plans.batch import decide_documents
 from attestor.schema import EMPLOYER, KEYED_IN, MANUAL_REVIEW, OCR_READ, PERMIT_PARTIAL, SCAN_RESULT, SHEET_COLUMNS, conform
@@ -369,6 +370,68 @@ def similar_agencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.most_similar(_t(spark, sf_dir, "customer").select(asked.alias("asked")), s, "asked", registry.NAME_MIN)
 
 
+@_query("""
+SELECT ['none', 'unusable', 'several', 'extension', 'partial', ''][CAST(s_nationkey % 6 AS INTEGER) + 1] AS phone_note, count(*) AS n, count(*) FILTER (s_suppkey % 5 <> 4) AS n_active FROM supplier GROUP BY ALL
+""")
+def registry_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agencies by what is to say of their telephone field."""
+    s, key = _t(spark, sf_dir, "supplier"), F.col("s_suppkey")
+    number, k = F.concat(F.lit("02-2"), F.lpad((key % 10_000_000).cast("string"), 7, "3")), F.col("s_nationkey") % 6
+    phone = F.when(k == 0, " ").when(k == 1, "12-34").when(k == 2, F.concat(number, F.lit("/04-22223333"))).when(k == 3, F.concat(number, F.lit("#7"))).when(k == 4, F.concat(number, F.lit("、123"))).otherwise(number)
+    rows = s.select(key.alias("pos"), key.cast("string").alias("permit"), F.col("s_name").alias("name"), F.lit("").alias("address"), phone.alias("phone"), F.lit("").alias("revoked_on"), F.when(key % 5 == 4, "20200101").alias("closed_on"))
+    return registry.stats(registry.roster(rows))
+
+
+_NUMERAL = "CASE WHEN {n} < 10 THEN '' WHEN {n} < 20 THEN '十' ELSE substr('一二三四五六七八九', {n} // 10, 1) || '十' END || CASE WHEN {n} % 10 = 0 THEN '' ELSE substr('一二三四五六七八九', {n} % 10, 1) END"
+
+
+@_query(f"""
+WITH c AS (SELECT c_custkey, c_custkey % 99 + 1 AS n FROM customer)
+SELECT c_custkey, '台北市ABc鐘山路' || n || '段' || c_custkey || '號,3樓' AS folded, '台北市ABC鐘山路' || n || '段' || c_custkey || '號3樓' AS address,
+  {_NUMERAL.format(n="n")} || '段' AS numeral FROM c
+""")
+def folded_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants, wide letters, white space and sections in Chinese numerals, folded for comparison."""
+    n = (F.col("c_custkey") % 99 + 1).cast("int")
+    digit = lambda i: F.substr(F.lit("一二三四五六七八九"), i.cast("int"), F.lit(1))
+    numeral = F.concat(F.when(n < 10, "").when(n < 20, "十").otherwise(F.concat(digit(F.floor(n / 10)), F.lit("十"))), F.when(n % 10 == 0, "").otherwise(digit(n % 10)), F.lit("段"))
+    text = F.concat(F.lit("臺北市\u3000ＡＢc 鍾山路 "), numeral, F.col("c_custkey").cast("string"), F.lit("號，3樓\t"))
+    return _t(spark, sf_dir, "customer").select("c_custkey", fold_variants(text).alias("folded"), addr_norm(text).alias("address"), numeral.alias("numeral"))
+
+
+@_query(f"""
+WITH e AS (SELECT c_custkey AS k, c_nationkey % 4 AS m, c_custkey % 3 + 1 AS n, c_custkey % 7 AS way FROM customer)
+SELECT k AS c_custkey, CASE WHEN way = 0 THEN 'H: no Chinese name' WHEN way <> 1 AND m > 0 AND n <> m THEN 'H: ' || n || ' characters, ' || m || ' syllables' ELSE '' END AS doubt FROM e
+""")
+def name_doubts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of one to three characters beside names of none to three syllables; companies aren't compared."""
+    k, m = F.col("c_custkey"), (F.col("c_nationkey") % 4).cast("int")
+    cn = F.when(k % 7 == 0, "").otherwise(F.substr(F.lit(_PEOPLE), F.lit(1), (k % 3 + 1).cast("int")))
+    en = F.when(k % 7 == 1, "LEE AN CO., LTD").otherwise(F.when(m == 0, "").when(m == 1, " Lee").when(m == 2, "Lee-An").otherwise("LEE, AN  Hua"))
+    return _t(spark, sf_dir, "customer").select("c_custkey", extract.name_doubt(cn, en).alias("doubt"))
+
+
+@_query("""
+WITH n AS (SELECT *, chr(CAST(97 + n_nationkey AS INTEGER)) AS l, c.c_custkey FROM customer c JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, 'C' || n_regionkey || '市' AS city, 'A' || l || '區' AS district, 'R' || l || '路' AS road, lpad(CAST(n_nationkey AS VARCHAR), 3, '1') AS zip, 1 AS city_tier,
+  'No. ' || c_custkey || ', ' || upper(l) || l || 'ping Rd., ' || upper(l) || l || 'shan Dist., Region' || n_regionkey || ' City' AS address_en, 'C' || n_regionkey || '市A' || l || '區R' || l || '路' || c_custkey || '號' AS addr_std
+FROM n
+""")
+def english_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses whose Chinese line is illegible but for the number: city, area and road come from the English line."""
+    n = _t(spark, sf_dir, "nation")
+    letter, region = F.char(F.col("n_nationkey") + 97), F.col("n_regionkey").cast("string")
+    twice = F.concat(F.upper(letter), letter)
+    road = F.array(F.struct(F.concat(F.lit("R"), letter, F.lit("路")).alias("RoadName"), F.concat(twice, F.lit("ping Rd.")).alias("RoadEngName")))
+    area = F.struct(F.concat(F.lit("A"), letter, F.lit("區")).alias("AreaName"), F.concat(twice, F.lit("shan Dist.")).alias("AreaEngName"), F.lpad(F.col("n_nationkey").cast("string"), 3, "1").alias("ZipCode"), road.alias("RoadList"))
+    gaz = gazetteer.flatten(n.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(area)).alias("AreaList")).select(F.concat(F.lit("C"), region, F.lit("市")).alias("CityName"), F.concat(F.lit("Region"), region, F.lit(" City")).alias("CityEngName"), "AreaList"))
+    number = F.col("c_custkey").cast("string")
+    cn, en = F.concat(F.lit("●●●●"), number, F.lit("號")), F.concat(F.lit("No. "), number, F.lit(", "), twice, F.lit("ping Rd., "), twice, F.lit("shan Dist.,  Region"), region, F.lit(" City"))
+    asked = _t(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", cn.alias("addr_cn"), en.alias("addr_en"))
+    known = gazetteer.standard_address(gazetteer.normalise(asked, gaz))
+    return known.select("c_custkey", "norm.city", "norm.district", "norm.road", "norm.zip", "norm.city_tier", "norm.address_en", "addr_std")
+
+
 # --- decisions -------------------------------------------------------------------------------
 
 
@@ -417,6 +480,23 @@ def route_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.route(_order_rows(spark, sf_dir)).select("source_docx", "image_name", "candidate_value", F.col("candidate_conf").cast("bigint").alias("conf"), "route")
 
 
+@_query("""
+WITH o AS (SELECT *, substr(o_orderpriority, 1, 1) AS p, CAST(floor(o_totalprice / 5000) AS BIGINT) || '.0' AS conf, floor(o_totalprice / 5000) AS c FROM orders),
+d AS (SELECT o_custkey, min(CASE WHEN p = '1' AND c > 45 THEN o_orderkey END) AS vote, count(*) FILTER (p IN ('4', '5')) AS open, arg_max(o_orderkey, c * 1000000000 - o_orderkey) AS top FROM o GROUP BY o_custkey)
+SELECT o_orderkey, CASE WHEN vote IS NOT NULL THEN 'sure permit vote, earliest of image' || o_orderkey || '.png' WHEN p = '5' THEN 'permit read in part, no majority' WHEN p = '4' THEN 'large: permit alone, low confidence, conf=' || conf ELSE 'high confidence, conf=' || conf END AS reason
+FROM o JOIN d ON o.o_custkey = d.o_custkey
+WHERE CASE WHEN vote IS NOT NULL THEN o_orderkey = vote WHEN open > 0 THEN p IN ('4', '5') ELSE o_orderkey = top END
+UNION ALL SELECT -c_custkey - 1, 'no hit in all 1 images' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+""")
+def route_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why each item is queued; customers without orders are documents without any hit."""
+    rows = _order_rows(spark, sf_dir)
+    documents = _t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("source_docx"), F.lit(2).alias("scan_tier"))
+    whole = routing.with_placeholders(rows.drop("ord"), documents).withColumn("ord", F.coalesce(F.regexp_extract("image_name", r"\d+", 0).try_cast("bigint"), F.lit(0)))
+    key = F.when(F.col("image_name") == "", -F.col("source_docx").cast("bigint") - 1).otherwise(F.regexp_extract("image_name", r"\d+", 0).try_cast("bigint"))
+    return routing.route(whole).select(key.alias("o_orderkey"), "reason")
+
+
 @_query("""
 WITH r AS (SELECT l_returnflag AS mol, l_linestatus AS id, CAST(l_quantity * 2 AS BIGINT) AS mc, CAST(l_linenumber * 15 AS BIGINT) AS ic, l_partkey % 4 AS k, l_orderkey, l_linenumber FROM lineitem),
 v AS (SELECT CASE WHEN k = 1 THEN '' ELSE mol END AS mol, CASE WHEN k = 2 THEN '' ELSE id END AS id, mc, ic, k = 3 AS voted, l_orderkey, l_linenumber FROM r),
