@@ -159,8 +159,9 @@ def next_pages(page_texts: DataFrame, contract: DataFrame) -> DataFrame:
 
 def pledge_pages(page_texts: DataFrame) -> DataFrame:
     """Up to two pages after the first pledge front page of each document."""
-    front = page_texts.where(S.is_pledge_front(F.col("text"))).groupBy("source_docx").agg(F.min("ord").alias("front"))
-    return page_texts.join(front, "source_docx").where(F.col("ord").between(F.col("front") + 1, F.col("front") + PLEDGE_PAGES))
+    front = page_texts.where(S.is_pledge_front(F.col("text"))).groupBy("source_docx").agg(F.min("ord").alias("__front"))
+    after = page_texts.join(front, "source_docx").where(F.col("ord").between(F.col("__front") + 1, F.col("__front") + PLEDGE_PAGES))
+    return after.drop("__front")
 
 
 def pledge_name(text: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from attestor.functions import scalars as S
 from attestor.functions.kernels import addr_norm, fold_variants
 from attestor.operators import assemble, extract, gazetteer, registry, rescue, routing, verify, votes
-from attestor.plans.batch import decide_documents
+from attestor.plans.batch import decide_documents, employers
 from attestor.schema import EMPLOYER, KEYED_IN, MANUAL_REVIEW, OCR_READ, PERMIT_PARTIAL, SCAN_RESULT, SHEET_COLUMNS, conform
 from attestor.session import shared_path
 from attestor.sources import sinks, tables
@@ -739,13 +739,35 @@ SELECT k AS c_custkey, CASE WHEN k % 5 = 4 THEN '' ELSE n END AS name_cn, CASE W
 """)
 def employer_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract texts made of customers; one in five has lost its labels."""
+    return extract.employer_fields(_contracts(spark, sf_dir)).select("c_custkey", "name_cn", "name_en", "addr_cn", "addr_en", "phone", "note")
+
+
+def _contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     name = F.concat(F.substr(F.lit(_PEOPLE), (key % 10 + 1).cast("int"), F.lit(1)), F.substr(F.lit("明華美英志文"), (F.col("c_nationkey") % 6 + 1).cast("int"), F.lit(1)), F.lit("安"))
     phone = F.concat(F.lit("02-2345-"), F.lpad((key % 10_000).cast("string"), 4, "0"))
     label = F.when(key % 3 == 0, F.lit("甲方名稱:")).otherwise(F.lit("雇主名稱："))
     lines = [F.lit("契約書 03-1234567"), F.concat(label, name), F.lit("Nama Majikan: LEE AN"), F.concat(F.lit("地址:臺北市中山區一號路"), key.cast("string"), F.lit("號")), F.concat(F.lit("Alamat: No. "), key.cast("string"), F.lit(", Yihao Rd., Zhongshan Dist., Taipei City")), F.when(key % 2 == 0, "Taiwan").otherwise("12345678"), F.concat(F.lit("電話:"), phone, F.lit(" 傳真:02-1111-2222")), F.lit("07-7654321"), F.lit("PIHAK KEDUA"), F.lit("電話:04-8888-9999")]
     text = F.when(key % 5 == 4, "scan 02-2345-6789").otherwise(F.concat_ws("\n", *lines))
-    return extract.employer_fields(_t(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))).select("c_custkey", "name_cn", "name_en", "addr_cn", "addr_en", "phone", "note")
+    return _t(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))
+
+
+@_query(f"""
+WITH c AS (SELECT c_custkey AS k, substr('{_PEOPLE}', CAST(c_custkey % 10 AS INTEGER) + 1, 1) || substr('明華美英志文', CAST(c_nationkey % 6 AS INTEGER) + 1, 1) || '安' AS n, c_custkey % 5 <> 4 AS found FROM customer)
+SELECT CAST(k AS VARCHAR) AS source_docx, CASE WHEN found THEN n ELSE '' END AS name_cn, CASE WHEN found THEN '臺北市中山區一號路' || k || '號' ELSE '' END AS addr_std, CASE WHEN found THEN '104' ELSE '' END AS zip,
+  CASE WHEN found THEN 'H: 3 characters, 2 syllables' ELSE '' END AS doubt, 'image2.png' AS image, CASE WHEN found THEN '' ELSE 'no contract page' END AS note
+FROM c
+""")
+def employer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the pages of each customer's document to its employer: a cover, the contract, and a page after it."""
+    contracts = _contracts(spark, sf_dir).select(F.col("c_custkey").cast("string").alias("source_docx"), "text")
+    page = F.explode(F.array(*(F.struct(F.lit(i).alias("ord"), F.lit(f"image{i + 1}.png").alias("image_name"), t.alias("text")) for i, t in enumerate((F.lit("cover"), F.col("text"), F.lit("the page after"))))))
+    pages = contracts.select("source_docx", page.alias("p")).select("source_docx", "p.*")
+    road = F.array(F.struct(F.lit("一號路").alias("RoadName"), F.lit("Yihao Rd.").alias("RoadEngName")))
+    area = F.array(F.struct(F.lit("中山區").alias("AreaName"), F.lit("Zhongshan Dist.").alias("AreaEngName"), F.lit("104").alias("ZipCode"), road.alias("RoadList")))
+    gaz = gazetteer.flatten(spark.range(1).select(F.lit("臺北市").alias("CityName"), F.lit("Taipei City").alias("CityEngName"), area.alias("AreaList")))
+    found = employers(pages, pages.select("source_docx", "image_name", "text"), gaz)
+    return found.select("source_docx", "name_cn", "addr_std", "zip", "doubt", "image", "note")
 
 
 @_query(f"""
