@@ -15,6 +15,7 @@ out if that template accounts for all bigrams it was found by (BSD-2-Clause insi
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -121,16 +122,25 @@ def scan_text(words: np.ndarray, lines: np.ndarray, grams: np.ndarray, templates
                 if dice >= threshold:
                     best.append((dice, b, e))
         taken: list[tuple[int, int]] = []
+        covered = np.zeros(n, bool)
         for dice, b, e in sorted(best, key=lambda x: (-x[0], x[1], x[2])):
-            if all(e <= x or y <= b for x, y in taken):
+            if not covered[b:e].any():
+                covered[b:e] = True
                 taken.append((b, e))
                 found.append(((t.name, t.number, dice, b, e), t, int(lines[b]), int(lines[e]), False))
         for dice, b, e in word_stretches(grams, t, threshold, [(int(lines[b]), int(lines[e])) for b, e in taken]):
             line, end = int(np.searchsorted(lines, b, "right")) - 1, int(np.searchsorted(lines, e, "left"))
             found.append(((t.name, t.number, dice, line, end), t, b, e, True))
     least = min((t.size for _, t, _, _, of_words in found if of_words), default=0)
-    larger = [f for f in found if f[1].size > least]
-    out = [f for f, t, b, e, of_words in found if not (of_words and any(_accounts_for(o, t, b, e, grams) for o in larger))]
+    # A larger find that spans a stretch begins at or before it, by no more than the longest find.
+    larger = sorted((f for f in found if f[1].size > least), key=lambda f: f[2])
+    begins, longest = [f[2] for f in larger], max((f[3] - f[2] for f in larger), default=0)
+
+    def accounted(t: Template, b: int, e: int) -> bool:
+        around = larger[bisect_left(begins, e - longest) : bisect_right(begins, b)]
+        return any(_accounts_for(o, t, b, e, grams) for o in around)
+
+    out = [f for f, t, b, e, of_words in found if not (of_words and accounted(t, b, e))]
     return sorted(out, key=lambda f: (f[3], f[4], -f[2], f[0], f[1]))
 
 

@@ -62,6 +62,16 @@ def test_notices_within_a_line(spark):
     assert [x[0] for x in got[7]] == ["MPL-2.0"]
 
 
+@pytest.mark.parametrize("line", ["All rights reserved.\n", "Some words before it. All rights reserved. Licensed under the MIT License. and more\n"])
+def test_a_notice_on_every_line_takes_linear_time(spark, line):
+    import time
+
+    n, began = 40_000, time.perf_counter()
+    row = license_scan.scan(docs(spark, [line * n])).select(F.size("licenses").alias("n"), "license").first()
+    assert (row["n"], row["license"]) == ((n, "Proprietary") if line.startswith("All") else (2 * n, "MIT"))
+    assert time.perf_counter() - began < 60
+
+
 def test_word_stretches_against_brute_force():
     from collections import Counter
 
