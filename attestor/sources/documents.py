@@ -159,6 +159,14 @@ def engine_options(settings: dict) -> str:
     return f"--psm {settings.get('psm', 3)}" + (f" -c tessedit_char_whitelist={allowed}" if allowed else "")
 
 
+def page_top_config(spark: SparkSession) -> DataFrame:
+    """The one config under which page tops are read to tell contract pages, their stamps removed first."""
+    import json
+
+    settings = json.dumps({"channel": "R", "scale": 1, "psm": 3, "lang": "ind+eng", "roi": PAGE_TOP, "remove_stamp": True})
+    return spark.createDataFrame([("page_top", "scan", 0, "page top", settings)], "roi string, phase string, config_ord int, config string, settings string")
+
+
 def config_table(spark: SparkSession, roi: str = "") -> DataFrame:
     """The dimension of regions, phases and configs; ``roi`` keeps one region."""
     import json

@@ -20,8 +20,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attestor.operators.routing import ordered
 from attestor.session import cut
-from attestor.sources.documents import Reader, few_rows
+from attestor.sources.documents import Reader, few_rows, page_top_config
 from attestor.sources.ledger import Store
 
 #: Readings after which a task publishes.
@@ -59,6 +60,17 @@ class Readings:
         return out.select(*keep, "roi", "phase", "config_ord", "config", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("conf", F.lit(0.0)).alias("conf"), error.alias("error"))
 
 
+def page_texts(store: Readings, images: DataFrame, reader: Reader) -> DataFrame:
+    """(source_docx, ord, image_name, text) of every page's top, as ``extract.contract_pages`` scores them.
+
+    Employer and agency extraction ask for the same pages, and so does the next run: the store reads a
+    page's top once, and again only when its image has changed.
+    """
+    pages = images.select("source_docx", "image_name", "content")
+    tops = store.read(pages, page_top_config(store.spark), reader).select("source_docx", "image_name", "text")
+    return ordered(pages.select("source_docx", "image_name")).join(tops, ["source_docx", "image_name"]).select("source_docx", "ord", "image_name", "text")
+
+
 def _read(wanted: DataFrame, path: str, reader: Reader) -> DataFrame:
     """(key, error) of what the reader failed on; all else is in the store then."""
     job = uuid.uuid4().hex

@@ -72,3 +72,40 @@ def test_errors_are_tried_again(spark, tmp_path):
     fine = store.read(df, configs, counting(tmp_path)).where("error <> ''").select("image_name").distinct().collect()
     assert [r["image_name"] for r in fine] == ["image2.png"]
     assert store.read(df.limit(0), configs, counting(tmp_path)).count() == 0
+
+
+def test_page_tops_are_read_once(spark, tmp_path):
+    """Scores of pages come from the store; a changed page alone is read anew."""
+    from attestor.operators import extract
+
+    marks = f"{tmp_path}/calls"
+
+    def reader(content, settings):
+        assert settings["roi"] == [0.0, 0.0, 1.0, 0.35]
+        with open(marks, "a") as f:  # noqa: PTH123
+            f.write(content.decode().split()[0] + "\n")
+        return content.decode(), 90.0
+
+    def pages(**changed):
+        texts = {"image1.png": "cover", "image2.png": "form Nama Majikan Alamat", "image10.png": "prose PIHAK PERTAMA"} | changed
+        return spark.createDataFrame([("d", n, t.encode()) for n, t in texts.items()], "source_docx string, image_name string, content binary")
+
+    store = readings.Readings(spark, f"file://{tmp_path}/store")
+    for _ in range(2):
+        texts = readings.page_texts(store, pages(), reader)
+        assert [(r["ord"], r["image_name"]) for r in texts.orderBy("ord").collect()] == [(0, "image1.png"), (1, "image2.png"), (2, "image10.png")]
+        assert [(r["image_name"], r["found"]) for r in extract.contract_pages(texts).collect()] == [("image2.png", True)]
+    assert calls(tmp_path) == {"cover": 1, "form": 1, "prose": 1}
+    moved = readings.page_texts(store, pages(**{"image1.png": "other Nama Majikan Alamat MOL License"}), reader)
+    assert [r["image_name"] for r in extract.contract_pages(moved).collect()] == ["image1.png"]
+    assert calls(tmp_path) == {"cover": 1, "form": 1, "prose": 1, "other": 1}
+
+
+def test_two_extractions_compared(spark):
+    from attestor.operators import extract
+
+    schema = "source_docx string, name_cn string, phone string"
+    one = spark.createDataFrame([("a", "x", "1"), ("b", None, "2"), ("c", "z", "3")], schema)
+    two = spark.createDataFrame([("a", "x", "9"), ("b", "y", "2"), ("d", "w", "4")], schema)
+    got = sorted(map(tuple, extract.compare_extractions(one, two, ["name_cn", "phone"]).collect()))
+    assert got == [("a", "phone", "1", "9"), ("b", "name_cn", None, "y")]
