@@ -102,8 +102,11 @@ def similar_pairs(
 
     indexed = F.pandas_udf(entries, "array<struct<key:string,at:int>>")
 
+    # Texts are few bytes but many keys, so they are spread by number, not by size.
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def side(texts: DataFrame, name: str) -> DataFrame:
-        rows = texts.select(*scope, "text", F.length("text").alias(f"n_{name}"), F.explode(indexed("text")).alias("e"))
+        rows = texts.repartition(tasks, "text").select(*scope, "text", F.length("text").alias(f"n_{name}"), F.explode(indexed("text")).alias("e"))
         return rows.select(*scope, F.col("text").alias(name), f"n_{name}", F.substr("e.key", F.lit(1), F.lit(1)).alias("kind"), F.xxhash64("e.key").alias("hash"), F.col("e.at").alias(f"at_{name}"))
 
     n, m = F.col("n_query"), F.col("n_key")
