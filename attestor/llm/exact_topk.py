@@ -10,7 +10,8 @@ component take no part; only vectors of equal length are compared.  Every row is
 the same id are all queries and candidates, only a query's own row is left out, and a row without an
 id is a candidate whose id counts as the largest.  Long vectors are taken whole; an empty table
 gives no rows; other columns play no part.  Pivots come from a bounded sample; all rows are indexed.
-Queries meet all rows in blocks: each block of candidates with each block of queries.
+Queries meet all rows in blocks: each block of candidates with each block of queries.  Queries are copied to
+a bounded number of groups of candidates and meet them in a sort-merge join, never in a broadcast.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from attestor.llm.common import Scratch, map_arrow
 PIVOTS, SAMPLE, BLOCK, QUERY_BLOCK = 32, 2048, 2048, 512
 #: Pivots that all pairs are held against; the others only see what these leave.
 FIRST = 8
+#: Groups of candidates that every query goes to, at most.
+GROUPS = 256
 #: Stands for a null id.
 NO_ID = (1 << 63) - 1
 
@@ -152,8 +155,9 @@ def search(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id",
 
     blocks = scratch.save(_pack(vectors, BLOCK, points), "blocks")
     queries = scratch.save(_pack(vectors.where(is_query & (F.col("id") != NO_ID)), QUERY_BLOCK, points), "queries")
-    groups = max(1, blocks.count())
-    # Every block of queries goes to every group of blocks; a group is about one block of candidates.
+    groups = max(1, min(GROUPS, blocks.count()))
+    # Every block of queries goes to every group of blocks.  Spark knows the size of the queries' files alone, not that of
+    # their copies, and would send those through the driver.
     left = queries.select("d", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.col("rows").alias("qr"), F.col("ids").alias("qi"), F.col("vectors").alias("qv"), F.col("distances").alias("qd"))
     right = blocks.select("d", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("g"), "rows", "ids", "vectors", "distances")
     shared = spark.sparkContext.broadcast(known)
@@ -169,7 +173,9 @@ def search(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id",
                 place, ids, score = (np.array(c, np.int64) for c in (zip(*found, strict=True) if found else ((), (), ())))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (q_rows[place], q_ids[place], ids, score)], ["query_row", "query_id", "vec_id", "score"])
 
-    found = map_arrow(left.join(right, ["d", "g"]).select("d", "qr", "qi", "qv", "qd", "rows", "ids", "vectors", "distances"), work, "query_row bigint, query_id bigint, vec_id bigint, score bigint")
+    # Tasks by number: pairs of blocks are few bytes but long work, so they must not be put together by size.
+    left, right = (x.repartition(groups, "d", "g") for x in (left, right))
+    found = map_arrow(left.join(right.hint("merge"), ["d", "g"]).select("d", "qr", "qi", "qv", "qd", "rows", "ids", "vectors", "distances"), work, "query_row bigint, query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     out = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", F.nullif("vec_id", F.lit(NO_ID)).alias("vec_id"), "score")
     return scratch.keep_for(out, "queries", "blocks")

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from attestor.llm import common, repair_output, sentencepiece_codec
 
@@ -135,3 +136,19 @@ def test_files_round_trip(spark, tmp_path):
         at += len(want)
     repair_output.write(df.where("false"), f"file://{tmp_path}/empty", json_text, 2)
     assert repair_output.read(spark, f"file://{tmp_path}/empty").collect() == []
+
+
+def test_copies_of_queries_are_never_broadcast(spark, monkeypatch):
+    """Queries go to a bounded number of groups, several blocks in each, and not through the driver."""
+    from attestor.llm import exact_topk
+
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(-9, 9, (60, 3)).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(exact_topk, "BLOCK", 4)
+    monkeypatch.setattr(exact_topk, "GROUPS", 3)
+    out = exact_topk.search(df, is_query=F.col("id") % 5 == 0, k=2, scale=1)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    product = (vectors @ vectors.T).astype(int)
+    want = [(q, rank + 1, i, int(product[q, i])) for q in range(0, 60, 5) for rank, i in enumerate(sorted((i for i in range(60) if i != q), key=lambda i: (-product[q, i], i))[:2])]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in out.collect()) == want
