@@ -133,15 +133,21 @@ def most_similar(
 ) -> DataFrame:
     """(scope, query, ratio, the other columns of ``known``): the best key of every query, the first in order of equals.
 
-    Steps of falling ratios: a query with a key at or above a step has its best key among the pairs that reach it, and
+    Queries that are keys themselves take those by an equi-join, as only equal texts have the gestalt ratio 1.  Then come
+    steps of falling ratios: a query with a key at or above a step has its best key among the pairs that reach it, and
     leaves.  So a query whose best key is close never meets the many that are only just similar enough.
     """
     asked = queries.select(*scope, "query").where("query <> ''").distinct()
     rest = [c for c in known.columns if c not in (*scope, "key")]
     first = known.where("key <> ''").groupBy(*scope, "key").agg(F.min_by(F.struct(*rest), order).alias("first"))
     steps = [x for x in LADDER if x > least + 0.02] + [least]
-    counts = character_counts(first.select(F.col("key").alias("text")))
-    found = None
+    found, keyed = None, [*scope, "query"]
+    if ratio is None:
+        found = cut(asked.join(first.withColumnRenamed("key", "query"), keyed).select(*keyed, F.struct(F.lit(1.0).alias("ratio"), "first").alias("b")))
+        asked = cut(asked.join(found.select(*keyed), keyed, "left_anti"))
+        if asked.isEmpty():
+            steps = []
+    counts = character_counts(first.select(F.col("key").alias("text"))) if steps else {}
     for step in steps:
         note = Observation() if observed is not None else None
         pairs = similar_pairs(asked, first, step, scope, ratio, note, counts).join(first, [*scope, "key"])
@@ -151,7 +157,7 @@ def most_similar(
             observed.append(note)
         found = now if found is None else found.unionByName(now)
         if step != least:
-            asked = cut(asked.join(now.select(*scope, "query"), [*scope, "query"], "left_anti"))
+            asked = cut(asked.join(now.select(*keyed), keyed, "left_anti"))
             if asked.isEmpty():
                 break
     return found.select(*scope, "query", "b.ratio", "b.first.*")

@@ -100,3 +100,14 @@ def test_registered_query(spark):
             want.add((q, -best[1], round(best[0], 3)))
     assert got == want
     assert len(want) > 5
+
+
+def test_equal_texts_meet_in_a_join(spark):
+    """Queries that are keys themselves never reach the index, where alike numbers would all be candidates."""
+    names = [f"SUPPLIER{i:09d}" for i in range(2000)]
+    asked = spark.createDataFrame([(x,) for x in names] + [(None,)], "query string")
+    known = spark.createDataFrame([(x, i) for i, x in enumerate(names)] + [(x, i + 5000) for i, x in enumerate(names)] + [(None, 9)], "key string, pos int")
+    observed = []
+    best = similarity.most_similar(asked, known, "pos", 0.78, observed=observed).collect()
+    assert sorted((r["query"], r["pos"], r["ratio"]) for r in best) == [(x, i, 1.0) for i, x in enumerate(names)]
+    assert observed == []
