@@ -23,8 +23,10 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from attestor.session import cut
 
@@ -33,6 +35,8 @@ PAIRED, KNOWN = 48, 1 << 16
 #: Below this ratio nearly all pairs are candidates, and an index only adds to their work.
 WORTH_INDEXING = 0.4
 _EPSILON = 1e-9
+#: Texts whose index entries a worker holds at a time; a text may have thousands.
+PIECE = 200
 
 # Kinds of keys: the common characters that a pair of texts needs are one, 2 to PAIRED, or more.
 _ONE, _PAIR, _MANY = "1", "2", "m"
@@ -97,14 +101,22 @@ def similar_pairs(
     held = known.select(*scope, F.col("key").alias("text")).where("text <> ''").distinct()
     counts = counts if counts is not None else character_counts(asked.select("text").unionByName(held.select("text")))
 
-    def entries(column: pd.Series) -> pd.Series:
-        return column.map(lambda t: [{"key": k, "at": i} for k, i in keys(t, counts, least)])
+    if scope:  # texts whose scope has no keys need no entries
+        asked = asked.join(held.select(*scope).distinct(), list(scope), "left_semi")
 
-    indexed = F.pandas_udf(entries, "array<struct<key:string,at:int>>")
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE):
+                piece = pa.Table.from_batches([batch.slice(at, PIECE)])
+                found = [list(keys(t, counts, least)) for t in piece.column("text").to_pylist()]
+                out = piece.take(pa.array([i for i, e in enumerate(found) for _ in e], pa.int64()))
+                out = out.append_column("e_key", pa.array([k for e in found for k, _ in e], pa.string())).append_column("e_at", pa.array([i for e in found for _, i in e], pa.int32()))
+                yield from out.combine_chunks().to_batches()
 
     def side(texts: DataFrame, name: str) -> DataFrame:
-        rows = texts.select(*scope, "text", F.length("text").alias(f"n_{name}"), F.explode(indexed("text")).alias("e"))
-        return rows.select(*scope, F.col("text").alias(name), f"n_{name}", F.substr("e.key", F.lit(1), F.lit(1)).alias("kind"), F.xxhash64("e.key").alias("hash"), F.col("e.at").alias(f"at_{name}"))
+        texts = texts.select(*scope, "text")
+        rows = texts.mapInArrow(entries, StructType([*texts.schema.fields, StructField("e_key", StringType()), StructField("e_at", IntegerType())]))
+        return rows.select(*scope, F.col("text").alias(name), F.length("text").alias(f"n_{name}"), F.substr("e_key", F.lit(1), F.lit(1)).alias("kind"), F.xxhash64("e_key").alias("hash"), F.col("e_at").alias(f"at_{name}"))
 
     n, m = F.col("n_query"), F.col("n_key")
     need = F.greatest(F.lit(1), F.ceil(F.lit(least) * (n + m) / 2 - _EPSILON))

@@ -111,3 +111,22 @@ def test_equal_texts_meet_in_a_join(spark):
     best = similarity.most_similar(asked, known, "pos", 0.78, observed=observed).collect()
     assert sorted((r["query"], r["pos"], r["ratio"]) for r in best) == [(x, i, 1.0) for i, x in enumerate(names)]
     assert observed == []
+
+
+def test_texts_of_scopes_without_keys_get_no_entries(spark, monkeypatch):
+    """A scope without keys costs nothing, and entries are handed on in pieces."""
+    monkeypatch.setattr(similarity, "PIECE", 3)
+    asked = spark.createDataFrame([(i % 2, f"abcde{i}") for i in range(40)], "s int, query string")
+    known = spark.createDataFrame([(1, "abcde1", 1)], "s int, key string, pos int")
+    original = similarity.keys
+    counter = spark.sparkContext.accumulator(0)
+
+    def counted(text, counts, least):
+        counter.add(1)
+        return original(text, counts, least)
+
+    monkeypatch.setattr(similarity, "keys", counted)
+    made = similarity.similar_pairs(asked, known, 0.8, ("s",)).collect()
+    assert counter.value == 20 + 1
+    assert {r["s"] for r in made} == {1} and ("abcde1", "abcde1", 1.0) in {(r["query"], r["key"], r["ratio"]) for r in made}
+    assert len(made) == len({r["query"] for r in made}) == sum(ratio(f"abcde{i}", "abcde1") >= 0.8 for i in range(1, 40, 2))
