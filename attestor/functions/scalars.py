@@ -202,6 +202,12 @@ def parse_permit(permit: Column) -> Column:
     return F.when(head.rlike("^[0-9]+$"), F.struct(F.expr("1").cast("int").alias("one"), head.try_cast("int").alias("base"), suffix.alias("suffix")).dropFields("one"))
 
 
+def permit_number(permit: Column) -> Column:
+    """The numeric head as digits without leading zeros, however many; null if no number."""
+    head = strip(F.substring_index(strip(F.coalesce(permit, F.lit(""))), "-", 1))
+    return F.when(head.rlike("^[0-9]+$"), F.regexp_replace(head, "^0+(?=[0-9])", ""))
+
+
 def branch_key(base: Column, suffix: Column) -> Column:
     return F.concat_ws("-", base.cast("string"), suffix)
 

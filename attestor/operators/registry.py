@@ -32,11 +32,14 @@ def best_records(df: DataFrame, keys: list[str], is_active: Column, order: str)
 
 
 def lookup(items: DataFrame, registry: DataFrame, value: str = "permit_value") -> DataFrame:
-    """Items with agency_name, agency_address and agency_phone ('' on a miss); a branch never falls back to its parent."""
-    index = best_records(registry.where("base >= 0"), ["base", "suffix"], F.col("active"), "pos")
-    index = index.select(F.col("base").alias("__b"), F.col("suffix").alias("__s"), F.col("name").alias("agency_name"), F.col("address").alias("agency_address"), F.col("phone").alias("agency_phone"))
+    """Items with agency_name, agency_address and agency_phone ('' on a miss); a branch never falls back to its parent.
+
+    Numbers are compared as digits, so those beyond an int's range count too.
+    """
+    index = best_records(registry.withColumn("__b", S.permit_number(F.col("permit"))).where("__b is not null"), ["__b", "suffix"], F.col("active"), "pos")
+    index = index.select("__b", F.col("suffix").alias("__s"), F.col("name").alias("agency_name"), F.col("address").alias("agency_address"), F.col("phone").alias("agency_phone"))
     parsed = S.parse_permit(F.col(value))
-    out = items.withColumns({"__base": parsed["base"], "__suffix": parsed["suffix"]})
+    out = items.withColumns({"__base": S.permit_number(F.col(value)), "__suffix": parsed["suffix"]})
     out = out.join(index, (F.col("__base") == F.col("__b")) & (F.col("__suffix") == F.col("__s")), "left").drop("__b", "__s", "__base", "__suffix")
     return out.withColumns({c: F.coalesce(c, F.lit("")) for c in ("agency_name", "agency_address", "agency_phone")})
 

@@ -247,3 +247,13 @@ def test_permits_of_more_than_four_digits(spark, tmp_path):
     assert found == {1234: "", 12345: "s12345", 12346: "", 99999: "s99999"}
     sheet = {r["permit"]: r["agency_name"] for r in catalogue.queries()["union_batches"](spark, folder).collect()}
     assert sheet == {"1234": "", "12345": "s12345", "12346": ""}
+
+
+def test_sheet_of_keys_beyond_int_and_of_orders_without_status(spark, tmp_path):
+    """Keys of any size find their agency, and an order without a status is a row for review."""
+    folder, big = str(tmp_path), 3 * 10**9
+    spark.createDataFrame([(k, f"s{k}", 3) for k in (5, big, 2**40 + 2)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{folder}/supplier.parquet")
+    spark.createDataFrame([(k, f"c{k}", 1, 1.0) for k in (5, big)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(1, 5, None, "p"), (2, big, "F", "p"), (3, 2**40 + 2, "O", "p")], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    sheet = {r["permit"]: (r["status"], r["agency_name"]) for r in catalogue.queries()["union_batches"](spark, folder).collect()}
+    assert sheet == {"5": ("manual_review", "s5"), str(big): ("keyed-in", f"s{big}"), str(2**40 + 2): ("manual_review", f"s{2**40 + 2}")}
