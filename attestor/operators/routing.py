@@ -7,11 +7,13 @@ a document may have any number of them.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
 from attestor.operators.votes import has_permit_vote
 from attestor.schema import LARGE_NO_HIT, PERMIT_PARTIAL, QUEUE, SCAN_RESULT, SMALL_NO_HIT, conform
+from attestor.session import cut
 
 DIRECT, SECOND_READER, RESCUE, MANUAL = "direct", "second_reader", "rescue", "manual_review"
 
@@ -23,8 +25,17 @@ def pages(images: DataFrame) -> DataFrame:
     the order is carried as a sortable key.
     """
     counted = images.groupBy("source_docx").agg(F.count("*").cast("int").alias("n_images"))
+    return _classed(images.join(counted, "source_docx"))
+
+
+def pages_in_place(images: DataFrame) -> DataFrame:
+    """As ``pages``, of images that lie together by document: nothing is shuffled, and a long document's rows spill."""
+    return _classed(images.withColumn("n_images", F.count("*").over(W.partitionBy("source_docx")).cast("int")))
+
+
+def _classed(images: DataFrame) -> DataFrame:
     index = S.image_index(F.col("image_name"))
-    out = images.join(counted, "source_docx").withColumns({"image_index": index, "has_number": F.col("image_name").rlike(r"\d"), "sort_key": S.natural_key(F.col("image_name"))})
+    out = images.withColumns({"image_index": index, "has_number": F.col("image_name").rlike(r"\d"), "sort_key": S.natural_key(F.col("image_name"))})
     return out.withColumns({"docx_class": S.docx_class(F.col("n_images")), "tier": S.tier(index)})
 
 
@@ -57,7 +68,7 @@ def _item(value: Column, conf: Column, reason: Column, direct: Column | None = N
     """An item of the row at hand, or of the page that a state holds (``of``: its name and a dot)."""
     no = F.lit(False)
     return F.struct(
-        F.col(f"{of}image_name").alias("image_name"), S.first_of(F.col(f"{of}permit_crop"), F.col(f"{of}mol_crop")).alias("img_path"), value.alias("candidate_value"), conf.alias("candidate_conf"), reason.alias("reason"),
+        F.col(f"{of}image_name").alias("image_name"), F.col(f"{of}img_path").alias("img_path"), value.alias("candidate_value"), conf.alias("candidate_conf"), reason.alias("reason"),
         (no if direct is None else direct).alias("direct_keyin"), (no if rescue is None else rescue).alias("no_vote_rescue"),
     )
 
@@ -85,8 +96,8 @@ def _agreements(rows: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("kind"), F.col("mol").alias("value"), F.col("mol_conf").alias("conf")),
         F.struct(F.lit(1).alias("kind"), F.col("id").alias("value"), F.col("id_conf").alias("conf")),
     )
-    each = rows.where("mol <> '' or id <> ''").select("source_docx", "ord", "image_name", "permit_crop", "mol_crop", F.explode(read).alias("r")).select("*", "r.*").where("value <> ''")
-    best = F.struct((-F.col("conf")).alias("less"), "kind", "ord", "image_name", "permit_crop", "mol_crop", "value", "conf")
+    each = rows.where("mol <> '' or id <> ''").select("source_docx", "ord", "image_name", "img_path", F.explode(read).alias("r")).select("*", "r.*").where("value <> ''")
+    best = F.struct((-F.col("conf")).alias("less"), "kind", "ord", "image_name", "img_path", "value", "conf")
     by_value = each.groupBy("source_docx", "value").agg(F.min("kind").alias("low"), F.max("kind").alias("high"), F.min(best).alias("best"))
     one = by_value.where("low < high").groupBy("source_docx").agg(F.min("best").alias("b"))
     conf = F.col("b.conf")
@@ -102,7 +113,7 @@ def _decisions(rows: DataFrame) -> DataFrame:
     r = F.col
     valued, review, partial = r("final_value") != "", r("vision_review"), r("status") == PERMIT_PARTIAL
     vote = (r("id") != "") & r("id_from_vote") & (r("id_conf") > S.PERMIT_VOTE_MIN)
-    page = F.struct("image_name", "permit_crop", "mol_crop", "id", "id_conf", "final_value", "final_conf")
+    page = F.struct("image_name", "img_path", "id", "id_conf", "final_value", "final_conf")
     # Once a row, as several states order by it; only permits do.
     used = rows.select("*", page.alias("page"), F.when(r("id") != "", S.natural_key(r("image_name"))).alias("early"))
     states = used.groupBy("source_docx").agg(
@@ -135,8 +146,11 @@ def _sure_licence() -> Column:
     return F.col("mol_from_vote") & (F.col("mol_conf") > S.MOL_VOTE_MIN) & (F.col("final_value") != "")
 
 
-def _row_items(rows: DataFrame) -> DataFrame:
-    """(source_docx, class, item) of every row that gives an item where its document's rows decide for themselves."""
+def _row_items(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """(source_docx, end, item) of every row that gives an item, of documents whose rows decide for themselves.
+
+    The join is by document alone, as the rows may lie together by it.
+    """
     r = F.col
     partial, review = r("status") == PERMIT_PARTIAL, r("vision_review")
     conf = F.when(r("id_conf") > 0, r("id_conf")).otherwise(r("final_conf"))
@@ -144,11 +158,12 @@ def _row_items(rows: DataFrame) -> DataFrame:
     large = F.when(partial, part).when(review, _item(r("final_value"), r("final_conf"), _why()))
     direct = _item(r("final_value"), r("mol_conf"), F.concat(F.lit("sure licence vote, conf="), r("mol_conf").cast("string")), F.lit(True))
     small = F.when(_sure_licence(), direct).when(review, _item(r("final_value"), r("final_conf"), _why(), rescue=~r("mol_from_vote") & (r("final_conf") < S.RESCUE_BELOW)))
-    handled = rows.where(partial).select("source_docx", "image_name").distinct().withColumn("handled", F.lit(True))
-    found = rows.where(partial | review | _sure_licence()).join(handled, ["source_docx", "image_name"], "left")
-    again = ~partial & r("handled").isNotNull()  # a page that is in review by its partial reading
-    items = F.array(F.struct(F.lit("large").alias("class"), F.when(~again, large).alias("item")), F.struct(F.lit("small").alias("class"), small.alias("item")))
-    return found.select("source_docx", F.explode(items).alias("i")).select("source_docx", "i.*").where("item is not null")
+    handled = F.max(partial).over(W.partitionBy("source_docx", "image_name"))
+    # Shuffled once, for the pages and for the join.
+    found = rows.where(partial | review | _sure_licence()).repartition("source_docx").withColumn("handled", handled)
+    again = ~partial & r("handled")  # a page that is in review by its partial reading
+    item = F.when(r("class") == "large", F.when(~again, large)).otherwise(small)
+    return found.join(ends, "source_docx").select("source_docx", "end", item.alias("item")).where("item is not null")
 
 
 def route(results: DataFrame, order: str = "ord") -> DataFrame:
@@ -156,10 +171,11 @@ def route(results: DataFrame, order: str = "ord") -> DataFrame:
 
     ``order`` keeps the rows' own order within a document.  ``results`` is read several times: cut it where it is costly.
     """
-    rows = results.withColumn("ord", F.col(order))
-    ends = _decisions(rows).withColumn("class", F.when(F.col("class") == "large", "large").otherwise("small"))
+    # Of a page's crops a state or an item holds the one that it names.
+    rows = results.withColumns({"ord": F.col(order), "img_path": S.first_of(F.col("permit_crop"), F.col("mol_crop"))})
+    # Cut: the documents that end by one item and those whose rows decide both start from the states.
+    ends = cut(_decisions(rows).withColumn("class", F.when(F.col("class") == "large", "large").otherwise("small")))
     one = ends.where(F.col("end").isin(_NO_HIT, _ONE)).select("source_docx", "end", "item")
-    several = ends.where(F.col("end") == _ROWS).select("source_docx", "class", "end")
-    items = one.unionByName(_row_items(rows).join(several, ["source_docx", "class"]).select("source_docx", "end", "item"))
+    items = one.unionByName(_row_items(rows, ends.where(F.col("end") == _ROWS).select("source_docx", "class", "end")))
     way = F.when(F.col("end") == _NO_HIT, MANUAL).when(F.col("item.direct_keyin"), DIRECT).when(F.col("item.no_vote_rescue"), RESCUE).otherwise(SECOND_READER)
     return conform(items.select("source_docx", "item.*", way.alias("route")), QUEUE)

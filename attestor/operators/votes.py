@@ -58,13 +58,27 @@ def _mean(entries: Column) -> Column:
     return F.aggregate(entries, F.lit(0.0), lambda a, e: a + e["conf"]) / F.size(entries)
 
 
-def read_values(reads: DataFrame) -> DataFrame:
-    """Readings with the value and layer of their region's own cascade, and their place in the order."""
+def _with_hits(reads: DataFrame) -> DataFrame:
     is_mol = F.col("roi") == "mol"
     hit = F.when(is_mol, S.licence_of(F.col("text"))).otherwise(S.permit_of(F.col("text"), F.col("roi")))
     phase = F.when(F.col("phase") == "vote", 0).when(F.col("phase") == "scan", 1).otherwise(2)
     roi = F.array_position(F.array(*map(F.lit, S.ROIS)), F.col("roi"))
-    return reads.withColumn("hit", hit).where("hit.value <> ''").withColumn("place", phase * 100_000 + roi * 1000 + F.col("config_ord"))
+    return reads.withColumn("hit", hit).withColumn("place", phase * 100_000 + roi * 1000 + F.col("config_ord"))
+
+
+def read_values(reads: DataFrame) -> DataFrame:
+    """Readings with the value and layer of their region's own cascade, and their place in the order."""
+    return _with_hits(reads).where("hit.value <> ''")
+
+
+def _entry() -> Column:
+    return F.struct("place", F.col("hit.value").alias("value"), F.col("hit.layer").alias("layer"), F.col("conf").cast("double").alias("conf"), "config", "roi", (F.col("phase") == "vote").alias("vote"))
+
+
+def gathered(reads: DataFrame) -> DataFrame:
+    """(source_docx, image_name, e): every page that has readings with its hits in order, a document's pages in one partition."""
+    rows = _with_hits(reads).select("source_docx", "image_name", F.when(F.col("hit.value") != "", _entry()).alias("entry"))
+    return rows.repartition("source_docx").groupBy("source_docx", "image_name").agg(F.array_sort(F.collect_list("entry")).alias("e"))
 
 
 def scan_images(reads: DataFrame, classes: DataFrame) -> DataFrame:
@@ -73,10 +87,14 @@ def scan_images(reads: DataFrame, classes: DataFrame) -> DataFrame:
     Small documents are read at the licence region alone and every image gives a row; large ones at
     all regions, and an image without a hit gives none.  ``crop`` names stand for the saved regions.
     """
-    values = read_values(reads)
-    entry = F.struct("place", F.col("hit.value").alias("value"), F.col("hit.layer").alias("layer"), F.col("conf").cast("double").alias("conf"), "config", "roi", (F.col("phase") == "vote").alias("vote"))
-    gathered = values.groupBy("source_docx", "image_name").agg(F.array_sort(F.collect_list(entry)).alias("e"))
-    base = classes.join(gathered, ["source_docx", "image_name"], "left").withColumn("e", F.coalesce("e", F.filter(F.array(F.lit(None).cast(gathered.schema["e"].dataType.elementType)), lambda x: x.isNotNull())))
+    found = read_values(reads).groupBy("source_docx", "image_name").agg(F.array_sort(F.collect_list(_entry())).alias("e"))
+    pages = scan_pages(classes.join(found, ["source_docx", "image_name"], "left"))
+    return conform(pages.where("docx_class = 'small' or any_hit"), SCAN_RESULT)
+
+
+def scan_pages(pages: DataFrame) -> DataFrame:
+    """A scan result for each page with the hits ``e`` of its readings (null: none), and ``any_hit``."""
+    base = pages.withColumn("e", F.coalesce("e", F.filter(F.array(F.lit(None).cast(pages.schema["e"].dataType.elementType)), lambda x: x.isNotNull())))
 
     def part(cond: Callable[[Column], Column]) -> Column:
         return F.filter("e", cond)
@@ -101,8 +119,8 @@ def scan_images(reads: DataFrame, classes: DataFrame) -> DataFrame:
     winner = F.when(pooled, F.coalesce("vote.value", F.lit(""))).otherwise(F.col("id0"))
     take = (F.col("docx_class") == "large") & (F.col("mol") == "") & (winner != "")
     id_, conf = F.coalesce("partial.value", "id0"), F.coalesce("partial.conf", "ph.conf", F.lit(0.0))
-    out = second.where((F.col("docx_class") == "small") | F.col("any_hit")).select(
-        "source_docx", "image_name", "docx_class", "scan_tier", "mol", "mol_from_vote",
+    out = second.select(
+        "source_docx", "image_name", "docx_class", "scan_tier", "any_hit", "mol", "mol_from_vote",
         F.when(mol_vote, 0).otherwise(F.coalesce("mh.layer", F.lit(0))).alias("mol_layer"),
         F.when(mol_vote, S.round1(F.col("mv.conf"))).otherwise(F.coalesce("mh.conf", F.lit(0.0))).alias("mol_conf"),
         F.when(take, winner).otherwise(id_).alias("id"),
@@ -117,7 +135,7 @@ def scan_images(reads: DataFrame, classes: DataFrame) -> DataFrame:
         F.when(mol_vote | F.col("mh").isNotNull(), F.concat_ws("_", "source_docx", "image_name", F.lit("mol"))).otherwise("").alias("mol_crop"),
         F.when(F.col("ph").isNotNull(), F.concat_ws("_", "source_docx", "image_name", F.lit("permit"))).otherwise("").alias("permit_crop"),
     )
-    return conform(out, SCAN_RESULT)
+    return conform(out, SCAN_RESULT + ", any_hit boolean")
 
 
 # --- decisions on scan results ---------------------------------------------------------------
@@ -164,5 +182,8 @@ def aggregate_small(results: DataFrame, order: str = "ord") -> DataFrame:
 
 def has_permit_vote(results: DataFrame) -> DataFrame:
     """Documents with a permit vote sure enough to stop the scan."""
-    good = F.col("id_from_vote") & (F.col("id") != "") & (F.col("id_conf") > S.PERMIT_VOTE_MIN)
-    return results.groupBy("source_docx").agg(F.bool_or(good).alias("has_vote"))
+    return results.groupBy("source_docx").agg(F.bool_or(sure_permit_vote()).alias("has_vote"))
+
+
+def sure_permit_vote() -> Column:
+    return F.col("id_from_vote") & (F.col("id") != "") & (F.col("id_conf") > S.PERMIT_VOTE_MIN)

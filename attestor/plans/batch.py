@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
@@ -19,17 +20,19 @@ def decide_documents(reads: DataFrame, images: DataFrame | None = None) -> tuple
     class of a document follows all its pages.  Pages of the second tier count only where the first
     gives no sure permit vote.
     """
-    pages = routing.pages(images if images is not None else reads.select("source_docx", "image_name").distinct())
-    pages = pages.withColumn("scan_tier", F.when(F.col("docx_class") == "small", 1).otherwise(F.col("tier")))
-    classes = pages.select("source_docx", "image_name", "docx_class", "scan_tier")
+    # A document's pages come together once, and every step after works where they lie: counts, votes, tiers and routes.
+    pages = votes.gathered(reads)
+    if images is not None:
+        pages = images.join(pages, ["source_docx", "image_name"], "left").repartition("source_docx")
+    pages = routing.pages_in_place(pages).withColumn("scan_tier", F.when(F.col("docx_class") == "small", 1).otherwise(F.col("tier")))
+    has_vote = F.max(votes.sure_permit_vote() & (F.col("scan_tier") == 1)).over(W.partitionBy("source_docx"))
     # Cut once: the votes, the tiers and the routes all start from it.
-    scanned = cut(votes.scan_images(reads, classes))
-    done = votes.has_permit_vote(scanned.where("scan_tier = 1")).where("has_vote").select("source_docx")
-    kept = scanned.where("docx_class = 'small' or scan_tier = 1").unionByName(scanned.where("docx_class = 'large' and scan_tier = 2").join(done, "source_docx", "left_anti"))
+    scanned = cut(votes.scan_pages(pages).withColumn("has_vote", has_vote))
+    kept = scanned.where("docx_class = 'small' or (any_hit and (scan_tier = 1 or not has_vote))").drop("any_hit", "has_vote")
     # The order within a document: tier, then the page's natural key, in which no two pages are equal.
     place = F.struct("scan_tier", S.natural_key(F.col("image_name")))
     large, small = kept.where("docx_class = 'large'"), kept.where("docx_class = 'small'")
-    expanded = pages.where("docx_class = 'large'").groupBy("source_docx").agg(F.max("scan_tier").alias("scan_tier"))
+    expanded = scanned.where("docx_class = 'large'").groupBy("source_docx").agg(F.max("scan_tier").alias("scan_tier"))
     large = routing.with_placeholders(votes.decide(large), expanded).withColumn("ord", place)
     small = votes.aggregate_small(small.withColumn("ord", place))
     results = cut(large.unionByName(small))  # routing reads it for its states and for its rows

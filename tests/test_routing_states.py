@@ -91,3 +91,10 @@ def test_a_document_of_a_million_rows(spark):
     assert [(r["image_name"], r["candidate_value"], r["candidate_conf"], r["route"]) for r in got] == [("image777.png", "778", 70.0, "direct")]
     review = rows.select(*(c for c in rows.columns if c not in ("mol", "id")), F.lit("").alias("mol"), F.lit("").alias("id"), F.lit(True).alias("vision_review"))
     assert routing.route(conform(review, SCAN_RESULT + ", ord bigint")).count() == n
+
+
+def test_routes_shuffle_the_states_once_and_the_rows_once(spark):
+    """What is left to do after the states: the rows' own items, for which only rows and ends move."""
+    rows = spark.range(1000).selectExpr("cast(id % 100 as string) source_docx", "concat('image', id, '.png') image_name", "'large' docx_class", "'1234' mol", "20.0D mol_conf", "'1234' final_value", "20.0D final_conf", "true vision_review", "id ord")
+    plan = routing.route(conform(rows, SCAN_RESULT + ", ord bigint"))._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("Exchange hashpartitioning") <= 2
