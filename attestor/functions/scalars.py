@@ -226,11 +226,15 @@ def iso_date(eight: Column) -> Column:
 
 def balance_brackets(text: Column) -> Column:
     """Missing closing brackets are added at the end, missing opening ones at the front, each width by itself."""
-    out = text
-    for left, right in (("（", "）"), ("(", ")")):
-        lead = F.length(F.replace(out, F.lit(right), F.lit(""))) - F.length(F.replace(out, F.lit(left), F.lit("")))
-        out = F.when(lead > 0, F.concat(out, F.repeat(F.lit(right), lead))).when(lead < 0, F.concat(F.repeat(F.lit(left), -lead), out)).otherwise(out)
-    return out
+
+    def balanced(text: Column, left: str, right: str) -> Column:
+        def whole(t: Column) -> Column:
+            lead = F.length(F.replace(t, F.lit(right), F.lit(""))) - F.length(F.replace(t, F.lit(left), F.lit("")))
+            return F.when(lead > 0, F.concat(t, F.repeat(F.lit(right), lead))).when(lead < 0, F.concat(F.repeat(F.lit(left), -lead), t)).otherwise(t)
+
+        return F.transform(F.array(text), whole)[0]  # the text is worked out once, however costly that is
+
+    return balanced(balanced(text, "（", "）"), "(", ")")
 
 
 def clean_agency_name(text: Column) -> Column:

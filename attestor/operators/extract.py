@@ -52,8 +52,13 @@ def _place(lines: Column, test: Callable[[Column], Column], after: Column | int
 
 
 def _value(lines: Column, one: Callable[[Column], Column]) -> Column:
-    """The first non-null value that a rule draws from a line, or ''."""
-    return F.coalesce(F.get(F.filter(F.transform(lines, one), lambda v: v.isNotNull()), F.lit(0)), F.lit(""))
+    """The first non-null value that a rule draws from a line, or ''; lines after it are not looked at."""
+    return F.coalesce(F.aggregate(lines, F.lit(None).cast("string"), lambda got, l: F.coalesce(got, one(l))), F.lit(""))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with a value that is worked out once, however often it occurs there."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _between(lines: Column, start: Column, end: Column) -> Column:
@@ -73,11 +78,18 @@ def with_employer_block(df: DataFrame, text: str = "text") -> DataFrame:
 
 def _phone(block: Column) -> Column:
     """The number read most often, on labelled lines if any is there; ties go to the first seen."""
-    entry = F.flatten(F.transform(block, lambda l: F.transform(S.phones_in(S.before_fax(l)), lambda p: F.struct(p.alias("p"), S.before_fax(l).rlike(PHONE_LABEL).alias("on")))))
-    labelled = F.filter(entry, lambda e: e["on"])
-    pool = F.transform(F.when(F.size(labelled) > 0, labelled).otherwise(entry), lambda e: e["p"])
-    tally = F.transform(F.array_distinct(pool), lambda p, i: F.struct(F.size(F.filter(pool, lambda q: q == p)).alias("n"), (-i).alias("back"), p.alias("p")))
-    return F.coalesce(F.array_max(tally)["p"], F.lit(""))
+
+    def numbers(line: Column) -> Column:
+        return _let(S.before_fax(line), lambda l: F.transform(S.phones_in(l), lambda p: F.struct(p.alias("p"), l.rlike(PHONE_LABEL).alias("on"))))
+
+    def chosen(entry: Column) -> Column:
+        return F.transform(F.filter(entry, lambda e: e["on"] | ~F.exists(entry, lambda x: x["on"])), lambda e: e["p"])
+
+    def most(pool: Column) -> Column:
+        tally = F.transform(F.array_distinct(pool), lambda p, i: F.struct(F.size(F.filter(pool, lambda q: q == p)).alias("n"), (-i).alias("back"), p.alias("p")))
+        return F.coalesce(F.array_max(tally)["p"], F.lit(""))
+
+    return _let(F.flatten(F.transform(block, numbers)), lambda entry: _let(chosen(entry), most))
 
 
 def _english_address(block: Column) -> Column:
@@ -95,19 +107,23 @@ def employer_fields(df: DataFrame, text: str = "text") -> DataFrame:
     addr = _value(block, lambda l: F.when(S.has_cjk(l) & l.rlike(CN_ADDRESS), S.strip(F.regexp_replace(F.regexp_replace(l, LABELS, ""), "^[:： ]+", ""))))
     hint = _value(block, lambda l: F.when(S.has_cjk(l) & l.rlike(EN_ADDRESS) & (F.length(l) > 12), l))
     df = df.withColumns({"addr_cn": addr, "addr_en": _english_address(block), "en_hint": hint, "phone": _phone(block)})
-    named = F.filter(block, lambda l: ~l.rlike(ADDRESS_LABEL) & ~l.rlike(ANY_PHONE_LABEL) & (l != F.col("addr_cn")) & (l != F.col("addr_en")))
+
+    def named(l: Column, value: Column) -> Column:
+        return F.when(~l.rlike(ADDRESS_LABEL) & ~l.rlike(ANY_PHONE_LABEL) & (l != F.col("addr_cn")) & (l != F.col("addr_en")), value)
 
     def english(l: Column) -> Column:
         labelled = r"(?i)^.*Nama\s*(?:Majikan|Perusahaan)\s*[:：]?"
-        v = S.strip(F.when(l.rlike(labelled), F.regexp_replace(l, labelled, "")).otherwise(F.regexp_replace(l, ".*[:：]", "")))
-        return F.when(~S.has_cjk(v) & v.rlike("[A-Za-z]") & ~v.rlike(EN_BOILERPLATE) & ~v.rlike(EN_ADDRESS) & (F.length(v) > 2), v)
+        core = S.strip(F.when(l.rlike(labelled), F.regexp_replace(l, labelled, "")).otherwise(F.regexp_replace(l, ".*[:：]", "")))
+        return named(l, _let(core, lambda v: F.when(~S.has_cjk(v) & v.rlike("[A-Za-z]") & ~v.rlike(EN_BOILERPLATE) & ~v.rlike(EN_ADDRESS) & (F.length(v) > 2), v)))
 
     def chinese(l: Column) -> Column:
-        core = S.strip(F.regexp_replace(l, ".*[:：;；]", ""))
-        v = F.regexp_replace(F.regexp_replace(F.regexp_replace(core, LABELS, ""), "(?i)Nama.*", ""), "^[ ()（）:：;；]+|[ ()（）:：;；]+$", "")
-        return F.when(S.has_cjk(core) & ~core.rlike(CN_ADDRESS) & ~core.rlike(EN_ADDRESS) & (v != "") & S.has_cjk(v) & S.name_like(v), v)
+        def name(core: Column) -> Column:
+            bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(core, LABELS, ""), "(?i)Nama.*", ""), "^[ ()（）:：;；]+|[ ()（）:：;；]+$", "")
+            return F.when(S.has_cjk(core) & ~core.rlike(CN_ADDRESS) & ~core.rlike(EN_ADDRESS), _let(bare, lambda v: F.when((v != "") & S.has_cjk(v) & S.name_like(v), v)))
+
+        return named(l, _let(S.strip(F.regexp_replace(l, ".*[:：;；]", "")), name))
 
-    df = df.withColumns({"name_cn": S.balance_brackets(_value(named, chinese)), "name_en": S.balance_brackets(_value(named, english))})
+    df = df.withColumns({"name_cn": S.balance_brackets(_value(block, chinese)), "name_en": S.balance_brackets(_value(block, english))})
     return df.withColumn("note", F.when(F.col("anchored"), "").otherwise("employer block not anchored")).drop("block", "anchored")
 
 

@@ -102,3 +102,13 @@ def test_numbers_of_any_length(spark):
     assert (index["image10.png"], index["front.png"], index["image0.png"], index["image1700000000000.png"]) == (10, 0, 0, 2**31 - 1)
     flat = {r["n"]: r["k"]["n"] for r in df.select("n", S.natural_key_flat(F.col("n")).alias("k")).collect()}
     assert (flat["front.png"], flat["image99999999999999999999.png"]) == (1 << 30, 99999999999999999999)
+
+
+def test_costly_texts_are_worked_out_once_and_in_many_tasks(spark):
+    """The rules on a page's lines are not repeated in the plan, and a small file of customers is read by all tasks."""
+    from attestor.operators import extract
+    from attestor.plans import catalogue
+
+    fields = extract.employer_fields(spark.createDataFrame([("甲方名稱:王明安",)], "text string"))
+    assert fields._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") < 60
+    assert catalogue.queries()["employer_block"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
