@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestor.functions import scalars as S
+from attestor.session import grows
 
 # --- fixed values: label and content patterns -------------------------------------------------
 PARTY_A = r"甲方名稱|雇主名[稱称]|以下簡稱為?甲方"
@@ -176,7 +177,7 @@ def next_pages(page_texts: DataFrame, contract: DataFrame) -> DataFrame:
 def pledge_pages(page_texts: DataFrame) -> DataFrame:
     """Up to two pages after the first pledge front page of each document."""
     front = page_texts.where(S.is_pledge_front(F.col("text"))).groupBy("source_docx").agg(F.min("ord").alias("__front"))
-    after = page_texts.join(front, "source_docx").where(F.col("ord").between(F.col("__front") + 1, F.col("__front") + PLEDGE_PAGES))
+    after = page_texts.join(grows(front), "source_docx").where(F.col("ord").between(F.col("__front") + 1, F.col("__front") + PLEDGE_PAGES))
     return after.drop("__front")
 
 
@@ -189,9 +190,9 @@ def pledge_name(text: Column) -> Column:
 def rescue_names(employers: DataFrame, page_texts: DataFrame) -> DataFrame:
     """Employers without a Chinese name take it from the first pledge page that has one; the English name stays."""
     need = employers.where("name_cn = ''").select("source_docx")
-    names = pledge_pages(page_texts).join(need, "source_docx", "left_semi").withColumn("got", pledge_name(F.col("text"))).where("got <> ''")
+    names = pledge_pages(page_texts).join(grows(need), "source_docx", "left_semi").withColumn("got", pledge_name(F.col("text"))).where("got <> ''")
     first = names.groupBy("source_docx").agg(F.min_by(F.struct("got", "image_name"), "ord").alias("pledge"))
-    out = employers.join(first, "source_docx", "left")
+    out = employers.join(grows(first), "source_docx", "left")
     name = F.coalesce("pledge.got", "name_cn")
     source = F.when(F.col("pledge").isNotNull(), F.concat(F.lit("H: name from pledge page "), F.col("pledge.image_name")))
     return out.withColumn("name_cn", name).withColumn("doubt_name", compose_doubt(F.coalesce(source, F.lit("")), name_doubt(F.col("name_cn"), F.col("name_en")))).drop("pledge")

@@ -10,7 +10,7 @@ from attestor.functions import scalars as S
 from attestor.operators import assemble, extract, gazetteer, routing, verify, votes
 from attestor.operators.rescue import rescue
 from attestor.schema import EMPLOYER, conform
-from attestor.session import cut
+from attestor.session import cut, grows
 
 
 def decide_documents(reads: DataFrame, images: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -43,11 +43,11 @@ def employers(page_texts: DataFrame, contract_texts: DataFrame, gaz: DataFrame)
     """Employer rows: ``page_texts`` (source_docx, ord, image_name, text) score the pages, ``contract_texts`` are the second reader's."""
     pages = extract.contract_pages(page_texts)
     # Cut where several branches start from the same rows: pages and patterns are the costly steps.
-    read = cut(pages.join(contract_texts.select("source_docx", "image_name", F.col("text").alias("full_text")), ["source_docx", "image_name"], "left"))
+    read = cut(pages.join(grows(contract_texts.select("source_docx", "image_name", F.col("text").alias("full_text"))), ["source_docx", "image_name"], "left"))
     known = cut(extract.employer_fields(read.where("found"), "full_text").drop("full_text"))
     known = gazetteer.standard_address(gazetteer.normalise(known.withColumn("__en", S.first_of(F.col("addr_en"), F.col("en_hint"))), gaz, "addr_cn", "__en"))
     known = cut(known.withColumn("doubt_name", extract.name_doubt(F.col("name_cn"), F.col("name_en"))))
-    known = extract.rescue_names(known, contract_texts.join(page_texts.select("source_docx", "image_name", "ord", F.col("text").alias("front")), ["source_docx", "image_name"]).select("source_docx", "image_name", "ord", F.concat_ws("\n", "front", "text").alias("text")))
+    known = extract.rescue_names(known, contract_texts.join(grows(page_texts.select("source_docx", "image_name", "ord", F.col("text").alias("front"))), ["source_docx", "image_name"]).select("source_docx", "image_name", "ord", F.concat_ws("\n", "front", "text").alias("text")))
     known = known.withColumn("doubt_house", extract.house_doubt(F.col("addr_cn"), F.col("addr_en")))
     known = known.withColumns({"doubt": extract.compose_doubt(F.col("doubt_name"), F.col("doubt_addr"), F.col("doubt_house")), "image": F.col("image_name")})
     unknown = read.where(~F.col("found")).select("source_docx", F.col("image_name").alias("image"), F.lit("no contract page").alias("note"))

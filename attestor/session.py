@@ -55,6 +55,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def grows(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the documents: it is shuffled, never sent through the driver.
+
+    Texts made from a small file look small to the planner, however many they are.
+    """
+    return df.hint("merge")
+
+
 _SHIPPED: set[str] = set()
 
 

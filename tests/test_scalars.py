@@ -112,3 +112,12 @@ def test_costly_texts_are_worked_out_once_and_in_many_tasks(spark):
     fields = extract.employer_fields(spark.createDataFrame([("甲方名稱:王明安",)], "text string"))
     assert fields._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") < 60
     assert catalogue.queries()["employer_block"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 4
+
+
+def test_texts_of_documents_are_not_broadcast(spark):
+    """Pages from a small file meet in a shuffle, as their texts may be many times its size."""
+    from attestor.operators import extract
+
+    pages = spark.createDataFrame([("a", 0, "image1.png", "Surat Pernyataan"), ("a", 1, "image2.png", "x")], "source_docx string, ord int, image_name string, text string")
+    plan = extract.pledge_pages(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
